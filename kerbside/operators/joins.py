@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a size check, shuffle otherwise."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension this small always fits every executor.  Hourly weather for a
+# century is ~877k rows; the zone lookup is a few hundred.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    The check is a ``limit(max_rows + 1).count()`` on the (already reduced)
+    small side, so it reads at most ``max_rows + 1`` rows.  Beyond the bound
+    the join stays a shuffle join and AQE may still switch it at run time
+    from the real shuffle statistics.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
