@@ -7,16 +7,19 @@ The SQL oracle of each query is in :data:`ORACLE`.
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.config import apply_session_defaults
+from kerbside.config import LakeConfig, apply_session_defaults, ensure_checkpoint_dir, staging_path
 from kerbside.functions.keys import date_key, hour_key
 from kerbside.functions.temporal import elapsed_minutes
-from kerbside.operators import dimensions, facts, marts, serving, silver
+from kerbside.operators import dimensions, facts, marts, merge, quality, scan_report, serving, silver
 from kerbside.operators.scd2 import scd2_apply
+from kerbside.sinks.writers import write_bronze, write_layer
+from kerbside.sources.weather import month_bounds_columns, unpack_hourly
 from kerbside.plans.oracle import FACT_LIST, sql
 from kerbside.sources import fixtures
 
@@ -34,6 +37,14 @@ def _session(spark: SparkSession) -> SparkSession:
     return apply_session_defaults(spark)
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the session's shared checkpoint dir.  Only when
+    the session names none (local runs, tests) is a local one installed."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="kerbside-ckpt-"))
+    return staging_path(spark, label)
+
+
 def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.clean_trips(fixtures.bronze_trips(_session(spark), sf_dir))
 
@@ -159,6 +170,123 @@ def q_star_weekend_revenue(spark, sf_dir):
     return serving.star_weekend_revenue(facts.build_fact(s), dimensions.date_dimension(s))
 
 
+def q_fact_rejects(spark, sf_dir):
+    return facts.fact_rejects(silver_trips(spark, sf_dir))
+
+
+def q_month_bounds(spark, sf_dir):
+    months = fixtures.bronze_trips(_session(spark), sf_dir).select(
+        F.col("_source_month").alias("source_month")).distinct()
+    first, last = month_bounds_columns("source_month")
+    return months.select("source_month", first.alias("first_day"), last.alias("last_day"))
+
+
+def q_weather_unpacked(spark, sf_dir):
+    p = fixtures.weather_payloads(_session(spark), sf_dir)
+    return unpack_hourly(p, F.col("month"))
+
+
+def q_quality_report(spark, sf_dir):
+    return quality.run_suite(fixtures.bronze_trips(_session(spark), sf_dir),
+                             quality.bronze_trip_suite())
+
+
+def q_quality_report_dirty(spark, sf_dir):
+    return quality.run_suite(fixtures.dirty_bronze_trips(_session(spark), sf_dir),
+                             quality.bronze_trip_suite())
+
+
+def q_build_tests(spark, sf_dir):
+    s = silver_trips(spark, sf_dir)
+    weather = fixtures.bronze_weather(spark, sf_dir)
+    return quality.build_tests(facts.build_fact(s), dimensions.date_dimension(s),
+                               dimensions.weather_dimension(weather), dim_zone(spark, sf_dir),
+                               fixtures.bronze_trips(spark, sf_dir), weather)
+
+
+def q_incremental_watermark(spark, sf_dir):
+    """Load days up to the bench day, then select what the watermark lets in."""
+    s = silver_trips(spark, sf_dir)
+    target = scratch(spark, "fact-watermark")
+    merge.load_fact(spark, s, target, "backfill", dt.date(1900, 1, 1), BENCH_DAY)
+    return facts.build_fact(merge.incremental_source(s, merge.watermark(spark, target)))
+
+
+def q_merge_idempotent(spark, sf_dir):
+    """Watermark load run twice into one target: the second run adds nothing."""
+    s = silver_trips(spark, sf_dir)
+    target = scratch(spark, "fact-idempotent")
+    merge.load_fact(spark, s, target, "watermark")
+    merge.load_fact(spark, s, target, "watermark")
+    return spark.read.parquet(target).select(*facts.FACT_COLUMNS)
+
+
+def q_merge_backfill(spark, sf_dir):
+    """Load the first 20 days, then the rest by watermark, then re-merge a
+    backfill of days 10-15: the table equals one full build."""
+    s = silver_trips(spark, sf_dir)
+    target = scratch(spark, "fact-backfill")
+    merge.load_fact(spark, s, target, "backfill", "1900-01-01", "2024-01-20")
+    merge.load_fact(spark, s, target, "watermark")
+    merge.load_fact(spark, s, target, "backfill", "2024-01-10", "2024-01-15")
+    return spark.read.parquet(target).select(*facts.FACT_COLUMNS)
+
+
+def q_scan_footprint(spark, sf_dir):
+    """M1: the single-day query over the fact, unpartitioned vs by day."""
+    fact = fact_trips(spark, sf_dir)
+    flat = scratch(spark, "fact-flat")
+    by_day = scratch(spark, "fact-by-day")
+    fact.write.parquet(flat)
+    fact.write.partitionBy("pickup_date").parquet(by_day)
+    pred = F.col("pickup_date") == F.lit(BENCH_DAY)
+    return (scan_report.scan_footprint(spark, flat, pred, "unpartitioned", False)
+            .unionByName(scan_report.scan_footprint(spark, by_day, pred, "pickup_date", True)))
+
+
+def q_bronze_replace_idempotent(spark, sf_dir):
+    """Landing the same months twice leaves one copy of each."""
+    path = scratch(spark, "bronze")
+    trips = fixtures.bronze_trips(_session(spark), sf_dir)
+    write_bronze(trips, path)
+    write_bronze(trips, path)
+    return silver.lineage_counts(spark.read.parquet(path))
+
+
+def q_bronze_stream_ingest(spark, sf_dir):
+    """Landed monthly files streamed into bronze twice: each file lands once."""
+    from kerbside.streaming import ingest_landed_trips
+    _session(spark)
+    landing = scratch(spark, "landing")
+    trips = fixtures.bronze_trips(spark, sf_dir)
+    name = F.concat(F.lit("yellow_tripdata_"), F.col("_source_month"), F.lit(".parquet"))
+    (trips.drop("_source_dataset").withColumn("_file", name).drop("_source_month")
+     .write.partitionBy("_file").parquet(landing))
+    schema = spark.read.parquet(landing).drop("_file").schema
+    bronze, ckpt = scratch(spark, "bronze-stream"), scratch(spark, "bronze-stream-ckpt")
+    ingest_landed_trips(spark, landing, bronze, ckpt, schema)
+    ingest_landed_trips(spark, landing, bronze, ckpt, schema)
+    return silver.lineage_counts(spark.read.parquet(bronze))
+
+
+def q_pipeline_end_to_end(spark, sf_dir):
+    """C12 over the fixtures into a scratch lake, run twice; the build tests
+    are then re-evaluated on the written tables."""
+    from kerbside.plans.pipeline import run_pipeline
+    from kerbside.sources.lake import read_table
+    _session(spark)
+    cfg = LakeConfig(scratch(spark, "lake"))
+    trips = fixtures.bronze_trips(spark, sf_dir)
+    weather = fixtures.bronze_weather(spark, sf_dir)
+    for version, stamp in ((1, AS_OF[0]), (2, AS_OF[1]), (1, AS_OF[2])):
+        run_pipeline(spark, cfg, trips, weather, fixtures.zones_version(spark, sf_dir, version),
+                     stamp, fail_on_tests=False)
+    t = lambda layer, n: read_table(spark, cfg, layer, n)
+    return quality.build_tests(t("gold", "fact_trips"), t("gold", "dim_date"),
+                               t("gold", "dim_weather"), t("gold", "dim_zone"),
+                               t("bronze", "yellow_trips"), t("bronze", "weather_hourly"))
+
+
 QUERIES: dict[str, Query] = {
     "clean_trips": q_clean_trips,
     "lineage_counts": q_lineage_counts,
@@ -182,6 +310,19 @@ QUERIES: dict[str, Query] = {
     "dim_zone_current": q_dim_zone_current,
     "star_weather_demand": q_star_weather_demand,
     "star_weekend_revenue": q_star_weekend_revenue,
+    "fact_rejects": q_fact_rejects,
+    "month_bounds": q_month_bounds,
+    "weather_unpacked": q_weather_unpacked,
+    "quality_report": q_quality_report,
+    "quality_report_dirty": q_quality_report_dirty,
+    "build_tests": q_build_tests,
+    "incremental_watermark": q_incremental_watermark,
+    "merge_idempotent": q_merge_idempotent,
+    "merge_backfill": q_merge_backfill,
+    "scan_footprint": q_scan_footprint,
+    "bronze_replace_idempotent": q_bronze_replace_idempotent,
+    "bronze_stream_ingest": q_bronze_stream_ingest,
+    "pipeline_end_to_end": q_pipeline_end_to_end,
 }
 
 
@@ -256,3 +397,91 @@ ORACLE: dict[str, str] = {
         FROM fact f JOIN dim_date d ON f.pickup_date = d.date_day
         GROUP BY 1, 2"""),
 }
+
+
+def _suite_sql(src: str) -> str:
+    def share(c, lo, hi, mostly):
+        s_ = f"CAST(count_if({c} BETWEEN {lo} AND {hi}) AS DOUBLE) / nullif(count({c}), 0)"
+        return (f"SELECT 'between' AS check_name, '{c}' AS column_name, {s_} AS observed, "
+                f"CAST({mostly} AS DOUBLE) AS threshold, coalesce({s_} >= {mostly}, true) AS success "
+                f"FROM {src}")
+
+    def not_null(c):
+        return (f"SELECT 'not_null', '{c}', CAST(count_if({c} IS NULL) AS DOUBLE), 0.0, "
+                f"count_if({c} IS NULL) = 0 FROM {src}")
+    return "\nUNION ALL ".join([
+        f"SELECT 'row_count' AS check_name, '*' AS column_name, CAST(count(*) AS DOUBLE) AS observed, "
+        f"1.0 AS threshold, count(*) >= 1 AS success FROM {src}",
+        not_null("tpep_pickup_datetime"), not_null("pulocationid"),
+        share("total_amount", -1000, 100000, 0.99), share("trip_distance", 0, 1000, 0.99),
+        share("passenger_count", 0, 9, 0.95)])
+
+
+def _test_sql(table: str, src: str, check: str, col: str, cond: str | None = None) -> str:
+    if check == "not_null":
+        obs = f"count_if({col} IS NULL)"
+        frm = src
+    elif check == "unique":
+        obs = "count(*)"
+        frm = f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+    elif check == "relationships":
+        obs = "count(*)"
+        frm = (f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL AND {col} NOT IN "
+               f"(SELECT date_key FROM dim_date WHERE date_key IS NOT NULL))")
+    else:  # accepted_range: min 0 exclusive
+        obs = f"count_if({col} IS NOT NULL AND NOT ({col} > 0))"
+        frm = src
+    return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{col}' AS column_name, "
+            f"CAST({obs} AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold, {obs} = 0 AS success FROM {frm}")
+
+
+_BUILD_TESTS = [
+    ("dim_zone", "dim_zone", "not_null", "zone_id"),
+    ("dim_zone", "dim_zone", "not_null", "is_current"),
+    ("dim_date", "dim_date", "not_null", "date_key"),
+    ("dim_date", "dim_date", "unique", "date_key"),
+    ("dim_date", "dim_date", "not_null", "date_day"),
+    ("dim_weather", "dim_weather", "not_null", "weather_key"),
+    ("dim_weather", "dim_weather", "unique", "weather_key"),
+    ("fact_trips", "fact", "not_null", "trip_key"),
+    ("fact_trips", "fact", "unique", "trip_key"),
+    ("fact_trips", "fact", "not_null", "pickup_date_key"),
+    ("fact_trips", "fact", "relationships", "pickup_date_key"),
+    ("fact_trips", "fact", "not_null", "pickup_zone_id"),
+    ("fact_trips", "fact", "accepted_range", "total_amount"),
+    ("bronze_yellow_trips", "bronze_trips", "not_null", "tpep_pickup_datetime"),
+    ("bronze_yellow_trips", "bronze_trips", "not_null", "pulocationid"),
+    ("bronze_weather_hourly", "bronze_weather", "not_null", "observed_at"),
+    ("bronze_weather_hourly", "bronze_weather", "unique", "observed_at"),
+]
+BUILD_TESTS_SQL = sql(["fact", "dim_date", "dim_weather", "dim_zone", "bronze_trips", "bronze_weather"],
+                      "\nUNION ALL ".join(_test_sql(*t) for t in _BUILD_TESTS))
+
+ORACLE.update({
+    "fact_rejects": sql(["keyed"], "SELECT * FROM keyed WHERE trip_key IS NULL"),
+    "month_bounds": sql(["bronze_trips"], """
+        SELECT source_month, CAST(source_month || '-01' AS DATE) AS first_day,
+               last_day(CAST(source_month || '-01' AS DATE)) AS last_day
+        FROM (SELECT DISTINCT _source_month AS source_month FROM bronze_trips)"""),
+    "weather_unpacked": sql(["bronze_weather"], "SELECT * FROM bronze_weather"),
+    "quality_report": sql(["bronze_trips"], _suite_sql("bronze_trips")),
+    "quality_report_dirty": sql(["bronze_trips"], f"""
+        , dirty AS (
+          SELECT CASE WHEN minute(tpep_pickup_datetime) % 50 = 0 THEN NULL
+                      ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
+                 pulocationid,
+                 CASE WHEN total_amount < 0 THEN 99 ELSE passenger_count END AS passenger_count,
+                 CASE WHEN total_amount < 0 THEN trip_distance * 100 ELSE trip_distance END
+                   AS trip_distance,
+                 total_amount
+          FROM bronze_trips)
+        {_suite_sql("dirty")}"""),
+    "build_tests": BUILD_TESTS_SQL,
+    "incremental_watermark": sql(["fact"], f"""
+        SELECT * FROM fact WHERE pickup_date > DATE '{BENCH_DAY.isoformat()}'"""),
+    "merge_idempotent": sql(["fact"], "SELECT * FROM fact"),
+    "merge_backfill": sql(["fact"], "SELECT * FROM fact"),
+    "bronze_replace_idempotent": ORACLE["lineage_counts"],
+    "bronze_stream_ingest": ORACLE["lineage_counts"],
+    "pipeline_end_to_end": BUILD_TESTS_SQL,
+})

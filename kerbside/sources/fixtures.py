@@ -100,3 +100,47 @@ def volume_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("total_amount"),
         F.date_format("o_orderdate", "yyyy-MM").alias("source_month"),
     )
+
+
+def dirty_bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A corrupted load for the gate: NULL pickups in minutes 0 and 50 of each
+    hour, and on refunds (negative amounts) distance x100 and 99 passengers."""
+    b = bronze_trips(spark, sf_dir)
+    return b.select(
+        F.when(F.minute("tpep_pickup_datetime") % 50 == 0, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(F.col("tpep_pickup_datetime")).alias("tpep_pickup_datetime"),
+        "tpep_dropoff_datetime", "pulocationid", "dolocationid",
+        F.when(F.col("total_amount") < 0, F.lit(99)).otherwise(F.col("passenger_count"))
+         .alias("passenger_count"),
+        F.when(F.col("total_amount") < 0, F.col("trip_distance") * 100)
+         .otherwise(F.col("trip_distance")).alias("trip_distance"),
+        "total_amount", "_source_dataset", "_source_month",
+    )
+
+
+def weather_payloads(spark: SparkSession, sf_dir: str, chunk: int = 16) -> DataFrame:
+    """Re-pack the weather readings as payload objects of parallel arrays.
+
+    Each payload holds the readings of ``chunk`` consecutive event ids (a
+    bounded group), ordered by event id, like the hourly feed's arrays.
+    """
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
+    eid = F.col("event_id")
+    reading = F.struct(
+        eid.alias("event_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        F.col("value").alias("temperature_2m"),
+        (eid % 3).cast("double").alias("precipitation"),
+        (eid % 20).cast("double").alias("wind_speed_10m"),
+        (eid % 4).cast("bigint").alias("weather_code"),
+    )
+    grouped = (e.groupBy(F.floor(eid / chunk).alias("payload_id"),
+                         F.date_format("ts", "yyyy-MM").alias("month"))
+               .agg(F.sort_array(F.collect_list(reading)).alias("r")))
+    fields = ["time", "temperature_2m", "precipitation", "wind_speed_10m", "weather_code"]
+
+    def field_of(name: str):
+        return lambda x: x.getField(name)
+
+    hourly = F.struct(*[F.transform("r", field_of(f)).alias(f) for f in fields])
+    return grouped.select("payload_id", "month", hourly.alias("hourly"))
