@@ -24,6 +24,10 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Target ~128 MB per shuffle partition and per written file; AQE merges
+    # small partitions and splits skewed ones (joins and rebalance writes).
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
 }
 
 LAYERS = ("bronze", "silver", "gold", "snapshots")
@@ -36,6 +40,13 @@ def apply_session_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> int:
+    """Initial shuffle width for a job over ``input_bytes``: enough partitions
+    that each holds ~``target_bytes`` (AQE coalesces the excess), and at least
+    two waves of the cluster's cores."""
+    return max(2 * cores, -(-input_bytes // target_bytes))
+
+
 def local_session(app: str = "kerbside", cores: str | int = "*",
                   shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
     """A local-mode session for tests, the bench and examples.

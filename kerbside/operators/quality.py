@@ -99,11 +99,14 @@ def _unique(df: DataFrame, c: Check) -> DataFrame:
 
 
 def _relationship(df: DataFrame, c: Check) -> DataFrame:
-    child = df.select(F.col(c.column).alias("k")).where(F.col("k").isNotNull())
-    parent = c.parent.select(F.col(c.parent_column or c.column).alias("k"))
-    # Parent keys are deduplicated first, so the anti-join side is at most
-    # one row per key; Catalyst may broadcast it when its size is known small.
-    missing = child.join(parent.distinct(), "k", "left_anti").agg(F.count(F.lit(1)).alias("o"))
+    # Both sides are reduced to one row per key before the anti-join (the
+    # child with its row count, map-side combined), so the join moves
+    # distinct keys only, however many rows share a key.
+    child = (df.where(F.col(c.column).isNotNull()).groupBy(F.col(c.column).alias("k"))
+             .agg(F.count(F.lit(1)).alias("n")))
+    parent = c.parent.select(F.col(c.parent_column or c.column).alias("k")).distinct()
+    missing = (child.join(parent, "k", "left_anti")
+               .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("o")))
     return missing.select(_row(c, F.col("o"), 0, F.col("o") == 0).alias("r")).select("r.*")
 
 
@@ -182,3 +185,17 @@ def build_tests(fact: DataFrame, dim_date: DataFrame, dim_weather: DataFrame,
                                        Check("unique", "observed_at")]), "bronze_weather_hourly"),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def integrity_extras(fact: DataFrame, dim_zone: DataFrame, dim_weather: DataFrame) -> DataFrame:
+    """Non-blocking checks the build lacks: pickup zones and hours of the fact
+    present in their dimensions, and at most one open version per zone."""
+    current = dim_zone.where(F.col("is_current"))
+    parts = [
+        run_suite(fact, [Check("relationship", "pickup_zone_id", parent=current,
+                               parent_column="zone_id", name="relationships")]),
+        run_suite(fact, [Check("relationship", "pickup_weather_key", parent=dim_weather,
+                               parent_column="weather_key", name="relationships")]),
+        run_suite(current, [Check("unique", "zone_id", name="unique_current")]),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -287,6 +287,11 @@ def q_pipeline_end_to_end(spark, sf_dir):
                                t("bronze", "yellow_trips"), t("bronze", "weather_hourly"))
 
 
+def q_integrity_extras(spark, sf_dir):
+    weather = dimensions.weather_dimension(fixtures.bronze_weather(_session(spark), sf_dir))
+    return quality.integrity_extras(fact_trips(spark, sf_dir), dim_zone(spark, sf_dir), weather)
+
+
 QUERIES: dict[str, Query] = {
     "clean_trips": q_clean_trips,
     "lineage_counts": q_lineage_counts,
@@ -323,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "bronze_replace_idempotent": q_bronze_replace_idempotent,
     "bronze_stream_ingest": q_bronze_stream_ingest,
     "pipeline_end_to_end": q_pipeline_end_to_end,
+    "integrity_extras": q_integrity_extras,
 }
 
 
@@ -484,4 +490,20 @@ ORACLE.update({
     "bronze_replace_idempotent": ORACLE["lineage_counts"],
     "bronze_stream_ingest": ORACLE["lineage_counts"],
     "pipeline_end_to_end": BUILD_TESTS_SQL,
+    "integrity_extras": sql(["fact", "dim_zone", "dim_weather"], """
+        SELECT 'relationships' AS check_name, 'pickup_zone_id' AS column_name,
+               CAST(count(*) AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
+               count(*) = 0 AS success
+        FROM fact WHERE pickup_zone_id IS NOT NULL
+          AND pickup_zone_id NOT IN (SELECT zone_id FROM dim_zone WHERE is_current)
+        UNION ALL
+        SELECT 'relationships', 'pickup_weather_key', CAST(count(*) AS DOUBLE),
+               CAST(0 AS DOUBLE), count(*) = 0
+        FROM fact WHERE pickup_weather_key IS NOT NULL
+          AND pickup_weather_key NOT IN (SELECT weather_key FROM dim_weather)
+        UNION ALL
+        SELECT 'unique_current', 'zone_id', CAST(count(*) AS DOUBLE), CAST(0 AS DOUBLE),
+               count(*) = 0
+        FROM (SELECT zone_id FROM dim_zone WHERE is_current AND zone_id IS NOT NULL
+              GROUP BY 1 HAVING count(*) > 1)"""),
 })
