@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from kerbside.config import staging_path
 from kerbside.operators.facts import build_fact, dedupe_trips
-from kerbside.schemas import FACT_COLUMNS
+from kerbside.schemas import FACT_COLUMNS, FACT_TRIPS
 from kerbside.sinks.writers import write_day_partitioned
 
 EPOCH = dt.date(1900, 1, 1)
@@ -68,28 +68,38 @@ def backfill_source(silver: DataFrame, first_day, last_day) -> DataFrame:
     return silver.where(F.to_date("pickup_ts").between(F.lit(a), F.lit(b)))
 
 
-def _touched_days(new_rows: DataFrame) -> list[dt.date]:
-    days = [r[0] for r in new_rows.select(DAY).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()]
+def _touched_days(staged: DataFrame) -> list[dt.date]:
+    """Distinct days of a staged, day-partitioned table (partition values only)."""
+    days = [r[0] for r in staged.select(DAY).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()]
     if len(days) > MAX_TOUCHED_DAYS:
         raise ValueError(f"a single merge may touch at most {MAX_TOUCHED_DAYS} days")
     return days
 
 
 def merge_into(spark: SparkSession, new_rows: DataFrame, target: str) -> dict:
-    """Upsert fact rows into the day-partitioned ``target`` by ``trip_key``."""
+    """Upsert fact rows into the day-partitioned ``target`` by ``trip_key``.
+
+    A missing target is simply written.  Otherwise the new rows are staged
+    first (computed once; their days then come from the partition listing),
+    merged with the target's rows of those days, staged again and swapped in.
+    """
     new_rows = new_rows.select(*FACT_COLUMNS)
     existing = read_target(spark, target)
-    days = _touched_days(new_rows)
-    if not days:
-        return {"days": 0, "mode": "noop"}
     if existing is None:
         write_day_partitioned(new_rows, target, DAY, replace="static")
-        return {"days": len(days), "mode": "create"}
+        return {"mode": "create"}
+    stage_new = staging_path(spark, "fact-new")
+    write_day_partitioned(new_rows, stage_new, DAY, replace="static")
+    # explicit schema: an empty batch writes no files to infer one from
+    staged_new = spark.read.schema(FACT_TRIPS).parquet(stage_new).select(*FACT_COLUMNS)
+    days = _touched_days(staged_new)
+    if not days:
+        return {"days": 0, "mode": "noop"}
     old = existing.where(F.col(DAY).isin(days)).select(*FACT_COLUMNS)
-    merged = dedupe_trips(old.unionByName(new_rows))
+    merged = dedupe_trips(old.unionByName(staged_new))
     stage = staging_path(spark, "fact-merge")
     write_day_partitioned(merged, stage, DAY, replace="static")
-    staged = spark.read.parquet(stage).select(*FACT_COLUMNS)
+    staged = spark.read.schema(FACT_TRIPS).parquet(stage).select(*FACT_COLUMNS)
     write_day_partitioned(staged, target, DAY, replace="dynamic")
     return {"days": len(days), "mode": "merge", "stage": stage}
 
