@@ -18,6 +18,46 @@ def check_limit(limit: int, maximum: int = MAX_LIMIT) -> int:
     return limit
 
 
+# The serving statements as SQL over the registered gold tables (see
+# kerbside.sinks.catalog).  Parameters are bound by name, never formatted in.
+SERVING_SQL = {
+    "zone_demand": """
+        SELECT pickup_hour, trip_count, revenue, avg_distance, temperature_2m, precipitation
+        FROM gold.mart_zone_hourly_demand
+        WHERE pickup_zone_id = :zone_id
+        ORDER BY pickup_hour DESC
+        LIMIT :limit""",
+    "top_zones": """
+        SELECT z.zone_name, sum(m.trip_count) AS trips
+        FROM gold.mart_zone_hourly_demand m
+        JOIN gold.dim_zone z ON m.pickup_zone_id = z.zone_id AND z.is_current
+        GROUP BY z.zone_name
+        ORDER BY trips DESC, z.zone_name
+        LIMIT 10""",
+    "hourly_profile": """
+        SELECT hour(pickup_hour) AS hour_of_day, sum(trip_count) AS trips
+        FROM gold.mart_zone_hourly_demand GROUP BY 1 ORDER BY 1""",
+    "daily_trips_vs_temperature": """
+        SELECT CAST(pickup_hour AS DATE) AS day, sum(trip_count) AS trips,
+               round(try_divide(CAST(sum(CAST(temperature_2m AS DECIMAL(28,6))) AS DOUBLE),
+                                count(temperature_2m)), 1) AS avg_temp_c
+        FROM gold.mart_zone_hourly_demand GROUP BY 1 ORDER BY 1""",
+    "single_day_revenue": """
+        SELECT count(*) AS c,
+               CAST(round(sum(CAST(total_amount AS DECIMAL(28,2))), 0) AS DOUBLE) AS rev
+        FROM gold.fact_trips WHERE pickup_date = :day""",
+}
+
+
+def run_serving_sql(spark, name: str, **params) -> DataFrame:
+    """Run one serving statement with bound parameters (``limit`` is checked)."""
+    if "limit" in params:
+        check_limit(params["limit"])
+    if "day" in params and not isinstance(params["day"], dt.date):
+        params["day"] = dt.date.fromisoformat(str(params["day"]))
+    return spark.sql(SERVING_SQL[name], args=params or None)
+
+
 def zone_demand(mart: DataFrame, zone_id: int, limit: int = 24) -> DataFrame:
     """The latest ``limit`` hours of one pickup zone."""
     check_limit(limit)

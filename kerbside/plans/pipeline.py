@@ -20,7 +20,8 @@ ZONE_CHECK_COLUMNS = ["borough", "zone_name", "service_zone"]
 
 def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather: DataFrame,
                  zones: DataFrame | None = None, as_of=None, fact_mode: str = "watermark",
-                 backfill: tuple | None = None, fail_on_tests: bool = True) -> dict:
+                 backfill: tuple | None = None, fail_on_tests: bool = True,
+                 register: bool = False) -> dict:
     """Run the daily build over landed bronze batches and return a summary."""
     apply_session_defaults(spark)
     # Bronze: month partitions replaced, so a re-run does not duplicate rows.
@@ -58,6 +59,10 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
     write_layer(marts.zone_hourly_demand(silver_t, bronze_w), cfg, "gold",
                 "mart_zone_hourly_demand")
 
+    if register:
+        from kerbside.sinks.catalog import register_lake
+        register_lake(spark, cfg)
+
     tests = quality.build_tests(
         read_table(spark, cfg, "gold", "fact_trips"),
         read_table(spark, cfg, "gold", "dim_date"),

@@ -292,6 +292,45 @@ def q_integrity_extras(spark, sf_dir):
     return quality.integrity_extras(fact_trips(spark, sf_dir), dim_zone(spark, sf_dir), weather)
 
 
+_LAKES: dict[tuple[int, str], LakeConfig] = {}
+
+
+def registered_lake(spark: SparkSession, sf_dir: str) -> LakeConfig:
+    """Build the lake from the fixtures once per session and register its
+    tables in the catalog (``gold.fact_trips`` ...)."""
+    from kerbside.plans.pipeline import run_pipeline
+    _session(spark)
+    key = (id(spark), sf_dir)
+    if key not in _LAKES:
+        cfg = LakeConfig(scratch(spark, "sql-lake"))
+        run_pipeline(spark, cfg, fixtures.bronze_trips(spark, sf_dir),
+                     fixtures.bronze_weather(spark, sf_dir),
+                     fixtures.zones_version(spark, sf_dir, 1), AS_OF[0],
+                     fail_on_tests=False, register=True)
+        _LAKES[key] = cfg
+    return _LAKES[key]
+
+
+def q_sql_top_zones(spark, sf_dir):
+    registered_lake(spark, sf_dir)
+    return serving.run_serving_sql(spark, "top_zones")
+
+
+def q_sql_zone_demand(spark, sf_dir):
+    registered_lake(spark, sf_dir)
+    return serving.run_serving_sql(spark, "zone_demand", zone_id=DEMAND_ZONE, limit=24)
+
+
+def q_sql_single_day_revenue(spark, sf_dir):
+    registered_lake(spark, sf_dir)
+    return serving.run_serving_sql(spark, "single_day_revenue", day=BENCH_DAY)
+
+
+def q_sql_daily_trips_vs_temperature(spark, sf_dir):
+    registered_lake(spark, sf_dir)
+    return serving.run_serving_sql(spark, "daily_trips_vs_temperature")
+
+
 QUERIES: dict[str, Query] = {
     "clean_trips": q_clean_trips,
     "lineage_counts": q_lineage_counts,
@@ -329,6 +368,10 @@ QUERIES: dict[str, Query] = {
     "bronze_stream_ingest": q_bronze_stream_ingest,
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "integrity_extras": q_integrity_extras,
+    "sql_top_zones": q_sql_top_zones,
+    "sql_zone_demand": q_sql_zone_demand,
+    "sql_single_day_revenue": q_sql_single_day_revenue,
+    "sql_daily_trips_vs_temperature": q_sql_daily_trips_vs_temperature,
 }
 
 
@@ -507,3 +550,10 @@ ORACLE.update({
         FROM (SELECT zone_id FROM dim_zone WHERE is_current AND zone_id IS NOT NULL
               GROUP BY 1 HAVING count(*) > 1)"""),
 })
+
+ORACLE.update({
+    "sql_top_zones": ORACLE["top_zones"],
+    "sql_zone_demand": ORACLE["zone_demand_latest"],
+    "sql_single_day_revenue": ORACLE["single_day_revenue"],
+    "sql_daily_trips_vs_temperature": ORACLE["daily_trips_vs_temperature"],
+})
