@@ -18,8 +18,10 @@ from kerbside.functions.keys import date_key, hour_key
 from kerbside.functions.temporal import elapsed_minutes
 from kerbside.operators import dimensions, facts, marts, merge, quality, scan_report, serving, silver
 from kerbside.operators.scd2 import scd2_apply
-from kerbside.sinks.writers import write_bronze, write_layer
-from kerbside.sources.weather import month_bounds_columns, unpack_hourly
+from kerbside.sinks.writers import publish_view, write_bronze, write_layer
+from kerbside.sources.trips import read_trips
+from kerbside.sources.weather import month_bounds_columns, read_landed_weather, unpack_hourly
+from kerbside.sources.zones import read_zone_seed
 from kerbside.plans.oracle import FACT_LIST, sql
 from kerbside.sources import fixtures
 
@@ -186,6 +188,37 @@ def q_weather_unpacked(spark, sf_dir):
     return unpack_hourly(p, F.col("month"))
 
 
+def q_landed_trips_scan(spark, sf_dir):
+    """Trips landed as one file per month, read back by ONE scan
+    over every landed month; the lineage columns come from the file names."""
+    root = scratch(spark, "landed-trips")
+    fixtures.land_trip_files(_session(spark), sf_dir, root)
+    return read_trips(spark, root, "yellow", spark_landed=True)
+
+
+def q_weather_payload_scan(spark, sf_dir):
+    """Monthly weather payload files -> one row per reading, kept
+    within each file's month window."""
+    root = scratch(spark, "landed-weather")
+    fixtures.land_weather_payloads(_session(spark), sf_dir, root)
+    return read_landed_weather(spark, root, spark_landed=True)
+
+
+def q_zone_seed_scan(spark, sf_dir):
+    """The zone lookup written as the quoted seed CSV and read back."""
+    path = scratch(spark, "zone-seed")
+    fixtures.write_zone_seed(_session(spark), sf_dir, path)
+    return read_zone_seed(spark, path)
+
+
+def q_sql_mart_over_views(spark, sf_dir):
+    """S4 + C6 in SQL: silver and bronze weather published as views, the mart
+    stated as the model's SQL over them."""
+    publish_view(silver_trips(spark, sf_dir), "stg_yellow_trips")
+    publish_view(fixtures.bronze_weather(spark, sf_dir), "bronze_weather_hourly")
+    return spark.sql(marts.MART_SQL)
+
+
 def q_quality_report(spark, sf_dir):
     return quality.run_suite(fixtures.bronze_trips(_session(spark), sf_dir),
                              quality.bronze_trip_suite())
@@ -258,11 +291,8 @@ def q_bronze_stream_ingest(spark, sf_dir):
     from kerbside.streaming import ingest_landed_trips
     _session(spark)
     landing = scratch(spark, "landing")
-    trips = fixtures.bronze_trips(spark, sf_dir)
-    name = F.concat(F.lit("yellow_tripdata_"), F.col("_source_month"), F.lit(".parquet"))
-    (trips.drop("_source_dataset").withColumn("_file", name).drop("_source_month")
-     .write.partitionBy("_file").parquet(landing))
-    schema = spark.read.parquet(landing).drop("_file").schema
+    fixtures.land_trip_files(spark, sf_dir, landing)
+    schema = spark.read.option("recursiveFileLookup", "true").parquet(landing).schema
     bronze, ckpt = scratch(spark, "bronze-stream"), scratch(spark, "bronze-stream-ckpt")
     ingest_landed_trips(spark, landing, bronze, ckpt, schema)
     ingest_landed_trips(spark, landing, bronze, ckpt, schema)
@@ -357,6 +387,10 @@ QUERIES: dict[str, Query] = {
     "fact_rejects": q_fact_rejects,
     "month_bounds": q_month_bounds,
     "weather_unpacked": q_weather_unpacked,
+    "landed_trips_scan": q_landed_trips_scan,
+    "weather_payload_scan": q_weather_payload_scan,
+    "zone_seed_scan": q_zone_seed_scan,
+    "sql_mart_over_views": q_sql_mart_over_views,
     "quality_report": q_quality_report,
     "quality_report_dirty": q_quality_report_dirty,
     "build_tests": q_build_tests,
@@ -556,4 +590,8 @@ ORACLE.update({
     "sql_zone_demand": ORACLE["zone_demand_latest"],
     "sql_single_day_revenue": ORACLE["single_day_revenue"],
     "sql_daily_trips_vs_temperature": ORACLE["daily_trips_vs_temperature"],
+    "landed_trips_scan": sql(["bronze_trips"], "SELECT * FROM bronze_trips"),
+    "weather_payload_scan": sql(["bronze_weather"], "SELECT * FROM bronze_weather"),
+    "zone_seed_scan": sql(["zones_v1"], "SELECT * FROM zones_v1"),
+    "sql_mart_over_views": ORACLE["zone_hourly_demand"],
 })

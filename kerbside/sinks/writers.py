@@ -6,9 +6,10 @@ partitions disappear.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from kerbside.config import LakeConfig
+from kerbside.sources.trips import LANDED_FILE_KEY
 
 
 def write_bronze(df: DataFrame, path: str, partition_cols=("_source_month",),
@@ -62,3 +63,15 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     """A view materialisation (session-scoped)."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def land_files(df: DataFrame, root: str, file_name: Column, fmt: str = "parquet",
+               drop: tuple[str, ...] = ()) -> str:
+    """Land rows as named files in one job: one folder per ``file_name`` value,
+    ``{root}/_landed_file={name}/``; columns in ``drop`` are left out of the
+    files.  Names present in ``df`` are replaced, so landing a file again does
+    not duplicate it."""
+    out = df.withColumn(LANDED_FILE_KEY, file_name).drop(*drop).hint("rebalance", LANDED_FILE_KEY)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LANDED_FILE_KEY).format(fmt).save(root))
+    return root

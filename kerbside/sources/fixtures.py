@@ -144,3 +144,36 @@ def weather_payloads(spark: SparkSession, sf_dir: str, chunk: int = 16) -> DataF
 
     hourly = F.struct(*[F.transform("r", field_of(f)).alias(f) for f in fields])
     return grouped.select("payload_id", "month", hourly.alias("hourly"))
+
+
+# --- landed source files derived from the driver tables ----------------------
+
+def land_trip_files(spark: SparkSession, sf_dir: str, root: str, dataset: str = "yellow") -> str:
+    """Land the bronze trips as monthly trip files (``{dataset}_tripdata_{month}
+    .parquet``) in one job.  The lineage columns are left out: reading the
+    files back restores them from the file names."""
+    from kerbside.sinks.writers import land_files
+
+    trips = bronze_trips(spark, sf_dir)
+    name = F.concat(F.lit(f"{dataset}_tripdata_"), F.col("_source_month"), F.lit(".parquet"))
+    return land_files(trips, root, name, drop=("_source_dataset", "_source_month"))
+
+
+def land_weather_payloads(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Land the weather payloads as monthly JSON files (``weather_{month}.json``),
+    one payload object per line."""
+    from kerbside.sinks.writers import land_files
+
+    p = weather_payloads(spark, sf_dir)
+    name = F.concat(F.lit("weather_"), F.col("month"), F.lit(".json"))
+    return land_files(p, root, name, fmt="json", drop=("payload_id", "month"))
+
+
+def write_zone_seed(spark: SparkSession, sf_dir: str, path: str, version: int = 1) -> str:
+    """Write a zone version as the seed CSV: header ``LocationID, Borough, Zone,
+    service_zone``, every field quoted."""
+    z = zones_version(spark, sf_dir, version)
+    (z.select(F.col("zone_id").alias("LocationID"), F.col("borough").alias("Borough"),
+              F.col("zone_name").alias("Zone"), "service_zone")
+     .write.mode("overwrite").option("header", "true").option("quoteAll", "true").csv(path))
+    return path

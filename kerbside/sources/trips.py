@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 DATASETS = ("yellow", "green", "fhvhv")
 FILE_TEMPLATE = "{dataset}_tripdata_{month}.parquet"
 FILE_PATTERN = r"([a-z]+)_tripdata_(\d{4}-\d{2})\.parquet(?:/|$)"
+# A landing job that writes many files at once with Spark produces one folder
+# per file name: ``{root}/_landed_file={name}/part-*.parquet``.
+LANDED_FILE_KEY = "_landed_file"
 MONTH_PATTERN = re.compile(r"^\d{4}-(0[1-9]|1[0-2])$")
 
 
@@ -44,16 +47,28 @@ def lower_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def read_trips(spark: SparkSession, root: str, dataset: str, months: list[str]) -> DataFrame:
-    """Scan the landed files of ``months`` as one DataFrame.
+def landed_paths(root: str, names: list[str], spark_landed: bool = False) -> list[str]:
+    """Paths of landed files: ``{root}/{name}``, or the folder a Spark landing
+    job wrote for that name.  Names may be globs."""
+    prefix = f"{LANDED_FILE_KEY}=" if spark_landed else ""
+    return [f"{root.rstrip('/')}/{prefix}{n}" for n in names]
+
+
+def read_trips(spark: SparkSession, root: str, dataset: str, months: list[str] | None = None,
+               spark_landed: bool = False) -> DataFrame:
+    """Scan the landed files of ``months`` (all landed months when None) as one
+    DataFrame.
 
     Adds ``_source_dataset`` and ``_source_month`` parsed from each row's file
     name.  ``mergeSchema`` unions columns that appear only in some months.
     """
-    if not months:
+    if months is None:
+        names = [f"{check_dataset(dataset)}_tripdata_*.parquet"]
+    elif not months:
         raise ValueError("at least one month is required")
-    paths = [trip_file_path(root, dataset, m) for m in months]
-    raw = spark.read.option("mergeSchema", "true").parquet(*paths)
+    else:
+        names = [trip_file_name(dataset, m) for m in months]
+    raw = spark.read.option("mergeSchema", "true").parquet(*landed_paths(root, names, spark_landed))
     raw = lower_case_columns(raw)
     name = F.col("_metadata.file_path")
     return raw.select(

@@ -12,8 +12,9 @@ import calendar
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.functions.temporal import parse_weather_time
 from kerbside.schemas import WEATHER_PAYLOAD
-from kerbside.sources.trips import check_month
+from kerbside.sources.trips import check_month, landed_paths
 
 # The hourly variables pulled for the single city coordinate,
 # in local wall-clock time.
@@ -21,7 +22,7 @@ HOURLY_VARIABLES = ("temperature_2m", "precipitation", "wind_speed_10m", "weathe
 DEFAULT_LATITUDE = 40.7128
 DEFAULT_LONGITUDE = -74.0060
 LOCAL_TIME_ZONE = "America/New_York"
-FILE_PATTERN = r"weather_(\d{4}-\d{2})\.json$"
+FILE_PATTERN = r"weather_(\d{4}-\d{2})\.json(?:/|$)"
 
 
 def month_bounds(month: str) -> tuple[str, str]:
@@ -53,13 +54,33 @@ def unpack_hourly(payloads: DataFrame, month: Column) -> DataFrame:
             .select("observed_at", *HOURLY_VARIABLES, "_source_month"))
 
 
-def read_weather_payload(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Scan weather JSON payload files (one object per file)."""
-    raw = spark.read.schema(WEATHER_PAYLOAD).option("multiLine", "true").json(paths)
-    month = F.regexp_extract(F.col("_metadata.file_name"), FILE_PATTERN, 1)
+def read_weather_payload(spark: SparkSession, paths: list[str],
+                         multi_line: bool = True) -> DataFrame:
+    """Scan weather payload files.  A downloaded file is one (pretty-printed)
+    JSON object, ``multi_line=True``; files a Spark job landed hold one payload
+    per line, ``multi_line=False``, and split across tasks."""
+    raw = spark.read.schema(WEATHER_PAYLOAD).option("multiLine", multi_line).json(paths)
+    month = F.regexp_extract(F.col("_metadata.file_path"), FILE_PATTERN, 1)
     return unpack_hourly(raw, month)
 
 
+def read_landed_weather(spark: SparkSession, root: str, months: list[str] | None = None,
+                        spark_landed: bool = False) -> DataFrame:
+    """R5 over a landing folder: the payloads of ``months`` (all when None),
+    restricted to each file's month window (R6)."""
+    names = ([f"weather_{check_month(m)}.json" for m in months] if months is not None
+             else ["weather_*.json"])
+    rows = read_weather_payload(spark, landed_paths(root, names, spark_landed),
+                                multi_line=not spark_landed)
+    return rows.where(in_month_window(parse_weather_time("observed_at"), F.col("_source_month")))
+
+
+def in_month_window(ts: Column, month: Column) -> Column:
+    """R6 per row: ``ts`` falls between the first and the last day of ``month``."""
+    first, last = month_bounds_columns(month)
+    return (ts >= first.cast("timestamp_ntz")) & (ts < F.date_add(last, 1).cast("timestamp_ntz"))
+
+
 def within_month(df: DataFrame, ts: Column, month: str) -> DataFrame:
     """Keep rows whose timestamp falls inside ``month`` (the pull window)."""
     first, last = month_bounds(month)

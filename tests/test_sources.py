@@ -98,3 +98,36 @@ def test_zone_seed_keeps_na_text(spark, workdir):
     assert rows[4].zone_name == "N/A" and rows[4].service_zone == "N/A"
     assert z.where(F.col("zone_name").isNull()).count() == 0
     assert z.select("zone_name").distinct().count() == 3   # names are not unique
+
+
+def test_spark_landed_trip_files_read_back_once(spark, workdir):
+    from kerbside.sources import fixtures
+    from kerbside.sources.trips import read_trips
+
+    sf = "/root/testdata/sf0.001"
+    root = f"{workdir}/landing"
+    fixtures.land_trip_files(spark, sf, root)
+    fixtures.land_trip_files(spark, sf, root)              # re-landing replaces, not appends
+    expected = {(r._source_month, r["count"])
+                for r in fixtures.bronze_trips(spark, sf).groupBy("_source_month").count().collect()}
+    got = read_trips(spark, root, "yellow", spark_landed=True)
+    assert "_landed_file" not in got.columns
+    assert {(r._source_month, r["count"]) for r in got.groupBy("_source_month").count().collect()} \
+        == expected
+    one = read_trips(spark, root, "yellow", ["2024-01"], spark_landed=True)
+    assert {r._source_month for r in one.select("_source_month").distinct().collect()} == {"2024-01"}
+
+
+def test_landed_weather_keeps_each_files_month_window(spark, workdir):
+    from kerbside.sources.weather import read_landed_weather
+
+    payload = {"hourly": {
+        "time": ["2024-01-31T23:00", "2024-02-01T00:00", "2023-12-31T23:00"],
+        "temperature_2m": [1.0, 2.0, 3.0], "precipitation": [0.0, 0.0, 0.0],
+        "wind_speed_10m": [1.0, 1.0, 1.0], "weather_code": [0, 0, 0],
+    }}
+    with open(weather_file_path(workdir, "2024-01"), "w") as fh:
+        json.dump(payload, fh)
+    rows = read_landed_weather(spark, workdir).collect()
+    assert [r.observed_at for r in rows] == ["2024-01-31T23:00"]
+    assert read_landed_weather(spark, workdir, ["2024-01"]).count() == 1
