@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.numeric import exact_avg, exact_sum
-from kerbside.functions.temporal import trunc_hour
+from kerbside.functions.temporal import month_text, parse_weather_time, trunc_hour
 from kerbside.operators.dimensions import hourly_weather
 from kerbside.operators.joins import bounded_broadcast
 
@@ -37,6 +37,26 @@ def zone_hourly_demand(silver: DataFrame, bronze_weather: DataFrame) -> DataFram
                     "avg_distance", "temperature_2m", "precipitation"))
 
 
+MONTH_COLUMN = "pickup_month"
+
+
+def zone_hourly_demand_months(silver: DataFrame, bronze_weather: DataFrame,
+                              months: list[str] | None = None) -> DataFrame:
+    """The mart with a ``pickup_month`` partition column, for ``months`` only
+    (all months when None).
+
+    Rebuilding just some months is exact: a silver row's pickup month equals
+    its source month (the month-consistency filter), so the rows of month M
+    come from silver partition M alone, and the weather of M's hours from the
+    readings taken in M.
+    """
+    s, w = silver, bronze_weather
+    if months is not None:
+        s = s.where(F.col("source_month").isin(list(months)))
+        w = w.where(month_text(parse_weather_time("observed_at")).isin(list(months)))
+    return zone_hourly_demand(s, w).withColumn(MONTH_COLUMN, month_text("pickup_hour"))
+
+
 # C6 as SQL over the views ``stg_yellow_trips`` and ``bronze_weather_hourly``
 # (S4 publishes them).  Same plan as :func:`zone_hourly_demand`; no join hint,
 # AQE turns the join into a broadcast when the reduced weather side is small.

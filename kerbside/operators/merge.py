@@ -57,15 +57,27 @@ def watermark(spark: SparkSession, target: str) -> dt.date | None:
     return t.agg(F.max(DAY)).first()[0]
 
 
+def _month(d: dt.date) -> str:
+    return f"{d.year:04d}-{d.month:02d}"
+
+
 def incremental_source(silver: DataFrame, last_day: dt.date | None) -> DataFrame:
-    """Silver rows whose pickup day is after the watermark."""
-    return silver.where(F.to_date("pickup_ts") > F.lit(last_day or EPOCH))
+    """Silver rows whose pickup day is after the watermark.
+
+    A silver row's source month is its pickup month, so the day predicate
+    implies ``source_month >= month(watermark)``; stated as well, it prunes
+    the month partitions of silver that cannot hold newer days.
+    """
+    w = last_day or EPOCH
+    return silver.where((F.col("source_month") >= F.lit(_month(w)))
+                        & (F.to_date("pickup_ts") > F.lit(w)))
 
 
 def backfill_source(silver: DataFrame, first_day, last_day) -> DataFrame:
     a = dt.date.fromisoformat(str(first_day))
     b = dt.date.fromisoformat(str(last_day))
-    return silver.where(F.to_date("pickup_ts").between(F.lit(a), F.lit(b)))
+    return silver.where(F.col("source_month").between(F.lit(_month(a)), F.lit(_month(b)))
+                        & F.to_date("pickup_ts").between(F.lit(a), F.lit(b)))
 
 
 def _touched_days(staged: DataFrame) -> list[dt.date]:
@@ -101,7 +113,7 @@ def merge_into(spark: SparkSession, new_rows: DataFrame, target: str) -> dict:
     write_day_partitioned(merged, stage, DAY, replace="static")
     staged = spark.read.schema(FACT_TRIPS).parquet(stage).select(*FACT_COLUMNS)
     write_day_partitioned(staged, target, DAY, replace="dynamic")
-    return {"days": len(days), "mode": "merge", "stage": stage}
+    return {"days": len(days), "day_list": days, "mode": "merge", "stage": stage}
 
 
 def load_fact(spark: SparkSession, silver: DataFrame, target: str, mode: str = "watermark",

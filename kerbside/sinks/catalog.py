@@ -16,12 +16,12 @@ LAKE_TABLES: dict[tuple[str, str], str | None] = {
     ("bronze", "yellow_trips"): "_source_month",
     ("bronze", "weather_hourly"): "_source_month",
     ("snapshots", "zone_snapshot"): None,
-    ("silver", "stg_yellow_trips"): None,
+    ("silver", "stg_yellow_trips"): "source_month",
     ("gold", "dim_zone"): None,
     ("gold", "dim_date"): None,
     ("gold", "dim_weather"): None,
     ("gold", "fact_trips"): "pickup_date",
-    ("gold", "mart_zone_hourly_demand"): None,
+    ("gold", "mart_zone_hourly_demand"): "pickup_month",
 }
 
 

@@ -39,11 +39,14 @@ def write_bronze(df: DataFrame, path: str, partition_cols=("_source_month",),
 
 
 def write_layer(df: DataFrame, cfg: LakeConfig, layer: str, name: str,
-                partition_by: list[str] | None = None) -> str:
-    """Full refresh of ``layer.name`` (static overwrite: the old table is replaced)."""
+                partition_by: list[str] | None = None, replace: str = "static") -> str:
+    """Write ``layer.name``.  ``replace="static"`` is a full refresh (the old
+    table is replaced); ``"dynamic"`` replaces only the partitions in ``df``."""
+    if replace not in ("static", "dynamic"):
+        raise ValueError("replace must be 'static' or 'dynamic'")
     path = cfg.path(layer, name)
     out = df.hint("rebalance", *partition_by) if partition_by else df
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", replace)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from kerbside.config import LakeConfig
 
@@ -11,10 +12,14 @@ class MissingTableError(RuntimeError):
     pass
 
 
-def read_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str,
+               schema: StructType | None = None) -> DataFrame:
+    """``layer.name``.  With ``schema`` a table written empty (no data files to
+    infer a schema from) still reads, as an empty DataFrame."""
     path = cfg.path(layer, name)
     try:
-        return spark.read.parquet(path)
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(path)
     except AnalysisException as exc:
         raise MissingTableError(f"missing table {layer}.{name} at {path}") from exc
 
