@@ -58,10 +58,14 @@ def run_serving_sql(spark, name: str, **params) -> DataFrame:
     return spark.sql(SERVING_SQL[name], args=params or None)
 
 
-def zone_demand(mart: DataFrame, zone_id: int, limit: int = 24) -> DataFrame:
-    """The latest ``limit`` hours of one pickup zone."""
+def zone_demand(mart: DataFrame, zone_id: int, limit: int = 24, since=None) -> DataFrame:
+    """The latest ``limit`` hours of one pickup zone (F9, T2); ``since``
+    (a date or timestamp) optionally keeps hours at or after it."""
     check_limit(limit)
-    return (mart.where(F.col("pickup_zone_id") == F.lit(int(zone_id)))
+    cond = F.col("pickup_zone_id") == F.lit(int(zone_id))
+    if since is not None:
+        cond = cond & (F.col("pickup_hour") >= F.lit(str(since)).cast("timestamp_ntz"))
+    return (mart.where(cond)
             .select("pickup_hour", "trip_count", "revenue", "avg_distance",
                     "temperature_2m", "precipitation")
             .orderBy(F.col("pickup_hour").desc())

@@ -188,3 +188,5 @@ def test_zone_demand_latest_first(spark):
         "avg_distance double, temperature_2m double, precipitation double")
     got = [r.trip_count for r in serving.zone_demand(mart, 1, 3).collect()]
     assert got == [4, 3, 2]
+    since = [r.trip_count for r in serving.zone_demand(mart, 1, 24, "2024-01-01 03:00:00").collect()]
+    assert since == [4, 3]
