@@ -50,7 +50,7 @@ def run_pass(spark, root: str) -> dict:
     weather = spark.read.parquet(weather_path)
     timed("quality_gate", lambda: quality.gate_bronze(spark, bronze))
     timed("silver_build", lambda: write_layer(silver.clean_trips(bronze), cfg, "silver",
-                                              "stg_yellow_trips"))
+                                              "stg_yellow_trips", partition_by=["source_month"]))
     stg = spark.read.parquet(cfg.path("silver", "stg_yellow_trips"))
 
     fact_path = cfg.path("gold", "fact_trips")
@@ -67,8 +67,9 @@ def run_pass(spark, root: str) -> dict:
                                              "dim_weather"))
     timed("dim_zone_scd2_3_versions", lambda: write_layer(
         catalogue.dim_zone(spark, SF_DIR), cfg, "gold", "dim_zone"))
-    timed("mart_build", lambda: write_layer(marts.zone_hourly_demand(stg, weather), cfg, "gold",
-                                            "mart_zone_hourly_demand"))
+    timed("mart_build", lambda: write_layer(marts.zone_hourly_demand_months(stg, weather), cfg,
+                                            "gold", "mart_zone_hourly_demand",
+                                            partition_by=[marts.MONTH_COLUMN]))
     mart = spark.read.parquet(cfg.path("gold", "mart_zone_hourly_demand"))
     fact = spark.read.parquet(fact_path)
     dzone = spark.read.parquet(cfg.path("gold", "dim_zone"))
