@@ -29,6 +29,7 @@ from kerbside.config import staging_path
 from kerbside.operators.facts import build_fact, dedupe_trips
 from kerbside.schemas import FACT_COLUMNS, FACT_TRIPS
 from kerbside.sinks.writers import write_day_partitioned
+from kerbside.sources.lake import partition_listing_only
 
 EPOCH = dt.date(1900, 1, 1)
 DAY = "pickup_date"
@@ -48,13 +49,14 @@ def read_target(spark: SparkSession, target: str) -> DataFrame | None:
 def watermark(spark: SparkSession, target: str) -> dt.date | None:
     """Last loaded pickup day of the target, or None when it does not exist.
 
-    ``max`` of the partition column only needs the partition listing and the
-    file footers, no column data.
+    ``max`` of the partition column is answered from the partition listing
+    (one row per day), so no data file of the fact is opened.
     """
     t = read_target(spark, target)
     if t is None:
         return None
-    return t.agg(F.max(DAY)).first()[0]
+    with partition_listing_only(spark):
+        return t.agg(F.max(DAY)).first()[0]
 
 
 def _month(d: dt.date) -> str:
@@ -80,9 +82,11 @@ def backfill_source(silver: DataFrame, first_day, last_day) -> DataFrame:
                         & F.to_date("pickup_ts").between(F.lit(a), F.lit(b)))
 
 
-def _touched_days(staged: DataFrame) -> list[dt.date]:
-    """Distinct days of a staged, day-partitioned table (partition values only)."""
-    days = [r[0] for r in staged.select(DAY).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()]
+def _touched_days(spark: SparkSession, staged: DataFrame) -> list[dt.date]:
+    """Distinct days of a staged, day-partitioned table, from its partition listing."""
+    with partition_listing_only(spark):
+        days = [r[0] for r in
+                staged.select(DAY).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()]
     if len(days) > MAX_TOUCHED_DAYS:
         raise ValueError(f"a single merge may touch at most {MAX_TOUCHED_DAYS} days")
     return days
@@ -104,7 +108,7 @@ def merge_into(spark: SparkSession, new_rows: DataFrame, target: str) -> dict:
     write_day_partitioned(new_rows, stage_new, DAY, replace="static")
     # explicit schema: an empty batch writes no files to infer one from
     staged_new = spark.read.schema(FACT_TRIPS).parquet(stage_new).select(*FACT_COLUMNS)
-    days = _touched_days(staged_new)
+    days = _touched_days(spark, staged_new)
     if not days:
         return {"days": 0, "mode": "noop"}
     old = existing.where(F.col(DAY).isin(days)).select(*FACT_COLUMNS)

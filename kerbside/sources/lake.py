@@ -1,6 +1,8 @@
 """Lake tables by logical name (``{root}/{layer}/{name}`` Parquet folders)."""
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -30,3 +32,23 @@ def table_exists(spark: SparkSession, cfg: LakeConfig, layer: str, name: str) ->
         return True
     except MissingTableError:
         return False
+
+
+@contextmanager
+def partition_listing_only(spark: SparkSession):
+    """Plan queries that read only partition columns from the partition
+    listing, without opening a data file.
+
+    Spark's metadata-only rule is off by default because a partition folder
+    holding only empty files would still count.  The writers of this package
+    create partition folders only through ``partitionBy``, which never writes
+    a partition without rows, so for these tables the answer is exact.  The
+    setting is restored on exit; plan (and run) inside the block.
+    """
+    key = "spark.sql.optimizer.metadataOnly"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)

@@ -66,3 +66,17 @@ def test_between_days_adds_partition_filter(spark, workdir):
     assert re.search(r"PartitionFilters: \[[^\]]*pickup_date", plan(q))
     got = q.agg(F.min("pickup_date"), F.max("pickup_date")).first()
     assert str(got[0]) >= "2024-01-10" and str(got[1]) <= "2024-01-11"
+
+
+def test_watermark_reads_partition_listing_only(spark, workdir):
+    from kerbside.operators import merge
+    from kerbside.sources.lake import partition_listing_only
+
+    fact = facts.build_fact(_silver(spark))
+    fact.write.partitionBy("pickup_date").parquet(f"{workdir}/fact")
+    t = spark.read.parquet(f"{workdir}/fact")
+    with partition_listing_only(spark):
+        p = plan(t.agg(F.max("pickup_date")))
+    assert "LocalTableScan" in p and "FileScan" not in p
+    assert spark.conf.get("spark.sql.optimizer.metadataOnly") == "false"
+    assert merge.watermark(spark, f"{workdir}/fact") == fact.agg(F.max("pickup_date")).first()[0]
