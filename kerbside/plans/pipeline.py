@@ -15,7 +15,7 @@ from kerbside.functions.temporal import month_text, parse_weather_time
 from kerbside.operators import dimensions, marts, merge, quality, scd2, silver
 from kerbside.sinks.writers import write_bronze, write_layer
 from kerbside.schemas import SILVER_TRIPS
-from kerbside.sources.lake import read_table, table_exists
+from kerbside.sources.lake import partition_listing_only, read_table, table_exists
 
 ZONE_CHECK_COLUMNS = ["borough", "zone_name", "service_zone"]
 
@@ -38,6 +38,20 @@ def batch_months(trips: DataFrame, weather: DataFrame) -> tuple[list[str], list[
     return sorted(r.m for r in rows if r.trip), sorted(r.m for r in rows)
 
 
+def edge_months(spark: SparkSession, silver_t: DataFrame) -> DataFrame:
+    """The first and the last month partition of silver.
+
+    A silver row's pickup month is its source month, so the earliest and the
+    latest pickup (the bounds of the date spine) lie in those two partitions;
+    the month list comes from the partition listing, not from the data.
+    """
+    with partition_listing_only(spark):
+        b = silver_t.agg(F.min("source_month").alias("lo"), F.max("source_month").alias("hi")).first()
+    if b.lo is None:
+        return silver_t
+    return silver_t.where(F.col("source_month").isin(b.lo, b.hi))
+
+
 def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather: DataFrame,
                  zones: DataFrame | None = None, as_of=None, fact_mode: str = "watermark",
                  backfill: tuple | None = None, fail_on_tests: bool = True,
@@ -82,7 +96,7 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
                     replace="dynamic" if incremental else "static")
     silver_t = read_table(spark, cfg, "silver", "stg_yellow_trips", schema=SILVER_TRIPS)
 
-    write_layer(dimensions.date_dimension(silver_t), cfg, "gold", "dim_date")
+    write_layer(dimensions.date_dimension(edge_months(spark, silver_t)), cfg, "gold", "dim_date")
     write_layer(dimensions.weather_dimension(bronze_w), cfg, "gold", "dim_weather")
 
     fact_path = cfg.path("gold", "fact_trips")
