@@ -224,6 +224,15 @@ def q_quality_report(spark, sf_dir):
                              quality.bronze_trip_suite())
 
 
+def q_quality_report_from_profile(spark, sf_dir):
+    """Q5 from per-month counts: the suite's counts kept per source month and
+    summed equal the full-table suite."""
+    suite = quality.bronze_trip_suite()
+    partials = quality.suite_partials(fixtures.bronze_trips(_session(spark), sf_dir), suite,
+                                      "_source_month")
+    return quality.run_suite_from_partials(partials, suite)
+
+
 def q_quality_report_dirty(spark, sf_dir):
     return quality.run_suite(fixtures.dirty_bronze_trips(_session(spark), sf_dir),
                              quality.bronze_trip_suite())
@@ -392,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "zone_seed_scan": q_zone_seed_scan,
     "sql_mart_over_views": q_sql_mart_over_views,
     "quality_report": q_quality_report,
+    "quality_report_from_profile": q_quality_report_from_profile,
     "quality_report_dirty": q_quality_report_dirty,
     "build_tests": q_build_tests,
     "incremental_watermark": q_incremental_watermark,
@@ -548,6 +558,7 @@ ORACLE.update({
         FROM (SELECT DISTINCT _source_month AS source_month FROM bronze_trips)"""),
     "weather_unpacked": sql(["bronze_weather"], "SELECT * FROM bronze_weather"),
     "quality_report": sql(["bronze_trips"], _suite_sql("bronze_trips")),
+    "quality_report_from_profile": sql(["bronze_trips"], _suite_sql("bronze_trips")),
     "quality_report_dirty": sql(["bronze_trips"], f"""
         , dirty AS (
           SELECT CASE WHEN minute(tpep_pickup_datetime) % 50 = 0 THEN NULL

@@ -15,6 +15,7 @@ from kerbside.config import LAYERS, LakeConfig
 LAKE_TABLES: dict[tuple[str, str], str | None] = {
     ("bronze", "yellow_trips"): "_source_month",
     ("bronze", "weather_hourly"): "_source_month",
+    ("bronze", "yellow_trips_profile"): "_source_month",
     ("snapshots", "zone_snapshot"): None,
     ("silver", "stg_yellow_trips"): "source_month",
     ("gold", "dim_zone"): None,
