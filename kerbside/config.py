@@ -47,6 +47,23 @@ def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128
     return max(2 * cores, -(-input_bytes // target_bytes))
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Widen ``spark.sql.shuffle.partitions`` for a job over ``input_bytes``.
+
+    AQE merges small shuffle partitions and splits skewed join and rebalance
+    partitions, but it cannot split a plain hash partition: a full build over
+    100 TB at the default width would put hundreds of GB in each reducer.  The
+    width only grows here (a wider setting made by the cluster is kept).
+    """
+    cores = spark.sparkContext.defaultParallelism
+    want = shuffle_partitions_for(int(input_bytes), cores)
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+        return want
+    return current
+
+
 def local_session(app: str = "kerbside", cores: str | int = "*",
                   shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
     """A local-mode session for tests, the bench and examples.

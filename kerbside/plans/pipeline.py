@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.config import LakeConfig, apply_session_defaults
+from kerbside.config import LakeConfig, apply_session_defaults, size_shuffles
 from kerbside.functions.temporal import month_text, parse_weather_time
 from kerbside.operators import dimensions, marts, merge, quality, scd2, silver
 from kerbside.sinks.writers import write_bronze, write_layer
 from kerbside.schemas import SILVER_TRIPS
-from kerbside.sources.lake import partition_listing_only, read_table, table_exists
+from kerbside.sources.lake import partition_listing_only, read_table, stored_bytes, table_exists
 
 ZONE_CHECK_COLUMNS = ["borough", "zone_name", "service_zone"]
 
@@ -73,6 +73,10 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
     write_bronze(weather, cfg.path("bronze", "weather_hourly"))
     bronze_t = read_table(spark, cfg, "bronze", "yellow_trips")
     bronze_w = read_table(spark, cfg, "bronze", "weather_hourly")
+    # Shuffle width from the bronze bytes this run reads (its months, or all).
+    trips_root = cfg.path("bronze", "yellow_trips")
+    size_shuffles(spark, stored_bytes(spark, [trips_root] if months is None else
+                                      [f"{trips_root}/_source_month={m}" for m in months[0]]))
 
     # The gate's counts are kept per source month; a run recounts the months
     # it landed and the gate sums all months (the same as a full scan).

@@ -5,6 +5,7 @@ from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kerbside.config import LakeConfig
@@ -34,6 +35,19 @@ def table_exists(spark: SparkSession, cfg: LakeConfig, layer: str, name: str) ->
         return False
 
 
+def stored_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes stored under ``paths`` (folders, read recursively).
+
+    The binary-file source lists the files; selecting only ``length`` means
+    no file content is read.  The sum runs as one small distributed job.
+    """
+    if not paths:
+        return 0
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(paths).select("length"))
+    return int(files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
 @contextmanager
 def partition_listing_only(spark: SparkSession):
     """Plan queries that read only partition columns from the partition

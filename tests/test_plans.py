@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import contextlib
+import os
 import io
 import re
 
@@ -80,3 +81,23 @@ def test_watermark_reads_partition_listing_only(spark, workdir):
     assert "LocalTableScan" in p and "FileScan" not in p
     assert spark.conf.get("spark.sql.optimizer.metadataOnly") == "false"
     assert merge.watermark(spark, f"{workdir}/fact") == fact.agg(F.max("pickup_date")).first()[0]
+
+
+def test_shuffle_width_follows_input_bytes(spark, workdir):
+    from kerbside.config import shuffle_partitions_for, size_shuffles
+    from kerbside.sources.lake import stored_bytes
+
+    assert shuffle_partitions_for(100 << 40, 8000) == 819_200       # 100 TB at 128 MB
+    assert shuffle_partitions_for(1 << 20, 8) == 16                  # at least two waves
+    spark.range(1000).write.parquet(f"{workdir}/t")
+    n = stored_bytes(spark, [f"{workdir}/t"])
+    assert n == sum(os.path.getsize(os.path.join(f"{workdir}/t", f))
+                    for f in os.listdir(f"{workdir}/t") if not f.startswith((".", "_")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        floor = 2 * spark.sparkContext.defaultParallelism
+        assert size_shuffles(spark, 1 << 20) == max(int(before), floor)
+        assert size_shuffles(spark, 10 << 30) == 80                    # 10 GB / 128 MB
+        assert size_shuffles(spark, 1 << 20) == 80                     # never narrows
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
