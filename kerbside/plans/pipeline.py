@@ -14,7 +14,7 @@ from kerbside.config import LakeConfig, apply_session_defaults, size_shuffles
 from kerbside.functions.temporal import month_text, parse_weather_time
 from kerbside.operators import dimensions, marts, merge, quality, scd2, silver
 from kerbside.sinks.writers import write_bronze, write_layer
-from kerbside.schemas import SILVER_TRIPS
+from kerbside.schemas import FACT_TRIPS, SILVER_TRIPS
 from kerbside.sources.lake import partition_listing_only, read_table, stored_bytes, table_exists
 
 ZONE_CHECK_COLUMNS = ["borough", "zone_name", "service_zone"]
@@ -25,17 +25,33 @@ ZONE_CHECK_COLUMNS = ["borough", "zone_name", "service_zone"]
 MAX_BATCH_MONTHS = 1_200
 
 
-def batch_months(trips: DataFrame, weather: DataFrame) -> tuple[list[str], list[str]]:
+def batch_months(trips: DataFrame, weather: DataFrame) -> tuple[list[str], list[str], list[str]]:
     """Months a run can change: silver months (the trip batch's source
-    months) and mart months (those plus the months of the weather readings)."""
-    t = trips.select(F.col("_source_month").alias("m"), F.lit(True).alias("trip"))
+    months), mart months (those plus the months of the weather readings), and
+    the trip months none of whose rows survive cleaning."""
+    pickup = F.col("tpep_pickup_datetime").cast("timestamp_ntz")
+    kept = F.coalesce(silver.valid_trip(pickup), F.lit(False)).cast("long")
+    t = trips.select(F.col("_source_month").alias("m"), F.lit(True).alias("trip"),
+                     kept.alias("kept"))
     w = weather.select(month_text(parse_weather_time("observed_at")).alias("m"),
-                       F.lit(False).alias("trip"))
+                       F.lit(False).alias("trip"), F.lit(0).cast("long").alias("kept"))
     rows = (t.unionByName(w).where(F.col("m").isNotNull()).groupBy("m")
-            .agg(F.max("trip").alias("trip")).limit(MAX_BATCH_MONTHS + 1).collect())
+            .agg(F.max("trip").alias("trip"), F.sum("kept").alias("kept"))
+            .limit(MAX_BATCH_MONTHS + 1).collect())
     if len(rows) > MAX_BATCH_MONTHS:
         raise ValueError(f"one run may touch at most {MAX_BATCH_MONTHS} months")
-    return sorted(r.m for r in rows if r.trip), sorted(r.m for r in rows)
+    return (sorted(r.m for r in rows if r.trip), sorted(r.m for r in rows),
+            sorted(r.m for r in rows if r.trip and r.kept == 0))
+
+
+def _stored_months(spark: SparkSession, cfg: LakeConfig) -> set[str]:
+    """Month partitions silver holds now (from the partition listing)."""
+    if not table_exists(spark, cfg, "silver", "stg_yellow_trips"):
+        return set()
+    t = read_table(spark, cfg, "silver", "stg_yellow_trips", schema=SILVER_TRIPS)
+    with partition_listing_only(spark):
+        return {r[0] for r in t.select("source_month").distinct()
+                .limit(MAX_BATCH_MONTHS + 1).collect()}
 
 
 def edge_months(spark: SparkSession, silver_t: DataFrame) -> DataFrame:
@@ -68,6 +84,10 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
     """
     apply_session_defaults(spark)
     months = batch_months(trips, weather) if incremental else None
+    # Dynamic overwrite replaces the partitions a write produces; a re-landed
+    # month left with no rows after cleaning produces none, so its old silver
+    # and mart partitions would stay.  Such a run rebuilds those two layers.
+    scoped = months is not None and not (set(months[2]) & _stored_months(spark, cfg))
     # Bronze: month partitions replaced, so a re-run does not duplicate rows.
     write_bronze(trips, cfg.path("bronze", "yellow_trips"))
     write_bronze(weather, cfg.path("bronze", "weather_hourly"))
@@ -104,10 +124,11 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
     write_layer(dim_zone, cfg, "gold", "dim_zone")
 
     # Silver by source month: a run replaces the months it landed.
-    if trip_months is None or trip_months:
-        write_layer(silver.clean_trips(bronze_t, months=trip_months), cfg, "silver",
+    silver_months = trip_months if scoped else None
+    if silver_months is None or silver_months:
+        write_layer(silver.clean_trips(bronze_t, months=silver_months), cfg, "silver",
                     "stg_yellow_trips", partition_by=["source_month"],
-                    replace="dynamic" if incremental else "static")
+                    replace="dynamic" if scoped else "static")
     silver_t = read_table(spark, cfg, "silver", "stg_yellow_trips", schema=SILVER_TRIPS)
 
     write_layer(dimensions.date_dimension(edge_months(spark, silver_t)), cfg, "gold", "dim_date")
@@ -119,17 +140,17 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
     else:
         load = merge.load_fact(spark, silver_t, fact_path, "watermark")
 
-    mart_months = months[1] if months else None
+    mart_months = months[1] if scoped else None
     if mart_months is None or mart_months:
         write_layer(marts.zone_hourly_demand_months(silver_t, bronze_w, mart_months), cfg,
                     "gold", "mart_zone_hourly_demand", partition_by=[marts.MONTH_COLUMN],
-                    replace="dynamic" if incremental else "static")
+                    replace="dynamic" if scoped else "static")
 
     if register:
         from kerbside.sinks.catalog import register_lake
         register_lake(spark, cfg)
 
-    fact_t = read_table(spark, cfg, "gold", "fact_trips")
+    fact_t = read_table(spark, cfg, "gold", "fact_trips", schema=FACT_TRIPS)
     scope = None
     if incremental and load["mode"] == "merge":
         scope = fact_t.where(F.col("pickup_date").isin(load["day_list"]))
@@ -145,7 +166,7 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
     if failed and fail_on_tests:
         raise quality.QualityError(f"build tests failed: {failed}")
     return {"fact_load": load, "tests": len(tests), "failed_tests": failed,
-            "months": months}
+            "months": months, "layers_scoped": scoped}
 
 
 def fact_row_count(spark: SparkSession, cfg: LakeConfig) -> int:

@@ -93,7 +93,9 @@ def test_incremental_runs_equal_a_full_rebuild(spark, workdir):
     second = run_pipeline(spark, inc, trips, weather)
     run_pipeline(spark, full, trips, weather, zones, "2024-01-01 00:00:00", incremental=False)
 
-    assert first["months"] == (["2023-12", "2024-01"], ["2023-12", "2024-01"])
+    # the stray-month rows all fail the month check, so 2023-12 lands empty
+    assert first["months"] == (["2023-12", "2024-01"], ["2023-12", "2024-01"], ["2023-12"])
+    assert first["layers_scoped"] and second["layers_scoped"]
     assert second["fact_load"]["mode"] == "merge"
     assert min(second["fact_load"]["day_list"]).isoformat() > "2024-01-14"
     assert second["failed_tests"] == []
@@ -103,3 +105,26 @@ def test_incremental_runs_equal_a_full_rebuild(spark, workdir):
         a = spark.read.parquet(inc.path(layer, name))
         b = spark.read.parquet(full.path(layer, name))
         assertDataFrameEqual(a, b.select(*a.columns))
+
+
+def test_month_relanded_without_surviving_rows_is_cleared(spark, workdir):
+    from pyspark.testing import assertDataFrameEqual
+
+    trips, weather = fixtures.bronze_trips(spark, SF), fixtures.bronze_weather(spark, SF)
+    zones = fixtures.zones_version(spark, SF, 1)
+    jan = F.col("_source_month") == "2024-01"
+    # January re-landed as refunds only: no row passes the silver filters
+    refunds = trips.where(jan).withColumn("total_amount", -F.abs("total_amount") - 1)
+    inc, full = LakeConfig(f"{workdir}/inc"), LakeConfig(f"{workdir}/full")
+    run_pipeline(spark, inc, trips, weather, zones, "2024-01-01 00:00:00", fail_on_tests=False)
+    second = run_pipeline(spark, inc, refunds, weather.where(F.lit(False)), fail_on_tests=False)
+    assert second["months"][2] == ["2024-01"] and not second["layers_scoped"]
+    final = trips.where(~jan).unionByName(refunds)
+    run_pipeline(spark, full, final, weather, zones, "2024-01-01 00:00:00",
+                 fail_on_tests=False, incremental=False)
+    import glob
+    for layer, name in [("silver", "stg_yellow_trips"), ("gold", "mart_zone_hourly_demand")]:
+        for lake in (inc, full):
+            assert glob.glob(f"{lake.path(layer, name)}/**/*.parquet", recursive=True) == []
+    assertDataFrameEqual(spark.read.parquet(inc.path("bronze", "yellow_trips_profile")),
+                         spark.read.parquet(full.path("bronze", "yellow_trips_profile")))
