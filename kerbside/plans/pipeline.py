@@ -14,7 +14,7 @@ from kerbside.config import LakeConfig, apply_session_defaults, size_shuffles
 from kerbside.functions.temporal import month_text, parse_weather_time
 from kerbside.operators import dimensions, marts, merge, quality, scd2, silver
 from kerbside.sinks.writers import write_bronze, write_layer
-from kerbside.schemas import FACT_TRIPS, SILVER_TRIPS
+from kerbside.schemas import FACT_DATE_KEYS, FACT_TRIPS, SILVER_TRIPS
 from kerbside.sources.lake import partition_listing_only, read_table, stored_bytes, table_exists
 
 ZONE_CHECK_COLUMNS = ["borough", "zone_name", "service_zone"]
@@ -151,6 +151,16 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
         register_lake(spark, cfg)
 
     fact_t = read_table(spark, cfg, "gold", "fact_trips", schema=FACT_TRIPS)
+    # The fact's date keys per day, refreshed for the days the load rewrote.
+    keys_kept = incremental and table_exists(spark, cfg, "gold", "fact_trips_date_keys")
+    if keys_kept and load["mode"] == "merge":
+        touched = fact_t.where(F.col("pickup_date").isin(load["day_list"]))
+        write_layer(quality.key_profile(touched, "pickup_date_key", "pickup_date"), cfg, "gold",
+                    "fact_trips_date_keys", partition_by=["pickup_date"], replace="dynamic")
+    elif not (keys_kept and load["mode"] == "noop"):
+        write_layer(quality.key_profile(fact_t, "pickup_date_key", "pickup_date"), cfg, "gold",
+                    "fact_trips_date_keys", partition_by=["pickup_date"])
+    date_keys = read_table(spark, cfg, "gold", "fact_trips_date_keys", schema=FACT_DATE_KEYS)
     scope = None
     if incremental and load["mode"] == "merge":
         scope = fact_t.where(F.col("pickup_date").isin(load["day_list"]))
@@ -161,7 +171,8 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
         read_table(spark, cfg, "gold", "dim_date"),
         read_table(spark, cfg, "gold", "dim_weather"),
         read_table(spark, cfg, "gold", "dim_zone"),
-        bronze_t, bronze_w, fact_scope=scope, bronze_trips_profile=profile).collect()
+        bronze_t, bronze_w, fact_scope=scope, bronze_trips_profile=profile,
+        fact_date_keys=date_keys).collect()
     failed = [f"{r['table_name']}.{r['column_name']}:{r['check_name']}" for r in tests if not r["success"]]
     if failed and fail_on_tests:
         raise quality.QualityError(f"build tests failed: {failed}")

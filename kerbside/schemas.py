@@ -79,6 +79,13 @@ FACT_TRIPS = T.StructType([
 
 FACT_COLUMNS = [f.name for f in FACT_TRIPS.fields]
 
+# The fact's date keys per pickup day, with their row counts (a key profile).
+FACT_DATE_KEYS = T.StructType([
+    T.StructField("pickup_date_key", T.IntegerType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("pickup_date", T.DateType()),
+])
+
 DIM_DATE_COLUMNS = ["date_key", "date_day", "year", "month", "day_of_month",
                     "day_of_week", "is_weekend"]
 DIM_WEATHER_COLUMNS = ["weather_key", "weather_hour", "temperature_2m", "precipitation",

@@ -22,6 +22,7 @@ LAKE_TABLES: dict[tuple[str, str], str | None] = {
     ("gold", "dim_date"): None,
     ("gold", "dim_weather"): None,
     ("gold", "fact_trips"): "pickup_date",
+    ("gold", "fact_trips_date_keys"): "pickup_date",
     ("gold", "mart_zone_hourly_demand"): "pickup_month",
 }
 

@@ -101,7 +101,8 @@ def test_incremental_runs_equal_a_full_rebuild(spark, workdir):
     assert second["failed_tests"] == []
     for layer, name in [("bronze", "yellow_trips_profile"),
                         ("silver", "stg_yellow_trips"), ("gold", "mart_zone_hourly_demand"),
-                        ("gold", "fact_trips"), ("gold", "dim_date"), ("gold", "dim_weather")]:
+                        ("gold", "fact_trips"), ("gold", "fact_trips_date_keys"),
+                        ("gold", "dim_date"), ("gold", "dim_weather")]:
         a = spark.read.parquet(inc.path(layer, name))
         b = spark.read.parquet(full.path(layer, name))
         assertDataFrameEqual(a, b.select(*a.columns))
