@@ -13,6 +13,10 @@ result is built from DataFrame operations:
    final write no longer reads the folder it overwrites), then
 6. dynamic-overwrite just those days in the target.
 
+A watermark load skips steps 3-5: its days all come after the target's last
+day, so there is nothing to merge with and the new days are written once,
+straight into the target.
+
 Re-running with the same input rewrites the same days with the same rows.
 Steps 5-6 are two jobs: a failure between them leaves the old days in place
 (re-run to finish); the swap itself is not atomic across days.
@@ -120,12 +124,30 @@ def merge_into(spark: SparkSession, new_rows: DataFrame, target: str) -> dict:
     return {"days": len(days), "day_list": days, "mode": "merge", "stage": stage}
 
 
+def append_days(spark: SparkSession, new_rows: DataFrame, target: str, after: dt.date) -> dict:
+    """Write fact rows whose days all come after ``after``, the target's last
+    day.  No such day is in the target yet, so there is nothing to merge with:
+    the rows go straight into their new day partitions (dynamic overwrite,
+    one write, no staging).  The days written come from the partition listing.
+    """
+    write_day_partitioned(new_rows.select(*FACT_COLUMNS), target, DAY, replace="dynamic")
+    t = spark.read.schema(FACT_TRIPS).parquet(target)
+    with partition_listing_only(spark):
+        days = [r[0] for r in t.where(F.col(DAY) > F.lit(after)).select(DAY).distinct()
+                .limit(MAX_TOUCHED_DAYS + 1).collect()]
+    return {"days": len(days), "day_list": days, "mode": "append" if days else "noop"}
+
+
 def load_fact(spark: SparkSession, silver: DataFrame, target: str, mode: str = "watermark",
               first_day=None, last_day=None) -> dict:
-    """C5 load: ``watermark`` (days after the last loaded day; full load when
-    the target is missing) or ``backfill`` (an explicit day range, merged)."""
+    """C5 load: ``watermark`` (days after the last loaded day, appended; full
+    load when the target is missing) or ``backfill`` (an explicit day range,
+    merged by ``trip_key``)."""
     if mode == "watermark":
-        src = incremental_source(silver, watermark(spark, target))
+        last = watermark(spark, target)
+        src = incremental_source(silver, last)
+        if last is not None:
+            return append_days(spark, build_fact(src), target, last)
     elif mode == "backfill":
         if first_day is None or last_day is None:
             raise ValueError("backfill needs first_day and last_day")

@@ -153,7 +153,7 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
     fact_t = read_table(spark, cfg, "gold", "fact_trips", schema=FACT_TRIPS)
     # The fact's date keys per day, refreshed for the days the load rewrote.
     keys_kept = incremental and table_exists(spark, cfg, "gold", "fact_trips_date_keys")
-    if keys_kept and load["mode"] == "merge":
+    if keys_kept and load["mode"] in ("merge", "append"):
         touched = fact_t.where(F.col("pickup_date").isin(load["day_list"]))
         write_layer(quality.key_profile(touched, "pickup_date_key", "pickup_date"), cfg, "gold",
                     "fact_trips_date_keys", partition_by=["pickup_date"], replace="dynamic")
@@ -162,7 +162,7 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
                     "fact_trips_date_keys", partition_by=["pickup_date"])
     date_keys = read_table(spark, cfg, "gold", "fact_trips_date_keys", schema=FACT_DATE_KEYS)
     scope = None
-    if incremental and load["mode"] == "merge":
+    if incremental and load["mode"] in ("merge", "append"):
         scope = fact_t.where(F.col("pickup_date").isin(load["day_list"]))
     elif incremental and load["mode"] == "noop":
         scope = fact_t.where(F.lit(False))

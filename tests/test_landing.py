@@ -96,7 +96,7 @@ def test_incremental_runs_equal_a_full_rebuild(spark, workdir):
     # the stray-month rows all fail the month check, so 2023-12 lands empty
     assert first["months"] == (["2023-12", "2024-01"], ["2023-12", "2024-01"], ["2023-12"])
     assert first["layers_scoped"] and second["layers_scoped"]
-    assert second["fact_load"]["mode"] == "merge"
+    assert second["fact_load"]["mode"] == "append"
     assert min(second["fact_load"]["day_list"]).isoformat() > "2024-01-14"
     assert second["failed_tests"] == []
     for layer, name in [("bronze", "yellow_trips_profile"),
