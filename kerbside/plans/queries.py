@@ -28,6 +28,8 @@ from kerbside.sources import fixtures
 Query = Callable[[SparkSession, str], DataFrame]
 
 BENCH_DAY = dt.date(2024, 1, 15)
+INCREMENTAL_MONTH = "2024-01"        # the month landed in two halves
+INCREMENTAL_CUT = "2024-01-15"
 DEMAND_ZONE = 7
 AS_OF = fixtures.AS_OF_STAMPS
 ZONE_CHECK_COLUMNS = ["borough", "zone_name", "service_zone"]
@@ -350,6 +352,44 @@ def registered_lake(spark: SparkSession, sf_dir: str) -> LakeConfig:
     return _LAKES[key]
 
 
+_INCREMENTAL_LAKES: dict[tuple[int, str], LakeConfig] = {}
+
+
+def incremental_lake(spark: SparkSession, sf_dir: str) -> LakeConfig:
+    """The lake after two month-scoped runs: the trips and weather of the
+    first half of January, then the whole month re-landed (once per session)."""
+    from kerbside.plans.pipeline import run_pipeline
+    _session(spark)
+    key = (id(spark), sf_dir)
+    if key not in _INCREMENTAL_LAKES:
+        cfg = LakeConfig(scratch(spark, "incremental-lake"))
+        trips = fixtures.bronze_trips(spark, sf_dir)
+        weather = fixtures.bronze_weather(spark, sf_dir)
+        cut = F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")
+        first = trips.where((F.col("tpep_pickup_datetime") < cut)
+                            | (F.col("_source_month") != INCREMENTAL_MONTH))
+        run_pipeline(spark, cfg, first, weather.where(F.col("observed_at") < INCREMENTAL_CUT),
+                     fixtures.zones_version(spark, sf_dir, 1), AS_OF[0], fail_on_tests=False)
+        run_pipeline(spark, cfg, trips, weather, fail_on_tests=False)
+        _INCREMENTAL_LAKES[key] = cfg
+    return _INCREMENTAL_LAKES[key]
+
+
+def q_pipeline_incremental_fact(spark, sf_dir):
+    """The fact after a created half month and an appended second half."""
+    from kerbside.sources.lake import read_table
+    cfg = incremental_lake(spark, sf_dir)
+    return read_table(spark, cfg, "gold", "fact_trips").select(*facts.FACT_COLUMNS)
+
+
+def q_pipeline_incremental_mart(spark, sf_dir):
+    """The mart after the re-landed month replaced its month partition."""
+    from kerbside.schemas import MART_COLUMNS
+    from kerbside.sources.lake import read_table
+    cfg = incremental_lake(spark, sf_dir)
+    return read_table(spark, cfg, "gold", "mart_zone_hourly_demand").select(*MART_COLUMNS)
+
+
 def q_sql_top_zones(spark, sf_dir):
     registered_lake(spark, sf_dir)
     return serving.run_serving_sql(spark, "top_zones")
@@ -412,6 +452,8 @@ QUERIES: dict[str, Query] = {
     "bronze_stream_ingest": q_bronze_stream_ingest,
     "pipeline_end_to_end": q_pipeline_end_to_end,
     "integrity_extras": q_integrity_extras,
+    "pipeline_incremental_fact": q_pipeline_incremental_fact,
+    "pipeline_incremental_mart": q_pipeline_incremental_mart,
     "sql_top_zones": q_sql_top_zones,
     "sql_zone_demand": q_sql_zone_demand,
     "sql_single_day_revenue": q_sql_single_day_revenue,
@@ -605,4 +647,6 @@ ORACLE.update({
     "weather_payload_scan": sql(["bronze_weather"], "SELECT * FROM bronze_weather"),
     "zone_seed_scan": sql(["zones_v1"], "SELECT * FROM zones_v1"),
     "sql_mart_over_views": ORACLE["zone_hourly_demand"],
+    "pipeline_incremental_fact": ORACLE["fact_trips"],
+    "pipeline_incremental_mart": ORACLE["zone_hourly_demand"],
 })
