@@ -100,14 +100,17 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
 
     # The gate's counts are kept per source month; a run recounts the months
     # it landed and the gate sums all months (the same as a full scan).
+    # A lake without the counts yet (first run) is counted in full.
     suite = quality.bronze_trip_suite()
     trip_months = months[0] if months else None
-    if trip_months is None or trip_months:
-        landed = (bronze_t if trip_months is None
-                  else bronze_t.where(F.col("_source_month").isin(trip_months)))
+    recount = (trip_months if table_exists(spark, cfg, "bronze", "yellow_trips_profile")
+               else None)
+    if recount is None or recount:
+        landed = (bronze_t if recount is None
+                  else bronze_t.where(F.col("_source_month").isin(recount)))
         write_layer(quality.suite_partials(landed, suite, "_source_month"), cfg, "bronze",
                     "yellow_trips_profile", partition_by=["_source_month"],
-                    replace="dynamic" if incremental else "static")
+                    replace="static" if recount is None else "dynamic")
     profile = read_table(spark, cfg, "bronze", "yellow_trips_profile")
     quality.gate_bronze(spark, bronze_t, profile=profile)
 

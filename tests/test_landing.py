@@ -129,3 +129,25 @@ def test_month_relanded_without_surviving_rows_is_cleared(spark, workdir):
             assert glob.glob(f"{lake.path(layer, name)}/**/*.parquet", recursive=True) == []
     assertDataFrameEqual(spark.read.parquet(inc.path("bronze", "yellow_trips_profile")),
                          spark.read.parquet(full.path("bronze", "yellow_trips_profile")))
+
+
+def test_counts_are_rebuilt_in_full_when_missing(spark, workdir):
+    import shutil
+
+    trips, weather = fixtures.bronze_trips(spark, SF), fixtures.bronze_weather(spark, SF)
+    cfg = LakeConfig(f"{workdir}/lake")
+    run_pipeline(spark, cfg, trips, weather, fixtures.zones_version(spark, SF, 1),
+                 "2024-01-01 00:00:00", fail_on_tests=False)
+    full = [sorted(map(tuple, spark.read.parquet(cfg.path(*t)).collect()))
+            for t in (("bronze", "yellow_trips_profile"), ("gold", "fact_trips_date_keys"))]
+    # a lake from before the counts existed (a copy without them): the next
+    # run must count every month and day
+    old = LakeConfig(f"{workdir}/old")
+    shutil.copytree(cfg.root, old.root, ignore=shutil.ignore_patterns(
+        "yellow_trips_profile", "fact_trips_date_keys"))
+    cfg = old
+    run_pipeline(spark, cfg, trips.where(F.col("_source_month") == "2023-12"),
+                 weather.where(F.lit(False)), fail_on_tests=False)
+    again = [sorted(map(tuple, spark.read.parquet(cfg.path(*t)).collect()))
+             for t in (("bronze", "yellow_trips_profile"), ("gold", "fact_trips_date_keys"))]
+    assert again == full
