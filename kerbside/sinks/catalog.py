@@ -33,7 +33,9 @@ def register_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str,
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
     qualified = f"{layer}.{name}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    # The layer's database lives with the lake (shared storage), not in the
+    # session's default warehouse folder.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{cfg.root.rstrip('/')}/{layer}'")
     if not spark.catalog.tableExists(qualified):
         spark.catalog.createTable(qualified, path=cfg.path(layer, name), source="parquet")
     if partitioned:
