@@ -190,3 +190,17 @@ def test_zone_demand_latest_first(spark):
     assert got == [4, 3, 2]
     since = [r.trip_count for r in serving.zone_demand(mart, 1, 24, "2024-01-01 03:00:00").collect()]
     assert since == [4, 3]
+
+
+def test_mart_counts_silver_not_the_fact(spark):
+    """The mart reads silver, so it counts replayed and dropoff-before-pickup
+    trips that the fact leaves out."""
+    from kerbside.operators import marts
+    from kerbside.sources import fixtures
+
+    sf = "/root/testdata/sf0.001"
+    s = silver.clean_trips(fixtures.bronze_trips(spark, sf))
+    mart = marts.zone_hourly_demand(s, fixtures.bronze_weather(spark, sf))
+    n_silver = s.count()
+    assert mart.agg(F.sum("trip_count")).first()[0] == n_silver
+    assert facts.build_fact(s).count() < n_silver
