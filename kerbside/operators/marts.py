@@ -56,33 +56,3 @@ def zone_hourly_demand_months(silver: DataFrame, bronze_weather: DataFrame,
         w = w.where(month_text(parse_weather_time("observed_at")).isin(list(months)))
     return zone_hourly_demand(s, w).withColumn(MONTH_COLUMN, month_text("pickup_hour"))
 
-
-# C6 as SQL over the views ``stg_yellow_trips`` and ``bronze_weather_hourly``
-# (S4 publishes them).  Same plan as :func:`zone_hourly_demand`; no join hint,
-# AQE turns the join into a broadcast when the reduced weather side is small.
-MART_SQL = """
-WITH trips AS (
-    SELECT pickup_zone_id,
-           CAST(date_trunc('HOUR', pickup_ts) AS TIMESTAMP_NTZ) AS pickup_hour,
-           count(*) AS trip_count,
-           CAST(sum(CAST(total_amount AS DECIMAL(28,2))) AS DOUBLE) AS revenue,
-           try_divide(CAST(sum(CAST(trip_distance AS DECIMAL(28,2))) AS DOUBLE),
-                      count(trip_distance)) AS avg_distance
-    FROM stg_yellow_trips
-    GROUP BY 1, 2
-),
-weather AS (
-    SELECT CAST(date_trunc('HOUR', to_timestamp_ntz(observed_at, "yyyy-MM-dd'T'HH:mm"))
-                AS TIMESTAMP_NTZ) AS weather_hour,
-           try_divide(CAST(sum(CAST(temperature_2m AS DECIMAL(28,2))) AS DOUBLE),
-                      count(temperature_2m)) AS temperature_2m,
-           try_divide(CAST(sum(CAST(precipitation AS DECIMAL(28,2))) AS DOUBLE),
-                      count(precipitation)) AS precipitation
-    FROM bronze_weather_hourly
-    GROUP BY 1
-)
-SELECT t.pickup_zone_id, t.pickup_hour, t.trip_count, t.revenue, t.avg_distance,
-       w.temperature_2m, w.precipitation
-FROM trips t
-LEFT JOIN weather w ON t.pickup_hour = w.weather_hour
-"""
