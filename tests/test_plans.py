@@ -101,3 +101,13 @@ def test_shuffle_width_follows_input_bytes(spark, workdir):
         assert size_shuffles(spark, 1 << 20) == 80                     # never narrows
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_month_scoped_mart_reads_only_batch_months(spark, workdir):
+    from kerbside.operators import marts
+
+    _silver(spark).write.partitionBy("source_month").parquet(f"{workdir}/silver")
+    stored = spark.read.parquet(f"{workdir}/silver")
+    p = plan(marts.zone_hourly_demand_months(stored, fixtures.bronze_weather(spark, SF),
+                                             ["2024-01"]))
+    assert re.search(r"PartitionFilters: \[[^\]]*source_month[^\]]*2024-01", p)
