@@ -244,8 +244,11 @@ def build_tests(fact: DataFrame, dim_date: DataFrame, dim_weather: DataFrame,
                 dim_zone: DataFrame, bronze_trips: DataFrame,
                 bronze_weather: DataFrame, fact_scope: DataFrame | None = None,
                 bronze_trips_profile: DataFrame | None = None,
-                fact_date_keys: DataFrame | None = None) -> DataFrame:
-    """Q7-Q10: the 17 data tests of the build, one result row each.
+                fact_date_keys: DataFrame | None = None,
+                kinds: set[str] | None = None) -> DataFrame:
+    """Q7-Q10: the 17 data tests of the build, one result row each (only the
+    check kinds in ``kinds`` when given: not_null, unique, relationship,
+    greater_than).
 
     ``fact_scope`` (rows of the fact days a load rewrote) limits the fact's
     row-level and uniqueness tests to those rows; the other days passed them
@@ -257,32 +260,44 @@ def build_tests(fact: DataFrame, dim_date: DataFrame, dim_weather: DataFrame,
     relationship test without scanning the fact.
     """
     scoped = fact if fact_scope is None else fact_scope
-    bronze_checks = [Check("not_null", "tpep_pickup_datetime"), Check("not_null", "pulocationid")]
-    bronze_not_null = (run_suite(bronze_trips, bronze_checks) if bronze_trips_profile is None
-                       else run_suite_from_partials(bronze_trips_profile, bronze_checks))
-    def tag(df: DataFrame, table: str) -> DataFrame:
-        return df.select(F.lit(table).alias("table_name"), "*")
-
-    parts = [
-        tag(run_suite(dim_zone, [Check("not_null", "zone_id"),
-                                 Check("not_null", "is_current")]), "dim_zone"),
-        tag(run_suite(dim_date, [Check("not_null", "date_key"), Check("unique", "date_key"),
-                                 Check("not_null", "date_day")]), "dim_date"),
-        tag(run_suite(dim_weather, [Check("not_null", "weather_key"),
-                                    Check("unique", "weather_key")]), "dim_weather"),
-        tag(run_suite(scoped, [
-            Check("not_null", "trip_key"), Check("unique", "trip_key"),
-            Check("not_null", "pickup_date_key"), Check("not_null", "pickup_zone_id"),
-            Check("greater_than", "total_amount", low=0, name="accepted_range"),
-        ]), "fact_trips"),
-        tag(run_suite(fact if fact_date_keys is None else fact_date_keys, [
-            Check("relationship", "pickup_date_key", parent=dim_date, parent_column="date_key",
-                  name="relationships", rows=None if fact_date_keys is None else "n"),
-        ]), "fact_trips"),
-        tag(bronze_not_null, "bronze_yellow_trips"),
-        tag(run_suite(bronze_weather, [Check("not_null", "observed_at"),
-                                       Check("unique", "observed_at")]), "bronze_weather_hourly"),
+    keys = fact if fact_date_keys is None else fact_date_keys
+
+    def pick(checks: list[Check]) -> list[Check]:
+        return [c for c in checks if kinds is None or c.kind in kinds]
+
+    def bronze_not_null(checks: list[Check]) -> DataFrame:
+        if bronze_trips_profile is None:
+            return run_suite(bronze_trips, checks)
+        return run_suite_from_partials(bronze_trips_profile, checks)
+
+    # The build's tests, per table.
+    suites = [
+        ("dim_zone", dim_zone, run_suite,
+         [Check("not_null", "zone_id"), Check("not_null", "is_current")]),
+        ("dim_date", dim_date, run_suite,
+         [Check("not_null", "date_key"), Check("unique", "date_key"),
+          Check("not_null", "date_day")]),
+        ("dim_weather", dim_weather, run_suite,
+         [Check("not_null", "weather_key"), Check("unique", "weather_key")]),
+        ("fact_trips", scoped, run_suite,
+         [Check("not_null", "trip_key"), Check("unique", "trip_key"),
+          Check("not_null", "pickup_date_key"), Check("not_null", "pickup_zone_id"),
+          Check("greater_than", "total_amount", low=0, name="accepted_range")]),
+        ("fact_trips", keys, run_suite,
+         [Check("relationship", "pickup_date_key", parent=dim_date, parent_column="date_key",
+                name="relationships", rows=None if fact_date_keys is None else "n")]),
+        ("bronze_yellow_trips", None, None,
+         [Check("not_null", "tpep_pickup_datetime"), Check("not_null", "pulocationid")]),
+        ("bronze_weather_hourly", bronze_weather, run_suite,
+         [Check("not_null", "observed_at"), Check("unique", "observed_at")]),
     ]
+    parts = []
+    for table, df, runner, checks in suites:
+        chosen = pick(checks)
+        if not chosen:
+            continue
+        result = bronze_not_null(chosen) if runner is None else runner(df, chosen)
+        parts.append(result.select(F.lit(table).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -249,6 +249,34 @@ def q_build_tests(spark, sf_dir):
                                fixtures.bronze_trips(spark, sf_dir), weather)
 
 
+def _build_test_kind(spark, sf_dir, kinds: set[str]) -> DataFrame:
+    s = silver_trips(spark, sf_dir)
+    weather = fixtures.bronze_weather(spark, sf_dir)
+    return quality.build_tests(facts.build_fact(s), dimensions.date_dimension(s),
+                               dimensions.weather_dimension(weather), dim_zone(spark, sf_dir),
+                               fixtures.bronze_trips(spark, sf_dir), weather, kinds=kinds)
+
+
+def q_not_null_report(spark, sf_dir):
+    """Q8: the eleven not-null tests of the build."""
+    return _build_test_kind(spark, sf_dir, {"not_null"})
+
+
+def q_unique_violations(spark, sf_dir):
+    """Q9: the four uniqueness tests (duplicated values per key)."""
+    return _build_test_kind(spark, sf_dir, {"unique"})
+
+
+def q_orphan_date_keys(spark, sf_dir):
+    """Fact date keys missing from the date dimension."""
+    return _build_test_kind(spark, sf_dir, {"relationship"})
+
+
+def q_accepted_range_violations(spark, sf_dir):
+    """Q7: fact amounts not above zero."""
+    return _build_test_kind(spark, sf_dir, {"greater_than"})
+
+
 def q_incremental_watermark(spark, sf_dir):
     """Load days up to the bench day, then select what the watermark lets in."""
     s = silver_trips(spark, sf_dir)
@@ -445,6 +473,10 @@ QUERIES: dict[str, Query] = {
     "quality_report_from_profile": q_quality_report_from_profile,
     "quality_report_dirty": q_quality_report_dirty,
     "build_tests": q_build_tests,
+    "not_null_report": q_not_null_report,
+    "unique_violations": q_unique_violations,
+    "orphan_date_keys": q_orphan_date_keys,
+    "accepted_range_violations": q_accepted_range_violations,
     "incremental_watermark": q_incremental_watermark,
     "merge_idempotent": q_merge_idempotent,
     "merge_backfill": q_merge_backfill,
@@ -590,8 +622,13 @@ _BUILD_TESTS = [
     ("bronze_weather_hourly", "bronze_weather", "not_null", "observed_at"),
     ("bronze_weather_hourly", "bronze_weather", "unique", "observed_at"),
 ]
-BUILD_TESTS_SQL = sql(["fact", "dim_date", "dim_weather", "dim_zone", "bronze_trips", "bronze_weather"],
-                      "\nUNION ALL ".join(_test_sql(*t) for t in _BUILD_TESTS))
+_BUILD_TEST_VIEWS = ["fact", "dim_date", "dim_weather", "dim_zone", "bronze_trips", "bronze_weather"]
+BUILD_TESTS_SQL = sql(_BUILD_TEST_VIEWS, "\nUNION ALL ".join(_test_sql(*t) for t in _BUILD_TESTS))
+
+
+def _build_tests_of(check: str) -> str:
+    return sql(_BUILD_TEST_VIEWS, "\nUNION ALL ".join(
+        _test_sql(*t) for t in _BUILD_TESTS if t[2] == check))
 
 ORACLE.update({
     "fact_rejects": sql(["keyed"], "SELECT * FROM keyed WHERE trip_key IS NULL"),
@@ -614,6 +651,10 @@ ORACLE.update({
           FROM bronze_trips)
         {_suite_sql("dirty")}"""),
     "build_tests": BUILD_TESTS_SQL,
+    "not_null_report": _build_tests_of("not_null"),
+    "unique_violations": _build_tests_of("unique"),
+    "orphan_date_keys": _build_tests_of("relationships"),
+    "accepted_range_violations": _build_tests_of("accepted_range"),
     "incremental_watermark": sql(["fact"], f"""
         SELECT * FROM fact WHERE pickup_date > DATE '{BENCH_DAY.isoformat()}'"""),
     "merge_idempotent": sql(["fact"], "SELECT * FROM fact"),
