@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.functions.numeric import exact_sum
+from kerbside.functions.temporal import month_text
+from kerbside.operators.marts import MONTH_COLUMN
 from kerbside.operators.joins import bounded_broadcast
 
 MAX_LIMIT = 168
@@ -64,7 +66,11 @@ def zone_demand(mart: DataFrame, zone_id: int, limit: int = 24, since=None) -> D
     check_limit(limit)
     cond = F.col("pickup_zone_id") == F.lit(int(zone_id))
     if since is not None:
-        cond = cond & (F.col("pickup_hour") >= F.lit(str(since)).cast("timestamp_ntz"))
+        start = F.lit(str(since)).cast("timestamp_ntz")
+        cond = cond & (F.col("pickup_hour") >= start)
+        if MONTH_COLUMN in mart.columns:
+            # the stored mart is partitioned by month: prune the older months
+            cond = cond & (F.col(MONTH_COLUMN) >= month_text(start))
     return (mart.where(cond)
             .select("pickup_hour", "trip_count", "revenue", "avg_distance",
                     "temperature_2m", "precipitation")

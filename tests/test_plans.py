@@ -111,3 +111,17 @@ def test_month_scoped_mart_reads_only_batch_months(spark, workdir):
     p = plan(marts.zone_hourly_demand_months(stored, fixtures.bronze_weather(spark, SF),
                                              ["2024-01"]))
     assert re.search(r"PartitionFilters: \[[^\]]*source_month[^\]]*2024-01", p)
+
+
+def test_zone_demand_since_prunes_mart_months(spark, workdir):
+    from kerbside.operators import marts
+
+    m = marts.zone_hourly_demand_months(_silver(spark), fixtures.bronze_weather(spark, SF))
+    m.write.partitionBy("pickup_month").parquet(f"{workdir}/mart")
+    stored = spark.read.parquet(f"{workdir}/mart")
+    q = serving.zone_demand(stored, 7, 24, "2024-01-20 00:00:00")
+    assert re.search(r"PartitionFilters: \[[^\]]*pickup_month", plan(q))
+    got = [r.pickup_hour for r in q.collect()]
+    want = [r.pickup_hour for r in serving.zone_demand(
+        m.drop("pickup_month"), 7, 24, "2024-01-20 00:00:00").collect()]
+    assert got == want and all(str(h) >= "2024-01-20" for h in got)
