@@ -41,10 +41,33 @@ def initial_history(incoming: DataFrame, key: str, check_cols: list[str], as_of)
                            F.lit(None).cast("timestamp_ntz").alias("valid_to"))
 
 
+def unique_in_plan(incoming: DataFrame, key: str, check_cols: list[str]) -> DataFrame:
+    """One row per key, failing the job when a key occurs twice.
+
+    The grouping is the shuffle by key that the comparison join needs anyway
+    (the join reuses its partitioning), so the check costs no extra job and
+    no extra shuffle; the error surfaces when the history is computed.
+    """
+    grouped = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                        *[F.first(c).alias(c) for c in check_cols])
+    ok = F.when(F.col("_n") > 1, F.raise_error(F.concat(
+        F.lit(f"incoming extract has duplicate values of {key!r}: "),
+        F.col(key).cast("string")))).otherwise(F.lit(True))
+    return grouped.where(ok).select(key, *check_cols)
+
+
 def scd2_apply(history: DataFrame | None, incoming: DataFrame, key: str,
-               check_cols: list[str], as_of, check_unique: bool = True) -> DataFrame:
-    """Return the full history after applying ``incoming`` at ``as_of``."""
-    if check_unique:
+               check_cols: list[str], as_of, check_unique: bool | str = True) -> DataFrame:
+    """Return the full history after applying ``incoming`` at ``as_of``.
+
+    ``check_unique``: ``True`` checks the extract's keys now (one small job,
+    raises :class:`DuplicateKeyError`); ``"in_plan"`` folds the check into
+    the comparison's shuffle (the job computing the history fails instead);
+    ``False`` trusts the extract.
+    """
+    if check_unique == "in_plan":
+        incoming = unique_in_plan(incoming, key, check_cols)
+    elif check_unique:
         assert_unique_keys(incoming, key)
     if history is None:
         return initial_history(incoming, key, check_cols, as_of)

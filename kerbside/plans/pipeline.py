@@ -119,7 +119,8 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
             raise ValueError("as_of is required when a zone extract is given")
         hist = (read_table(spark, cfg, "snapshots", "zone_snapshot")
                 if table_exists(spark, cfg, "snapshots", "zone_snapshot") else None)
-        new_hist = scd2.scd2_apply(hist, zones, "zone_id", ZONE_CHECK_COLUMNS, as_of)
+        new_hist = scd2.scd2_apply(hist, zones, "zone_id", ZONE_CHECK_COLUMNS, as_of,
+                                   check_unique="in_plan")
         # The new history is staged before it replaces the table it was read from.
         staged = new_hist.checkpoint(eager=True) if hist is not None else new_hist
         write_layer(staged, cfg, "snapshots", "zone_snapshot")

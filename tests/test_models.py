@@ -204,3 +204,18 @@ def test_mart_counts_silver_not_the_fact(spark):
     n_silver = s.count()
     assert mart.agg(F.sum("trip_count")).first()[0] == n_silver
     assert facts.build_fact(s).count() < n_silver
+
+
+def test_scd2_in_plan_check_matches_eager_and_fails_the_job(spark):
+    v1 = spark.createDataFrame([(1, "A", "one", "Y"), (2, "B", "two", "Y")], ZONE)
+    v2 = spark.createDataFrame([(1, "A", "uno", "Y"), (3, "C", "three", "Y")], ZONE)
+    eager = scd2.scd2_apply(scd2.scd2_apply(None, v1, "zone_id", COLS, T1), v2, "zone_id",
+                            COLS, T2)
+    folded = scd2.scd2_apply(scd2.scd2_apply(None, v1, "zone_id", COLS, T1,
+                                             check_unique="in_plan"),
+                             v2, "zone_id", COLS, T2, check_unique="in_plan")
+    assert _versions(folded) == _versions(eager)
+    dup = spark.createDataFrame([(1, "A", "x", "Y"), (1, "A", "y", "Y")], ZONE)
+    lazy = scd2.scd2_apply(eager.checkpoint(), dup, "zone_id", COLS, T3, check_unique="in_plan")
+    with pytest.raises(Exception, match="duplicate values of 'zone_id'"):
+        lazy.collect()
