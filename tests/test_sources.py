@@ -56,6 +56,8 @@ def test_read_trips_stamps_lineage_from_file_names(spark, workdir):
     counts = {(r._source_dataset, r._source_month): r["count"]
               for r in got.groupBy("_source_dataset", "_source_month").count().collect()}
     assert counts == {("yellow", "2024-01"): 2, ("yellow", "2024-02"): 1}
+    every = read_trips(spark, workdir, "yellow")          # all landed months, one glob
+    assert every.count() == 3
 
 
 def test_weather_payload_unpacks_parallel_arrays(spark, workdir):
