@@ -18,11 +18,11 @@ from kerbside.functions.keys import date_key, hour_key
 from kerbside.functions.temporal import elapsed_minutes
 from kerbside.operators import dimensions, facts, marts, merge, quality, scan_report, serving, silver
 from kerbside.operators.scd2 import scd2_apply
-from kerbside.sinks.writers import publish_view, write_bronze, write_layer
+from kerbside.sinks.writers import publish_view, write_bronze
 from kerbside.sources.trips import read_trips
 from kerbside.sources.weather import month_bounds_columns, read_landed_weather, unpack_hourly
 from kerbside.sources.zones import read_zone_seed
-from kerbside.plans.oracle import FACT_LIST, sql
+from kerbside.plans.oracle import sql
 from kerbside.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
