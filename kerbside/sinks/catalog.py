@@ -27,6 +27,17 @@ LAKE_TABLES: dict[tuple[str, str], str | None] = {
 }
 
 
+def _norm(path: str) -> str:
+    return path.removeprefix("file:").rstrip("/")
+
+
+def table_location(spark: SparkSession, qualified: str) -> str:
+    """Storage location of a catalog table."""
+    rows = (spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}")
+            .where("col_name = 'Location'").collect())
+    return _norm(rows[0]["data_type"]) if rows else ""
+
+
 def register_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str,
                    partitioned: bool = False) -> str:
     """Create (once) ``layer.name`` over the table folder and sync its partitions."""
@@ -36,8 +47,12 @@ def register_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str,
     # The layer's database lives with the lake (shared storage), not in the
     # session's default warehouse folder.
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{cfg.root.rstrip('/')}/{layer}'")
+    path = cfg.path(layer, name)
+    if spark.catalog.tableExists(qualified) and table_location(spark, qualified) != _norm(path):
+        # registered for another lake: repoint it (dropping an external table keeps its files)
+        spark.sql(f"DROP TABLE {qualified}")
     if not spark.catalog.tableExists(qualified):
-        spark.catalog.createTable(qualified, path=cfg.path(layer, name), source="parquet")
+        spark.catalog.createTable(qualified, path=path, source="parquet")
     if partitioned:
         spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
     spark.catalog.refreshTable(qualified)

@@ -151,3 +151,14 @@ def test_counts_are_rebuilt_in_full_when_missing(spark, workdir):
     again = [sorted(map(tuple, spark.read.parquet(cfg.path(*t)).collect()))
              for t in (("bronze", "yellow_trips_profile"), ("gold", "fact_trips_date_keys"))]
     assert again == full
+
+
+def test_registering_another_lake_repoints_tables(spark, workdir):
+    from kerbside.sinks.catalog import register_table, table_location
+
+    for root in (f"{workdir}/a", f"{workdir}/b"):
+        cfg = LakeConfig(root)
+        spark.range(3).write.parquet(cfg.path("gold", "dim_probe"))
+        register_table(spark, cfg, "gold", "dim_probe")
+        assert table_location(spark, "gold.dim_probe") == cfg.path("gold", "dim_probe")
+        assert spark.table("gold.dim_probe").count() == 3
