@@ -378,6 +378,14 @@ def registered_lake(spark: SparkSession, sf_dir: str) -> LakeConfig:
                      fixtures.zones_version(spark, sf_dir, 1), AS_OF[0],
                      fail_on_tests=False, register=True)
         _LAKES[key] = cfg
+    else:
+        # make sure this session's catalog still points at this lake
+        from kerbside.sinks.catalog import register_lake, table_location
+        cfg = _LAKES[key]
+        fact = cfg.path("gold", "fact_trips")
+        if (not spark.catalog.tableExists("gold.fact_trips")
+                or table_location(spark, "gold.fact_trips") != fact):
+            register_lake(spark, cfg)
     return _LAKES[key]
 
 
