@@ -1,24 +1,108 @@
-"""Registered queries of the training-data operators, and their SQL where SQL can say it."""
+"""Registered queries of the training-data operators, and their SQL where SQL can say it.
+
+A held-out row is one whose crc32 of the doc_id as text leaves the stated remainder; labels of those rows are never learned from.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chaining import repeated_passages
+from .decontaminate import contaminated
+from .langid import identify_languages
+from .line_dedup import without_repeated_lines
+from .lm_score import score_pseudo_likelihood
 from .ngram_join import ngram_jaccard_components
+from .pfair import pfair_mix
+from .quality_mil import score_quality
+from .tables import ship_package
+from .topk_search import top_k_inner_products
+from .toxicity import score_toxicity
+
+QUALITY_THRESHOLD, TOXIC_THRESHOLD = 0.3, 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def remainder(folds: int) -> Column:
+    """Fold of a row: crc32 of its doc_id as text, modulo ``folds``; a null doc_id has none."""
+    return F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary")) % folds
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeated_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k_inner_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op4_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = score_quality(_table(spark, sf_dir, "documents"), labels, remainder(5) != 0)
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
+def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair_mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "mix_position", "mix_epoch")
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    scored = score_toxicity(_table(spark, sf_dir, "documents"), labels, remainder(3) != 1)
+    return scored.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= TOXIC_THRESHOLD).cast("int").alias("predicted"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_substring_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_languages(_table(spark, sf_dir, "documents"), remainder(4) != 2)
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "bits")
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_pseudo_likelihood(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join, op2_line_dedup, op3_exact_topk, op4_quality_mil, op5_pfair_mix,
+        op6_toxicity, op7_decontaminate, op8_substring_chains, op9_language_id, op10_lm_score,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_exact_topk": """
+        WITH good AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+            FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 20 = 0
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}

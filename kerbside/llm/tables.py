@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, so that their Python workers can import it wherever the driver found it."""
+    context = spark.sparkContext
+    name = f"kerbside-{context.applicationId}.zip"
+    if any(str(f).endswith(name) for f in context._python_includes):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="kerbside-package-"), name)
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, files in os.walk(package):
+            for file in sorted(f for f in files if f.endswith(".py")):
+                full = os.path.join(folder, file)
+                out.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; in local mode without that setting, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

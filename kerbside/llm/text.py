@@ -20,6 +20,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Gaps between runs of letters: every ASCII byte that is not a letter (other scripts' bytes count as letters).
+NOT_LETTERS = np.arange(256) < 128
+NOT_LETTERS[65:91] = NOT_LETTERS[97:123] = False
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -70,17 +73,17 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             start = stop
 
 
-def _pieces(data: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of about ``most`` bytes, cut at white space."""
+def _pieces(data: np.ndarray, most: int, gaps: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``most`` bytes, cut at gaps."""
     start = 0
     while len(data) - start > 2 * most:
-        gap = _SPACE[data[start + most : start + 2 * most]]
+        gap = gaps[data[start + most : start + 2 * most]]
         stop, step = start + most, most
         while not gap.any():  # a word longer than a piece stays whole
             stop += step
             if stop >= len(data):
                 break
-            gap = _SPACE[data[stop : stop + step]]
+            gap = gaps[data[stop : stop + step]]
         if stop >= len(data):
             break
         stop += int(gap.argmax()) + 1
@@ -89,9 +92,9 @@ def _pieces(data: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     yield start, len(data)
 
 
-def _piece_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _piece_words(data: np.ndarray, starts: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, first byte and last byte (excluded) of every word; ``starts`` are byte offsets where a text begins."""
-    keep = ~_SPACE[data]
+    keep = ~gaps[data]
     if not keep.any():
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     begin = keep.copy()
@@ -107,19 +110,19 @@ def _piece_words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return mix(hashes + lengths.astype(np.uint64)), at[first], at[first] + lengths
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def words(column: pa.Array, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of a string column, and the offset of each row's words in them."""
-    hashes, offsets, _, _ = words_at(column)
+    hashes, offsets, _, _ = words_at(column, gaps)
     return hashes, offsets
 
 
-def words_at(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_at(column: pa.Array, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """As ``words``, with the first and last byte (excluded) of each word in ``text_bytes``."""
     data, offsets = text_bytes(column)
     hashes, first, last = [], [], []
-    for start, stop in _pieces(data, SLICE_BYTES):
+    for start, stop in _pieces(data, SLICE_BYTES, gaps):
         inner = offsets[np.searchsorted(offsets, start) : np.searchsorted(offsets, stop)] - start
-        h, a, b = _piece_words(data[start:stop], inner)
+        h, a, b = _piece_words(data[start:stop], inner, gaps)
         hashes.append(h)
         first.append(a + start)
         last.append(b + start)
@@ -127,6 +130,16 @@ def words_at(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return np.concatenate(hashes), np.searchsorted(begin, offsets), begin, np.concatenate(last)
 
 
+def prefixes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the first ``size`` bytes of the words longer than that, and which words those are."""
+    longer = np.flatnonzero(end - begin > size)
+    at, power = begin[longer], _power(size)
+    total = np.zeros(len(at), np.uint64)
+    for k in range(size):
+        total += _BYTE[data[at + k]] * power[k]
+    return mix(total + np.uint64(size << 32)), longer
+
+
 def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` consecutive words of one word array, whichever texts they belong to."""
     n = len(hashes) - size + 1
