@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitmap import bitmap, holds
 from .tables import stored
 from .text import SHINGLE_WORDS, grams, lists, mix, slices, words
 
@@ -28,7 +29,6 @@ CONTAINMENT = 0.8
 PERMUTATIONS = 48
 BITMAP_BITS = 22
 GROWTH = 1.25
-_BLOCKS = 64
 _SEEDS = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
 
 
@@ -42,10 +42,6 @@ def largest(partition: int) -> int:
     return math.floor(GROWTH**partition + 1e-9)
 
 
-def _cells(values: np.ndarray) -> np.ndarray:
-    return (values >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-
-
 def signature(shingles: np.ndarray) -> np.ndarray:
     """Least value of a shingle set under each permutation."""
     return mix(shingles[None, :] * _SEEDS[:, None]).min(axis=1)
@@ -74,44 +70,12 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _bitmap_rows(column: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(1 << BITMAP_BITS, bool)
-        for batch in batches:
-            bits[_cells(batch.column(column).flatten().to_numpy().view(np.uint64))] = True
-        blocks = np.packbits(bits).reshape(_BLOCKS, -1)
-        used = np.flatnonzero(blocks.any(axis=1))
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([blocks[i].tobytes() for i in used], pa.binary())], ["block", "bits"])
-
-    return run
-
-
-def _or_bits(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, block = None, 0
-    for t in tables:
-        block = t.column("block")[0].as_py()
-        for value in t.column("bits"):
-            own = np.frombuffer(value.as_buffer(), np.uint8)
-            total = own if total is None else total | own
-    yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "bits"])
-
-
-def _bitmap(items: DataFrame, column: str) -> np.ndarray:
-    """Which of the 2^22 cells the values of an array column fall in (4 MB as booleans, whatever the table)."""
-    rows = items.select(column).mapInArrow(_bitmap_rows(column), "block int, bits binary").groupBy("block").applyInArrow(_or_bits, "block int, bits binary")
-    blocks = np.zeros((_BLOCKS, (1 << BITMAP_BITS) // 8 // _BLOCKS), np.uint8)
-    for row in rows.toLocalIterator():
-        blocks[row.block] = np.frombuffer(bytes(row.bits), np.uint8)
-    return np.unpackbits(blocks.ravel()).astype(bool)
-
-
 def _windows(parts: list[int], in_items, in_keys):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             hashes, offsets = words(batch.column("text"))
             every = grams(hashes, SHINGLE_WORDS)
-            hit = in_items.value[_cells(every)]
+            hit = holds(in_items.value, every, BITMAP_BITS)
             hits = np.concatenate(([0], np.cumsum(hit)))
             rows, found, held = [], [], []
             for i in range(batch.num_rows):
@@ -126,7 +90,7 @@ def _windows(parts: list[int], in_items, in_keys):
                     need = math.ceil(CONTAINMENT * (largest(p - 1) + 1 if p else 1) - 1e-9)
                     for k in np.flatnonzero(hits[end] - hits[begin] >= need):
                         keys = _keys(p, signature(every[begin[k] : end[k]]))
-                        own.update(keys[in_keys.value[_cells(keys)]].view(np.int64).tolist())
+                        own.update(keys[holds(in_keys.value, keys, BITMAP_BITS)].view(np.int64).tolist())
                 if own:
                     rows.append(i)
                     found.append(np.array(sorted(own), np.int64))
@@ -150,7 +114,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     parts = [r.part for r in items.select("part").distinct().orderBy("part").collect()]  # about 10 for each tenfold size
     broadcast = documents.sparkSession.sparkContext.broadcast
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
-    run = _windows(parts, broadcast(_bitmap(items, "shingles")), broadcast(_bitmap(items, "keys")))
+    run = _windows(parts, broadcast(bitmap(items, "shingles", BITMAP_BITS)), broadcast(bitmap(items, "keys", BITMAP_BITS)))
     hits = stored(docs.mapInArrow(run, "doc_id long, keys array<long>, held array<long>").withColumn("row", F.monotonically_increasing_id()))
     pairs = (
         hits.select("row", F.explode("keys").alias("key"))

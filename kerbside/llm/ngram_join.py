@@ -27,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitmap import bitmap, rows_that_may_be_in
 from .tables import components, stored
 from .text import grams, lists, row_shingles, slices, words
 
 COUNT_BITS = 20
 _BLOCK = 4096
 MAX_LIGHT = 256
+ID_BITS = 23
 
 
 def _element(shingles: np.ndarray) -> np.ndarray:
@@ -100,7 +102,8 @@ def _features(levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels.value
         noise = float(np.median(table))
-        cost = np.maximum(0.0, 2.0 ** (np.arange(256) / 7) - 2.0 ** (noise / 7)) + 1
+        # an entry is compared with its list's centre, and with more of the list the longer it is
+        cost = 1 + np.log2(np.maximum(1.0, 2.0 ** (np.arange(256) / 7) - 2.0 ** (noise / 7)))
         for batch in slices(batches):
             hashes, offsets = words(batch.column("text"))
             sizes, sums, xors, heads, scans = [], [], [], [], []
@@ -147,28 +150,33 @@ def boundary(stats: list[tuple[int, int, float, int]]) -> int:
 
 
 def signatures(sets: DataFrame, x: int) -> DataFrame:
-    """Rows (sig, id, n, pos, bound, kind): subsets of light sets (kind 0) and list entries of light (1) and heavy (2) sets.
+    """Rows (sig, id, info): subsets of light sets (kind 0) and list entries of light (1) and heavy (2) sets.
 
-    ``bound`` is how many shingles the set can share with another if this is their first common one.
+    ``info`` packs the kind, the set's size and the place of the (last) shingle in its order, which goes into a list in that many bits.
     """
-    entry = "inline(transform(slice(head, 1, cast(n div 5 + 1 as int)), (k, i) -> named_struct('sig', k, 'pos', i, 'bound', cast(n as int) - i)))"
+    info = "shiftleft(cast({kind} as long), 62) | shiftleft(n, 31) | ({place})"
+    entry = f"inline(transform(slice(head, 1, cast(n div 5 + 1 as int)), (k, i) -> named_struct('sig', k, 'info', {info})))"
     pair = (
         "inline(flatten(transform(head, (k, i) -> transform(slice(head, i + 2, size(head)), (m, j) -> "
-        "named_struct('sig', xxhash64(k, m), 'pos', i + j + 1, 'bound', cast(n as int) - i - j)))))"
+        f"named_struct('sig', xxhash64(k, m), 'info', {info.format(kind=0, place='i + j + 1')})))))"
     )
-    heavy = sets.filter(F.col("n") >= x).selectExpr("id", "n", "2 as kind", entry)
-    near = sets.filter((F.col("n") >= 4) & (F.col("n") < x) & (5 * F.col("n") >= 4 * x)).selectExpr("id", "n", "1 as kind", entry)
-    light = sets.filter((F.col("n") >= 4) & (F.col("n") < x)).selectExpr("id", "n", "0 as kind", pair)
+    heavy = sets.filter(F.col("n") >= x).selectExpr("id", entry.format(kind=2, place="i"))
+    near = sets.filter((F.col("n") >= 4) & (F.col("n") < x) & (5 * F.col("n") >= 4 * x)).selectExpr("id", entry.format(kind=1, place="i"))
+    light = sets.filter((F.col("n") >= 4) & (F.col("n") < x)).selectExpr("id", pair)
     return heavy.unionByName(near).unionByName(light)
 
 
+_UNPACK = {"kind": "cast(shiftrightunsigned(info, 62) as int)", "n": "shiftrightunsigned(info, 31) & 2147483647", "pos": "info & 2147483647"}
+#: How many shingles a set can share with another if this entry is their first common one (for pairs: the first two).
+_BOUND = "n - pos + if(kind = 0, 1, 0)"
 _MAY_LINK = "9 * least({l}.bound, {r}.bound) >= 4 * ({l}.n + {r}.n) AND NOT ({l}.kind = 1 AND {r}.kind = 1)"
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, levels) -> DataFrame:
     """The pairs whose whole shingle sets have similarity 4/5 or more; only documents in a pair are read in full."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(levels), "id long, elements array<long>"))
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    some = rows_that_may_be_in(docs, "doc_id", bitmap(ids, "doc_id", ID_BITS), ID_BITS)
+    sets = stored(some.join(ids, "doc_id", "left_semi").mapInArrow(_sets(levels), "id long, elements array<long>"))
     left = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -198,12 +206,18 @@ def ngram_jaccard_components(documents: DataFrame) -> DataFrame:
     x = boundary([tuple(r) for r in stats])
 
     rows_by_sig = signatures(sets, x)
-    order = F.expr("shiftleft(cast(2 - kind as long), 60) | shiftleft(cast(pos as long), 32) | (xxhash64(id) & 4294967295)")
-    centre = rows_by_sig.withColumn("o", order).groupBy("sig").agg(
-        F.count("*").alias("c"), F.max("kind").alias("k"), F.min_by("id", "o").alias("id"), F.min_by("n", "o").alias("n"), F.min_by("bound", "o").alias("bound"), F.min_by("kind", "o").alias("kind")
-    ).filter("c > 1 AND k <> 1").drop("c", "k")
+    common = rows_by_sig.groupBy("sig").count().filter("count > 1").select("sig")
+    entries = rows_by_sig.join(common, "sig")
+    for name, value in _UNPACK.items():
+        entries = entries.withColumn(name, F.expr(value))
+    entries = stored(entries.withColumn("bound", F.expr(_BOUND)).drop("info"))
+    # the centre of a list: heavy before light, then the set with the fewest rarer shingles
+    order = F.expr("shiftleft(cast(2 - kind as long), 60) | shiftleft(pos, 28) | (xxhash64(id) & 268435455)")
+    centre = entries.withColumn("o", order).groupBy("sig").agg(
+        F.max("kind").alias("top"), *[F.min_by(c, "o").alias(c) for c in ("id", "n", "bound", "kind")]
+    ).filter("top <> 1")
     shared = stored(
-        rows_by_sig.alias("r").join(centre.alias("l"), "sig").select(
+        entries.alias("r").join(centre.alias("l"), "sig").select(
             "sig", "r.id", "r.n", "r.bound", "r.kind", F.when(F.expr(f"l.id <> r.id AND {_MAY_LINK.format(l='l', r='r')}"), F.col("l.id")).alias("centre")
         )
     )
@@ -213,7 +227,6 @@ def ngram_jaccard_components(documents: DataFrame) -> DataFrame:
 
     # what is left between different components
     where = shared.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")).drop("centre")
-    where = stored(where)
     mixed = where.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("sig")
     open_rows = stored(where.join(mixed, "sig"))
     l, r = open_rows.alias("l"), open_rows.alias("r")
