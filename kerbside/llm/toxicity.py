@@ -1,9 +1,8 @@
 """Operator 6: toxicity by weak supervision.
 
 Voters say yes or stay silent on each document: word lists, phrases, and word and word-start lists mined from a bounded sample of
-labelled documents.  A generative label model, fitted to the counts of all vote patterns of the whole corpus without
-labels, gives each voter's rates on toxic and on other documents, and finds pairs of voters that agree more often
-than their rates explain; such a pair counts as one joint voter.  Its posterior of each pattern labels a bounded sample of documents, on
+labelled documents.  A generative label model, fitted to the counts of all vote patterns of the whole corpus, estimates the voters'
+accuracies and correlations.  Its posterior of each pattern labels a bounded sample of documents, on
 which a linear classifier over words and word starts is trained.  The classifier scores every whole text.
 """
 
@@ -37,6 +36,7 @@ VOTERS = len(LEXICONS) + 1 + len(STARTS)
 MINED_DOCUMENTS = 6_000
 SAMPLE_VOTED, SAMPLE_SILENT = 3_000, 5_000
 _MINED_PRECISION = 0.85
+KINDS_TOXIC, KINDS_OTHER = 6, 2
 _STEPS, _RATE, _DECAY = 200, 0.3, 1e-5
 
 
@@ -122,12 +122,16 @@ def _term_counts(lists: list[np.ndarray], positive: np.ndarray) -> tuple[np.ndar
     return term, yes, np.bincount(own, minlength=len(term)) - yes
 
 
+def _one_label(labels: DataFrame) -> DataFrame:
+    return labels.filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+
+
 def mine(documents: DataFrame, labels: DataFrame) -> list[np.ndarray]:
     """For each of ``STARTS``, hashes of the words or word starts that labelled toxic documents have and others hardly do.
 
     From about ``MINED_DOCUMENTS`` rows of ``labels`` (doc_id, label), chosen by a hash of doc_id.
     """
-    known = labels.filter("doc_id IS NOT NULL AND label IN (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+    known = _one_label(labels)
     share = min(1.0, MINED_DOCUMENTS / max(1, known.count()))
     chosen = known.filter(F.xxhash64("doc_id").cast("double") / 2.0**64 + 0.5 <= share).limit(2 * MINED_DOCUMENTS)
     rows = documents.join(F.broadcast(chosen), "doc_id").select("label", "text").mapInArrow(_kind_rows, "label int, kinds array<binary>").limit(2 * MINED_DOCUMENTS).collect()
@@ -136,9 +140,10 @@ def mine(documents: DataFrame, labels: DataFrame) -> list[np.ndarray]:
     for k in range(len(STARTS)):
         lists = [np.frombuffer(bytes(r.kinds[k]), np.uint32) for r in rows]
         term, yes, no = _term_counts(lists, positive)
-        often = yes >= max(3, 0.005 * positive.sum())
-        # a list term is one that is toxic far more often than the sample is
-        out.append(term[often & (yes / (yes + no + 0.5) >= _MINED_PRECISION)])
+        # kept: terms that are nearly always toxic, and too often for chance among so many terms
+        base, rate = np.clip(positive.mean(), 1e-6, 1 - 1e-6) if len(rows) else 0.5, np.clip(yes / np.maximum(1, yes + no), 1e-6, 1 - 1e-6)
+        surprise = yes * np.log(rate / base) + no * np.log((1 - rate) / (1 - base))
+        out.append(term[(rate >= _MINED_PRECISION) & (surprise > np.log(len(term) + 1) + 3)])
     return out
 
 
@@ -155,54 +160,41 @@ def _kind_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class LabelModel:
-    """Two hidden classes and units of one or two voters each; fitted by expectation maximisation on counts of vote patterns."""
-
-    def __init__(self, patterns: dict[int, int], voters: int = VOTERS, rounds: int = 100):
-        self.codes = np.array(sorted(patterns), np.int64)
-        self.count = np.array([patterns[c] for c in self.codes], float)
-        bits = (self.codes[:, None] >> np.arange(voters)) & 1
-        self.units: list[tuple[int, ...]] = [(j,) for j in range(voters)]
-        self._fit(bits, rounds)
-        pair = self._most_dependent(bits)
-        while pair is not None:
-            self.units = [u for u in self.units if u[0] not in pair and u[-1] not in pair] + [pair]
-            self._fit(bits, rounds)
-            pair = self._most_dependent(bits)
-
-    def _fit(self, bits: np.ndarray, rounds: int) -> None:
-        total = max(1.0, self.count.sum())
-        post = np.where(bits.sum(axis=1) > 0, 0.9, 0.01)
+    """Generative model of vote patterns, fitted by expectation maximisation on counts.
+
+    Toxic documents are of ``KINDS_TOXIC`` hidden kinds and others of ``KINDS_OTHER``, each with a rate for each voter; kinds with
+    different rates make voters agree more or less often than by chance, so they carry the voters' correlations.  Patterns of
+    labelled documents stay on their side; those of all other documents are free.  ``rates`` has, by voter, the
+    rate on either side, which is the voter's accuracy.
+    """
+
+    def __init__(self, counts: dict[tuple[int, int | None], int], rounds: int = 300):
+        keys = sorted(counts, key=lambda x: (x[0], -1 if x[1] is None else x[1]))
+        self.codes = np.array([c for c, _ in keys], np.int64)
+        count = np.array([counts[k] for k in keys], float)
+        bits = ((self.codes[:, None] >> np.arange(VOTERS)) & 1).astype(float)
+        toxic = np.arange(KINDS_OTHER + KINDS_TOXIC) >= KINDS_OTHER
+        allowed = np.array([[label is None or bool(label) == t for t in toxic] for _, label in keys]).reshape(len(keys), len(toxic))
+        r = np.random.default_rng(3)
+        start = r.uniform(0.5, 1.5, allowed.shape) * np.where(toxic[None, :] == (bits.sum(axis=1) > 0)[:, None], 1.0, 0.05)
+        share = np.where(allowed, start, 0)
         for _ in range(rounds):
-            mass = [self.count * (1 - post), self.count * post]
-            self.prior = min(0.5, max(1 / (total + 2), mass[1].sum() / total))
-            odds = np.full(len(self.codes), np.log(self.prior / (1 - self.prior)))
-            self.rates = {}
-            for unit in self.units:
-                value, cells = sum(bits[:, j] << k for k, j in enumerate(unit)), 1 << len(unit)
-                smooth = np.where(np.arange(cells) == 0, 1.0, 0.1)
-                rate = [np.bincount(value, m, cells) + smooth for m in mass]
-                rate = [r / r.sum() for r in rate]
-                self.rates[unit] = rate
-                odds += np.log(rate[1][value] / rate[0][value])
-            post = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        self.post = post
-
-    def _most_dependent(self, bits: np.ndarray) -> tuple[int, int] | None:
-        """The two single voters whose correlation on toxic documents is highest, if it is over 0.3."""
-        single = [u[0] for u in self.units if len(u) == 1]
-        weight = self.count * self.post
-        if weight.sum() < 50:
-            return None
-        worst, pair = 0.3, None
-        for i, x in enumerate(single):
-            for y in single[i + 1 :]:
-                rx, ry, rxy = (float((weight * z).sum() / weight.sum()) for z in (bits[:, x], bits[:, y], bits[:, x] * bits[:, y]))
-                spread = np.sqrt(rx * (1 - rx) * ry * (1 - ry))
-                if spread > 1e-3 and (rxy - rx * ry) / spread > worst:
-                    worst, pair = (rxy - rx * ry) / spread, (x, y)
-        return pair
+            share /= np.maximum(share.sum(axis=1, keepdims=True), 1e-300)
+            mass = share * count[:, None]
+            size = mass.sum(axis=0)
+            prior = (size + 0.1) / (size + 0.1).sum()
+            rate = (mass.T @ bits + 0.01) / (size[:, None] + 1.0)
+            odds = np.log(prior) + bits @ np.log(rate.T) + (1 - bits) @ np.log1p(-rate.T)
+            odds = np.where(allowed, odds, -np.inf)
+            share = np.exp(odds - odds.max(axis=1, keepdims=True))
+        free = np.log(prior) + bits @ np.log(rate.T) + (1 - bits) @ np.log1p(-rate.T)
+        free = np.exp(free - free.max(axis=1, keepdims=True))
+        self.post = free[:, toxic].sum(axis=1) / free.sum(axis=1)
+        side = [prior[~toxic] / prior[~toxic].sum(), prior[toxic] / prior[toxic].sum()]
+        self.rates = np.stack([side[0] @ rate[~toxic], side[1] @ rate[toxic]], axis=1)
 
     def posterior(self) -> dict[int, float]:
+        """Chance of each pattern to be toxic, labels aside."""
         return dict(zip(self.codes.tolist(), self.post.tolist(), strict=True))
 
 
@@ -217,9 +209,9 @@ class LinearModel:
         term, yes, no = _term_counts(lists, hard)
         n1, n0 = max(1.0, hard.sum()), max(1.0, (1 - hard).sum())
         often = yes + no >= max(3, 0.0005 * len(lists))
-        # terms whose rates in the two classes differ by chance are left out
+        # only terms that toxic documents have more often than by chance: what else a text says does not excuse it
         p = (yes + no + 1) / (n1 + n0 + 2)
-        far = np.abs(yes / n1 - no / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
+        far = (yes / n1 - no / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
         self.terms = Members(term[often & (far > 4)])
         owner, column = [], []
         for i, own in enumerate(lists):
@@ -261,10 +253,11 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, LinearMo
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             votes = voters.value.vote(Terms(batch.column("text")))
-            yield pa.RecordBatch.from_arrays([pa.array(votes)], ["pattern"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(votes)], ["doc_id", "pattern"])
 
-    rows = documents.select("text").mapInArrow(vote, "pattern long").groupBy("pattern").count().collect()  # 2^VOTERS rows at most
-    label_model, linear = LabelModel({r["pattern"]: r["count"] for r in rows}), LinearModel()
+    votes = documents.mapInArrow(vote, "doc_id long, pattern long")
+    rows = votes.join(_one_label(labels), "doc_id", "left").groupBy("pattern", "label").count().collect()  # 3 * 2^VOTERS rows at most
+    label_model, linear = LabelModel({(r["pattern"], r["label"]): r["count"] for r in rows}), LinearModel()
     total = {k: sum(r["count"] for r in rows if (r["pattern"] > 0) == k) for k in (True, False)}
     share = {k: min(1.0, n / max(1, total[k])) for k, n in ((True, SAMPLE_VOTED), (False, SAMPLE_SILENT))}
 
@@ -289,7 +282,7 @@ def train(documents: DataFrame, labels: DataFrame) -> tuple[LabelModel, LinearMo
 def score_toxicity(documents: DataFrame, labels: DataFrame, learn_from: Column) -> DataFrame:
     """(doc_id, score) for each row of ``documents`` (doc_id, text): the chance, 0 to 1, that the text is toxic.
 
-    Labels (doc_id, label 0 or 1) are used only where ``learn_from`` holds of them, and only to mine voters' lists; a doc_id labelled twice
+    Labels (doc_id, label 0 or 1) are used only where ``learn_from`` holds of them, to mine voters' lists and to anchor the label model; a doc_id labelled twice
     counts as 1 if either label is.  Null and empty texts have no words and get the classifier's score of none; repeated rows are scored alike.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
