@@ -93,12 +93,15 @@ def suffix_automaton(sequence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _dense(edges: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """Next state by state * ALPHABET + symbol; where a phrase ends, the state after the restart plus ``_RESTART``."""
-    states = int(edges[2].max(initial=0)) + 1
-    table = np.full((states, ALPHABET), -1, np.int32)
+    """Next state by state * ALPHABET + symbol, plus ``_RESTART`` where a phrase begins.
+
+    The last state is that before a phrase: where a text begins and after a symbol that the sample does not have.
+    """
+    outside = int(edges[2].max(initial=0)) + 1
+    table = np.full((outside + 1, ALPHABET), -1, np.int32)
     table[edges[0], edges[1]] = edges[2]
-    again = np.maximum(table[0], 0) + _RESTART
-    return np.where(table < 0, again[None, :], table).ravel()
+    begin = np.where(table[0] < 0, outside, table[0]) + _RESTART
+    return np.where(table < 0, begin[None, :], table).ravel()
 
 
 def phrases(text: np.ndarray, starts: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
@@ -120,14 +123,14 @@ def phrases(text: np.ndarray, starts: np.ndarray, tables: list[np.ndarray]) -> n
     for t in range(most):
         lanes[t, : active[t]] = text[begin[: active[t]] + t]
     for j, table in enumerate(tables):
-        state = np.zeros(len(begin), np.int32)
-        ends = np.ones(len(begin), np.int32)
+        state = np.full(len(begin), len(table) // ALPHABET - 1, np.int32)
+        number = np.zeros(len(begin), np.int32)
         for t in range(most):
             k = active[t]
             to = table[state[:k] * ALPHABET + lanes[t, :k]]
-            ends[:k] += to >> 30
+            number[:k] += to >> 30
             state[:k] = to & (_RESTART - 1)
-        total[:, j] = np.bincount(owner, ends, len(lengths)).astype(np.int64)
+        total[:, j] = np.bincount(owner, number, len(lengths)).astype(np.int64)
     return total
 
 

@@ -57,7 +57,7 @@ def passages(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if c == 4:
             x[:, 7] = np.bincount(piece, own == length, n) / some  # words all of marks
             x[:, 8] = np.bincount(piece, own > 0, n) / some
-    x[:, 9] = chars / some / 10
+    x[:, 9] = np.where(size > 0, chars / some / 10, 0)
     x[:, 10] = np.sqrt(np.maximum(0, np.bincount(piece, length.astype(float) ** 2, n) / some - (chars / some) ** 2)) / 10
     order = np.lexsort((hashes, piece))
     fresh = np.ones(len(order), bool)
