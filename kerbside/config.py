@@ -8,8 +8,10 @@ writes are partition-safe (dynamic partition overwrite).
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -40,28 +42,35 @@ def apply_session_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# More shuffle partitions than this cost more in block bookkeeping than they
+# save; larger inputs are built one month at a time instead.
+MOST_SHUFFLE_PARTITIONS = 20_000
+
+
 def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128 << 20) -> int:
     """Initial shuffle width for a job over ``input_bytes``: enough partitions
-    that each holds ~``target_bytes`` (AQE coalesces the excess), and at least
-    two waves of the cluster's cores."""
-    return max(2 * cores, -(-input_bytes // target_bytes))
+    that each holds ~``target_bytes`` (AQE coalesces the excess), at least
+    two waves of the cluster's cores and at most ``MOST_SHUFFLE_PARTITIONS``."""
+    return min(MOST_SHUFFLE_PARTITIONS, max(2 * cores, -(-input_bytes // target_bytes)))
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Widen ``spark.sql.shuffle.partitions`` for a job over ``input_bytes``.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """Inside the block ``spark.sql.shuffle.partitions`` fits a job over
+    ``input_bytes``; a wider setting made by the cluster is kept, and the
+    caller's setting comes back at the end.
 
     AQE merges small shuffle partitions and splits skewed join and rebalance
-    partitions, but it cannot split a plain hash partition: a full build over
-    100 TB at the default width would put hundreds of GB in each reducer.  The
-    width only grows here (a wider setting made by the cluster is kept).
+    partitions, but it cannot split a plain hash partition.
     """
-    cores = spark.sparkContext.defaultParallelism
-    want = shuffle_partitions_for(int(input_bytes), cores)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if want > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(want))
-        return want
-    return current
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    want = shuffle_partitions_for(int(input_bytes), spark.sparkContext.defaultParallelism)
+    spark.conf.set(key, str(max(want, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def local_session(app: str = "kerbside", cores: str | int = "*",
@@ -78,7 +87,8 @@ def local_session(app: str = "kerbside", cores: str | int = "*",
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("KERBSIDE_DRIVER_MEMORY", "8g"))
-        .config("spark.sql.warehouse.dir", os.path.join(scratch or "/tmp", "kerbside-warehouse"))
+        .config("spark.sql.warehouse.dir",
+                os.path.join(scratch or tempfile.mkdtemp(prefix="kerbside-"), "kerbside-warehouse"))
     )
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
@@ -124,13 +134,17 @@ class LakeConfig:
     """Where each medallion layer lives.
 
     ``root`` is a shared filesystem / object-store prefix; each table is a
-    Parquet directory ``{root}/{layer}/{name}``.
+    Parquet directory ``{root}/{layer}/{name}``.  Bronze trips are kept by
+    ``dataset``; the models after bronze are those of the yellow trips.
     """
 
     root: str
-    months: tuple[str, ...] = field(default_factory=tuple)
     dataset: str = "yellow"
 
+    @property
+    def bronze_trips(self) -> str:
+        return f"{self.dataset}_trips"
+
     def path(self, layer: str, name: str) -> str:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}; choose from {LAYERS}")

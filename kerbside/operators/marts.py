@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from kerbside.functions.numeric import exact_avg, exact_sum
 from kerbside.functions.temporal import month_text, parse_weather_time, trunc_hour
 from kerbside.operators.dimensions import hourly_weather
-from kerbside.operators.joins import bounded_broadcast
 
 
 def zone_hour_demand(silver: DataFrame) -> DataFrame:
@@ -26,13 +25,12 @@ def zone_hourly_demand(silver: DataFrame, bronze_weather: DataFrame) -> DataFram
     """The mart.  Reads silver (not the fact), as the source model does: it
     counts replayed and dropoff-before-pickup trips that the fact drops.
 
-    Both sides are reduced to hour grain before the join; the weather side
-    (one row per hour) is broadcast behind a row-count check.
+    Both sides are reduced to hour grain before the join; AQE broadcasts the
+    weather side (one row per hour) when its shuffle statistics allow it.
     """
     demand = zone_hour_demand(silver)
     weather = hourly_weather(bronze_weather, ("temperature_2m", "precipitation"))
-    w = bounded_broadcast(weather)
-    return (demand.join(w, demand.pickup_hour == w.weather_hour, "left")
+    return (demand.join(weather, demand.pickup_hour == weather.weather_hour, "left")
             .select("pickup_zone_id", "pickup_hour", "trip_count", "revenue",
                     "avg_distance", "temperature_2m", "precipitation"))
 

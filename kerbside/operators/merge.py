@@ -1,25 +1,19 @@
 """Incremental fact maintenance on a day-partitioned Parquet table.
 
 Without a transactional table format there is no ``MERGE INTO``; the same
-result is built from DataFrame operations:
-
-1. pick the source rows (watermark: days after the target's last day;
-   backfill: an explicit day range),
-2. key and de-duplicate them (``build_fact``),
-3. read the target's rows of exactly the touched days (partition filter),
-4. union and de-duplicate on ``trip_key`` -- a key maps to one day, so a key
-   never moves between partitions and old copies only live in touched days,
-5. stage the merged days in the shared checkpoint folder (cuts lineage: the
-   final write no longer reads the folder it overwrites), then
-6. dynamic-overwrite just those days in the target.
-
-A watermark load skips steps 3-5: its days all come after the target's last
-day, so there is nothing to merge with and the new days are written once,
-straight into the target.
-
-Re-running with the same input rewrites the same days with the same rows.
-Steps 5-6 are two jobs: a failure between them leaves the old days in place
-(re-run to finish); the swap itself is not atomic across days.
+results are built from DataFrame operations.
+
+* **watermark** (S7): days after the target's last day are built and written straight
+  into their new partitions.  A marker beside the target holds the watermark while they
+  are written, so a load that dies half way is repeated from there.
+* **backfill** (S9): the rows of an explicit day range are merged with the target's rows
+  of that range by ``trip_key`` (a key maps to one day, so a key never moves between
+  partitions), staged once and swapped in; the staged copy is removed.
+* **month replacement**: a re-landed month is rebuilt from its silver month alone.  A silver
+  row's source month is its pickup month and a ``trip_key`` fixes its day, so the fact days of
+  a month depend on nothing else; days left without trips are removed.
+
+Re-running any of them with the same input leaves the same rows.
 """
 from __future__ import annotations
 
@@ -30,37 +24,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.config import staging_path
-from kerbside.operators.facts import build_fact, dedupe_trips
+from kerbside.functions.temporal import month_text
+from kerbside.operators.facts import build_fact, dedupe_trips, has_key, keyed_trips
 from kerbside.schemas import FACT_COLUMNS, FACT_TRIPS
-from kerbside.sinks.writers import write_day_partitioned
+from kerbside.sinks.writers import remove_folder, remove_partitions, write_day_partitioned
 from kerbside.sources.lake import partition_listing_only
 
 EPOCH = dt.date(1900, 1, 1)
 DAY = "pickup_date"
 
-# Touched days are listed on the driver to become a static partition filter.
-# A day list is bounded by the calendar (36,525 per century), not by rows.
-MAX_TOUCHED_DAYS = 36_525
-
 
 def read_target(spark: SparkSession, target: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(target)
+        return spark.read.schema(FACT_TRIPS).parquet(target)
     except AnalysisException:
         return None
 
 
+def _marker(target: str) -> str:
+    return f"{target.rstrip('/')}__loading"
+
+
 def watermark(spark: SparkSession, target: str) -> dt.date | None:
-    """Last loaded pickup day of the target, or None when it does not exist.
+    """Last pickup day up to which the target is complete, or None when it does not exist.
 
     ``max`` of the partition column is answered from the partition listing
-    (one row per day), so no data file of the fact is opened.
+    (one row per day), so no data file of the fact is opened.  While a load is
+    unfinished, the watermark is the one that load began with.
     """
     t = read_target(spark, target)
     if t is None:
         return None
     with partition_listing_only(spark):
-        return t.agg(F.max(DAY)).first()[0]
+        last = t.agg(F.max(DAY)).first()[0]
+    try:
+        begun = spark.read.schema("after date").parquet(_marker(target)).first()
+    except AnalysisException:
+        begun = None
+    return min(last, begun["after"]) if begun and last else last
 
 
 def _month(d: dt.date) -> str:
@@ -79,63 +80,63 @@ def incremental_source(silver: DataFrame, last_day: dt.date | None) -> DataFrame
                         & (F.to_date("pickup_ts") > F.lit(w)))
 
 
+def _day(value) -> dt.date:
+    return dt.date.fromisoformat(str(value))
+
+
 def backfill_source(silver: DataFrame, first_day, last_day) -> DataFrame:
-    a = dt.date.fromisoformat(str(first_day))
-    b = dt.date.fromisoformat(str(last_day))
+    a, b = _day(first_day), _day(last_day)
     return silver.where(F.col("source_month").between(F.lit(_month(a)), F.lit(_month(b)))
                         & F.to_date("pickup_ts").between(F.lit(a), F.lit(b)))
 
 
-def _touched_days(spark: SparkSession, staged: DataFrame) -> list[dt.date]:
-    """Distinct days of a staged, day-partitioned table, from its partition listing."""
-    with partition_listing_only(spark):
-        days = [r[0] for r in
-                staged.select(DAY).distinct().limit(MAX_TOUCHED_DAYS + 1).collect()]
-    if len(days) > MAX_TOUCHED_DAYS:
-        raise ValueError(f"a single merge may touch at most {MAX_TOUCHED_DAYS} days")
-    return days
+def merge_into(spark: SparkSession, new_rows: DataFrame, target: str, first_day, last_day) -> dict:
+    """Upsert the fact rows of a day range into the day-partitioned ``target`` by ``trip_key``.
 
-
-def merge_into(spark: SparkSession, new_rows: DataFrame, target: str) -> dict:
-    """Upsert fact rows into the day-partitioned ``target`` by ``trip_key``.
-
-    A missing target is simply written.  Otherwise the new rows are staged
-    first (computed once; their days then come from the partition listing),
-    merged with the target's rows of those days, staged again and swapped in.
+    A missing target is simply written.  The range is the partition filter on the
+    target, so only its days are read and rewritten.
     """
     new_rows = new_rows.select(*FACT_COLUMNS)
     existing = read_target(spark, target)
     if existing is None:
         write_day_partitioned(new_rows, target, DAY, replace="static")
         return {"mode": "create"}
-    stage_new = staging_path(spark, "fact-new")
-    write_day_partitioned(new_rows, stage_new, DAY, replace="static")
-    # explicit schema: an empty batch writes no files to infer one from
-    staged_new = spark.read.schema(FACT_TRIPS).parquet(stage_new).select(*FACT_COLUMNS)
-    days = _touched_days(spark, staged_new)
-    if not days:
-        return {"days": 0, "mode": "noop"}
-    old = existing.where(F.col(DAY).isin(days)).select(*FACT_COLUMNS)
-    merged = dedupe_trips(old.unionByName(staged_new))
+    old = existing.where(F.col(DAY).between(F.lit(_day(first_day)), F.lit(_day(last_day))))
     stage = staging_path(spark, "fact-merge")
-    write_day_partitioned(merged, stage, DAY, replace="static")
+    write_day_partitioned(dedupe_trips(old.select(*FACT_COLUMNS).unionByName(new_rows)),
+                          stage, DAY, replace="static")
     staged = spark.read.schema(FACT_TRIPS).parquet(stage).select(*FACT_COLUMNS)
     write_day_partitioned(staged, target, DAY, replace="dynamic")
-    return {"days": len(days), "day_list": days, "mode": "merge", "stage": stage}
+    remove_folder(spark, stage)
+    return {"mode": "merge", "first_day": _day(first_day), "last_day": _day(last_day)}
 
 
 def append_days(spark: SparkSession, new_rows: DataFrame, target: str, after: dt.date) -> dict:
-    """Write fact rows whose days all come after ``after``, the target's last
-    day.  No such day is in the target yet, so there is nothing to merge with:
-    the rows go straight into their new day partitions (dynamic overwrite,
-    one write, no staging).  The days written come from the partition listing.
+    """Write fact rows whose days all come after ``after``, the target's watermark.
+
+    No such day is complete in the target, so there is nothing to merge with: the rows go
+    straight into their day partitions (dynamic overwrite, one write, no staging).
     """
+    marker = spark.createDataFrame([(after,)], "after date")
+    marker.write.mode("overwrite").parquet(_marker(target))
     write_day_partitioned(new_rows.select(*FACT_COLUMNS), target, DAY, replace="dynamic")
-    t = spark.read.schema(FACT_TRIPS).parquet(target)
-    with partition_listing_only(spark):
-        days = [r[0] for r in t.where(F.col(DAY) > F.lit(after)).select(DAY).distinct()
-                .limit(MAX_TOUCHED_DAYS + 1).collect()]
-    return {"days": len(days), "day_list": days, "mode": "append" if days else "noop"}
+    remove_folder(spark, _marker(target))
+    last = watermark(spark, target)
+    return {"mode": "append" if last and last > after else "noop", "after": after, "last_day": last}
+
+
+def replace_months(spark: SparkSession, silver: DataFrame, target: str, months: list[str]) -> dict:
+    """Make the target's days of ``months`` those of silver's months, one month at a time, oldest first."""
+    mode = "create" if read_target(spark, target) is None else "months"
+    for month in sorted(months):
+        own = silver.where(F.col("source_month") == F.lit(month))
+        write_day_partitioned(build_fact(own).select(*FACT_COLUMNS), target, DAY, replace="dynamic")
+        there = spark.read.schema(FACT_TRIPS).parquet(target)
+        with partition_listing_only(spark):
+            held = {r[0] for r in there.where(month_text(DAY) == F.lit(month)).select(DAY).distinct().collect()}
+        kept = {r[0] for r in keyed_trips(own).where(has_key()).select(DAY).distinct().collect()}
+        remove_partitions(spark, target, DAY, sorted(held - kept))
+    return {"mode": mode, "months": sorted(months)}
 
 
 def load_fact(spark: SparkSession, silver: DataFrame, target: str, mode: str = "watermark",
@@ -145,13 +146,14 @@ def load_fact(spark: SparkSession, silver: DataFrame, target: str, mode: str = "
     merged by ``trip_key``)."""
     if mode == "watermark":
         last = watermark(spark, target)
-        src = incremental_source(silver, last)
+        rows = build_fact(incremental_source(silver, last))
         if last is not None:
-            return append_days(spark, build_fact(src), target, last)
-    elif mode == "backfill":
-        if first_day is None or last_day is None:
-            raise ValueError("backfill needs first_day and last_day")
-        src = backfill_source(silver, first_day, last_day)
-    else:
+            return append_days(spark, rows, target, last)
+        write_day_partitioned(rows.select(*FACT_COLUMNS), target, DAY, replace="static")
+        return {"mode": "create"}
+    if mode != "backfill":
         raise ValueError("mode must be 'watermark' or 'backfill'")
-    return merge_into(spark, build_fact(src), target)
+    if first_day is None or last_day is None:
+        raise ValueError("backfill needs first_day and last_day")
+    rows = build_fact(backfill_source(silver, first_day, last_day))
+    return merge_into(spark, rows, target, first_day, last_day)

@@ -10,6 +10,7 @@ Result rows: ``check_name, column_name, observed, threshold, success``.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,7 +28,11 @@ RESULT_SCHEMA = T.StructType([
 
 
 class QualityError(RuntimeError):
-    pass
+    """``failed`` has the (check, column) pairs that failed."""
+
+    def __init__(self, message: str, failed: list[tuple[str, str]] | None = None):
+        super().__init__(message)
+        self.failed = failed or []
 
 
 @dataclass(frozen=True)
@@ -37,7 +42,7 @@ class Check:
     kinds: ``row_count_min`` (observed rows >= threshold), ``not_null``
     (observed NULL count, must be 0), ``between`` (share of non-NULL values in
     [low, high], must be >= ``mostly``; no non-NULL value passes),
-    ``greater_than`` (count of non-NULL values not > low, must be 0),
+    ``greater_than`` (count of non-NULL values that are NaN or not > low, must be 0),
     ``unique`` (number of duplicated non-NULL values, must be 0) and
     ``relationship`` (non-NULL values missing from ``parent``, must be 0).
     ``rows`` names a column holding row counts when the checked table is a
@@ -93,7 +98,7 @@ def _measures(checks: list[Check]) -> list[F.Column]:
             aggs[_measure_name(c, "in")] = F.count_if(col.between(F.lit(c.low), F.lit(c.high)))
             aggs[_measure_name(c, "n")] = F.count(col)
         elif c.kind == "greater_than":
-            aggs[_measure_name(c, "n")] = F.count_if(col.isNotNull() & ~(col > F.lit(c.low)))
+            aggs[_measure_name(c, "n")] = F.count_if(col.isNotNull() & (F.isnan(col.cast("double")) | ~(col > F.lit(c.low))))
     return [a.alias(name) for name, a in aggs.items()]
 
 
@@ -200,9 +205,10 @@ def assert_results(results: DataFrame, what: str = "table") -> list:
     """Q6: collect the (one row per check) results and raise
     :class:`QualityError` naming the failed checks."""
     rows = results.collect()
-    failed = [f"{r['check_name']}({r['column_name']})" for r in rows if not r["success"]]
+    failed = [(r["check_name"], r["column_name"]) for r in rows if not r["success"]]
     if failed:
-        raise QualityError(f"{what} quality suite failed: {failed}")
+        names = ", ".join(f"{check}({column})" for check, column in failed)
+        raise QualityError(f"{what} failed: {names}", failed)
     return rows
 
 
@@ -240,64 +246,50 @@ def gate_bronze(spark: SparkSession, bronze: DataFrame | None,
     return assert_suite(bronze, bronze_trip_suite(), "bronze trips")
 
 
-def build_tests(fact: DataFrame, dim_date: DataFrame, dim_weather: DataFrame,
-                dim_zone: DataFrame, bronze_trips: DataFrame,
-                bronze_weather: DataFrame, fact_scope: DataFrame | None = None,
-                bronze_trips_profile: DataFrame | None = None,
-                fact_date_keys: DataFrame | None = None,
-                kinds: set[str] | None = None) -> DataFrame:
+# The build's tests, per table.
+def table_checks(table: str, dim_date: DataFrame | None = None, keys_rows: str | None = None) -> list[Check]:
+    """The tests of one table of the build; the fact's relationship test needs ``dim_date``."""
+    return {
+        "dim_zone": [Check("not_null", "zone_id"), Check("not_null", "is_current")],
+        "dim_date": [Check("not_null", "date_key"), Check("unique", "date_key"),
+                     Check("not_null", "date_day")],
+        "dim_weather": [Check("not_null", "weather_key"), Check("unique", "weather_key")],
+        "fact_trips": [Check("not_null", "trip_key"), Check("unique", "trip_key"),
+                       Check("not_null", "pickup_date_key"), Check("not_null", "pickup_zone_id"),
+                       Check("greater_than", "total_amount", low=0, name="accepted_range")],
+        "fact_trips_date_keys": [Check("relationship", "pickup_date_key", parent=dim_date,
+                                       parent_column="date_key", name="relationships", rows=keys_rows)],
+        "bronze_yellow_trips": [Check("not_null", "tpep_pickup_datetime"), Check("not_null", "pulocationid")],
+        "bronze_weather_hourly": [Check("not_null", "observed_at"), Check("unique", "observed_at")],
+    }[table]
+
+
+def build_tests(tables: dict[str, DataFrame | Callable[[], DataFrame]], kinds: set[str] | None = None) -> DataFrame:
     """Q7-Q10: the 17 data tests of the build, one result row each (only the
-    check kinds in ``kinds`` when given: not_null, unique, relationship,
-    greater_than).
-
-    ``fact_scope`` (rows of the fact days a load rewrote) limits the fact's
-    row-level and uniqueness tests to those rows; the other days passed them
-    when they were written and have not changed since.  The relationship
-    test always covers every fact day: the date dimension is rebuilt each run.
-    ``bronze_trips_profile`` (the gate's counts per source month) answers
-    the bronze not-null tests without scanning bronze, and ``fact_date_keys``
-    (the fact's :func:`key_profile` of ``pickup_date_key`` per day) the
-    relationship test without scanning the fact.
+    check kinds in ``kinds`` when given: not_null, unique, relationship, greater_than).
+
+    ``tables`` has the tables by name, or functions that make them, called only for the
+    tables the chosen kinds need.  The relationship test reads the fact and the date dimension.
     """
-    scoped = fact if fact_scope is None else fact_scope
-    keys = fact if fact_date_keys is None else fact_date_keys
-
-    def pick(checks: list[Check]) -> list[Check]:
-        return [c for c in checks if kinds is None or c.kind in kinds]
-
-    def bronze_not_null(checks: list[Check]) -> DataFrame:
-        if bronze_trips_profile is None:
-            return run_suite(bronze_trips, checks)
-        return run_suite_from_partials(bronze_trips_profile, checks)
-
-    # The build's tests, per table.
-    suites = [
-        ("dim_zone", dim_zone, run_suite,
-         [Check("not_null", "zone_id"), Check("not_null", "is_current")]),
-        ("dim_date", dim_date, run_suite,
-         [Check("not_null", "date_key"), Check("unique", "date_key"),
-          Check("not_null", "date_day")]),
-        ("dim_weather", dim_weather, run_suite,
-         [Check("not_null", "weather_key"), Check("unique", "weather_key")]),
-        ("fact_trips", scoped, run_suite,
-         [Check("not_null", "trip_key"), Check("unique", "trip_key"),
-          Check("not_null", "pickup_date_key"), Check("not_null", "pickup_zone_id"),
-          Check("greater_than", "total_amount", low=0, name="accepted_range")]),
-        ("fact_trips", keys, run_suite,
-         [Check("relationship", "pickup_date_key", parent=dim_date, parent_column="date_key",
-                name="relationships", rows=None if fact_date_keys is None else "n")]),
-        ("bronze_yellow_trips", None, None,
-         [Check("not_null", "tpep_pickup_datetime"), Check("not_null", "pulocationid")]),
-        ("bronze_weather_hourly", bronze_weather, run_suite,
-         [Check("not_null", "observed_at"), Check("unique", "observed_at")]),
-    ]
+    made: dict[str, DataFrame] = {}
+
+    def frame(name: str) -> DataFrame:
+        if name not in made:
+            given = tables[name]
+            made[name] = given if isinstance(given, DataFrame) else given()
+        return made[name]
+
     parts = []
-    for table, df, runner, checks in suites:
-        chosen = pick(checks)
-        if not chosen:
+    for name in ("dim_zone", "dim_date", "dim_weather", "fact_trips", "fact_trips_date_keys",
+                 "bronze_yellow_trips", "bronze_weather_hourly"):
+        keys = name == "fact_trips_date_keys"
+        wanted = kinds is None or any(c.kind in kinds for c in table_checks(name))
+        if not wanted:
             continue
-        result = bronze_not_null(chosen) if runner is None else runner(df, chosen)
-        parts.append(result.select(F.lit(table).alias("table_name"), "*"))
+        chosen = [c for c in table_checks(name, frame("dim_date") if keys else None)
+                  if kinds is None or c.kind in kinds]
+        shown = "fact_trips" if keys else name
+        parts.append(run_suite(frame(shown), chosen).select(F.lit(shown).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -1,11 +1,8 @@
-"""M1: scan footprint of a selective query -- files, bytes and rows read.
-
-Per-file statistics come from the hidden ``_metadata`` columns in ONE
-distributed aggregate (one small row per file).  A file counts as scanned
-unless Spark can prune it from the listing, which happens exactly when the
-predicate only references partition columns and the file's partition fails
-it.  ``pruned_files`` double-checks that against Spark's own pruned listing
-(``inputFiles``) when the table is small enough to list on the driver.
+"""M1: scan footprint of a selective query -- files, bytes and rows really read.
+
+The query (a count of the matching rows) runs, and the figures are the metrics
+of its executed file scan: files and bytes left after partition pruning, rows
+the scan gave out.  Totals come from the same scan without the predicate.
 """
 from __future__ import annotations
 
@@ -14,42 +11,41 @@ from pyspark.sql import functions as F
 
 REPORT_COLUMNS = ["layout", "files_total", "files_scanned", "bytes_total", "bytes_scanned",
                   "rows_total", "rows_scanned", "rows_matched", "pct_filtered_after_read"]
+# Metric names of Spark's file scan node.
+_METRICS = {"files": "numFiles", "bytes": "filesSize", "rows": "numOutputRows"}
 
 
-def file_stats(df: DataFrame, predicate: Column) -> DataFrame:
-    """Rows and matching rows per data file."""
-    return (df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size"),
-                      predicate.alias("_hit"))
-            .groupBy("file_path", "file_size")
-            .agg(F.count(F.lit(1)).alias("rows"), F.count_if("_hit").alias("hits")))
-
-
-def scan_footprint(spark: SparkSession, path: str, predicate: Column, layout: str,
-                   partition_only: bool) -> DataFrame:
-    """One report row for ``predicate`` over the Parquet table at ``path``.
+def measured_scan(spark: SparkSession, df: DataFrame) -> tuple[int, dict[str, int]]:
+    """Count ``df``'s rows and return the count with the metrics of its file scans.
 
-    ``partition_only`` says the predicate uses only partition columns of this
-    layout (so non-matching files are pruned before the scan).
+    The plan is run without runtime re-planning, so that the executed plan is
+    the one the metrics hang on; the session's setting is restored.
     """
-    stats = file_stats(spark.read.parquet(path), predicate)
-    scanned = (F.col("hits") > 0) if partition_only else F.lit(True)
-    agg = stats.agg(
-        F.count(F.lit(1)).alias("files_total"),
-        F.count_if(scanned).alias("files_scanned"),
-        F.sum("file_size").alias("bytes_total"),
-        F.sum(F.when(scanned, F.col("file_size")).otherwise(0)).alias("bytes_scanned"),
-        F.sum("rows").alias("rows_total"),
-        F.sum(F.when(scanned, F.col("rows")).otherwise(0)).alias("rows_scanned"),
-        F.sum("hits").alias("rows_matched"),
-    )
-    pct = F.round(F.try_divide((F.col("rows_scanned") - F.col("rows_matched")) * 100.0,
-                               F.col("rows_scanned")), 1)
-    return agg.select(F.lit(layout).alias("layout"), "files_total", "files_scanned",
-                      "bytes_total", "bytes_scanned", "rows_total", "rows_scanned",
-                      "rows_matched", pct.alias("pct_filtered_after_read"))
-
-
-def pruned_files(spark: SparkSession, path: str, predicate: Column) -> list[str]:
-    """Files Spark's own partition pruning keeps for ``predicate`` (driver listing)."""
-    return spark.read.parquet(path).where(predicate).inputFiles()
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        counted = df.agg(F.count(F.lit(1)).alias("n"))
+        n = counted.collect()[0]["n"]
+        leaves = counted._jdf.queryExecution().executedPlan().collectLeaves()
+        total = dict.fromkeys(_METRICS, 0)
+        for i in range(leaves.size()):
+            metrics = leaves.apply(i).metrics()
+            for name, metric in _METRICS.items():
+                if metrics.contains(metric):
+                    total[name] += metrics.apply(metric).value()
+        return n, total
+    finally:
+        spark.conf.set(key, before)
+
+
+def scan_footprint(spark: SparkSession, path: str, predicate: Column, layout: str) -> DataFrame:
+    """One report row for ``predicate`` over the Parquet table at ``path``."""
+    rows, whole = measured_scan(spark, spark.read.parquet(path))
+    matched, read = measured_scan(spark, spark.read.parquet(path).where(predicate))
+    share = round((read["rows"] - matched) * 100.0 / read["rows"], 1) if read["rows"] else None
+    return spark.createDataFrame(
+        [(layout, whole["files"], read["files"], whole["bytes"], read["bytes"], rows, read["rows"],
+          matched, share)],
+        "layout string, files_total long, files_scanned long, bytes_total long, bytes_scanned long, "
+        "rows_total long, rows_scanned long, rows_matched long, pct_filtered_after_read double")

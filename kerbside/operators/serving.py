@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from kerbside.functions.numeric import exact_sum
 from kerbside.functions.temporal import month_text
 from kerbside.operators.marts import MONTH_COLUMN
-from kerbside.operators.joins import bounded_broadcast
 
 MAX_LIMIT = 168
 
@@ -20,44 +19,43 @@ def check_limit(limit: int, maximum: int = MAX_LIMIT) -> int:
     return limit
 
 
-# The serving statements as SQL over the registered gold tables (see
-# kerbside.sinks.catalog).  Parameters are bound by name, never formatted in.
-SERVING_SQL = {
+# The two lookups that bind a parameter, as SQL over a lake's registered gold
+# tables (see kerbside.sinks.catalog); parameters are bound, never formatted in.
+PARAMETER_SQL = {
     "zone_demand": """
         SELECT pickup_hour, trip_count, revenue, avg_distance, temperature_2m, precipitation
-        FROM gold.mart_zone_hourly_demand
+        FROM {gold}.mart_zone_hourly_demand
         WHERE pickup_zone_id = :zone_id
         ORDER BY pickup_hour DESC
         LIMIT :limit""",
-    "top_zones": """
-        SELECT z.zone_name, sum(m.trip_count) AS trips
-        FROM gold.mart_zone_hourly_demand m
-        JOIN gold.dim_zone z ON m.pickup_zone_id = z.zone_id AND z.is_current
-        GROUP BY z.zone_name
-        ORDER BY trips DESC, z.zone_name
-        LIMIT 10""",
-    "hourly_profile": """
-        SELECT hour(pickup_hour) AS hour_of_day, sum(trip_count) AS trips
-        FROM gold.mart_zone_hourly_demand GROUP BY 1 ORDER BY 1""",
-    "daily_trips_vs_temperature": """
-        SELECT CAST(pickup_hour AS DATE) AS day, sum(trip_count) AS trips,
-               round(try_divide(CAST(sum(CAST(temperature_2m AS DECIMAL(28,6))) AS DOUBLE),
-                                count(temperature_2m)), 1) AS avg_temp_c
-        FROM gold.mart_zone_hourly_demand GROUP BY 1 ORDER BY 1""",
     "single_day_revenue": """
         SELECT count(*) AS c,
-               CAST(round(sum(CAST(total_amount AS DECIMAL(28,2))), 0) AS DOUBLE) AS rev
-        FROM gold.fact_trips WHERE pickup_date = :day""",
+               CAST(round(sum(CAST(total_amount AS DECIMAL(28,9))), 0) AS DOUBLE) AS rev
+        FROM {gold}.fact_trips WHERE pickup_date = :day""",
 }
 
 
-def run_serving_sql(spark, name: str, **params) -> DataFrame:
-    """Run one serving statement with bound parameters (``limit`` is checked)."""
+def run_serving_sql(spark, name: str, gold: str = "gold", **params) -> DataFrame:
+    """Run one lookup with bound parameters (``limit`` is checked) on the database ``gold``."""
+    if not gold.replace("_", "").isalnum():
+        raise ValueError(f"not a database name: {gold!r}")
     if "limit" in params:
         check_limit(params["limit"])
     if "day" in params and not isinstance(params["day"], dt.date):
         params["day"] = dt.date.fromisoformat(str(params["day"]))
-    return spark.sql(SERVING_SQL[name], args=params or None)
+    return spark.sql(PARAMETER_SQL[name].format(gold=gold), args=params or None)
+
+
+def publish_dashboards(mart: DataFrame, dim_zone: DataFrame, prefix: str = "dashboard_") -> list[str]:
+    """The dashboard results as views, for SQL users: they are the operators below, by name."""
+    views = {
+        "top_zones": top_zones(mart, dim_zone),
+        "hourly_profile": hourly_profile(mart),
+        "daily_trips_vs_temperature": daily_trips_vs_temperature(mart),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
+    return [f"{prefix}{name}" for name in views]
 
 
 def zone_demand(mart: DataFrame, zone_id: int, limit: int = 24, since=None) -> DataFrame:
@@ -85,9 +83,9 @@ def current_zones(dim_zone: DataFrame) -> DataFrame:
 def top_zones(mart: DataFrame, dim_zone: DataFrame, n: int = 10) -> DataFrame:
     """Top zones by trips, grouped by zone *name* (names are not unique, so
     equal names merge, as in the dashboard).  Trips are summed per zone id
-    before the join; the current zones are broadcast behind a size check."""
+    before the join, so it moves one row per zone id."""
     per_zone = mart.groupBy("pickup_zone_id").agg(F.sum("trip_count").alias("trips"))
-    zones = bounded_broadcast(current_zones(dim_zone).select("zone_id", "zone_name"))
+    zones = current_zones(dim_zone).select("zone_id", "zone_name")
     return (per_zone.join(zones, per_zone.pickup_zone_id == zones.zone_id, "inner")
             .groupBy("zone_name").agg(F.sum("trips").alias("trips"))
             .orderBy(F.col("trips").desc(), F.col("zone_name").asc())
@@ -105,7 +103,7 @@ def daily_trips_vs_temperature(mart: DataFrame) -> DataFrame:
     """Daily trips and the plain mean of hourly temperatures (over
     zone-hours, not trip-weighted; NULLs skipped), rounded to 0.1."""
     temp = F.col("temperature_2m")
-    mean = F.try_divide(exact_sum(temp, 6), F.count(temp))
+    mean = F.try_divide(exact_sum(temp), F.count(temp))
     return (mart.groupBy(F.to_date("pickup_hour").alias("day"))
             .agg(F.sum("trip_count").alias("trips"), F.round(mean, 1).alias("avg_temp_c"))
             .orderBy("day"))
@@ -115,7 +113,7 @@ def single_day_revenue(fact: DataFrame, day) -> DataFrame:
     """C11: trips and whole-unit revenue of one pickup day.  On a table
     partitioned by ``pickup_date`` the equality is a partition filter."""
     d = day if isinstance(day, dt.date) else dt.date.fromisoformat(str(day))
-    money = F.sum(F.col("total_amount").cast("decimal(28,2)"))
+    money = exact_sum("total_amount")
     return (fact.where(F.col("pickup_date") == F.lit(d))
             .agg(F.count(F.lit(1)).alias("c"), F.round(money, 0).cast("double").alias("rev")))
 
@@ -133,7 +131,7 @@ def between_days(fact: DataFrame, first, last) -> DataFrame:
 def star_weather_demand(fact: DataFrame, dim_weather: DataFrame) -> DataFrame:
     """Fact -> weather dimension on the pickup hour key; trips, revenue
     and mean minutes by wet / dry / unknown hour."""
-    w = bounded_broadcast(dim_weather.select("weather_key", "is_wet"))
+    w = dim_weather.select("weather_key", "is_wet")
     j = fact.join(w, fact.pickup_weather_key == w.weather_key, "left")
     return (j.groupBy("is_wet")
             .agg(F.count(F.lit(1)).alias("trips"),
@@ -144,7 +142,7 @@ def star_weather_demand(fact: DataFrame, dim_weather: DataFrame) -> DataFrame:
 def star_weekend_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Fact -> date dimension on the day; trips and revenue by weekday
     and weekend flag."""
-    d = bounded_broadcast(dim_date.select("date_day", "day_of_week", "is_weekend"))
+    d = dim_date.select("date_day", "day_of_week", "is_weekend")
     j = fact.join(d, fact.pickup_date == d.date_day, "inner")
     return (j.groupBy("day_of_week", "is_weekend")
             .agg(F.count(F.lit(1)).alias("trips"),

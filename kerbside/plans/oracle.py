@@ -89,7 +89,7 @@ bronze_weather AS (
 
 
 def _exact_avg(c: str) -> str:
-    return f"CAST(sum(CAST({c} AS DECIMAL(28,2))) AS DOUBLE) / count({c})"
+    return f"CAST(sum(CAST({c} AS DECIMAL(28,9))) AS DOUBLE) / count({c})"
 
 
 CTE["hourly_weather"] = f"""
@@ -106,7 +106,7 @@ mart AS (
          w.temperature_2m, w.precipitation
   FROM (SELECT pickup_zone_id, date_trunc('hour', pickup_ts) AS pickup_hour,
                count(*) AS trip_count,
-               CAST(sum(CAST(total_amount AS DECIMAL(28,2))) AS DOUBLE) AS revenue,
+               CAST(sum(CAST(total_amount AS DECIMAL(28,9))) AS DOUBLE) AS revenue,
                {_exact_avg('trip_distance')} AS avg_distance
         FROM silver GROUP BY 1, 2) t
   LEFT JOIN hourly_weather w ON t.pickup_hour = w.weather_hour)"""
@@ -185,6 +185,41 @@ volume_fact AS (
     FROM (SELECT {KEYED_COLUMNS} FROM volume_silver WHERE dropoff_ts >= pickup_ts)
     WHERE trip_key IS NOT NULL) WHERE _rn = 1)"""
 
+CTE["clean_weather"] = """
+clean_weather AS (
+  SELECT strftime(ts, '%Y-%m-%dT%H:%M') AS observed_at,
+         value AS temperature_2m,
+         CAST(event_id % 3 AS DOUBLE) AS precipitation,
+         CAST(event_id % 20 AS DOUBLE) AS wind_speed_10m,
+         CAST(event_id % 4 AS BIGINT) AS weather_code,
+         strftime(ts, '%Y-%m') AS _source_month
+  FROM events WHERE event_type = 'view'
+  QUALIFY row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%dT%H:%M') ORDER BY event_id) = 1)"""
+
+CTE["clean_mart"] = CTE["mart"].replace("mart AS", "clean_mart AS", 1).replace("hourly_weather w", "clean_hourly w")
+CTE["clean_hourly"] = (CTE["hourly_weather"].replace("hourly_weather AS", "clean_hourly AS", 1)
+                       .replace("FROM bronze_weather", "FROM clean_weather"))
+
+CTE["faint_hourly"] = """
+faint_hourly AS (
+  SELECT date_trunc('hour', strptime(observed_at, '%Y-%m-%dT%H:%M')) AS weather_hour,
+         CAST(sum(CAST(temperature_2m AS DECIMAL(28,9))) AS DOUBLE) / count(temperature_2m) AS temperature_2m,
+         CAST(sum(CAST(precipitation * 2 AS BIGINT)) AS DECIMAL(28,9)) / 1000 / count(precipitation) AS p,
+         CAST(sum(CAST(wind_speed_10m AS DECIMAL(28,9))) AS DOUBLE) / count(wind_speed_10m) AS wind_speed_10m,
+         sum(CAST(precipitation * 2 AS BIGINT)) AS thousandths, count(precipitation) AS n
+  FROM bronze_weather GROUP BY 1)"""
+
+CTE["dirty_fact"] = """
+dirty_fact AS (
+  SELECT CASE WHEN trip_minutes % 17 = 0 THEN 'X' ELSE trip_key END AS trip_key, pickup_date,
+         CASE WHEN trip_minutes % 19 = 0 THEN 19000101 ELSE pickup_date_key END AS pickup_date_key,
+         pickup_weather_key,
+         CASE WHEN trip_minutes % 13 = 0 THEN NULL ELSE pickup_zone_id END AS pickup_zone_id,
+         dropoff_zone_id, pickup_ts, dropoff_ts, trip_minutes, passenger_count, trip_distance,
+         CASE WHEN trip_minutes % 10 = 0 THEN CAST('nan' AS DOUBLE)
+              WHEN trip_minutes % 11 = 0 THEN -total_amount ELSE total_amount END AS total_amount
+  FROM fact)"""
+
 # Dependencies between CTEs, so a query names only what it selects from.
 DEPS = {
     "trips_raw": [],
@@ -203,6 +238,11 @@ DEPS = {
     "dim_zone": ["zone_history"],
     "volume_silver": [],
     "volume_fact": ["volume_silver"],
+    "clean_weather": [],
+    "clean_hourly": ["clean_weather"],
+    "clean_mart": ["silver", "clean_hourly"],
+    "faint_hourly": ["bronze_weather"],
+    "dirty_fact": ["fact"],
 }
 
 

@@ -1,57 +1,47 @@
-"""Bronze -> gate -> silver -> dims / snapshot -> fact -> mart -> tests.
+"""Bronze -> gate -> silver -> dims / snapshot -> fact -> mart, with tests in between.
 
 A plain function, one Spark application; scheduling stays outside.  Each
-layer is written and read back (materialise once, read many) so downstream
-steps start from files, not from a long lineage, and a failure stops the
-steps after it.
+layer is written and read back (materialise once, read many), and each table's
+tests run right after it is written: a failing test raises, and no later table is
+written or registered.
+
+A run replaces months.  Silver's source month is the pickup month, so the silver, fact and mart
+partitions of the landed months depend on those months alone; they are rebuilt one month at a time,
+whatever their order, and partitions left without rows are removed.  The cost follows
+the batch, and the result equals a full rebuild.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.config import LakeConfig, apply_session_defaults, size_shuffles
+from kerbside.config import LakeConfig, apply_session_defaults, sized_shuffles
 from kerbside.functions.temporal import month_text, parse_weather_time
 from kerbside.operators import dimensions, marts, merge, quality, scd2, silver
-from kerbside.sinks.writers import write_bronze, write_layer
+from kerbside.sinks.writers import remove_partitions, write_bronze, write_layer
 from kerbside.schemas import FACT_DATE_KEYS, FACT_TRIPS, SILVER_TRIPS
-from kerbside.sources.lake import partition_listing_only, read_table, stored_bytes, table_exists
+from kerbside.sources.lake import (
+    MissingTableError,
+    partition_listing_only,
+    read_table,
+    stored_bytes,
+    table_exists,
+)
 
 ZONE_CHECK_COLUMNS = ["borough", "zone_name", "service_zone"]
 
 
-# Months touched by one run are listed on the driver to become partition
-# filters; like the touched days of a merge, they are bounded by the calendar.
-MAX_BATCH_MONTHS = 1_200
-
-
-def batch_months(trips: DataFrame, weather: DataFrame) -> tuple[list[str], list[str], list[str]]:
-    """Months a run can change: silver months (the trip batch's source
-    months), mart months (those plus the months of the weather readings), and
-    the trip months none of whose rows survive cleaning."""
-    pickup = F.col("tpep_pickup_datetime").cast("timestamp_ntz")
-    kept = F.coalesce(silver.valid_trip(pickup), F.lit(False)).cast("long")
-    t = trips.select(F.col("_source_month").alias("m"), F.lit(True).alias("trip"),
-                     kept.alias("kept"))
-    w = weather.select(month_text(parse_weather_time("observed_at")).alias("m"),
-                       F.lit(False).alias("trip"), F.lit(0).cast("long").alias("kept"))
-    rows = (t.unionByName(w).where(F.col("m").isNotNull()).groupBy("m")
-            .agg(F.max("trip").alias("trip"), F.sum("kept").alias("kept"))
-            .limit(MAX_BATCH_MONTHS + 1).collect())
-    if len(rows) > MAX_BATCH_MONTHS:
-        raise ValueError(f"one run may touch at most {MAX_BATCH_MONTHS} months")
-    return (sorted(r.m for r in rows if r.trip), sorted(r.m for r in rows),
-            sorted(r.m for r in rows if r.trip and r.kept == 0))
-
-
-def _stored_months(spark: SparkSession, cfg: LakeConfig) -> set[str]:
-    """Month partitions silver holds now (from the partition listing)."""
-    if not table_exists(spark, cfg, "silver", "stg_yellow_trips"):
-        return set()
-    t = read_table(spark, cfg, "silver", "stg_yellow_trips", schema=SILVER_TRIPS)
+def months_of(df: DataFrame, month) -> list[str]:
+    """Distinct months of a frame, one row a calendar month."""
+    return sorted(r.m for r in df.select(month.alias("m")).distinct().where("m IS NOT NULL").collect())
+
+
+def stored_months(spark: SparkSession, df: DataFrame, column: str) -> list[str]:
+    """Month partitions of a stored table, from its partition listing."""
     with partition_listing_only(spark):
-        return {r[0] for r in t.select("source_month").distinct()
-                .limit(MAX_BATCH_MONTHS + 1).collect()}
+        return months_of(df, F.col(column))
 
 
 def edge_months(spark: SparkSession, silver_t: DataFrame) -> DataFrame:
@@ -68,51 +58,87 @@ def edge_months(spark: SparkSession, silver_t: DataFrame) -> DataFrame:
     return silver_t.where(F.col("source_month").isin(b.lo, b.hi))
 
 
+class TestLog:
+    """Runs tables' tests as they are written; raises at the first table that fails one."""
+
+    __test__ = False
+
+    def __init__(self, stop: bool):
+        self.stop, self.count, self.failed = stop, 0, []
+
+    def run(self, table: str, results: DataFrame) -> None:
+        rows = results.collect()
+        self.count += len(rows)
+        failed = [(table, r["check_name"], r["column_name"]) for r in rows if not r["success"]]
+        self.failed += [f"{t}.{column}:{check}" for t, check, column in failed]
+        if failed and self.stop:
+            raise quality.QualityError(f"build tests failed: {self.failed}",
+                                       [(check, f"{t}.{column}") for t, check, column in failed])
+
+    def table(self, table: str, df: DataFrame) -> None:
+        self.run(table, quality.run_suite(df, quality.table_checks(table)))
+
+
+def _replace_months(spark: SparkSession, cfg: LakeConfig, layer: str, name: str, column: str,
+                    months: list[str], build: Callable[[str], DataFrame],
+                    rows: Callable[[str], DataFrame]) -> None:
+    """Write each month's partition of ``layer.name``; remove it when the month has no ``rows``."""
+    path = cfg.path(layer, name)
+    for month in months:
+        if rows(month).isEmpty():
+            remove_partitions(spark, path, column, [month])
+        else:
+            write_layer(build(month), cfg, layer, name, partition_by=[column], replace="dynamic")
+    if not table_folder_exists(spark, path):
+        write_layer(build(""), cfg, layer, name, partition_by=[column])
+
+
+def table_folder_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather: DataFrame,
-                 zones: DataFrame | None = None, as_of=None, fact_mode: str = "watermark",
+                 zones: DataFrame | None = None, as_of=None, fact_mode: str = "months",
                  backfill: tuple | None = None, fail_on_tests: bool = True,
-                 register: bool = False, incremental: bool = True) -> dict:
+                 register: bool = False, incremental: bool = True,
+                 catalog_prefix: str = "") -> dict:
     """Run the daily build over landed bronze batches and return a summary.
 
-    ``incremental=True`` rebuilds only what the batch can change: the silver
-    months it lands, the mart months of its trips and weather readings, and
-    the fact days the merge touched, whose rows are the only ones the fact's
-    row-level and uniqueness tests need to see (a ``trip_key`` fixes its
-    pickup day, so a duplicate can only sit inside one day).  The result is
-    the same as a full rebuild (``incremental=False``), at a cost that
-    follows the batch, not the history.
+    ``incremental=False`` rebuilds every month of bronze instead of the landed ones.
+    ``fact_mode``: ``months`` (replace the fact's days of those months), ``watermark`` or ``backfill``
+    (see :mod:`kerbside.operators.merge`).  Datasets other than yellow end after bronze.
     """
     apply_session_defaults(spark)
-    months = batch_months(trips, weather) if incremental else None
-    # Dynamic overwrite replaces the partitions a write produces; a re-landed
-    # month left with no rows after cleaning produces none, so its old silver
-    # and mart partitions would stay.  Such a run rebuilds those two layers.
-    scoped = months is not None and not (set(months[2]) & _stored_months(spark, cfg))
+    trip_months = months_of(trips, F.col("_source_month"))
+    weather_months = months_of(weather, month_text(parse_weather_time("observed_at")))
     # Bronze: month partitions replaced, so a re-run does not duplicate rows.
-    write_bronze(trips, cfg.path("bronze", "yellow_trips"))
+    write_bronze(trips, cfg.path("bronze", cfg.bronze_trips))
     write_bronze(weather, cfg.path("bronze", "weather_hourly"))
-    bronze_t = read_table(spark, cfg, "bronze", "yellow_trips")
+    if cfg.dataset != "yellow":
+        return {"months": trip_months, "tests": 0, "failed_tests": [], "fact_load": None}
+    log = TestLog(fail_on_tests)
+    bronze_t = _bronze(spark, cfg)
     bronze_w = read_table(spark, cfg, "bronze", "weather_hourly")
-    # Shuffle width from the bronze bytes this run reads (its months, or all).
-    trips_root = cfg.path("bronze", "yellow_trips")
-    size_shuffles(spark, stored_bytes(spark, [trips_root] if months is None else
-                                      [f"{trips_root}/_source_month={m}" for m in months[0]]))
+    if not incremental:
+        trip_months = stored_months(spark, bronze_t, "_source_month")
+        weather_months = months_of(bronze_w, month_text(parse_weather_time("observed_at")))
 
     # The gate's counts are kept per source month; a run recounts the months
     # it landed and the gate sums all months (the same as a full scan).
     # A lake without the counts yet (first run) is counted in full.
     suite = quality.bronze_trip_suite()
-    trip_months = months[0] if months else None
-    recount = (trip_months if table_exists(spark, cfg, "bronze", "yellow_trips_profile")
-               else None)
-    if recount is None or recount:
-        landed = (bronze_t if recount is None
-                  else bronze_t.where(F.col("_source_month").isin(recount)))
+    counted = incremental and table_exists(spark, cfg, "bronze", "yellow_trips_profile")
+    if not counted or trip_months:
+        landed = bronze_t.where(F.col("_source_month").isin(trip_months)) if counted else bronze_t
         write_layer(quality.suite_partials(landed, suite, "_source_month"), cfg, "bronze",
                     "yellow_trips_profile", partition_by=["_source_month"],
-                    replace="static" if recount is None else "dynamic")
+                    replace="dynamic" if counted else "static")
     profile = read_table(spark, cfg, "bronze", "yellow_trips_profile")
     quality.gate_bronze(spark, bronze_t, profile=profile)
+    log.run("bronze_yellow_trips", quality.run_suite_from_partials(
+        profile, quality.table_checks("bronze_yellow_trips")))
+    log.table("bronze_weather_hourly", bronze_w)
 
     if zones is not None:
         if as_of is None:
@@ -124,65 +150,78 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
         # The new history is staged before it replaces the table it was read from.
         staged = new_hist.checkpoint(eager=True) if hist is not None else new_hist
         write_layer(staged, cfg, "snapshots", "zone_snapshot")
-    dim_zone = dimensions.zone_dimension(read_table(spark, cfg, "snapshots", "zone_snapshot"))
-    write_layer(dim_zone, cfg, "gold", "dim_zone")
-
-    # Silver by source month: a run replaces the months it landed.
-    silver_months = trip_months if scoped else None
-    if silver_months is None or silver_months:
-        write_layer(silver.clean_trips(bronze_t, months=silver_months), cfg, "silver",
-                    "stg_yellow_trips", partition_by=["source_month"],
-                    replace="dynamic" if scoped else "static")
-    silver_t = read_table(spark, cfg, "silver", "stg_yellow_trips", schema=SILVER_TRIPS)
-
-    write_layer(dimensions.date_dimension(edge_months(spark, silver_t)), cfg, "gold", "dim_date")
-    write_layer(dimensions.weather_dimension(bronze_w), cfg, "gold", "dim_weather")
-
-    fact_path = cfg.path("gold", "fact_trips")
-    if fact_mode == "backfill":
-        load = merge.load_fact(spark, silver_t, fact_path, "backfill", *backfill)
-    else:
-        load = merge.load_fact(spark, silver_t, fact_path, "watermark")
-
-    mart_months = months[1] if scoped else None
-    if mart_months is None or mart_months:
-        write_layer(marts.zone_hourly_demand_months(silver_t, bronze_w, mart_months), cfg,
-                    "gold", "mart_zone_hourly_demand", partition_by=[marts.MONTH_COLUMN],
-                    replace="dynamic" if scoped else "static")
+    write_layer(dimensions.zone_dimension(read_table(spark, cfg, "snapshots", "zone_snapshot")),
+                cfg, "gold", "dim_zone")
+    log.table("dim_zone", read_table(spark, cfg, "gold", "dim_zone"))
+
+    # one month's rows at a time: the shuffle is sized by the largest month
+    root = cfg.path("bronze", cfg.bronze_trips)
+    widest = max((stored_bytes(spark, [f"{root}/_source_month={m}"]) for m in trip_months), default=0)
+    with sized_shuffles(spark, widest):
+        def clean(month: str) -> DataFrame:
+            return silver.clean_trips(bronze_t, months=[month])
+
+        _replace_months(spark, cfg, "silver", "stg_yellow_trips", "source_month", trip_months,
+                        clean, clean)
+        silver_t = read_table(spark, cfg, "silver", "stg_yellow_trips", schema=SILVER_TRIPS)
+
+        write_layer(dimensions.date_dimension(edge_months(spark, silver_t)), cfg, "gold", "dim_date")
+        dim_date = read_table(spark, cfg, "gold", "dim_date")
+        log.table("dim_date", dim_date)
+        write_layer(dimensions.weather_dimension(bronze_w), cfg, "gold", "dim_weather")
+        log.table("dim_weather", read_table(spark, cfg, "gold", "dim_weather"))
+
+        fact_path = cfg.path("gold", "fact_trips")
+        if fact_mode == "months":
+            load = merge.replace_months(spark, silver_t, fact_path, trip_months)
+            touched = month_text("pickup_date").isin(trip_months)
+        elif fact_mode == "backfill":
+            load = merge.load_fact(spark, silver_t, fact_path, "backfill", *backfill)
+            touched = F.col("pickup_date").between(*[F.lit(str(d)).cast("date") for d in backfill])
+        else:
+            load = merge.load_fact(spark, silver_t, fact_path, "watermark")
+            touched = F.col("pickup_date") > F.lit(load.get("after") or merge.EPOCH)
+        if load["mode"] == "create" or not incremental:
+            touched = F.lit(True)
+        # A trip_key fixes its day, so tests of the rewritten days are tests of the change; the
+        # relationship test covers all days, from the date keys kept per day.
+        fact_t = read_table(spark, cfg, "gold", "fact_trips", schema=FACT_TRIPS)
+        _refresh_date_keys(spark, cfg, fact_t, touched)
+        log.table("fact_trips", fact_t.where(touched))
+        date_keys = read_table(spark, cfg, "gold", "fact_trips_date_keys", schema=FACT_DATE_KEYS)
+        log.run("fact_trips", quality.run_suite(
+            date_keys, quality.table_checks("fact_trips_date_keys", dim_date, "n")))
+
+        _replace_months(spark, cfg, "gold", "mart_zone_hourly_demand", marts.MONTH_COLUMN,
+                        sorted({*trip_months, *weather_months}),
+                        lambda month: marts.zone_hourly_demand_months(silver_t, bronze_w, [month]),
+                        lambda month: silver_t.where(F.col("source_month") == F.lit(month)))
 
     if register:
         from kerbside.sinks.catalog import register_lake
-        register_lake(spark, cfg)
-
-    fact_t = read_table(spark, cfg, "gold", "fact_trips", schema=FACT_TRIPS)
-    # The fact's date keys per day, refreshed for the days the load rewrote.
-    keys_kept = incremental and table_exists(spark, cfg, "gold", "fact_trips_date_keys")
-    if keys_kept and load["mode"] in ("merge", "append"):
-        touched = fact_t.where(F.col("pickup_date").isin(load["day_list"]))
-        write_layer(quality.key_profile(touched, "pickup_date_key", "pickup_date"), cfg, "gold",
-                    "fact_trips_date_keys", partition_by=["pickup_date"], replace="dynamic")
-    elif not (keys_kept and load["mode"] == "noop"):
-        write_layer(quality.key_profile(fact_t, "pickup_date_key", "pickup_date"), cfg, "gold",
-                    "fact_trips_date_keys", partition_by=["pickup_date"])
-    date_keys = read_table(spark, cfg, "gold", "fact_trips_date_keys", schema=FACT_DATE_KEYS)
-    scope = None
-    if incremental and load["mode"] in ("merge", "append"):
-        scope = fact_t.where(F.col("pickup_date").isin(load["day_list"]))
-    elif incremental and load["mode"] == "noop":
-        scope = fact_t.where(F.lit(False))
-    tests = quality.build_tests(
-        fact_t,
-        read_table(spark, cfg, "gold", "dim_date"),
-        read_table(spark, cfg, "gold", "dim_weather"),
-        read_table(spark, cfg, "gold", "dim_zone"),
-        bronze_t, bronze_w, fact_scope=scope, bronze_trips_profile=profile,
-        fact_date_keys=date_keys).collect()
-    failed = [f"{r['table_name']}.{r['column_name']}:{r['check_name']}" for r in tests if not r["success"]]
-    if failed and fail_on_tests:
-        raise quality.QualityError(f"build tests failed: {failed}")
-    return {"fact_load": load, "tests": len(tests), "failed_tests": failed,
-            "months": months, "layers_scoped": scoped}
-
-
-def fact_row_count(spark: SparkSession, cfg: LakeConfig) -> int:
-    return read_table(spark, cfg, "gold", "fact_trips").agg(F.count(F.lit(1))).first()[0]
+        register_lake(spark, cfg, catalog_prefix)
+    return {"fact_load": load, "tests": log.count, "failed_tests": log.failed, "months": trip_months}
+
+
+def _bronze(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
+    """Bronze trips, or None when the table is missing (the gate's first check)."""
+    try:
+        return read_table(spark, cfg, "bronze", cfg.bronze_trips)
+    except MissingTableError:
+        return None
+
+
+def _refresh_date_keys(spark: SparkSession, cfg: LakeConfig, fact_t: DataFrame, touched) -> None:
+    """The fact's date keys per day, recounted for the days a load touched; days that are gone go."""
+    path = cfg.path("gold", "fact_trips_date_keys")
+    kept = table_folder_exists(spark, path)
+    rows = fact_t.where(touched) if kept else fact_t
+    write_layer(quality.key_profile(rows, "pickup_date_key", "pickup_date"), cfg, "gold",
+                "fact_trips_date_keys", partition_by=["pickup_date"],
+                replace="dynamic" if kept else "static")
+    if kept:
+        stored = read_table(spark, cfg, "gold", "fact_trips_date_keys", schema=FACT_DATE_KEYS)
+        with partition_listing_only(spark):
+            gone = (stored.select("pickup_date").distinct()
+                    .join(fact_t.select("pickup_date").distinct(), "pickup_date", "left_anti").collect())
+        remove_partitions(spark, path, "pickup_date", [r[0] for r in gone])

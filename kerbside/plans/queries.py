@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from kerbside.functions.keys import date_key, hour_key
 from kerbside.functions.temporal import elapsed_minutes
 from kerbside.operators import dimensions, facts, marts, merge, quality, scan_report, serving, silver
 from kerbside.operators.scd2 import scd2_apply
+from kerbside.schemas import MART_COLUMNS
 from kerbside.sinks.writers import publish_view, write_bronze
 from kerbside.sources.trips import read_trips
 from kerbside.sources.weather import month_bounds_columns, read_landed_weather, unpack_hourly
@@ -45,6 +47,8 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's shared checkpoint dir.  Only when
     the session names none (local runs, tests) is a local one installed."""
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder the whole cluster shares")
         ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="kerbside-ckpt-"))
     return staging_path(spark, label)
 
@@ -68,7 +72,7 @@ def zone_history(spark: SparkSession, sf_dir: str, versions: int = 3) -> DataFra
     hist = None
     for v in range(1, versions + 1):
         hist = scd2_apply(hist, fixtures.zones_version(spark, sf_dir, 2 if v == 2 else 1),
-                          "zone_id", ZONE_CHECK_COLUMNS, AS_OF[v - 1])
+                          "zone_id", ZONE_CHECK_COLUMNS, AS_OF[v - 1], check_unique="in_plan")
     return hist
 
 
@@ -241,20 +245,92 @@ def q_quality_report_dirty(spark, sf_dir):
                              quality.bronze_trip_suite())
 
 
+def _tables(spark, sf_dir, weather=None) -> dict:
+    """The tested tables, made only when a test asks for them."""
+    w = weather or fixtures.bronze_weather
+    return {
+        "fact_trips": lambda: fact_trips(spark, sf_dir),
+        "dim_date": lambda: dimensions.date_dimension(silver_trips(spark, sf_dir)),
+        "dim_weather": lambda: dimensions.weather_dimension(w(spark, sf_dir)),
+        "dim_zone": lambda: dim_zone(spark, sf_dir),
+        "bronze_yellow_trips": lambda: fixtures.bronze_trips(spark, sf_dir),
+        "bronze_weather_hourly": lambda: w(spark, sf_dir),
+    }
+
+
 def q_build_tests(spark, sf_dir):
-    s = silver_trips(spark, sf_dir)
-    weather = fixtures.bronze_weather(spark, sf_dir)
-    return quality.build_tests(facts.build_fact(s), dimensions.date_dimension(s),
-                               dimensions.weather_dimension(weather), dim_zone(spark, sf_dir),
-                               fixtures.bronze_trips(spark, sf_dir), weather)
+    """The 17 tests; the fact is built and written once, and each test reads it."""
+    path = scratch(_session(spark), "fact-tested")
+    fact_trips(spark, sf_dir).write.parquet(path)
+    return quality.build_tests(_tables(spark, sf_dir) | {"fact_trips": spark.read.parquet(path)})
+
+
+def q_build_tests_dirty(spark, sf_dir):
+    """Q7-Q10 on a fact with NaN and negative amounts, missing zones, orphan date keys and a repeated key."""
+    path = scratch(_session(spark), "fact-dirty")
+    fixtures.dirty_fact(fact_trips(spark, sf_dir)).write.parquet(path)
+    return quality.build_tests(_tables(spark, sf_dir) | {"fact_trips": spark.read.parquet(path)})
+
+
+def q_fact_rejects_dirty(spark, sf_dir):
+    """Trips of a zone that the source left out: no key, so they are rejects."""
+    zone = F.col("pickup_zone_id")
+    s = silver_trips(spark, sf_dir).withColumn("pickup_zone_id", F.when(zone != 3, zone))
+    return facts.fact_rejects(s)
+
+
+def q_gate_failed_checks(spark, sf_dir):
+    """Q6: what the gate's error names on the corrupted load."""
+    try:
+        quality.gate_bronze(spark, fixtures.dirty_bronze_trips(_session(spark), sf_dir))
+        failed = []
+    except quality.QualityError as error:
+        failed = error.failed
+    return spark.createDataFrame(failed, "check_name string, column_name string")
+
+
+def q_gate_missing_table(spark, sf_dir):
+    """Q1: the gate on bronze before and after the trips land."""
+    from kerbside.plans.pipeline import _bronze
+    cfg = LakeConfig(scratch(_session(spark), "gate-lake"))
+    seen = []
+    for step in ("before", "after"):
+        if step == "after":
+            write_bronze(fixtures.bronze_trips(spark, sf_dir), cfg.path("bronze", cfg.bronze_trips))
+        try:
+            rows = quality.gate_bronze(spark, _bronze(spark, cfg))
+            seen.append((step, True, int(rows[0]["observed"])))
+        except quality.QualityError:
+            seen.append((step, False, 0))
+    return spark.createDataFrame(seen, "step string, passed boolean, row_count long")
 
 
 def _build_test_kind(spark, sf_dir, kinds: set[str]) -> DataFrame:
-    s = silver_trips(spark, sf_dir)
-    weather = fixtures.bronze_weather(spark, sf_dir)
-    return quality.build_tests(facts.build_fact(s), dimensions.date_dimension(s),
-                               dimensions.weather_dimension(weather), dim_zone(spark, sf_dir),
-                               fixtures.bronze_trips(spark, sf_dir), weather, kinds=kinds)
+    _session(spark)
+    return quality.build_tests(_tables(spark, sf_dir), kinds)
+
+
+def q_dim_weather_faint(spark, sf_dir):
+    """C3 on readings of thousandths: nothing is rounded away before it is averaged."""
+    return dimensions.weather_dimension(fixtures.faint_weather(_session(spark), sf_dir))
+
+
+def q_scd2_customer_history(spark, sf_dir):
+    """J8 at volume: three customer extracts."""
+    _session(spark)
+    hist = None
+    for v in (1, 2, 3):
+        extract = fixtures.customer_version(spark, sf_dir, 2 if v == 2 else 1)
+        hist = scd2_apply(hist, extract, "c_custkey", ["c_name", "c_mktsegment"], AS_OF[v - 1],
+                          check_unique="in_plan")
+    return hist
+
+
+def q_landed_trips_drift(spark, sf_dir):
+    """Months whose columns differ in type and number, read as one table."""
+    root = scratch(spark, "landed-drift")
+    fixtures.land_drifting_trip_files(_session(spark), sf_dir, root)
+    return read_trips(spark, root, "yellow", spark_landed=True)
 
 
 def q_not_null_report(spark, sf_dir):
@@ -313,8 +389,10 @@ def q_scan_footprint(spark, sf_dir):
     fact.write.parquet(flat)
     fact.write.partitionBy("pickup_date").parquet(by_day)
     pred = F.col("pickup_date") == F.lit(BENCH_DAY)
-    return (scan_report.scan_footprint(spark, flat, pred, "unpartitioned", False)
-            .unionByName(scan_report.scan_footprint(spark, by_day, pred, "pickup_date", True)))
+    both = (scan_report.scan_footprint(spark, flat, pred, "unpartitioned")
+            .unionByName(scan_report.scan_footprint(spark, by_day, pred, "pickup_date")))
+    # file and byte counts follow the writer's tasks; the row figures are those of the data
+    return both.select("layout", "rows_total", "rows_scanned", "rows_matched", "pct_filtered_after_read")
 
 
 def q_bronze_replace_idempotent(spark, sf_dir):
@@ -323,7 +401,7 @@ def q_bronze_replace_idempotent(spark, sf_dir):
     trips = fixtures.bronze_trips(_session(spark), sf_dir)
     write_bronze(trips, path)
     write_bronze(trips, path)
-    return silver.lineage_counts(spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 def q_bronze_stream_ingest(spark, sf_dir):
@@ -336,25 +414,44 @@ def q_bronze_stream_ingest(spark, sf_dir):
     bronze, ckpt = scratch(spark, "bronze-stream"), scratch(spark, "bronze-stream-ckpt")
     ingest_landed_trips(spark, landing, bronze, ckpt, schema)
     ingest_landed_trips(spark, landing, bronze, ckpt, schema)
-    return silver.lineage_counts(spark.read.parquet(bronze))
+    return spark.read.parquet(bronze)
+
+
+def _lake_tables(spark, cfg) -> dict:
+    from kerbside.sources.lake import read_table
+    names = {"fact_trips": "gold", "dim_date": "gold", "dim_weather": "gold", "dim_zone": "gold"}
+    tables = {n: read_table(spark, cfg, layer, n) for n, layer in names.items()}
+    return tables | {"bronze_yellow_trips": read_table(spark, cfg, "bronze", "yellow_trips"),
+                     "bronze_weather_hourly": read_table(spark, cfg, "bronze", "weather_hourly")}
 
 
 def q_pipeline_end_to_end(spark, sf_dir):
-    """C12 over the fixtures into a scratch lake, run twice; the build tests
+    """C12 over the fixtures into a scratch lake, run three times; the build tests
     are then re-evaluated on the written tables."""
     from kerbside.plans.pipeline import run_pipeline
-    from kerbside.sources.lake import read_table
-    _session(spark)
-    cfg = LakeConfig(scratch(spark, "lake"))
-    trips = fixtures.bronze_trips(spark, sf_dir)
-    weather = fixtures.bronze_weather(spark, sf_dir)
+    cfg = LakeConfig(scratch(_session(spark), "lake"))
+    trips, weather = fixtures.bronze_trips(spark, sf_dir), fixtures.clean_weather(spark, sf_dir)
     for version, stamp in ((1, AS_OF[0]), (2, AS_OF[1]), (1, AS_OF[2])):
-        run_pipeline(spark, cfg, trips, weather, fixtures.zones_version(spark, sf_dir, version),
-                     stamp, fail_on_tests=False)
-    t = lambda layer, n: read_table(spark, cfg, layer, n)
-    return quality.build_tests(t("gold", "fact_trips"), t("gold", "dim_date"),
-                               t("gold", "dim_weather"), t("gold", "dim_zone"),
-                               t("bronze", "yellow_trips"), t("bronze", "weather_hourly"))
+        run_pipeline(spark, cfg, trips, weather, fixtures.zones_version(spark, sf_dir, version), stamp)
+    return quality.build_tests(_lake_tables(spark, cfg))
+
+
+def q_pipeline_failing_build(spark, sf_dir):
+    """Weather that landed twice fails its test; which tables were written by then."""
+    from kerbside.plans.pipeline import run_pipeline
+    from kerbside.sinks.catalog import LAKE_TABLES
+    from kerbside.sources.lake import table_exists
+    cfg = LakeConfig(scratch(_session(spark), "failing-lake"))
+    try:
+        weather = fixtures.clean_weather(spark, sf_dir)
+        run_pipeline(spark, cfg, fixtures.bronze_trips(spark, sf_dir), weather.unionByName(weather),
+                     fixtures.zones_version(spark, sf_dir, 1), AS_OF[0])
+        failed = ""
+    except quality.QualityError as error:
+        failed = ", ".join(f"{check}({column})" for check, column in error.failed)
+    rows = [(f"{layer}.{name}", table_exists(spark, cfg, layer, name), failed)
+            for layer, name in LAKE_TABLES]
+    return spark.createDataFrame(rows, "table_name string, written boolean, failed string")
 
 
 def q_integrity_extras(spark, sf_dir):
@@ -362,89 +459,93 @@ def q_integrity_extras(spark, sf_dir):
     return quality.integrity_extras(fact_trips(spark, sf_dir), dim_zone(spark, sf_dir), weather)
 
 
-_LAKES: dict[tuple[int, str], LakeConfig] = {}
+def built_lake(spark: SparkSession, sf_dir: str, prefix: str | None = None) -> LakeConfig:
+    """A lake built from the fixtures; with ``prefix`` its tables are registered as ``{prefix}gold.fact_trips`` ..."""
+    from kerbside.plans.pipeline import run_pipeline
+    cfg = LakeConfig(scratch(_session(spark), "sql-lake"))
+    run_pipeline(spark, cfg, fixtures.bronze_trips(spark, sf_dir), fixtures.clean_weather(spark, sf_dir),
+                 fixtures.zones_version(spark, sf_dir, 1), AS_OF[0],
+                 register=prefix is not None, catalog_prefix=prefix or "")
+    return cfg
 
 
-def registered_lake(spark: SparkSession, sf_dir: str) -> LakeConfig:
-    """Build the lake from the fixtures once per session and register its
-    tables in the catalog (``gold.fact_trips`` ...)."""
+def late_days_lake(spark: SparkSession, sf_dir: str) -> LakeConfig:
+    """The second half of January lands first, then the whole month again, with days before the last loaded one."""
     from kerbside.plans.pipeline import run_pipeline
-    _session(spark)
-    key = (id(spark), sf_dir)
-    if key not in _LAKES:
-        cfg = LakeConfig(scratch(spark, "sql-lake"))
-        run_pipeline(spark, cfg, fixtures.bronze_trips(spark, sf_dir),
-                     fixtures.bronze_weather(spark, sf_dir),
-                     fixtures.zones_version(spark, sf_dir, 1), AS_OF[0],
-                     fail_on_tests=False, register=True)
-        _LAKES[key] = cfg
-    else:
-        # make sure this session's catalog still points at this lake
-        from kerbside.sinks.catalog import register_lake, table_location
-        cfg = _LAKES[key]
-        fact = cfg.path("gold", "fact_trips")
-        if (not spark.catalog.tableExists("gold.fact_trips")
-                or table_location(spark, "gold.fact_trips") != fact):
-            register_lake(spark, cfg)
-    return _LAKES[key]
-
-
-_INCREMENTAL_LAKES: dict[tuple[int, str], LakeConfig] = {}
-
-
-def incremental_lake(spark: SparkSession, sf_dir: str) -> LakeConfig:
-    """The lake after two month-scoped runs: the trips and weather of the
-    first half of January, then the whole month re-landed (once per session)."""
+    cfg = LakeConfig(scratch(_session(spark), "late-lake"))
+    trips, weather = fixtures.bronze_trips(spark, sf_dir), fixtures.clean_weather(spark, sf_dir)
+    cut = F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")
+    late = trips.where((F.col("tpep_pickup_datetime") >= cut)
+                       | (F.col("_source_month") != INCREMENTAL_MONTH))
+    run_pipeline(spark, cfg, late, weather.where(F.col("observed_at") >= INCREMENTAL_CUT),
+                 fixtures.zones_version(spark, sf_dir, 1), AS_OF[0])
+    run_pipeline(spark, cfg, trips, weather)
+    return cfg
+
+
+def emptied_month_lake(spark: SparkSession, sf_dir: str) -> LakeConfig:
+    """Two months of trips, then the earlier one again as refunds only, of which none survives cleaning."""
     from kerbside.plans.pipeline import run_pipeline
-    _session(spark)
-    key = (id(spark), sf_dir)
-    if key not in _INCREMENTAL_LAKES:
-        cfg = LakeConfig(scratch(spark, "incremental-lake"))
-        trips = fixtures.bronze_trips(spark, sf_dir)
-        weather = fixtures.bronze_weather(spark, sf_dir)
-        cut = F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")
-        first = trips.where((F.col("tpep_pickup_datetime") < cut)
-                            | (F.col("_source_month") != INCREMENTAL_MONTH))
-        run_pipeline(spark, cfg, first, weather.where(F.col("observed_at") < INCREMENTAL_CUT),
-                     fixtures.zones_version(spark, sf_dir, 1), AS_OF[0], fail_on_tests=False)
-        run_pipeline(spark, cfg, trips, weather, fail_on_tests=False)
-        _INCREMENTAL_LAKES[key] = cfg
-    return _INCREMENTAL_LAKES[key]
+    cfg = LakeConfig(scratch(_session(spark), "emptied-lake"))
+    trips, weather = fixtures.two_month_trips(spark, sf_dir), fixtures.clean_weather(spark, sf_dir)
+    run_pipeline(spark, cfg, trips, weather, fixtures.zones_version(spark, sf_dir, 1), AS_OF[0])
+    refunds = (trips.where(F.col("_source_month") < INCREMENTAL_MONTH)
+               .withColumn("total_amount", -F.abs("total_amount") - 1))
+    run_pipeline(spark, cfg, refunds, weather)
+    return cfg
 
 
-def q_pipeline_incremental_fact(spark, sf_dir):
-    """The fact after a created half month and an appended second half."""
+def _lake_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str, columns: list[str]) -> DataFrame:
     from kerbside.sources.lake import read_table
-    cfg = incremental_lake(spark, sf_dir)
-    return read_table(spark, cfg, "gold", "fact_trips").select(*facts.FACT_COLUMNS)
+    return read_table(spark, cfg, layer, name).select(*columns)
+
+
+def q_pipeline_incremental_fact(spark, sf_dir):
+    """The fact after half a month and then, re-landed, the whole month, late days included."""
+    return _lake_table(spark, late_days_lake(spark, sf_dir), "gold", "fact_trips", facts.FACT_COLUMNS)
 
 
 def q_pipeline_incremental_mart(spark, sf_dir):
     """The mart after the re-landed month replaced its month partition."""
-    from kerbside.schemas import MART_COLUMNS
-    from kerbside.sources.lake import read_table
-    cfg = incremental_lake(spark, sf_dir)
-    return read_table(spark, cfg, "gold", "mart_zone_hourly_demand").select(*MART_COLUMNS)
+    return _lake_table(spark, late_days_lake(spark, sf_dir), "gold", "mart_zone_hourly_demand", MART_COLUMNS)
 
 
-def q_sql_top_zones(spark, sf_dir):
-    registered_lake(spark, sf_dir)
-    return serving.run_serving_sql(spark, "top_zones")
+def q_pipeline_emptied_month_fact(spark, sf_dir):
+    """The fact after a month was re-landed without a surviving trip: that month's days are gone."""
+    return _lake_table(spark, emptied_month_lake(spark, sf_dir), "gold", "fact_trips", facts.FACT_COLUMNS)
+
+
+def _lookup(spark, sf_dir, name: str, **params) -> DataFrame:
+    """A bound lookup on a lake registered under names of its own."""
+    prefix = f"kerbside_{uuid.uuid4().hex[:12]}_"
+    built_lake(spark, sf_dir, prefix)
+    return serving.run_serving_sql(spark, name, f"{prefix}gold", **params)
 
 
 def q_sql_zone_demand(spark, sf_dir):
-    registered_lake(spark, sf_dir)
-    return serving.run_serving_sql(spark, "zone_demand", zone_id=DEMAND_ZONE, limit=24)
+    return _lookup(spark, sf_dir, "zone_demand", zone_id=DEMAND_ZONE, limit=24)
 
 
 def q_sql_single_day_revenue(spark, sf_dir):
-    registered_lake(spark, sf_dir)
-    return serving.run_serving_sql(spark, "single_day_revenue", day=BENCH_DAY)
+    return _lookup(spark, sf_dir, "single_day_revenue", day=BENCH_DAY)
+
+
+def _dashboard(spark, sf_dir, name: str) -> DataFrame:
+    """A dashboard view, by name, over the mart and the zones."""
+    serving.publish_dashboards(mart(spark, sf_dir), dim_zone(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM dashboard_{name}")
+
+
+def q_sql_top_zones(spark, sf_dir):
+    return _dashboard(spark, sf_dir, "top_zones")
+
+
+def q_sql_hourly_profile(spark, sf_dir):
+    return _dashboard(spark, sf_dir, "hourly_profile")
 
 
 def q_sql_daily_trips_vs_temperature(spark, sf_dir):
-    registered_lake(spark, sf_dir)
-    return serving.run_serving_sql(spark, "daily_trips_vs_temperature")
+    return _dashboard(spark, sf_dir, "daily_trips_vs_temperature")
 
 
 QUERIES: dict[str, Query] = {
@@ -499,10 +600,20 @@ QUERIES: dict[str, Query] = {
     "sql_zone_demand": q_sql_zone_demand,
     "sql_single_day_revenue": q_sql_single_day_revenue,
     "sql_daily_trips_vs_temperature": q_sql_daily_trips_vs_temperature,
+    "sql_hourly_profile": q_sql_hourly_profile,
+    "build_tests_dirty": q_build_tests_dirty,
+    "fact_rejects_dirty": q_fact_rejects_dirty,
+    "gate_failed_checks": q_gate_failed_checks,
+    "gate_missing_table": q_gate_missing_table,
+    "dim_weather_faint": q_dim_weather_faint,
+    "scd2_customer_history": q_scd2_customer_history,
+    "landed_trips_drift": q_landed_trips_drift,
+    "pipeline_failing_build": q_pipeline_failing_build,
+    "pipeline_emptied_month_fact": q_pipeline_emptied_month_fact,
 }
 
 
-_MONEY = "CAST(sum(CAST(total_amount AS DECIMAL(28,2))) AS DOUBLE)"
+_MONEY = "CAST(sum(CAST(total_amount AS DECIMAL(28,9))) AS DOUBLE)"
 
 ORACLE: dict[str, str] = {
     "clean_trips": sql(["silver"], "SELECT * FROM silver"),
@@ -531,7 +642,7 @@ ORACLE: dict[str, str] = {
         FROM mart GROUP BY 1 ORDER BY 1"""),
     "daily_trips_vs_temperature": sql(["mart"], """
         SELECT CAST(pickup_hour AS DATE) AS day, CAST(sum(trip_count) AS BIGINT) AS trips,
-               round(CAST(sum(CAST(temperature_2m AS DECIMAL(28,6))) AS DOUBLE)
+               round(CAST(sum(CAST(temperature_2m AS DECIMAL(28,9))) AS DOUBLE)
                      / count(temperature_2m), 1) AS avg_temp_c
         FROM mart GROUP BY 1 ORDER BY 1"""),
     "zone_demand_latest": sql(["mart"], f"""
@@ -541,7 +652,7 @@ ORACLE: dict[str, str] = {
     "fact_trips": sql(["fact"], "SELECT * FROM fact"),
     "single_day_revenue": sql(["fact"], f"""
         SELECT count(*) AS c,
-               CAST(round(sum(CAST(total_amount AS DECIMAL(28,2))), 0) AS DOUBLE) AS rev
+               CAST(round(sum(CAST(total_amount AS DECIMAL(28,9))), 0) AS DOUBLE) AS rev
         FROM fact WHERE pickup_date = DATE '{BENCH_DAY.isoformat()}'"""),
     "duplicates_removed": sql(["keyed"], """
         SELECT count(*) AS rows_in, count(DISTINCT trip_key) AS rows_out,
@@ -605,7 +716,7 @@ def _test_sql(table: str, src: str, check: str, col: str, cond: str | None = Non
         frm = (f"(SELECT {col} FROM {src} WHERE {col} IS NOT NULL AND {col} NOT IN "
                f"(SELECT date_key FROM dim_date WHERE date_key IS NOT NULL))")
     else:  # accepted_range: min 0 exclusive
-        obs = f"count_if({col} IS NOT NULL AND NOT ({col} > 0))"
+        obs = f"count_if({col} IS NOT NULL AND (isnan(CAST({col} AS DOUBLE)) OR NOT ({col} > 0)))"
         frm = src
     return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{col}' AS column_name, "
             f"CAST({obs} AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold, {obs} = 0 AS success FROM {frm}")
@@ -638,6 +749,16 @@ def _build_tests_of(check: str) -> str:
     return sql(_BUILD_TEST_VIEWS, "\nUNION ALL ".join(
         _test_sql(*t) for t in _BUILD_TESTS if t[2] == check))
 
+_DIRTY = """
+          SELECT CASE WHEN minute(tpep_pickup_datetime) % 50 = 0 THEN NULL
+                      ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
+                 pulocationid,
+                 CASE WHEN total_amount < 0 THEN 99 ELSE passenger_count END AS passenger_count,
+                 CASE WHEN total_amount < 0 THEN trip_distance * 100 ELSE trip_distance END
+                   AS trip_distance,
+                 total_amount
+          FROM bronze_trips"""
+
 ORACLE.update({
     "fact_rejects": sql(["keyed"], "SELECT * FROM keyed WHERE trip_key IS NULL"),
     "month_bounds": sql(["bronze_trips"], """
@@ -648,15 +769,7 @@ ORACLE.update({
     "quality_report": sql(["bronze_trips"], _suite_sql("bronze_trips")),
     "quality_report_from_profile": sql(["bronze_trips"], _suite_sql("bronze_trips")),
     "quality_report_dirty": sql(["bronze_trips"], f"""
-        , dirty AS (
-          SELECT CASE WHEN minute(tpep_pickup_datetime) % 50 = 0 THEN NULL
-                      ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
-                 pulocationid,
-                 CASE WHEN total_amount < 0 THEN 99 ELSE passenger_count END AS passenger_count,
-                 CASE WHEN total_amount < 0 THEN trip_distance * 100 ELSE trip_distance END
-                   AS trip_distance,
-                 total_amount
-          FROM bronze_trips)
+        , dirty AS ({_DIRTY})
         {_suite_sql("dirty")}"""),
     "build_tests": BUILD_TESTS_SQL,
     "not_null_report": _build_tests_of("not_null"),
@@ -667,9 +780,14 @@ ORACLE.update({
         SELECT * FROM fact WHERE pickup_date > DATE '{BENCH_DAY.isoformat()}'"""),
     "merge_idempotent": sql(["fact"], "SELECT * FROM fact"),
     "merge_backfill": sql(["fact"], "SELECT * FROM fact"),
-    "bronze_replace_idempotent": ORACLE["lineage_counts"],
-    "bronze_stream_ingest": ORACLE["lineage_counts"],
-    "pipeline_end_to_end": BUILD_TESTS_SQL,
+    "bronze_replace_idempotent": sql(["bronze_trips"], "SELECT * FROM bronze_trips"),
+    "bronze_stream_ingest": sql(["bronze_trips"], "SELECT * FROM bronze_trips"),
+    "pipeline_end_to_end": sql([*_BUILD_TEST_VIEWS, "clean_weather"], "\nUNION ALL ".join(
+        _test_sql(t, src.replace("bronze_weather", "clean_weather"), check, col)
+        for t, src, check, col in _BUILD_TESTS)),
+    "build_tests_dirty": sql([*_BUILD_TEST_VIEWS, "dirty_fact"], "\nUNION ALL ".join(
+        _test_sql(t, "dirty_fact" if src == "fact" else src, check, col)
+        for t, src, check, col in _BUILD_TESTS)),
     "integrity_extras": sql(["fact", "dim_zone", "dim_weather"], """
         SELECT 'relationships' AS check_name, 'pickup_zone_id' AS column_name,
                CAST(count(*) AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
@@ -690,7 +808,6 @@ ORACLE.update({
 
 ORACLE.update({
     "sql_top_zones": ORACLE["top_zones"],
-    "sql_zone_demand": ORACLE["zone_demand_latest"],
     "sql_single_day_revenue": ORACLE["single_day_revenue"],
     "sql_daily_trips_vs_temperature": ORACLE["daily_trips_vs_temperature"],
     "landed_trips_scan": sql(["bronze_trips"], "SELECT * FROM bronze_trips"),
@@ -698,5 +815,57 @@ ORACLE.update({
     "zone_seed_scan": sql(["zones_v1"], "SELECT * FROM zones_v1"),
     "sql_mart_over_views": ORACLE["zone_hourly_demand"],
     "pipeline_incremental_fact": ORACLE["fact_trips"],
-    "pipeline_incremental_mart": ORACLE["zone_hourly_demand"],
+    "pipeline_incremental_mart": sql(["clean_mart"], "SELECT * FROM clean_mart"),
+    "pipeline_emptied_month_fact": sql(["fact"], f"""
+        SELECT * FROM fact WHERE pickup_date >= DATE '{INCREMENTAL_CUT}'"""),
+    "sql_zone_demand": sql(["clean_mart"], f"""
+        SELECT pickup_hour, trip_count, revenue, avg_distance, temperature_2m, precipitation
+        FROM clean_mart WHERE pickup_zone_id = {DEMAND_ZONE}
+        ORDER BY pickup_hour DESC LIMIT 24"""),
+    "sql_hourly_profile": ORACLE["hourly_profile"],
+    "fact_rejects_dirty": sql(["keyed"], """
+        SELECT * REPLACE (CAST(NULL AS VARCHAR) AS trip_key, CAST(NULL AS INTEGER) AS pickup_zone_id)
+        FROM keyed WHERE pickup_zone_id = 3"""),
+    "gate_failed_checks": sql(["bronze_trips"], f"""
+        , dirty AS ({_DIRTY})
+        SELECT check_name, column_name FROM ({_suite_sql("dirty")}) WHERE NOT success"""),
+    "gate_missing_table": sql(["bronze_trips"], """
+        SELECT 'before' AS step, false AS passed, CAST(0 AS BIGINT) AS row_count
+        UNION ALL SELECT 'after', true, count(*) FROM bronze_trips"""),
+    "dim_weather_faint": sql(["faint_hourly"], """
+        SELECT CAST(strftime(weather_hour, '%Y%m%d%H') AS BIGINT) AS weather_key, weather_hour,
+               temperature_2m, CAST(thousandths AS DOUBLE) / 1000 / n AS precipitation,
+               wind_speed_10m, thousandths > 0 AS is_wet
+        FROM faint_hourly"""),
+    "scd2_customer_history": """
+        WITH c AS (SELECT c_custkey, c_name, c_mktsegment, c_custkey % 5 = 0 AS moves,
+                          c_custkey % 11 = 10 AS leaves FROM customer)
+        SELECT c_custkey, c_name, c_mktsegment, TIMESTAMP '2024-01-01 00:00:00' AS valid_from,
+               CASE WHEN moves OR leaves THEN TIMESTAMP '2024-02-01 00:00:00' END AS valid_to FROM c
+        UNION ALL
+        SELECT c_custkey, c_name, 'MOVED', TIMESTAMP '2024-02-01 00:00:00',
+               TIMESTAMP '2024-03-01 00:00:00' FROM c WHERE moves AND NOT leaves
+        UNION ALL
+        SELECT c_custkey, c_name, c_mktsegment, TIMESTAMP '2024-03-01 00:00:00',
+               CAST(NULL AS TIMESTAMP) FROM c WHERE moves OR leaves""",
+    "landed_trips_drift": sql(["bronze_trips"], """
+        SELECT * REPLACE (CASE WHEN _source_month <> '2023-12' THEN dolocationid END AS dolocationid)
+        FROM bronze_trips"""),
+    "pipeline_failing_build": """
+        SELECT t AS table_name, t IN ('bronze.yellow_trips', 'bronze.weather_hourly',
+                                      'bronze.yellow_trips_profile') AS written,
+               'unique(bronze_weather_hourly.observed_at)' AS failed
+        FROM (VALUES ('bronze.yellow_trips'), ('bronze.weather_hourly'), ('bronze.yellow_trips_profile'),
+                     ('snapshots.zone_snapshot'), ('silver.stg_yellow_trips'), ('gold.dim_zone'),
+                     ('gold.dim_date'), ('gold.dim_weather'), ('gold.fact_trips'),
+                     ('gold.fact_trips_date_keys'), ('gold.mart_zone_hourly_demand')) AS v(t)""",
+    "scan_footprint": sql(["fact"], f"""
+        , n AS (SELECT count(*) AS total,
+                       CAST(count_if(pickup_date = DATE '{BENCH_DAY.isoformat()}') AS BIGINT) AS matched
+                FROM fact)
+        SELECT 'unpartitioned' AS layout, total AS rows_total, total AS rows_scanned,
+               matched AS rows_matched,
+               round((total - matched) * 100.0 / total, 1) AS pct_filtered_after_read FROM n
+        UNION ALL
+        SELECT 'pickup_date', total, matched, matched, CAST(0.0 AS DOUBLE) FROM n"""),
 })

@@ -27,15 +27,6 @@ WEATHER_PAYLOAD = T.StructType([
     ])),
 ])
 
-BRONZE_WEATHER = T.StructType([
-    T.StructField("observed_at", T.StringType()),
-    T.StructField("temperature_2m", T.DoubleType()),
-    T.StructField("precipitation", T.DoubleType()),
-    T.StructField("wind_speed_10m", T.DoubleType()),
-    T.StructField("weather_code", T.LongType()),
-    T.StructField("_source_month", T.StringType()),
-])
-
 # Zone lookup seed as shipped: quoted header, numeric id.
 ZONE_LOOKUP = T.StructType([
     T.StructField("LocationID", T.IntegerType()),
@@ -44,13 +35,6 @@ ZONE_LOOKUP = T.StructType([
     T.StructField("service_zone", T.StringType()),
 ])
 
-ZONES = T.StructType([
-    T.StructField("zone_id", T.IntegerType()),
-    T.StructField("borough", T.StringType()),
-    T.StructField("zone_name", T.StringType()),
-    T.StructField("service_zone", T.StringType()),
-])
-
 SILVER_TRIPS = T.StructType([
     T.StructField("pickup_ts", T.TimestampNTZType()),
     T.StructField("dropoff_ts", T.TimestampNTZType()),
@@ -86,11 +70,5 @@ FACT_DATE_KEYS = T.StructType([
     T.StructField("pickup_date", T.DateType()),
 ])
 
-DIM_DATE_COLUMNS = ["date_key", "date_day", "year", "month", "day_of_month",
-                    "day_of_week", "is_weekend"]
-DIM_WEATHER_COLUMNS = ["weather_key", "weather_hour", "temperature_2m", "precipitation",
-                       "wind_speed_10m", "is_wet"]
-DIM_ZONE_COLUMNS = ["zone_id", "borough", "zone_name", "service_zone", "valid_from",
-                    "valid_to", "is_current"]
 MART_COLUMNS = ["pickup_zone_id", "pickup_hour", "trip_count", "revenue", "avg_distance",
                 "temperature_2m", "precipitation"]

@@ -38,37 +38,56 @@ def table_location(spark: SparkSession, qualified: str) -> str:
     return _norm(rows[0]["data_type"]) if rows else ""
 
 
+OWNER_PROPERTY = "kerbside.lake"
+
+
+class CatalogConflictError(RuntimeError):
+    """The catalog holds a table of that name that no lake registered."""
+
+
+def _registered_by_a_lake(spark: SparkSession, qualified: str) -> bool:
+    kind = (spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}")
+            .where("col_name = 'Type'").collect())
+    owner = spark.sql(f"SHOW TBLPROPERTIES {qualified}").where(f"key = '{OWNER_PROPERTY}'").collect()
+    return bool(kind) and kind[0]["data_type"] == "EXTERNAL" and bool(owner)
+
+
 def register_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str,
-                   partitioned: bool = False) -> str:
-    """Create (once) ``layer.name`` over the table folder and sync its partitions."""
+                   partitioned: bool = False, prefix: str = "") -> str:
+    """Create (once) ``{prefix}{layer}.name`` over the table folder and sync its partitions.
+
+    A table of that name elsewhere is repointed only when a lake registered it
+    (it is external and carries the lake's property); anything else raises
+    :class:`CatalogConflictError` and is left alone.
+    """
     if layer not in LAYERS:
         raise ValueError(f"unknown layer {layer!r}")
-    qualified = f"{layer}.{name}"
+    qualified = f"{prefix}{layer}.{name}"
     # The layer's database lives with the lake (shared storage), not in the
     # session's default warehouse folder.
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{cfg.root.rstrip('/')}/{layer}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} "
+              f"LOCATION '{cfg.root.rstrip('/')}/{layer}'")
     path = cfg.path(layer, name)
     if spark.catalog.tableExists(qualified) and table_location(spark, qualified) != _norm(path):
-        # registered for another lake: repoint it (dropping an external table keeps its files)
-        spark.sql(f"DROP TABLE {qualified}")
+        if not _registered_by_a_lake(spark, qualified):
+            raise CatalogConflictError(f"{qualified} exists and was not registered by a lake")
+        spark.sql(f"DROP TABLE {qualified}")     # external: its files stay
     if not spark.catalog.tableExists(qualified):
-        spark.catalog.createTable(qualified, path=path, source="parquet")
+        spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{path}' "
+                  f"TBLPROPERTIES ('{OWNER_PROPERTY}' = '{cfg.root}')")
     if partitioned:
         spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
     spark.catalog.refreshTable(qualified)
     return qualified
 
 
-def register_lake(spark: SparkSession, cfg: LakeConfig) -> list[str]:
-    """Register every lake table that exists on storage."""
+def register_lake(spark: SparkSession, cfg: LakeConfig, prefix: str = "") -> list[str]:
+    """Register every lake table that exists on storage, in databases named
+    ``{prefix}{layer}``."""
     from kerbside.sources.lake import table_exists
 
     done = []
     for (layer, name), part in LAKE_TABLES.items():
         if table_exists(spark, cfg, layer, name):
-            done.append(register_table(spark, cfg, layer, name, part is not None))
+            done.append(register_table(spark, cfg, layer, name, part is not None, prefix))
     return done
-
-
-def table(spark: SparkSession, layer: str, name: str) -> DataFrame:
-    return spark.table(f"{layer}.{name}")

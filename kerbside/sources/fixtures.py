@@ -149,6 +149,79 @@ def weather_payloads(spark: SparkSession, sf_dir: str, chunk: int = 16) -> DataF
     return grouped.select("payload_id", "month", hourly.alias("hourly"))
 
 
+# --- variants that give tests and months something to find -------------------
+
+def clean_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze weather with one reading a time stamp, that of the smallest event."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
+    at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm")
+    first = e.groupBy(at.alias("observed_at")).agg(
+        F.min_by(F.struct("event_id", "value", "ts"), "event_id").alias("r"))
+    eid = F.col("r.event_id")
+    return first.select(
+        "observed_at", F.col("r.value").alias("temperature_2m"),
+        (eid % 3).cast("double").alias("precipitation"),
+        (eid % 20).cast("double").alias("wind_speed_10m"),
+        (eid % 4).cast("bigint").alias("weather_code"),
+        F.date_format("r.ts", "yyyy-MM").alias("_source_month"))
+
+
+def faint_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze weather whose rain readings are thousandths of a millimetre."""
+    return bronze_weather(spark, sf_dir).withColumn("precipitation", F.col("precipitation") * 0.002)
+
+
+def two_month_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze trips with the days before the 15th moved fifteen days back, into the month before."""
+    trips = bronze_trips(spark, sf_dir)
+    early = F.dayofmonth("tpep_pickup_datetime") < 15
+    back = F.expr("INTERVAL 15 DAYS")
+    moved = trips.where(early).select(
+        *[(F.col(c) - back).alias(c) if c.startswith("tpep_") else F.col(c)
+          for c in trips.columns])
+    moved = moved.withColumn("_source_month", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+    return trips.where(~early | early.isNull()).unionByName(moved)
+
+
+def dirty_fact(fact: DataFrame) -> DataFrame:
+    """Fact rows with planted faults: NaN and negative amounts, missing zones, orphan date keys, a key that repeats."""
+    m = F.col("trip_minutes")
+    amount = (F.when(m % 10 == 0, F.lit(float("nan"))).when(m % 11 == 0, -F.col("total_amount"))
+              .otherwise(F.col("total_amount")))
+    return fact.select(
+        F.when(m % 17 == 0, F.lit("X")).otherwise(F.col("trip_key")).alias("trip_key"), "pickup_date",
+        F.when(m % 19 == 0, F.lit(19000101)).otherwise(F.col("pickup_date_key")).alias("pickup_date_key"),
+        "pickup_weather_key",
+        F.when(m % 13 == 0, F.lit(None).cast("int")).otherwise(F.col("pickup_zone_id")).alias("pickup_zone_id"),
+        "dropoff_zone_id", "pickup_ts", "dropoff_ts", "trip_minutes", "passenger_count",
+        "trip_distance", amount.alias("total_amount"))
+
+
+def customer_version(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
+    """Customer extract: version 2 moves every fifth key to another segment and drops every eleventh."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    if version == 2:
+        moved = F.when(F.col("c_custkey") % 5 == 0, F.lit("MOVED")).otherwise(F.col("c_mktsegment"))
+        c = c.withColumn("c_mktsegment", moved).where(F.col("c_custkey") % 11 != 10)
+    return c
+
+
+def land_drifting_trip_files(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Land the bronze trips by month with another schema in each: the earlier month has double passenger counts
+    and no dropoff zone, the later one whole counts."""
+    from kerbside.sinks.writers import land_files
+
+    trips = bronze_trips(spark, sf_dir)
+    name = F.concat(F.lit("yellow_tripdata_"), F.col("_source_month"), F.lit(".parquet"))
+    drop = ("_source_dataset", "_source_month")
+    early = F.col("_source_month") == "2023-12"
+    land_files(trips.where(~early), root, name, drop=drop)
+    other = trips.where(early).drop("dolocationid").withColumn(
+        "passenger_count", F.col("passenger_count").cast("double"))
+    land_files(other, root, name, drop=drop)
+    return root
+
+
 # --- landed source files derived from the driver tables ----------------------
 
 def land_trip_files(spark: SparkSession, sf_dir: str, root: str, dataset: str = "yellow") -> str:

@@ -1,9 +1,9 @@
 """Monthly trip files -> one bronze DataFrame with lineage columns.
 
 The download itself is out of scope: files are expected to be landed under a
-shared prefix as ``{dataset}_tripdata_{YYYY-MM}.parquet``.  All months are read
-by ONE scan, so Spark splits the files across executors; lineage comes from the
-hidden ``_metadata.file_path`` column instead of a per-file Python loop.
+shared prefix as ``{dataset}_tripdata_{YYYY-MM}.parquet``.  Columns change type and come and
+go between months, so each month is scanned with the schema of one of its own footers, cast to
+the bronze contract and unioned by name; lineage comes from the file names.
 """
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.schemas import BRONZE_TRIPS
+
 # The trip datasets that may be ingested and the landed file name.
 DATASETS = ("yellow", "green", "fhvhv")
 FILE_TEMPLATE = "{dataset}_tripdata_{month}.parquet"
@@ -24,7 +26,7 @@ MONTH_PATTERN = re.compile(r"^\d{4}-(0[1-9]|1[0-2])$")
 
 def check_dataset(dataset: str) -> str:
     if dataset not in DATASETS:
-        raise ValueError(f"unknown dataset {dataset!r}; choose from {sorted(DATASETS)}")
+        raise ValueError(f"no trip files are known as {dataset!r}")
     return dataset
 
 
@@ -54,25 +56,52 @@ def landed_paths(root: str, names: list[str], spark_landed: bool = False) -> lis
     return [f"{root.rstrip('/')}/{prefix}{n}" for n in names]
 
 
+def landed_months(spark: SparkSession, root: str, dataset: str,
+                  spark_landed: bool = False) -> list[str]:
+    """Months with a landed file, from the file names (no column is read; one row a month comes back)."""
+    pattern = landed_paths(root, [f"{check_dataset(dataset)}_tripdata_*.parquet"], spark_landed)
+    name = F.regexp_extract(F.col("_metadata.file_path"), FILE_PATTERN, 2)
+    return sorted(r.m for r in spark.read.parquet(*pattern).select(name.alias("m")).distinct().collect())
+
+
+def _to_contract(df: DataFrame) -> DataFrame:
+    """Contract columns in their contract types; other columns as text unless every month agrees (see read_trips)."""
+    types = {f.name: f.dataType for f in BRONZE_TRIPS.fields}
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c)
+                       for c in df.columns])
+
+
 def read_trips(spark: SparkSession, root: str, dataset: str, months: list[str] | None = None,
                spark_landed: bool = False) -> DataFrame:
-    """Scan the landed files of ``months`` (all landed months when None) as one
-    DataFrame.
+    """The landed files of ``months`` (all landed months when None) as one DataFrame.
 
-    Adds ``_source_dataset`` and ``_source_month`` parsed from each row's file
-    name.  ``mergeSchema`` unions columns that appear only in some months.
+    Contract columns that a month lacks are NULL there; a column outside the
+    contract whose type differs between months becomes text.  Adds
+    ``_source_dataset`` and ``_source_month`` from each row's file name.
     """
+    check_dataset(dataset)
     if months is None:
-        names = [f"{check_dataset(dataset)}_tripdata_*.parquet"]
-    elif not months:
+        months = landed_months(spark, root, dataset, spark_landed)
+    if not months:
         raise ValueError("at least one month is required")
-    else:
-        names = [trip_file_name(dataset, m) for m in months]
-    raw = spark.read.option("mergeSchema", "true").parquet(*landed_paths(root, names, spark_landed))
-    raw = lower_case_columns(raw)
-    name = F.col("_metadata.file_path")
-    return raw.select(
-        "*",
-        F.regexp_extract(name, FILE_PATTERN, 1).alias("_source_dataset"),
-        F.regexp_extract(name, FILE_PATTERN, 2).alias("_source_month"),
-    )
+    parts = []
+    for month in months:
+        raw = spark.read.parquet(*landed_paths(root, [trip_file_name(dataset, month)], spark_landed))
+        path = F.col("_metadata.file_path")
+        parts.append(_to_contract(lower_case_columns(raw.select(
+            "*", F.regexp_extract(path, FILE_PATTERN, 1).alias("_source_dataset"),
+            F.regexp_extract(path, FILE_PATTERN, 2).alias("_source_month")))))
+    kinds: dict[str, set[str]] = {}
+    for part in parts:
+        for column, kind in part.dtypes:
+            kinds.setdefault(column, set()).add(kind)
+    mixed = {c for c, k in kinds.items() if len(k) > 1}
+    out = None
+    for part in parts:
+        part = part.select(*[F.col(c).cast("string").alias(c) if c in mixed else F.col(c)
+                             for c in part.columns])
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    for field in BRONZE_TRIPS.fields if dataset == "yellow" else ():
+        if field.name not in out.columns:
+            out = out.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return out

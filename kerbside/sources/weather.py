@@ -7,8 +7,6 @@ on the executors -- no driver-side unpacking.
 """
 from __future__ import annotations
 
-import calendar
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,15 +23,8 @@ LOCAL_TIME_ZONE = "America/New_York"
 FILE_PATTERN = r"weather_(\d{4}-\d{2})\.json(?:/|$)"
 
 
-def month_bounds(month: str) -> tuple[str, str]:
-    """First and last day of ``YYYY-MM`` as ISO text (leap years handled)."""
-    year, mon = (int(x) for x in check_month(month).split("-"))
-    last = calendar.monthrange(year, mon)[1]
-    return f"{month}-01", f"{month}-{last:02d}"
-
-
 def month_bounds_columns(month: Column | str) -> tuple[Column, Column]:
-    """Column form of :func:`month_bounds`: (first_day, last_day) as DATE."""
+    """First and last day, as DATE, of a ``YYYY-MM`` column."""
     m = F.col(month) if isinstance(month, str) else month
     first = F.to_date(F.concat(m, F.lit("-01")))
     return first, F.last_day(first)
@@ -79,10 +70,3 @@ def in_month_window(ts: Column, month: Column) -> Column:
     """R6 per row: ``ts`` falls between the first and the last day of ``month``."""
     first, last = month_bounds_columns(month)
     return (ts >= first.cast("timestamp_ntz")) & (ts < F.date_add(last, 1).cast("timestamp_ntz"))
-
-
-def within_month(df: DataFrame, ts: Column, month: str) -> DataFrame:
-    """Keep rows whose timestamp falls inside ``month`` (the pull window)."""
-    first, last = month_bounds(month)
-    return df.where((ts >= F.lit(first).cast("timestamp_ntz"))
-                    & (ts < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz")))

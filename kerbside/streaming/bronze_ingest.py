@@ -25,18 +25,24 @@ def ingest_landed_trips(spark: SparkSession, landing_glob: str, bronze_path: str
                         max_files_per_trigger: int = 64) -> int:
     """Land every not-yet-seen trip file matching ``landing_glob`` into bronze.
 
-    Returns the number of micro-batches that carried data.
+    A file whose name is not that of a trip file fails the query.  The stream
+    appends: a corrected month landed again adds its rows, and a bronze folder
+    belongs either to this stream or to the batch writer, which replaces months.
+    Returns the number of micro-batches in the query's progress that carried data
+    (the last hundred at most).
     """
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("recursiveFileLookup", "true")
               .parquet(landing_glob))
     path = F.col("_metadata.file_path")
+    def named(group: int):
+        part = F.regexp_extract(path, FILE_PATTERN, group)
+        return F.when(part != "", part).otherwise(
+            F.raise_error(F.concat(F.lit("not a trip file name: "), path)))
+
     rows = lower_case_columns(stream).select(
-        "*",
-        F.regexp_extract(path, FILE_PATTERN, 1).alias("_source_dataset"),
-        F.regexp_extract(path, FILE_PATTERN, 2).alias("_source_month"),
-    )
+        "*", named(1).alias("_source_dataset"), named(2).alias("_source_month"))
     q = (rows.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint_path)
          .partitionBy("_source_month")

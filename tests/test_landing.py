@@ -1,7 +1,9 @@
 """Bronze landing: idempotent replace, append, file stream, catalog, pipeline gate."""
 from __future__ import annotations
 
+import glob
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,106 +53,124 @@ def test_stream_lands_each_file_once(spark, workdir):
     assert {r._source_dataset for r in got.select("_source_dataset").distinct().collect()} == {"yellow"}
 
 
+def _files(cfg, layer, name):
+    return glob.glob(f"{cfg.path(layer, name)}/**/*.parquet", recursive=True)
+
+
 def test_pipeline_gate_stops_downstream(spark, workdir):
     cfg = LakeConfig(f"{workdir}/lake")
     with pytest.raises(quality.QualityError):
         run_pipeline(spark, cfg, fixtures.dirty_bronze_trips(spark, SF),
-                     fixtures.bronze_weather(spark, SF))
+                     fixtures.clean_weather(spark, SF))
     assert not os.path.exists(cfg.path("silver", "stg_yellow_trips"))
     assert not os.path.exists(cfg.path("gold", "fact_trips"))
 
 
-def test_pipeline_rerun_and_catalog_sql(spark, workdir):
+def test_failing_table_test_stops_later_tables_and_registration(spark, workdir):
     cfg = LakeConfig(f"{workdir}/lake")
-    trips, weather = fixtures.bronze_trips(spark, SF), fixtures.bronze_weather(spark, SF)
+    trips = fixtures.bronze_trips(spark, SF)
+    zones = fixtures.zones_version(spark, SF, 1)
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    # one trip whose amount is infinite passes the gate and silver; a test on the fact is made to fail
+    checks = quality.table_checks
+    try:
+        quality.table_checks = lambda table, *a: checks(table, *a) + (
+            [quality.Check("greater_than", "trip_distance", low=10)] if table == "fact_trips" else [])
+        with pytest.raises(quality.QualityError, match="fact_trips.trip_distance"):
+            run_pipeline(spark, cfg, trips, fixtures.clean_weather(spark, SF), zones,
+                         "2024-01-01 00:00:00", register=True, catalog_prefix=prefix)
+    finally:
+        quality.table_checks = checks
+    assert _files(cfg, "gold", "dim_weather") and not os.path.exists(cfg.path("gold", "mart_zone_hourly_demand"))
+    assert not spark.catalog.databaseExists(f"{prefix}gold")
+
+
+def test_pipeline_rerun_and_catalog_sql(spark, workdir):
+    cfg, prefix = LakeConfig(f"{workdir}/lake"), f"t{uuid.uuid4().hex[:8]}_"
+    trips, weather = fixtures.bronze_trips(spark, SF), fixtures.clean_weather(spark, SF)
     zones = fixtures.zones_version(spark, SF, 1)
-    first = run_pipeline(spark, cfg, trips, weather, zones, "2024-01-01 00:00:00",
-                         fail_on_tests=False, register=True)
+    first = run_pipeline(spark, cfg, trips, weather, zones, "2024-01-01 00:00:00")
     n = spark.read.parquet(cfg.path("gold", "fact_trips")).count()
     second = run_pipeline(spark, cfg, trips, weather, zones, "2024-02-01 00:00:00",
-                          fail_on_tests=False, register=True)
-    assert first["fact_load"]["mode"] == "create" and second["fact_load"]["mode"] == "noop"
+                          register=True, catalog_prefix=prefix)
+    assert first["fact_load"]["mode"] == "create" and second["fact_load"]["mode"] == "months"
+    assert first["tests"] == second["tests"] == 17 and second["failed_tests"] == []
     assert spark.read.parquet(cfg.path("gold", "fact_trips")).count() == n
-    assert spark.table("snapshots.zone_snapshot").count() == 25     # no change, no new version
-    assert "gold.fact_trips" in register_lake(spark, cfg)
-    c = spark.sql("SELECT count(*) FROM gold.fact_trips WHERE pickup_date = DATE'2024-01-15'")
+    assert spark.table(f"{prefix}snapshots.zone_snapshot").count() == 25     # no change, no new version
+    assert f"{prefix}gold.fact_trips" in register_lake(spark, cfg, prefix)
+    c = spark.sql(f"SELECT count(*) FROM {prefix}gold.fact_trips WHERE pickup_date = DATE'2024-01-15'")
     assert c.first()[0] == spark.read.parquet(cfg.path("gold", "fact_trips")).where(
         F.col("pickup_date") == "2024-01-15").count()
 
 
-def test_incremental_runs_equal_a_full_rebuild(spark, workdir):
+TABLES = [("bronze", "yellow_trips_profile"), ("silver", "stg_yellow_trips"),
+          ("gold", "mart_zone_hourly_demand"), ("gold", "fact_trips"), ("gold", "fact_trips_date_keys"),
+          ("gold", "dim_date"), ("gold", "dim_weather")]
+
+
+def _same_lakes(spark, a, b):
     from pyspark.testing import assertDataFrameEqual
 
-    trips, weather = fixtures.bronze_trips(spark, SF), fixtures.bronze_weather(spark, SF)
-    cut = F.lit("2024-01-15").cast("timestamp_ntz")
-    # run 1 lands the first half of January, run 2 re-lands the whole month
-    part_trips = trips.where((F.col("tpep_pickup_datetime") < cut)
-                             | (F.col("_source_month") != "2024-01"))
-    part_weather = weather.where(F.col("observed_at") < "2024-01-15")
-    inc, full = LakeConfig(f"{workdir}/inc"), LakeConfig(f"{workdir}/full")
+    for layer, name in TABLES:
+        x, y = (spark.read.parquet(c.path(layer, name)) for c in (a, b))
+        assertDataFrameEqual(x, y.select(*x.columns))
+
+
+def test_runs_in_any_order_equal_a_full_rebuild(spark, workdir):
+    trips, weather = fixtures.two_month_trips(spark, SF), fixtures.clean_weather(spark, SF)
     zones = fixtures.zones_version(spark, SF, 1)
-    first = run_pipeline(spark, inc, part_trips, part_weather, zones, "2024-01-01 00:00:00")
-    second = run_pipeline(spark, inc, trips, weather)
-    run_pipeline(spark, full, trips, weather, zones, "2024-01-01 00:00:00", incremental=False)
-
-    # the stray-month rows all fail the month check, so 2023-12 lands empty
-    assert first["months"] == (["2023-12", "2024-01"], ["2023-12", "2024-01"], ["2023-12"])
-    assert first["layers_scoped"] and second["layers_scoped"]
-    assert second["fact_load"]["mode"] == "append"
-    assert min(second["fact_load"]["day_list"]).isoformat() > "2024-01-14"
-    assert second["failed_tests"] == []
-    for layer, name in [("bronze", "yellow_trips_profile"),
-                        ("silver", "stg_yellow_trips"), ("gold", "mart_zone_hourly_demand"),
-                        ("gold", "fact_trips"), ("gold", "fact_trips_date_keys"),
-                        ("gold", "dim_date"), ("gold", "dim_weather")]:
-        a = spark.read.parquet(inc.path(layer, name))
-        b = spark.read.parquet(full.path(layer, name))
-        assertDataFrameEqual(a, b.select(*a.columns))
+    inc, full = LakeConfig(f"{workdir}/inc"), LakeConfig(f"{workdir}/full")
+    cut = F.lit("2024-01-22").cast("timestamp_ntz")
+    jan = F.col("_source_month") == "2024-01"
+    # late January first, then December, then January again with its earlier days
+    run_pipeline(spark, inc, trips.where(jan & (F.col("tpep_pickup_datetime") >= cut)), weather,
+                 zones, "2024-01-01 00:00:00")
+    run_pipeline(spark, inc, trips.where(~jan), weather.where(F.lit(False)))
+    run_pipeline(spark, inc, trips.where(jan), weather.where(F.lit(False)))
+    # a month that is re-landed with fewer days loses the others
+    fewer = trips.where(~jan & (F.dayofmonth("tpep_pickup_datetime") > 20))
+    run_pipeline(spark, inc, fewer, weather.where(F.lit(False)))
+    run_pipeline(spark, full, trips.where(jan).unionByName(fewer), weather, zones,
+                 "2024-01-01 00:00:00", incremental=False)
+    _same_lakes(spark, inc, full)
 
 
 def test_month_relanded_without_surviving_rows_is_cleared(spark, workdir):
-    from pyspark.testing import assertDataFrameEqual
+    trips, weather = fixtures.two_month_trips(spark, SF), fixtures.clean_weather(spark, SF)
+    cfg = LakeConfig(f"{workdir}/lake")
+    run_pipeline(spark, cfg, trips, weather, fixtures.zones_version(spark, SF, 1), "2024-01-01 00:00:00")
+    for month in ("2023-12", "2024-01"):
+        refunds = trips.where(F.col("_source_month") == month).withColumn(
+            "total_amount", -F.abs("total_amount") - 1)
+        done = run_pipeline(spark, cfg, refunds, weather.where(F.lit(False)))
+        assert done["failed_tests"] == [] and done["months"] == [month]
+        for layer, name in TABLES[1:5]:
+            assert not any(month in f for f in _files(cfg, layer, name)), (layer, name)
+    for layer, name in TABLES[1:5]:
+        assert _files(cfg, layer, name) == []
 
-    trips, weather = fixtures.bronze_trips(spark, SF), fixtures.bronze_weather(spark, SF)
-    zones = fixtures.zones_version(spark, SF, 1)
-    jan = F.col("_source_month") == "2024-01"
-    # January re-landed as refunds only: no row passes the silver filters
-    refunds = trips.where(jan).withColumn("total_amount", -F.abs("total_amount") - 1)
-    inc, full = LakeConfig(f"{workdir}/inc"), LakeConfig(f"{workdir}/full")
-    run_pipeline(spark, inc, trips, weather, zones, "2024-01-01 00:00:00", fail_on_tests=False)
-    second = run_pipeline(spark, inc, refunds, weather.where(F.lit(False)), fail_on_tests=False)
-    assert second["months"][2] == ["2024-01"] and not second["layers_scoped"]
-    final = trips.where(~jan).unionByName(refunds)
-    run_pipeline(spark, full, final, weather, zones, "2024-01-01 00:00:00",
-                 fail_on_tests=False, incremental=False)
-    import glob
-    for layer, name in [("silver", "stg_yellow_trips"), ("gold", "mart_zone_hourly_demand")]:
-        for lake in (inc, full):
-            assert glob.glob(f"{lake.path(layer, name)}/**/*.parquet", recursive=True) == []
-    assertDataFrameEqual(spark.read.parquet(inc.path("bronze", "yellow_trips_profile")),
-                         spark.read.parquet(full.path("bronze", "yellow_trips_profile")))
-
-
-def test_counts_are_rebuilt_in_full_when_missing(spark, workdir):
-    import shutil
-
-    trips, weather = fixtures.bronze_trips(spark, SF), fixtures.bronze_weather(spark, SF)
+
+def test_other_datasets_keep_their_own_bronze(spark, workdir):
+    cfg = LakeConfig(f"{workdir}/lake", dataset="green")
+    done = run_pipeline(spark, cfg, fixtures.bronze_trips(spark, SF), fixtures.clean_weather(spark, SF))
+    assert done["fact_load"] is None
+    assert _files(cfg, "bronze", "green_trips") and not os.path.exists(cfg.path("bronze", "yellow_trips"))
+
+
+def test_registration_leaves_other_tables_alone(spark, workdir):
+    from kerbside.sinks.catalog import CatalogConflictError, register_table
+
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
     cfg = LakeConfig(f"{workdir}/lake")
-    run_pipeline(spark, cfg, trips, weather, fixtures.zones_version(spark, SF, 1),
-                 "2024-01-01 00:00:00", fail_on_tests=False)
-    full = [sorted(map(tuple, spark.read.parquet(cfg.path(*t)).collect()))
-            for t in (("bronze", "yellow_trips_profile"), ("gold", "fact_trips_date_keys"))]
-    # a lake from before the counts existed (a copy without them): the next
-    # run must count every month and day
-    old = LakeConfig(f"{workdir}/old")
-    shutil.copytree(cfg.root, old.root, ignore=shutil.ignore_patterns(
-        "yellow_trips_profile", "fact_trips_date_keys"))
-    cfg = old
-    run_pipeline(spark, cfg, trips.where(F.col("_source_month") == "2023-12"),
-                 weather.where(F.lit(False)), fail_on_tests=False)
-    again = [sorted(map(tuple, spark.read.parquet(cfg.path(*t)).collect()))
-             for t in (("bronze", "yellow_trips_profile"), ("gold", "fact_trips_date_keys"))]
-    assert again == full
+    spark.range(3).write.parquet(cfg.path("gold", "dim_zone"))
+    spark.sql(f"CREATE DATABASE {prefix}gold LOCATION '{workdir}/elsewhere'")
+    spark.range(7).write.saveAsTable(f"{prefix}gold.dim_zone")          # managed
+    spark.range(9).write.option("path", f"{workdir}/own").saveAsTable(f"{prefix}gold.dim_date")
+    spark.range(3).write.parquet(cfg.path("gold", "dim_date"))
+    for name, n in (("dim_zone", 7), ("dim_date", 9)):
+        with pytest.raises(CatalogConflictError):
+            register_table(spark, cfg, "gold", name, prefix=prefix)
+        assert spark.table(f"{prefix}gold.{name}").count() == n
 
 
 def test_registering_another_lake_repoints_tables(spark, workdir):
@@ -159,6 +179,6 @@ def test_registering_another_lake_repoints_tables(spark, workdir):
     for root in (f"{workdir}/a", f"{workdir}/b"):
         cfg = LakeConfig(root)
         spark.range(3).write.parquet(cfg.path("gold", "dim_probe"))
-        register_table(spark, cfg, "gold", "dim_probe")
-        assert table_location(spark, "gold.dim_probe") == cfg.path("gold", "dim_probe")
-        assert spark.table("gold.dim_probe").count() == 3
+        register_table(spark, cfg, "gold", "dim_probe", prefix="probe_")
+        assert table_location(spark, "probe_gold.dim_probe") == cfg.path("gold", "dim_probe")
+        assert spark.table("probe_gold.dim_probe").count() == 3

@@ -20,30 +20,23 @@ def ts(s):
     return dt.datetime.fromisoformat(s)
 
 
-def test_silver_fixture_keeps_one_of_three(spark):
-    rows = [
-        (ts("2024-01-01 00:00:00"), ts("2024-01-01 00:12:00"), 100, 200, 1, 3.1, 18.5, "2024-01"),
-        (ts("2024-01-01 01:00:00"), ts("2024-01-01 01:05:00"), 100, 200, 1, 0.0, 9.0, "2024-01"),
-        (ts("2024-01-01 02:00:00"), ts("2024-01-01 02:20:00"), 100, 200, 1, 5.0, -1.0, "2024-01"),
-    ]
-    got = silver.clean_trips(spark.createDataFrame(rows, BRONZE)).select(
-        "pickup_zone_id", "dropoff_zone_id", "passenger_count", "trip_distance",
-        "total_amount", "source_month")
-    expected = spark.createDataFrame([(100, 200, 1, 3.1, 18.5, "2024-01")], got.schema)
-    assertDataFrameEqual(got, expected)
-
-
-def test_silver_drops_nan_null_pickup_and_stray_month(spark):
-    nan = float("nan")
-    rows = [
-        (ts("2024-01-01 00:00:00"), None, 1, None, None, nan, 5.0, "2024-01"),
-        (None, None, 1, None, None, 1.0, 5.0, "2024-01"),
-        (ts("2002-01-01 00:00:00"), None, 1, None, None, 1.0, 5.0, "2024-01"),
-        (ts("2024-01-31 23:59:59"), None, 1, None, None, 1.0, 5.0, "2024-01"),
-    ]
-    got = silver.clean_trips(spark.createDataFrame(rows, BRONZE)).collect()
-    assert [r.pickup_ts for r in got] == [ts("2024-01-31 23:59:59")]
-    assert silver.clean_trips(spark.createDataFrame(rows, BRONZE)).schema == SILVER_TRIPS
+def test_silver_keeps_rows_that_pass_every_filter(spark):
+    nan, at = float("nan"), ts("2023-06-30 23:59:59")
+    good = (at, ts("2023-07-01 00:20:00"), 41, 7, 2, 0.004, 0.01, "2023-06")
+
+    def but(place, value):
+        return (*good[:place], value, *good[place + 1:])
+
+    bad = [but(0, None), but(0, ts("2023-07-01 00:00:00")), but(0, ts("2003-06-30 12:00:00")),
+           *[but(place, v) for place in (5, 6) for v in (0.0, -0.5, nan, None)], but(7, "2023-07")]
+    open_ends = [but(1, None), but(2, None), but(3, None), but(4, None)]
+    got = silver.clean_trips(spark.createDataFrame([good, *bad, *open_ends], BRONZE))
+    assert got.schema == SILVER_TRIPS
+    assert got.count() == 1 + len(open_ends)
+    first = got.where("dropoff_ts IS NOT NULL AND pickup_zone_id = 41 AND dropoff_zone_id = 7 "
+                      "AND passenger_count = 2").collect()
+    assert [tuple(r) for r in first] == [good]
+    assert silver.clean_trips(spark.createDataFrame([good], BRONZE), months=[]).count() == 0
 
 
 def _silver(spark, rows):
@@ -127,6 +120,19 @@ def test_scd2_transitions(spark):
     assert cur.where("count > 1").count() == 0
 
 
+def test_scd2_null_keys_and_backward_stamps_raise(spark):
+    v = spark.createDataFrame([(1, "A", "x", "Y"), (None, "A", "y", "Y")], ZONE)
+    with pytest.raises(scd2.NullKeyError):
+        scd2.scd2_apply(None, v, "zone_id", COLS, T1)
+    with pytest.raises(Exception, match="NULL values of 'zone_id'"):
+        scd2.scd2_apply(None, v, "zone_id", COLS, T1, check_unique="in_plan").collect()
+    one = spark.createDataFrame([(1, "A", "x", "Y")], ZONE)
+    other = spark.createDataFrame([(1, "A", "z", "Y")], ZONE)
+    hist = scd2.scd2_apply(None, one, "zone_id", COLS, T2).checkpoint()
+    with pytest.raises(Exception, match="before the start of an open version"):
+        scd2.scd2_apply(hist, other, "zone_id", COLS, T1).collect()
+
+
 def test_scd2_duplicate_incoming_key_raises(spark):
     v = spark.createDataFrame([(1, "A", "x", "Y"), (1, "A", "y", "Y")], ZONE)
     with pytest.raises(scd2.DuplicateKeyError):
@@ -171,6 +177,53 @@ def test_merge_backfill_merges_and_keeps_other_days(spark, workdir):
     assert got.select("trip_key").distinct().count() == 12
 
 
+def test_unfinished_append_is_repeated_from_its_watermark(spark, workdir, monkeypatch):
+    target, trips = f"{workdir}/fact", _day_trips(spark, [1, 2, 5, 6])
+    merge.load_fact(spark, _day_trips(spark, [1, 2]), target)
+    write = merge.write_day_partitioned
+
+    def half(df, path, *args, **kwargs):     # the later day lands, then the load dies
+        write(df.where("pickup_date = '2024-01-06'"), path, *args, **kwargs)
+        raise OSError("executor lost")
+
+    monkeypatch.setattr(merge, "write_day_partitioned", half)
+    with pytest.raises(OSError):
+        merge.load_fact(spark, trips, target)
+    monkeypatch.undo()
+    assert merge.watermark(spark, target) == dt.date(2024, 1, 2)
+    merge.load_fact(spark, trips, target)
+    assert spark.read.parquet(target).count() == 12
+    assert merge.watermark(spark, target) == dt.date(2024, 1, 6)
+
+
+def test_backfill_leaves_no_staged_copy(spark, workdir):
+    import glob
+
+    from kerbside.config import ensure_checkpoint_dir
+
+    target = f"{workdir}/fact"
+    merge.load_fact(spark, _day_trips(spark, [1, 2, 3]), target)
+    before = set(glob.glob(f"{ensure_checkpoint_dir(spark)}/kerbside-stage/*"))
+    merge.load_fact(spark, _day_trips(spark, [2, 3]), target, "backfill", "2024-01-02", "2024-01-03")
+    assert set(glob.glob(f"{ensure_checkpoint_dir(spark)}/kerbside-stage/*")) == before
+    assert spark.read.parquet(target).count() == 9
+
+
+def test_sums_keep_small_and_show_odd_values(spark):
+    from kerbside.functions.numeric import exact_avg, exact_sum
+
+    def both(values):
+        r = spark.createDataFrame([(v,) for v in values], "v double").agg(
+            exact_sum("v").alias("s"), exact_avg("v").alias("a")).first()
+        return r.s, r.a
+
+    assert both([0.004, 0.004, 0.004, None]) == (0.012, 0.004)
+    assert both([None]) == (None, None)
+    assert both([1.0, float("inf")])[0] == float("inf")
+    assert both([1.0, float("nan")])[0] != both([1.0, float("nan")])[0]
+    assert both([1e300, 1e300])[0] == 2e300
+
+
 # --- serving ------------------------------------------------------------------
 
 def test_limit_bounds():

@@ -8,7 +8,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from kerbside.operators import facts, joins, marts, serving, silver
+from kerbside.operators import facts, marts, serving, silver
 from kerbside.sources import fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -45,10 +45,28 @@ def test_mart_aggregates_then_broadcasts_weather(spark):
     assert "partial_count" in p and "partial_sum" in p
 
 
-def test_bounded_broadcast_falls_back_to_shuffle(spark):
-    small = spark.range(10)
-    assert joins.bounded_broadcast(small, 5) is small
-    assert "broadcast" in plan(spark.range(100).join(joins.bounded_broadcast(small, 50), "id")).lower()
+def test_building_a_plan_runs_no_job(spark, monkeypatch):
+    from kerbside.plans import queries as catalogue
+
+    names = ("events", "nation", "region")
+    read = {n: fixtures.table(spark, SF, n) for n in names}      # opening a file reads its footer
+    monkeypatch.setattr(fixtures, "table", lambda s, d, name: read[name])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        for name in ("zone_hourly_demand", "top_zones", "star_weather_demand", "star_weekend_revenue",
+                     "scd2_zone_history", "accepted_range_violations"):
+            catalogue.QUERIES[name](spark, SF)
+        assert list(tracker.getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_scd2_versions_cost_one_join_each(spark):
+    from kerbside.plans import queries as catalogue
+
+    p = plan(catalogue.zone_history(spark, SF, 3))
+    assert len(re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[[^\n]*FullOuter", p)) == 2
 
 
 def test_single_day_prunes_partitions(spark, workdir):
@@ -83,24 +101,21 @@ def test_watermark_reads_partition_listing_only(spark, workdir):
     assert merge.watermark(spark, f"{workdir}/fact") == fact.agg(F.max("pickup_date")).first()[0]
 
 
-def test_shuffle_width_follows_input_bytes(spark, workdir):
-    from kerbside.config import shuffle_partitions_for, size_shuffles
+def test_shuffle_width_follows_input_bytes_and_is_restored(spark, workdir):
+    from kerbside.config import MOST_SHUFFLE_PARTITIONS, shuffle_partitions_for, sized_shuffles
     from kerbside.sources.lake import stored_bytes
 
-    assert shuffle_partitions_for(100 << 40, 8000) == 819_200       # 100 TB at 128 MB
+    assert shuffle_partitions_for(100 << 40, 8000) == MOST_SHUFFLE_PARTITIONS
     assert shuffle_partitions_for(1 << 20, 8) == 16                  # at least two waves
     spark.range(1000).write.parquet(f"{workdir}/t")
     n = stored_bytes(spark, [f"{workdir}/t"])
     assert n == sum(os.path.getsize(os.path.join(f"{workdir}/t", f))
                     for f in os.listdir(f"{workdir}/t") if not f.startswith((".", "_")))
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        floor = 2 * spark.sparkContext.defaultParallelism
-        assert size_shuffles(spark, 1 << 20) == max(int(before), floor)
-        assert size_shuffles(spark, 10 << 30) == 80                    # 10 GB / 128 MB
-        assert size_shuffles(spark, 1 << 20) == 80                     # never narrows
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    with sized_shuffles(spark, 10 << 30):
+        assert spark.conf.get(key) == "80"                             # 10 GB / 128 MB
+    assert spark.conf.get(key) == before
 
 
 def test_month_scoped_mart_reads_only_batch_months(spark, workdir):
