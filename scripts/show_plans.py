@@ -50,8 +50,8 @@ def main() -> None:
     shown = {
         "silver (C1): filters and projection pushed into the scan": s,
         "fact build (C5): key, partial de-duplication before the shuffle": facts.build_fact(s),
-        "mart (C6): both sides aggregated, weather broadcast behind a row-count check": mart,
-        "top zones (C8): per-zone partial sums, current zones broadcast, top-k": serving.top_zones(
+        "mart (C6): both sides aggregated, weather joined at hour grain": mart,
+        "top zones (C8): per-zone partial sums before the join, top-k": serving.top_zones(
             mart, dim_zone, 10),
         "single day (C11): partition filter on the day-partitioned fact":
             serving.single_day_revenue(fact, dt.date(2024, 1, 15)),
