@@ -188,7 +188,7 @@ def sample(labelled: DataFrame) -> dict[str, str]:
 
 def _identify(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=4 << 20):
+        for batch in slices(batches, most=2 << 20):
             names, share, rate = model.value.score(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in batch.schema.names if c != "text"], pa.array(names), pa.array(share), pa.array(rate)],
@@ -220,7 +220,7 @@ def rows_in_known_language(documents: DataFrame, learn_from: Column, least_score
     shared = documents.sparkSession.sparkContext.broadcast(LanguageModel(sample(docs.filter(learn_from))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=4 << 20):
+        for batch in slices(batches, most=2 << 20):
             names, share, _ = shared.value.score(batch.column("text"))
             good = pa.array([n != UNKNOWN for n in names]).to_numpy(zero_copy_only=False) & (share >= least_score)
             yield batch.filter(pa.array(good))

@@ -18,7 +18,7 @@ from .lm_score import score_pseudo_likelihood
 from .ngram_join import ngram_jaccard_components
 from .pfair import pfair_mix
 from .quality_mil import score_quality
-from .tables import ship_package
+from .tables import prepare
 from .topk_search import top_k_inner_products
 from .toxicity import score_toxicity
 
@@ -26,7 +26,7 @@ QUALITY_THRESHOLD, TOXIC_THRESHOLD = 0.3, 0.7
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship_package(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

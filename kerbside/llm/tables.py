@@ -11,8 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once an application, so that their Python workers can import it wherever the driver found it."""
+#: Most bytes of an Arrow batch between Spark and its Python workers: a count of rows says little where texts differ so much in length.
+ARROW_BATCH_BYTES = 8 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, and send this package to the executors, once an application, so that their Python
+    workers can import it wherever the driver found it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     context = spark.sparkContext
     name = f"kerbside-{context.applicationId}.zip"
     if any(str(f).endswith(name) for f in context._python_includes):
@@ -58,6 +64,13 @@ def drop_stored(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or has one centre, (a) of its edges (a, b)."""
+    ends = edges.select(F.col("a").alias("n"), F.lit(0).alias("low")).union(edges.select(F.col("b").alias("n"), F.lit(1).alias("low")))
+    nodes = ends.groupBy("n").agg(F.sum("low").alias("centres"), F.min("low").alias("least"))
+    return nodes.filter("centres > 1 OR (centres = 1 AND least = 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id of every node that has an edge: (node, component).
 
@@ -65,12 +78,10 @@ def components(edges: DataFrame) -> DataFrame:
     a minimum per node (partial sums first) and joins it back, so a node with very many edges is
     never gathered in one place.  Null ends are ignored.
     """
-    work = edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(
+    work = stored(edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
-    work = stored(work)
-    seen = None
-    while True:
+    ).distinct())
+    while not _is_star_forest(work):
         both = work.union(work.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("m").alias("a"), "b").filter("a < b").distinct()
@@ -78,9 +89,6 @@ def components(edges: DataFrame) -> DataFrame:
         up = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(up, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).filter("x < y")
         work = stored(small.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
-        mark = work.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == seen:
-            break
-        seen = mark
-    nodes = work.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
-    return nodes.union(work.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
+    return work.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
+        work.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
+    )
