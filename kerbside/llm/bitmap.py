@@ -51,7 +51,7 @@ def bitmap(table: DataFrame, column: str, bits: int) -> np.ndarray:
     """Which of 2^bits cells the values of a long or array<long> column fall in, packed (2^bits / 8 bytes on the driver)."""
     rows = table.select(column).mapInArrow(_rows(column, bits), "block int, bits binary").groupBy("block").applyInArrow(_or, "block int, bits binary")
     blocks = np.zeros((_BLOCKS, (1 << bits) // 8 // _BLOCKS), np.uint8)
-    for row in rows.toLocalIterator():
+    for row in rows.collect():  # at most a row a block
         blocks[row.block] = np.frombuffer(bytes(row.bits), np.uint8)
     return blocks.ravel()
 
@@ -62,17 +62,18 @@ def holds(packed: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
     return (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
+def rows_in(batches: Iterator[pa.RecordBatch], key: str, packed: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """The rows whose long column ``key`` may be in the bitmap, a few at a time (their texts are copied); null keys go."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            some = batch.slice(start, _ROWS)
+            keys = some.column(key)
+            good = holds(packed, keys.fill_null(0).to_numpy(), bits) & keys.is_valid().to_numpy(zero_copy_only=False)
+            if good.any():
+                yield some.filter(pa.array(good))
+
+
 def rows_that_may_be_in(table: DataFrame, key: str, packed: np.ndarray, bits: int) -> DataFrame:
-    """Rows of ``table`` whose long column ``key`` may be in the bitmap; null keys go."""
+    """``rows_in`` over a table."""
     shared = table.sparkSession.sparkContext.broadcast(packed)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):  # few rows at a time: their texts are copied
-                some = batch.slice(start, _ROWS)
-                keys = some.column(key)
-                good = holds(shared.value, keys.fill_null(0).to_numpy(), bits) & keys.is_valid().to_numpy(zero_copy_only=False)
-                if good.any():
-                    yield some.filter(pa.array(good))
-
-    return table.mapInArrow(run, table.schema)
+    return table.mapInArrow(lambda batches: rows_in(batches, key, shared.value, bits), table.schema)

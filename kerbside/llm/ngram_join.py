@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bitmap import bitmap, rows_that_may_be_in
+from .bitmap import bitmap, rows_in
 from .tables import components, stored
 from .text import grams, lists, row_shingles, slices, words
 
@@ -78,7 +78,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
     """
     rows = docs.select("text").mapInArrow(_count_rows, "block int, counts binary").groupBy("block").applyInArrow(_add_counts, "block int, counts binary")
     counts = np.zeros((1 << COUNT_BITS) // _BLOCK * _BLOCK, np.int64).reshape(-1, _BLOCK)
-    for row in rows.toLocalIterator():
+    for row in rows.collect():  # at most a row a block
         counts[row.block] = np.frombuffer(bytes(row.counts), "<i8")
     counts = counts.ravel()
     return np.minimum(255, np.floor(7 * np.log2(1.0 + counts))).astype(np.uint8)
@@ -125,9 +125,9 @@ def _features(levels):
     return run
 
 
-def _sets(levels):
+def _sets(levels, wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(rows_in(batches, "doc_id", wanted.value, ID_BITS)):
             hashes, offsets = words(batch.column("text"))
             keys = [k.view(np.int64) for k in _sorted_keys(hashes, offsets, levels.value)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists(keys, pa.int64())], ["id", "elements"])
@@ -175,8 +175,9 @@ _MAY_LINK = "9 * least({l}.bound, {r}.bound) >= 4 * ({l}.n + {r}.n) AND NOT ({l}
 def _linked(pairs: DataFrame, docs: DataFrame, levels) -> DataFrame:
     """The pairs whose whole shingle sets have similarity 4/5 or more; only documents in a pair are read in full."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    some = rows_that_may_be_in(docs, "doc_id", bitmap(ids, "doc_id", ID_BITS), ID_BITS)
-    sets = stored(some.join(ids, "doc_id", "left_semi").mapInArrow(_sets(levels), "id long, elements array<long>"))
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap(ids, "doc_id", ID_BITS))
+    some = docs.mapInArrow(_sets(levels, wanted), "id long, elements array<long>")
+    sets = stored(some.join(ids.withColumnRenamed("doc_id", "id"), "id", "left_semi"))
     left = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
     both = pairs.join(left, "a").join(right, "b")
@@ -197,7 +198,6 @@ def ngram_jaccard_components(documents: DataFrame) -> DataFrame:
 
     known = rows.filter("doc_id IS NOT NULL AND n > 0")
     nodes = known.groupBy("n", "f1", "f2").agg(F.min("doc_id").alias("id"))
-    nodes = stored(nodes)
     sets = known.join(nodes.withColumnRenamed("id", "doc_id"), ["n", "f1", "f2", "doc_id"]).dropDuplicates(["n", "f1", "f2"]).select(F.col("doc_id").alias("id"), "n", "head", "scan")
     sets = stored(sets)
     size = F.least(F.col("n"), F.lit(MAX_LIGHT)).alias("size")
@@ -206,16 +206,17 @@ def ngram_jaccard_components(documents: DataFrame) -> DataFrame:
     x = boundary([tuple(r) for r in stats])
 
     rows_by_sig = signatures(sets, x)
-    common = rows_by_sig.groupBy("sig").count().filter("count > 1").select("sig")
+    # aggregates are stored before they are joined back, so that a long list's partition can be split in the join
+    common = stored(rows_by_sig.groupBy("sig").count().filter("count > 1").select("sig"))
     entries = rows_by_sig.join(common, "sig")
     for name, value in _UNPACK.items():
         entries = entries.withColumn(name, F.expr(value))
     entries = stored(entries.withColumn("bound", F.expr(_BOUND)).drop("info"))
     # the centre of a list: heavy before light, then the set with the fewest rarer shingles
     order = F.expr("shiftleft(cast(2 - kind as long), 60) | shiftleft(pos, 28) | (xxhash64(id) & 268435455)")
-    centre = entries.withColumn("o", order).groupBy("sig").agg(
+    centre = stored(entries.withColumn("o", order).groupBy("sig").agg(
         F.max("kind").alias("top"), *[F.min_by(c, "o").alias(c) for c in ("id", "n", "bound", "kind")]
-    ).filter("top <> 1")
+    ).filter("top <> 1"))
     shared = stored(
         entries.alias("r").join(centre.alias("l"), "sig").select(
             "sig", "r.id", "r.n", "r.bound", "r.kind", F.when(F.expr(f"l.id <> r.id AND {_MAY_LINK.format(l='l', r='r')}"), F.col("l.id")).alias("centre")
@@ -223,12 +224,12 @@ def ngram_jaccard_components(documents: DataFrame) -> DataFrame:
     )
     first = shared.filter("centre IS NOT NULL").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b")).distinct()
     edges = stored(_linked(stored(first), docs, levels))
-    found = stored(components(edges))
+    found = components(edges)
 
     # what is left between different components
     where = shared.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id")).drop("centre")
-    mixed = where.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("sig")
-    open_rows = stored(where.join(mixed, "sig"))
+    mixed = stored(where.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("sig"))
+    open_rows = where.join(mixed, "sig")
     l, r = open_rows.alias("l"), open_rows.alias("r")
     rest = l.join(r, F.expr(f"l.sig = r.sig AND l.id < r.id AND l.component <> r.component AND {_MAY_LINK.format(l='l', r='r')}")).select(
         F.col("l.id").alias("a"), F.col("r.id").alias("b")
