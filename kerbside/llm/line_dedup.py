@@ -124,7 +124,8 @@ def repeated_lines(documents: DataFrame, rare: int = RARE_DOCUMENTS, min_block_c
         ).dropDuplicates(["doc_id", "mark"])
     )
     each = lines.select("doc_id", "mark", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("line"))
-    first = each.groupBy("line").agg(F.min("doc_id").alias("holder"), F.count("*").alias("held")).filter("held > 1")
+    # stored before it is joined back, so that a frequent line's partition can be split in the join
+    first = stored(each.groupBy("line").agg(F.min("doc_id").alias("holder"), F.count("*").alias("held")).filter("held > 1"))
     pairs = (
         each.join(first, "line").filter("doc_id > holder")
         .groupBy("doc_id", "mark", "holder").agg(F.sum(F.when(F.col("held") <= rare, 2).otherwise(1)).alias("weight")).filter("weight >= 2")
