@@ -1,8 +1,8 @@
 """Operator 2: line dedup by pairwise alignment.
 
 Every distinct line has a first holder, the smallest doc_id that has it.  A later document is paired with the
-first holders of its lines when they share a rare line (at most ``RARE_DOCUMENTS`` documents have it) or two
-lines of any frequency; so pairs grow with the lines and not with the square of a line's frequency.  Each pair
+first holders of its lines when they share a rare line (at most ``RARE_DOCUMENTS`` documents have it), a line that is
+long enough to be a block by itself, or two lines of any frequency; so pairs grow with the lines and not with the square of a line's frequency.  Each pair
 is aligned with a patience diff, and aligned common blocks of ``MIN_BLOCK_CHARS`` or more are deleted
 from the later document.
 """
@@ -109,10 +109,11 @@ def _lines(text: str) -> Column:
     return F.split(text, "\n")
 
 
-def repeated_lines(documents: DataFrame, rare: int = RARE_DOCUMENTS, min_block_chars: int = MIN_BLOCK_CHARS) -> DataFrame:
+def repeated_lines(documents: DataFrame, rare: int | None = None, min_block_chars: int = MIN_BLOCK_CHARS) -> DataFrame:
     """(doc_id, mark, cut): line numbers (from 0) to delete of each document that repeats blocks of an earlier one.
 
     ``mark`` is the hash of the text the numbers belong to.  Lines are compared without blanks around them; blank lines match nothing.
+    A caller who gives ``rare`` has no pairs made by one line alone, however long, that more than ``rare`` documents have.
     """
     has = documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     trimmed = F.transform(_lines("text"), lambda line: F.trim(line))
@@ -123,12 +124,14 @@ def repeated_lines(documents: DataFrame, rare: int = RARE_DOCUMENTS, min_block_c
             F.transform("trimmed", lambda line: F.length(line)).alias("lengths"),
         ).dropDuplicates(["doc_id", "mark"])
     )
-    each = lines.select("doc_id", "mark", F.explode(F.array_distinct(F.filter("hashes", lambda h: h.isNotNull()))).alias("line"))
+    each = lines.select("doc_id", "mark", F.explode(F.array_distinct(F.filter(F.arrays_zip("hashes", "lengths"), lambda x: x["hashes"].isNotNull()))).alias("x"))
+    each = each.select("doc_id", "mark", F.col("x.hashes").alias("line"), (F.col("x.lengths") >= min_block_chars).alias("long"))
     # stored before it is joined back, so that a frequent line's partition can be split in the join
     first = stored(each.groupBy("line").agg(F.min("doc_id").alias("holder"), F.count("*").alias("held")).filter("held > 1"))
+    weighty = F.col("held") <= rare if rare is not None else (F.col("held") <= RARE_DOCUMENTS) | F.col("long")
     pairs = (
         each.join(first, "line").filter("doc_id > holder")
-        .groupBy("doc_id", "mark", "holder").agg(F.sum(F.when(F.col("held") <= rare, 2).otherwise(1)).alias("weight")).filter("weight >= 2")
+        .groupBy("doc_id", "mark", "holder").agg(F.sum(F.when(weighty, 2).otherwise(1)).alias("weight")).filter("weight >= 2")
         .select("doc_id", "mark", "holder")
     )
     both = (
@@ -139,7 +142,7 @@ def repeated_lines(documents: DataFrame, rare: int = RARE_DOCUMENTS, min_block_c
     return cuts.filter("size(cut) > 0").groupBy("doc_id", "mark").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cut")))).alias("cut"))
 
 
-def without_repeated_lines(documents: DataFrame, rare: int = RARE_DOCUMENTS, min_block_chars: int = MIN_BLOCK_CHARS) -> DataFrame:
+def without_repeated_lines(documents: DataFrame, rare: int | None = None, min_block_chars: int = MIN_BLOCK_CHARS) -> DataFrame:
     """``documents`` (doc_id, text, ...) with repeated blocks deleted from the later documents; ``n_chars``, if there, follows.
 
     Every row stays, with its columns in order; a text that only repeats others is left empty or blank.

@@ -27,6 +27,14 @@ def test_short_blocks_and_single_frequent_lines_stay(spark):
     assert all(few[i] == f"{B}\nz {i}" for i in range(5))  # one frequent line is no rare anchor
 
 
+def test_a_long_line_is_cut_however_many_documents_have_it(spark):
+    n = 60  # more than RARE_DOCUMENTS
+    df = rows(spark, [A] * n + [f"{B}\nz {i}" for i in range(n)])
+    got = {r.doc_id: r.text for r in m.without_repeated_lines(df).collect()}
+    assert got[0] == A and all(got[i] == "" for i in range(1, n))
+    assert got[n] == f"{B}\nz 0" and all(got[n + i] == f"z {i}" for i in range(1, n))
+
+
 def test_awkward_rows(spark):
     df = rows(spark, awkward())
     out = m.without_repeated_lines(with_clashes(df))
