@@ -1,10 +1,11 @@
 """Operator 2: line dedup by pairwise alignment.
 
-Every distinct line has a first holder, the smallest doc_id that has it.  A later document is paired with the
-first holders of its lines when they share a rare line (at most ``RARE_DOCUMENTS`` documents have it), a line that is
-long enough to be a block by itself, or two lines of any frequency; so pairs grow with the lines and not with the square of a line's frequency.  Each pair
-is aligned with a patience diff, and aligned common blocks of ``MIN_BLOCK_CHARS`` or more are deleted
-from the later document.
+A run is the least number of neighbouring lines, blank ones left out, that hold ``MIN_BLOCK_CHARS`` characters, taken forwards
+and backwards from every line.  Every line of a block lies in a run inside the block: the run that starts with the block or the one
+that ends with the line.  Every distinct run has a first holder, the smallest doc_id that has it, and a later document is paired with
+the first holders of its runs; so no block is without a partner, whatever the frequency or age of its single lines, and pairs grow
+with the lines and not with the square of a line's frequency.  Each pair is aligned with a patience diff, and aligned common
+blocks of ``MIN_BLOCK_CHARS`` or more are deleted from the later document.
 """
 
 from __future__ import annotations
@@ -13,14 +14,62 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import stored
+from .text import mix
 
-RARE_DOCUMENTS = 50
 MIN_BLOCK_CHARS = 60
+_BASE = 0x9E3779B97F4A7C15
+_BACK = np.uint64(pow(_BASE, -1, 1 << 64))
+
+
+def run_keys(hashes: np.ndarray, lengths: np.ndarray, row: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, key and number of lines of every run of the non-blank lines of some texts; ``row`` says which text a line is of."""
+    n = len(hashes)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    chars = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+    at = np.arange(n)
+    # forwards from each line, then backwards; ends are excluded
+    ahead = np.maximum(at + 1, np.searchsorted(chars, chars[:-1] + least))
+    behind = np.minimum(at, np.searchsorted(chars, chars[1:] - least, side="right") - 1)
+    lo, hi = np.concatenate((at, behind)), np.concatenate((ahead, at + 1))
+    inside = (lo >= 0) & (hi <= n)
+    lo, hi = lo[inside], hi[inside]
+    same = row[lo] == row[hi - 1]
+    lo, hi = np.divmod(np.unique(lo[same] * (n + 1) + hi[same]), n + 1)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n - 1, np.uint64(_BASE)))), dtype=np.uint64)
+        back = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n - 1, _BACK))), dtype=np.uint64)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(hashes) * power, dtype=np.uint64)))
+        keys = mix((total[hi] - total[lo]) * back[lo] + (hi - lo).astype(np.uint64))
+    return row[lo], keys, hi - lo
+
+
+def _runs(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, lengths = batch.column("hashes"), batch.column("lengths")
+            row = np.repeat(np.arange(batch.num_rows), hashes.value_lengths().to_numpy())
+            flat = hashes.flatten()
+            filled = flat.is_valid().to_numpy(zero_copy_only=False)
+            row, keys, size = run_keys(
+                flat.drop_null().to_numpy().view(np.uint64), lengths.flatten().to_numpy()[filled], row[filled], least
+            )
+            order = np.lexsort((keys, row))
+            again = (np.diff(row[order]) == 0) & (np.diff(keys[order]) == 0)
+            once = np.delete(order, np.flatnonzero(again) + 1)
+            take = pa.array(row[once])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(take), batch.column("mark").take(take), pa.array(keys[once].view(np.int64)), pa.array(size[once] == 1)],
+                ["doc_id", "mark", "run", "single"],
+            )
+
+    return run
 
 
 def _anchors(a: list, b: list, a_lo: int, a_hi: int, b_lo: int, b_hi: int) -> list[tuple[int, int]]:
@@ -124,16 +173,13 @@ def repeated_lines(documents: DataFrame, rare: int | None = None, min_block_char
             F.transform("trimmed", lambda line: F.length(line)).alias("lengths"),
         ).dropDuplicates(["doc_id", "mark"])
     )
-    each = lines.select("doc_id", "mark", F.explode(F.array_distinct(F.filter(F.arrays_zip("hashes", "lengths"), lambda x: x["hashes"].isNotNull()))).alias("x"))
-    each = each.select("doc_id", "mark", F.col("x.hashes").alias("line"), (F.col("x.lengths") >= min_block_chars).alias("long"))
-    # stored before it is joined back, so that a frequent line's partition can be split in the join
-    first = stored(each.groupBy("line").agg(F.min("doc_id").alias("holder"), F.count("*").alias("held")).filter("held > 1"))
-    weighty = F.col("held") <= rare if rare is not None else (F.col("held") <= RARE_DOCUMENTS) | F.col("long")
-    pairs = (
-        each.join(first, "line").filter("doc_id > holder")
-        .groupBy("doc_id", "mark", "holder").agg(F.sum(F.when(weighty, 2).otherwise(1)).alias("weight")).filter("weight >= 2")
-        .select("doc_id", "mark", "holder")
-    )
+    each = lines.mapInArrow(_runs(min_block_chars), "doc_id long, mark long, run long, single boolean")
+    # stored before it is joined back, so that a frequent run's partition can be split in the join
+    first = stored(each.groupBy("run").agg(F.min("doc_id").alias("holder"), F.count("*").alias("held")).filter("held > 1"))
+    met = each.join(first, "run").filter("doc_id > holder")
+    if rare is not None:
+        met = met.filter(~F.col("single") | (F.col("held") <= rare))
+    pairs = met.select("doc_id", "mark", "holder").distinct()
     both = (
         pairs.join(lines.select(F.col("doc_id").alias("holder"), F.col("hashes").alias("x")), "holder")
         .join(lines.select("doc_id", "mark", F.col("hashes").alias("y"), "lengths"), ["doc_id", "mark"])

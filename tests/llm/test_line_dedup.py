@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -28,13 +29,36 @@ def test_short_blocks_and_single_frequent_lines_stay(spark):
 
 
 def test_a_long_line_is_cut_however_many_documents_have_it(spark):
-    n = 60  # more than RARE_DOCUMENTS
+    n = 60
     df = rows(spark, [A] * n + [f"{B}\nz {i}" for i in range(n)])
     got = {r.doc_id: r.text for r in m.without_repeated_lines(df).collect()}
     assert got[0] == A and all(got[i] == "" for i in range(1, n))
     assert got[n] == f"{B}\nz 0" and all(got[n + i] == f"z {i}" for i in range(1, n))
 
 
+def test_a_block_is_cut_when_each_of_its_lines_is_older_elsewhere(spark):
+    a, b, c, d = (f"{x} line of thirty characters {x}" for x in "abcd")
+    texts = [a, b, c, d, "\n".join([a, b, "", c]), "\n".join(["own", a, b, c]), "\n".join([a, b, c, d]), "\n".join([d, a, b, c, d])]
+    got = {r.doc_id: r.text for r in m.without_repeated_lines(rows(spark, texts)).collect()}
+    assert [got[i] for i in range(5)] == texts[:5]
+    assert (got[5], got[6], got[7]) == ("own", d, d)
+
+
+@settings(max_examples=200, deadline=None, derandomize=True)
+@given(st.lists(st.integers(0, 3), max_size=9), st.lists(st.integers(0, 3), max_size=9), st.integers(1, 80))
+def test_texts_share_a_run_when_they_share_a_block(a, b, least):
+    size = {0: 7, 1: 25, 2: 33, 3: 61}
+
+    def runs(text):
+        row, keys, lines = m.run_keys(np.array(text, np.uint64), np.array([size[x] for x in text], np.int64), np.zeros(len(text), np.int64), least)
+        return set(zip(keys.tolist(), lines.tolist(), strict=True))
+
+    def blocks(text):
+        return {tuple(text[i:j]) for i in range(len(text)) for j in range(i + 1, len(text) + 1) if sum(size[x] for x in text[i:j]) >= least}
+
+    assert bool(runs(a) & runs(b)) == bool(blocks(a) & blocks(b))
+
+
 def test_awkward_rows(spark):
     df = rows(spark, awkward())
     out = m.without_repeated_lines(with_clashes(df))
