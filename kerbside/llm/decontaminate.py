@@ -9,6 +9,9 @@ of the item's shingles in the document.
 
 Before windows are signed, a bitmap of all items' shingles (fixed size, so it can go to every task) rules out windows
 that hold too few of them for any item of the partition; bits can be shared, so that loses nothing.
+
+An item that is spread over more than a window is found by its rarest shingles: a document with four fifths of n shingles holds at
+least one of any n - ceil(0.8 n) + 1 of them, so the ones that fewest documents hold are joined with the documents' hits.
 """
 
 from __future__ import annotations
@@ -71,6 +74,8 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _windows(parts: list[int], in_items, in_keys):
+    least = math.ceil(CONTAINMENT * (largest(parts[0] - 1) + 1 if parts and parts[0] else 1) - 1e-9)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             hashes, offsets = words(batch.column("text"))
@@ -91,22 +96,38 @@ def _windows(parts: list[int], in_items, in_keys):
                     for k in np.flatnonzero(hits[end] - hits[begin] >= need):
                         keys = _keys(p, signature(every[begin[k] : end[k]]))
                         own.update(keys[holds(in_keys.value, keys, BITMAP_BITS)].view(np.int64).tolist())
-                if own:
+                distinct = np.unique(every[a:b][hit[a:b]])
+                if own or len(distinct) >= least:
                     rows.append(i)
                     found.append(np.array(sorted(own), np.int64))
-                    held.append(np.unique(every[a:b][hit[a:b]]).view(np.int64))
+                    held.append(distinct.view(np.int64))
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), lists(found, pa.int64()), lists(held, pa.int64())], ["doc_id", "keys", "held"])
 
     return run
 
 
+def _by_rare_shingles(hits: DataFrame, items: DataFrame) -> DataFrame:
+    """(row, item_id) of all documents that hold one of the rarest shingles of an item and hits enough for four fifths of it."""
+    held = hits.select("row", F.size("held").alias("most"), F.explode("held").alias("shingle"))
+    each = items.withColumn("item", F.monotonically_increasing_id()).select("item", "item_id", F.explode("shingles").alias("shingle"))
+    # both are stored before they are joined, so that a frequent shingle's partition can be split in the join
+    seen = stored(held.groupBy("shingle").agg(F.count("*").alias("seen")))
+    ranked = (
+        each.join(seen, "shingle", "left").groupBy("item", "item_id")
+        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "shingle"))).alias("order"))
+        .withColumn("need", F.ceil(CONTAINMENT * F.size("order") - 1e-9).cast("int"))
+    )
+    rare = stored(ranked.select("item_id", "need", F.explode(F.expr("slice(order, 1, size(order) - need + 1)")).alias("x")).filter("x.seen > 0").select("item_id", "need", F.col("x.shingle").alias("shingle")))
+    return held.join(rare, "shingle").filter("most >= need").select("row", "item_id")
+
+
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, containment) of documents (doc_id, text) that hold four fifths or more of a benchmark item (item_id, text).
 
     Containment is the share of the item's distinct five-word shingles that occur in the document.  Items with fewer than
     five words, null texts and rows without an id take no part.  Rows that repeat an id with other texts count with the
-    best of them.  An item counts when it is found within a stretch of about 1.5 times its length; if it is spread over more, it may be missed.
+    best of them.  An item counts wherever its shingles stand in the document.
     """
     items = stored(
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id IS NOT NULL").mapInArrow(_items, "item_id long, shingles array<long>, part int, keys array<long>")
@@ -119,7 +140,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     pairs = (
         hits.select("row", F.explode("keys").alias("key"))
         .join(items.select("item_id", F.explode("keys").alias("key")), "key")
-        .select("row", "item_id").distinct()
+        .select("row", "item_id").union(_by_rare_shingles(hits, items)).distinct()
     )
     both = pairs.join(items.select("item_id", "shingles"), "item_id").join(hits.select("row", "doc_id", "held"), "row")
     share = F.size(F.array_intersect("shingles", "held")) / F.size("shingles")

@@ -36,6 +36,15 @@ def test_equals_brute_force(spark):
     assert got == brute(df, bench) and len(got) > 30
 
 
+def test_an_item_spread_over_a_long_document_is_found(spark):
+    item = prose(1, 100, 10**6).split()
+    spread = " ".join([*item[:50], *prose(2, 400, 10**6).split(), *item[50:]])
+    third = " ".join(" ".join([*item[k : k + 25], *prose(3 + k, 300, 10**6).split()]) for k in (0, 25, 50, 75))
+    df, bench = rows(spark, [spread, third, prose(9, 700, 10**6)]), items(spark, [" ".join(item), prose(5, 30, 10**6)])
+    got = {(x.doc_id, x.item_id): x.containment for x in m.contaminated(df, bench).collect()}
+    assert got == brute(df, bench) and got[0, 0] == 92 / 96
+
+
 def test_awkward_rows_and_empty_tables(spark):
     df, bench = rows(spark, awkward()), items(spark, [prose(1, 80), prose(3, 40)])
     got = {(x.doc_id, x.item_id): x.containment for x in m.contaminated(with_clashes(df), bench).collect()}
