@@ -174,15 +174,15 @@ ORACLE: dict[str, str] = {
             FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM cut, (VALUES (1), (2), (3)) AS v(k)) GROUP BY ALL
         ), n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
         ), cuts AS (
-            SELECT c.lang, c.phrase, c.k, c.f AS a, at, array_to_string(string_split(c.phrase, ' ')[1 : at], ' ') AS head,
-                   array_to_string(string_split(c.phrase, ' ')[at + 1 :], ' ') AS tail
-            FROM f c, (VALUES (1), (2)) AS v(at) WHERE c.k >= 2 AND c.f >= 10 AND at < c.k
+            SELECT c.lang, c.phrase, c.k, c.f AS a, cut_at, array_to_string(string_split(c.phrase, ' ')[1 : cut_at], ' ') AS head,
+                   array_to_string(string_split(c.phrase, ' ')[cut_at + 1 :], ' ') AS tail
+            FROM f c, (VALUES (1), (2)) AS v(cut_at) WHERE c.k >= 2 AND c.f >= 10 AND cut_at < c.k
         ), scored AS (
-            SELECT c.lang, c.phrase, c.k, c.a, c.at, h.f AS l, t.f AS r,
+            SELECT c.lang, c.phrase, c.k, c.a, c.cut_at, h.f AS l, t.f AS r,
                    CAST((1000000::HUGEINT * c.a * c.a) // (h.f::HUGEINT * t.f) AS BIGINT) AS score
             FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.tail
         ), weakest AS (
-            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut_at) = 1
         ), inside AS (
             SELECT lang, part, max(f) AS longer FROM (
                 SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS part
