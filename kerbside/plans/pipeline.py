@@ -5,10 +5,15 @@ layer is written and read back (materialise once, read many), and each table's
 tests run right after it is written: a failing test raises, and no later table is
 written or registered.
 
+A batch is landed beside bronze and swapped in after the gate and the bronze tests passed, so nothing bad goes
+live; one that fails waits there and is checked again by the next run.  Months that were swapped in
+but not built to the end (a failing test, a lost driver) are noted as pending, and the next run builds them with its own
+(see :mod:`kerbside.sinks.landing`).  The zone history is written in versions (:mod:`kerbside.sinks.versions`).
+
 A run replaces months.  Silver's source month is the pickup month, so the silver, fact and mart
 partitions of the landed months depend on those months alone; they are rebuilt one month at a time,
 whatever their order, and partitions left without rows are removed.  The cost follows
-the batch, and the result equals a full rebuild.
+the batch and what earlier runs left, and the result equals a full rebuild.
 """
 from __future__ import annotations
 
@@ -20,7 +25,9 @@ from pyspark.sql import functions as F
 from kerbside.config import LakeConfig, apply_session_defaults, sized_shuffles
 from kerbside.functions.temporal import month_text, parse_weather_time
 from kerbside.operators import dimensions, marts, merge, quality, scd2, silver
-from kerbside.sinks.writers import remove_partitions, write_bronze, write_layer
+from kerbside.sinks import landing
+from kerbside.sinks.versions import write_version
+from kerbside.sinks.writers import remove_folder, remove_partitions, write_layer
 from kerbside.schemas import FACT_DATE_KEYS, FACT_TRIPS, SILVER_TRIPS
 from kerbside.sources.lake import (
     MissingTableError,
@@ -110,35 +117,15 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
     (see :mod:`kerbside.operators.merge`).  Datasets other than yellow end after bronze.
     """
     apply_session_defaults(spark)
-    trip_months = months_of(trips, F.col("_source_month"))
-    weather_months = months_of(weather, month_text(parse_weather_time("observed_at")))
-    # Bronze: month partitions replaced, so a re-run does not duplicate rows.
-    write_bronze(trips, cfg.path("bronze", cfg.bronze_trips))
-    write_bronze(weather, cfg.path("bronze", "weather_hourly"))
+    landing.land(trips, cfg, cfg.bronze_trips)
+    landing.land(weather, cfg, "weather_hourly")
     if cfg.dataset != "yellow":
-        return {"months": trip_months, "tests": 0, "failed_tests": [], "fact_load": None}
+        months = landing.landed_months(spark, cfg, cfg.bronze_trips)
+        landing.swap_in(spark, cfg, cfg.bronze_trips)
+        landing.swap_in(spark, cfg, "weather_hourly")
+        return {"months": months, "tests": 0, "failed_tests": [], "fact_load": None}
     log = TestLog(fail_on_tests)
-    bronze_t = _bronze(spark, cfg)
-    bronze_w = read_table(spark, cfg, "bronze", "weather_hourly")
-    if not incremental:
-        trip_months = stored_months(spark, bronze_t, "_source_month")
-        weather_months = months_of(bronze_w, month_text(parse_weather_time("observed_at")))
-
-    # The gate's counts are kept per source month; a run recounts the months
-    # it landed and the gate sums all months (the same as a full scan).
-    # A lake without the counts yet (first run) is counted in full.
-    suite = quality.bronze_trip_suite()
-    counted = incremental and table_exists(spark, cfg, "bronze", "yellow_trips_profile")
-    if not counted or trip_months:
-        landed = bronze_t.where(F.col("_source_month").isin(trip_months)) if counted else bronze_t
-        write_layer(quality.suite_partials(landed, suite, "_source_month"), cfg, "bronze",
-                    "yellow_trips_profile", partition_by=["_source_month"],
-                    replace="dynamic" if counted else "static")
-    profile = read_table(spark, cfg, "bronze", "yellow_trips_profile")
-    quality.gate_bronze(spark, bronze_t, profile=profile)
-    log.run("bronze_yellow_trips", quality.run_suite_from_partials(
-        profile, quality.table_checks("bronze_yellow_trips")))
-    log.table("bronze_weather_hourly", bronze_w)
+    trip_months, weather_months, bronze_t, bronze_w = _accept(spark, cfg, log, incremental)
 
     if zones is not None:
         if as_of is None:
@@ -147,9 +134,7 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
                 if table_exists(spark, cfg, "snapshots", "zone_snapshot") else None)
         new_hist = scd2.scd2_apply(hist, zones, "zone_id", ZONE_CHECK_COLUMNS, as_of,
                                    check_unique="in_plan")
-        # The new history is staged before it replaces the table it was read from.
-        staged = new_hist.checkpoint(eager=True) if hist is not None else new_hist
-        write_layer(staged, cfg, "snapshots", "zone_snapshot")
+        write_version(new_hist, cfg.path("snapshots", "zone_snapshot"))
     write_layer(dimensions.zone_dimension(read_table(spark, cfg, "snapshots", "zone_snapshot")),
                 cfg, "gold", "dim_zone")
     log.table("dim_zone", read_table(spark, cfg, "gold", "dim_zone"))
@@ -197,12 +182,66 @@ def run_pipeline(spark: SparkSession, cfg: LakeConfig, trips: DataFrame, weather
                         lambda month: marts.zone_hourly_demand_months(silver_t, bronze_w, [month]),
                         lambda month: silver_t.where(F.col("source_month") == F.lit(month)))
 
+    landing.clear_pending(spark, cfg, "trips", trip_months)
+    landing.clear_pending(spark, cfg, "weather", weather_months)
     if register:
         from kerbside.sinks.catalog import register_lake
         register_lake(spark, cfg, catalog_prefix)
     return {"fact_load": load, "tests": log.count, "failed_tests": log.failed, "months": trip_months}
 
 
+def _accept(spark: SparkSession, cfg: LakeConfig, log: TestLog,
+            incremental: bool) -> tuple[list[str], list[str], DataFrame, DataFrame]:
+    """Gate and test bronze as it would be with the landed months, swap them in, and say which months are to be built.
+
+    The gate's counts are kept per source month: the landed and the pending months are counted, the others'
+    counts are those stored, and the sum equals a full scan.  A lake without counts is counted in full.
+    """
+    trips, weather = cfg.bronze_trips, "weather_hourly"
+    landed_w = landing.landed_rows(spark, cfg, weather)
+    new_w = months_of(landed_w, month_text(parse_weather_time("observed_at"))) if landed_w is not None else []
+    new_t = landing.landed_months(spark, cfg, trips)
+    months = sorted({*new_t, *landing.pending(spark, cfg, "trips")})
+    weather_months = sorted({*new_w, *landing.pending(spark, cfg, "weather")})
+
+    suite = quality.bronze_trip_suite()
+    after = landing.with_landed(spark, cfg, trips)
+    counted = incremental and table_exists(spark, cfg, "bronze", "yellow_trips_profile")
+    if after is None:
+        quality.gate_bronze(spark, None)
+    else:
+        rows = after.where(F.col("_source_month").isin(months)) if counted else after
+        counts_path = landing.landing_path(cfg, "yellow_trips_profile")
+        counts = quality.suite_partials(rows, suite, "_source_month")
+        counts.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(counts_path)
+        profile = fresh = spark.read.schema(counts.schema).parquet(counts_path)
+        if counted:
+            kept = read_table(spark, cfg, "bronze", "yellow_trips_profile")
+            others = F.col("_source_month").isNull() | ~F.col("_source_month").isin(months)
+            profile = kept.where(others).unionByName(fresh.select(*kept.columns))
+        quality.gate_bronze(spark, after, profile=profile)
+        log.run("bronze_yellow_trips", quality.run_suite_from_partials(
+            profile, quality.table_checks("bronze_yellow_trips")))
+    after_w = landing.with_landed(spark, cfg, weather)
+    if after_w is None:
+        raise MissingTableError("missing table bronze.weather_hourly")
+    log.table("bronze_weather_hourly", after_w)
+
+    landing.mark_pending(spark, cfg, "trips", new_t)
+    landing.mark_pending(spark, cfg, "weather", new_w)
+    landing.swap_in(spark, cfg, trips)
+    landing.swap_in(spark, cfg, weather)
+    if not counted or months:
+        write_layer(fresh, cfg, "bronze", "yellow_trips_profile", partition_by=["_source_month"],
+                    replace="dynamic" if counted else "static")
+    remove_folder(spark, counts_path)
+    bronze_t, bronze_w = _bronze(spark, cfg), read_table(spark, cfg, "bronze", weather)
+    if not incremental:
+        months = stored_months(spark, bronze_t, "_source_month")
+        weather_months = months_of(bronze_w, month_text(parse_weather_time("observed_at")))
+    return months, weather_months, bronze_t, bronze_w
+
+
 def _bronze(spark: SparkSession, cfg: LakeConfig) -> DataFrame | None:
     """Bronze trips, or None when the table is missing (the gate's first check)."""
     try:

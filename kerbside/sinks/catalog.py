@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kerbside.config import LAYERS, LakeConfig
+from kerbside.sinks.versions import valid_path
 
 # Tables the pipeline writes, by layer, with their partition column if any.
 LAKE_TABLES: dict[tuple[str, str], str | None] = {
@@ -67,7 +68,7 @@ def register_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str,
     # session's default warehouse folder.
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} "
               f"LOCATION '{cfg.root.rstrip('/')}/{layer}'")
-    path = cfg.path(layer, name)
+    path = valid_path(spark, cfg.path(layer, name))
     if spark.catalog.tableExists(qualified) and table_location(spark, qualified) != _norm(path):
         if not _registered_by_a_lake(spark, qualified):
             raise CatalogConflictError(f"{qualified} exists and was not registered by a lake")

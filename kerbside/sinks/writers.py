@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from kerbside.config import LakeConfig
 from kerbside.sources.trips import LANDED_FILE_KEY
+from kerbside.storage import remove_folder
 
 
 def write_bronze(df: DataFrame, path: str, partition_cols=("_source_month",),
@@ -80,12 +81,6 @@ def land_files(df: DataFrame, root: str, file_name: Column, fmt: str = "parquet"
     return root
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of this library's own tables, on whatever storage it is."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def remove_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
     """Delete partitions of a table that a rebuild left without rows (dynamic
     overwrite only replaces the partitions it writes)."""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from kerbside.config import LakeConfig
+from kerbside.sinks.versions import valid_path
 
 
 class MissingTableError(RuntimeError):
@@ -18,8 +19,9 @@ class MissingTableError(RuntimeError):
 def read_table(spark: SparkSession, cfg: LakeConfig, layer: str, name: str,
                schema: StructType | None = None) -> DataFrame:
     """``layer.name``.  With ``schema`` a table written empty (no data files to
-    infer a schema from) still reads, as an empty DataFrame."""
-    path = cfg.path(layer, name)
+    infer a schema from) still reads, as an empty DataFrame.  A table kept in versions
+    is read in its valid one."""
+    path = valid_path(spark, cfg.path(layer, name))
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.parquet(path)
