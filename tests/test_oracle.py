@@ -28,7 +28,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    from kerbside.plans.queries import ORACLE, QUERIES
+    from kerbside.plans.catalogue import ORACLE, QUERIES
 
     assert set(QUERIES) == set(ORACLE)
 
