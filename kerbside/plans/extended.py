@@ -1,19 +1,25 @@
-"""Queries beyond the source models: history as of a row's time, recovery, quarantine, clustered serving.
+"""Queries beyond the source models: history as of a row's time, recovery, quarantine, clustered serving, late
+streams, roll-ups, rolling demand, compaction, differences, freshness and the scan limit.
 
 Same form as :mod:`kerbside.plans.queries`; :mod:`kerbside.plans.catalogue` joins the two.
 """
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.config import LakeConfig
-from kerbside.operators import clustering, facts, quality, quarantine, scan_report, serving
+from kerbside.operators import (
+    clustering, facts, freshness, lake_diff, quality, quarantine, rolling, rollups, scan_guard, scan_report, serving,
+)
 from kerbside.operators.marts import MONTH_COLUMN, zone_hourly_demand_months
 from kerbside.operators.point_in_time import as_of_join
 from kerbside.operators.scd2 import scd2_apply
 from kerbside.plans import queries as base
 from kerbside.plans.oracle import sql
+from kerbside.sinks import compaction
 from kerbside.sinks.versions import valid_path, write_version
 from kerbside.sources import fixtures
 
@@ -121,6 +127,87 @@ def q_mart_clustered(spark, sf_dir):
     return spark.read.parquet(_clustered(spark, sf_dir)).drop(MONTH_COLUMN)
 
 
+def q_demand_stream_any_order(spark, sf_dir):
+    """Trips streamed in three drops: late January, then the earlier days behind the watermark, then late January once more."""
+    from kerbside.sinks.writers import land_files
+    from kerbside.streaming import late_trips
+    root, out = base.scratch(base._session(spark), "drops"), base.scratch(spark, "demand-stream")
+    trips = fixtures.bronze_trips(spark, sf_dir)
+    cut = F.lit(base.INCREMENTAL_CUT).cast("timestamp_ntz")
+    newer = F.col("tpep_pickup_datetime") >= cut
+    name = F.concat(F.lit("yellow_tripdata_"), F.col("_source_month"), F.lit(".parquet"))
+    lineage = ("_source_dataset", "_source_month")
+    for i, drop in enumerate((trips.where(newer), trips.where(~newer), trips.where(newer))):
+        land_files(drop, f"{root}/drop{i}", name, drop=lineage)
+        late_trips.take_landed(spark, root, out, trips.drop(*lineage).schema)
+    return late_trips.demand(spark, out)
+
+
+def q_rollup_levels(spark, sf_dir):
+    """Hour, day, month and all from one table of sketches, held against exact distinct counts."""
+    path = rollups.write_sketches(base.fact_trips(spark, sf_dir), base.scratch(base._session(spark), "sketches"))
+    return rollups.compared(spark, path, base.fact_trips(spark, sf_dir))
+
+
+def q_compacted_fact(spark, sf_dir):
+    """The fact, written in many small files and compacted."""
+    path = base.scratch(base._session(spark), "fact-small-files")
+    base.fact_trips(spark, sf_dir).repartition(6).write.partitionBy("pickup_date").parquet(path)
+    done = compaction.compact(spark, path, "pickup_date")
+    if done.files_after != done.partitions:
+        raise RuntimeError(f"not compacted: {done}")
+    return spark.read.parquet(path).select(*facts.FACT_COLUMNS)
+
+
+def q_lake_difference(spark, sf_dir):
+    """Two copies of the fact, one with changed amounts and missing trips on two days."""
+    left, right = (base.scratch(base._session(spark), f"difference-{side}") for side in ("left", "right"))
+    fact = base.fact_trips(spark, sf_dir)
+    fact.write.partitionBy("pickup_date").parquet(left)
+    day = F.col("pickup_date") == F.lit(base.BENCH_DAY)
+    amount = F.when(day & (F.col("trip_minutes") % 4 == 0), F.col("total_amount") + 1).otherwise(F.col("total_amount"))
+    lost = (F.col("pickup_date") == F.lit(base.BENCH_DAY) + F.expr("INTERVAL 3 DAYS")) & (F.col("trip_minutes") % 5 == 0)
+    fact.withColumn("total_amount", amount).where(~lost).write.partitionBy("pickup_date").parquet(right)
+    return lake_diff.table_difference(spark.read.parquet(left), spark.read.parquet(right), "pickup_date")
+
+
+def q_rolling_demand(spark, sf_dir):
+    """Dense demand of every zone with its mean over the last seven days."""
+    return rolling.rolling_demand(base.mart(spark, sf_dir), 168)
+
+
+def q_source_freshness(spark, sf_dir):
+    """Trips and weather that have just landed, and a source that has not, against a bound of a day; then all of them a month later."""
+    root = base.scratch(base._session(spark), "fresh-landing")
+    fixtures.land_trip_files(spark, sf_dir, f"{root}/trips")
+    fixtures.land_weather_payloads(spark, sf_dir, f"{root}/weather")
+    sources = {name: f"{root}/{name}" for name in ("trips", "weather", "zones")}
+    now, report = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), None
+    for when, at in (("landed", now), ("a month later", now + dt.timedelta(days=31))):
+        rows = freshness.freshness(spark, sources, at, dt.timedelta(days=1)).select(
+            F.lit(when).alias("checked"), "source", (F.col("files") > 0).alias("has_files"), "newest_month", "fresh")
+        report = rows if report is None else report.unionByName(rows)
+    return report
+
+
+def q_scan_guard(spark, sf_dir):
+    """The single-day query on a flat and on a day-partitioned fact under a limit of half the flat table; planned bytes against those of M1."""
+    fact, rows = base.fact_trips(spark, sf_dir), []
+    paths = {name: base.scratch(spark, f"guard-{name}") for name in ("unpartitioned", "pickup_date")}
+    fact.coalesce(4).write.parquet(paths["unpartitioned"])
+    fact.write.partitionBy("pickup_date").parquet(paths["pickup_date"])
+    limit = scan_guard.planned_bytes(spark.read.parquet(paths["unpartitioned"])) // 2
+    for name, path in paths.items():
+        day = spark.read.parquet(path).where(F.col("pickup_date") == F.lit(base.BENCH_DAY))
+        planned, measured = scan_guard.planned_bytes(day), scan_report.measured_scan(spark, day)[1]["bytes"]
+        try:
+            n = scan_guard.guarded(day, limit).count()
+            rows.append((name, False, n, planned == measured))
+        except scan_guard.ScanLimitError:
+            rows.append((name, True, None, planned == measured))
+    return spark.createDataFrame(rows, "layout string, refused boolean, rows_matched long, agrees_with_scan boolean")
+
+
 QUERIES: dict[str, base.Query] = {
     "trips_zone_as_of": q_trips_zone_as_of,
     "revenue_by_zone_as_of": q_revenue_by_zone_as_of,
@@ -132,6 +219,13 @@ QUERIES: dict[str, base.Query] = {
     "quarantine_counts": q_quarantine_counts,
     "zone_demand_clustered": q_zone_demand_clustered,
     "mart_clustered": q_mart_clustered,
+    "demand_stream_any_order": q_demand_stream_any_order,
+    "rollup_levels": q_rollup_levels,
+    "compacted_fact": q_compacted_fact,
+    "lake_difference": q_lake_difference,
+    "rolling_demand": q_rolling_demand,
+    "source_freshness": q_source_freshness,
+    "scan_guard": q_scan_guard,
 }
 
 
@@ -193,6 +287,44 @@ ORACLE: dict[str, str] = {
                       for r in _RULES)),
     "zone_demand_clustered": base.ORACLE["zone_demand_latest"],
     "mart_clustered": base.ORACLE["zone_hourly_demand"],
+    "demand_stream_any_order": sql(["fact"], """
+        SELECT pickup_zone_id, date_trunc('hour', pickup_ts) AS pickup_hour, count(*) AS trip_count,
+               CAST(sum(CAST(total_amount AS DECIMAL(28,9))) AS DOUBLE) AS revenue
+        FROM fact GROUP BY 1, 2"""),
+    "rollup_levels": sql(["fact"], """
+        , small AS (SELECT *, strftime(pickup_ts, '%Y-%m') AS pickup_month, CAST(pickup_ts AS DATE) AS day,
+                           date_trunc('hour', pickup_ts) AS hour,
+                           concat_ws('>', CAST(pickup_zone_id AS VARCHAR), CAST(dropoff_zone_id AS VARCHAR)) AS route FROM fact)
+        SELECT CASE WHEN hour IS NOT NULL THEN 'hour' WHEN day IS NOT NULL THEN 'day'
+                    WHEN pickup_month IS NOT NULL THEN 'month' ELSE 'all' END AS level,
+               pickup_month, day, hour, count(*) AS trips,
+               CAST(sum(CAST(total_amount AS DECIMAL(28,9))) AS DOUBLE) AS revenue,
+               count(DISTINCT route) AS routes, count(DISTINCT pickup_zone_id) AS zones, true AS estimates_hold
+        FROM small GROUP BY GROUPING SETS ((pickup_month, day, hour), (pickup_month, day), (pickup_month), ())"""),
+    "compacted_fact": base.ORACLE["fact_trips"],
+    "lake_difference": sql(["fact"], f"""
+        , changed AS (
+          SELECT * REPLACE (CASE WHEN pickup_date = DATE '{base.BENCH_DAY}' AND trip_minutes % 4 = 0
+                                 THEN total_amount + 1 ELSE total_amount END AS total_amount)
+          FROM fact WHERE NOT (pickup_date = DATE '{base.BENCH_DAY + dt.timedelta(days=3)}' AND trip_minutes % 5 = 0))
+        SELECT *, 'left' AS side FROM (SELECT * FROM fact EXCEPT ALL SELECT * FROM changed)
+        UNION ALL SELECT *, 'right' FROM (SELECT * FROM changed EXCEPT ALL SELECT * FROM fact)"""),
+    "rolling_demand": sql(["mart"], """
+        , known AS (SELECT * FROM mart WHERE pickup_zone_id IS NOT NULL AND pickup_hour IS NOT NULL)
+        , spine AS (SELECT pickup_zone_id, pickup_hour FROM (SELECT DISTINCT pickup_zone_id FROM known),
+                    (SELECT unnest(generate_series(min(pickup_hour), max(pickup_hour), INTERVAL 1 HOUR)) AS pickup_hour FROM known))
+        , dense AS (SELECT s.*, coalesce(k.trip_count, 0) AS trip_count FROM spine s LEFT JOIN known k USING (pickup_zone_id, pickup_hour))
+        SELECT pickup_zone_id, pickup_hour, CAST(trip_count AS BIGINT) AS trip_count, CAST(sum(trip_count) OVER w AS BIGINT) AS rolling_trips,
+               count(*) OVER w AS rolling_hours, CAST(sum(trip_count) OVER w AS DOUBLE) / count(*) OVER w AS rolling_mean
+        FROM dense WINDOW w AS (PARTITION BY pickup_zone_id ORDER BY pickup_hour RANGE BETWEEN INTERVAL 167 HOURS PRECEDING AND CURRENT ROW)"""),
+    "source_freshness": sql(["bronze_trips", "bronze_weather"], """
+        , newest AS (SELECT 'trips' AS source, max(_source_month) AS m FROM bronze_trips
+                     UNION ALL SELECT 'weather', max(_source_month) FROM bronze_weather UNION ALL SELECT 'zones', NULL)
+        SELECT checked, source, m IS NOT NULL AS has_files, m AS newest_month, m IS NOT NULL AND checked = 'landed' AS fresh
+        FROM newest, (VALUES ('landed'), ('a month later')) AS c(checked)"""),
+    "scan_guard": sql(["fact"], f"""
+        SELECT 'unpartitioned' AS layout, true AS refused, CAST(NULL AS BIGINT) AS rows_matched, true AS agrees_with_scan
+        UNION ALL SELECT 'pickup_date', false, count(*), true FROM fact WHERE pickup_date = DATE '{base.BENCH_DAY}'"""),
 }
 
 
