@@ -5,13 +5,13 @@ longest windows are counted; the counts of all shorter phrases are sums over wha
 columns gives them all, since a phrase of any length is the prefix of exactly one window for each place it stands at.
 
 Most windows of a large table occur once and cannot matter: a phrase is wanted from ``min_count`` occurrences on, and then so are all
-its neighbouring pairs.  So pairs of neighbours are counted first, by 64-bit hash, and a window is padded after the first
+its neighbouring pairs.  So pairs of neighbours are counted first, by hash, and a window is padded after the first
 pair that is too rare.  The filter is a bitmap of the frequent pairs' hashes; whatever shares a cell with one
 only keeps its window longer, so all counts that are used stay exact.  The bitmap is sized from the number of frequent pairs and
 at most 16 MB; far beyond that it lets more windows through and the ROLLUP does the work without its help.
 
 Hot words: windows are counted inside each slice of a task, then by Spark's partial aggregates; the joins of phrases with the counts of their
-parts are salted, and the best phrases are ranked in salted parts first.
+parts leave hot keys to AQE, and the best phrases are ranked in salted parts first.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -36,8 +36,10 @@ BLANKS = np.zeros(256, bool)
 BLANKS[[0x20, 0x09]] = True
 _NO_GAPS = np.zeros(256, bool)
 
-SLICE = 4 << 20
+SLICE = 2 << 20
 SALTS = 16
+#: Bits of a pair's hash that are shuffled, and of the bitmap's cell numbers.
+PAIR_BITS = 40
 LEAST_BITS, MOST_BITS = 16, 27
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,9 +55,9 @@ class Slice:
         begin[starts] = kept[starts]
         at = np.flatnonzero(begin)
         self.row = np.searchsorted(starts, at, side="right") + first_row - 1
-        piece = np.cumsum(apart)[at] + self.row
+        piece = np.cumsum(apart, dtype=np.int32)[at] + self.row
         self.joined = np.append(piece[1:] == piece[:-1], False) if len(at) else np.zeros(0, bool)
-        where = np.append(np.cumsum(kept)[at] - 1, int(kept.sum())) if len(at) else np.zeros(1, np.int64)
+        where = np.append(np.cumsum(kept, dtype=np.int32)[at] - 1, int(kept.sum())) if len(at) else np.zeros(1, np.int32)
         letters = _LOWER[data[kept]]
         column = pa.StringArray.from_buffers(len(at), pa.py_buffer(where.astype(np.int32)), pa.py_buffer(letters))
         coded = column.dictionary_encode()
@@ -69,7 +71,7 @@ class Slice:
         if len(h) > 1:
             out[:-1] = mix(mix(h[:-1] * _PRIME + h[1:]) + lang_hash[self.row[:-1]])
         out[~self.joined] = 0
-        return out
+        return out >> np.uint64(64 - PAIR_BITS)
 
 
 def word_slices(batch: pa.RecordBatch) -> Iterator[Slice]:
@@ -150,26 +152,32 @@ def window_counts(docs: DataFrame, size: int, min_count: int) -> DataFrame:
 
 
 def phrase_counts(windows: DataFrame, size: int, min_count: int) -> DataFrame:
-    """(lang, w1 ... w<size>, words, f): every phrase with ``f >= min_count`` occurrences, and a row without words with the language's total."""
+    """(lang, w1 ... w<size>, words, f): every phrase with ``f >= min_count`` occurrences, and a row without words with the language's total.
+
+    ``windows`` has every distinct window once, so a phrase of ``size`` words is a row of it; all shorter ones come from the ROLLUP.
+    """
     names = [f"w{i + 1}" for i in range(size)]
-    rolled = windows.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("_level"))
-    words_of = size - F.bit_count("_level")  # the columns rolled up are the low bits of the grouping id
+    longest = windows.filter(F.col(names[-1]).isNotNull()).select("lang", *names, F.lit(size).alias("words"), F.col("n").alias("f"))
+    rolled = windows.rollup("lang", *names[:-1]).agg(F.sum("n").alias("f"), F.grouping_id().alias("_level"))
+    words_of = size - 1 - F.bit_count("_level")  # the columns rolled up are the low bits of the grouping id
     whole = F.lit(True)
-    for i, name in enumerate(names):
+    for i, name in enumerate(names[:-1]):
         whole = whole & (F.col(name).isNotNull() | (F.col("words") <= i))
-    kept = rolled.filter(F.col("_level") < (1 << size)).withColumn("words", words_of)
-    return kept.filter(whole & ((F.col("words") == 0) | (F.col("f") >= min_count))).select("lang", *names, "words", "f")
+    shorter = rolled.filter(F.col("_level") < (1 << (size - 1))).withColumn("words", words_of).filter(whole)
+    shorter = shorter.select("lang", *names[:-1], F.lit(None).cast("string").alias(names[-1]), "words", "f")
+    return longest.unionByName(shorter).filter((F.col("words") == 0) | (F.col("f") >= min_count))
 
 
-def _with_count(phrases: DataFrame, counts: DataFrame, words_at: list[str], name: str, spread: Column) -> DataFrame:
-    """The phrases with the count of the part that stands in the columns ``words_at``; ``spread`` salts the phrases that share it."""
+def _with_count(phrases: DataFrame, counts: DataFrame, words_at: list[str], name: str) -> DataFrame:
+    """The phrases with the count of the part that stands in the columns ``words_at``, one row of ``counts``.
+
+    Many phrases may share a part; AQE splits such a key on their side (what follows is another join by another key).
+    """
     part = counts.filter(F.col("words") == len(words_at)).select(
-        F.col("lang").alias("_lang"), *[F.col(f"w{i + 1}").alias(f"_w{i}") for i in range(len(words_at))], F.col("f").alias(name),
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
+        F.col("lang").alias("_lang"), *[F.col(f"w{i + 1}").alias(f"_w{i}") for i in range(len(words_at))], F.col("f").alias(name)
     )
-    on = [F.col("lang") == F.col("_lang"), F.pmod(F.xxhash64(spread), F.lit(SALTS)) == F.col("_salt")]
-    on += [F.col(w) == F.col(f"_w{i}") for i, w in enumerate(words_at)]
-    return phrases.join(part, on).drop("_lang", "_salt", *[f"_w{i}" for i in range(len(words_at))])
+    on = [F.col("lang") == F.col("_lang")] + [F.col(w) == F.col(f"_w{i}") for i, w in enumerate(words_at)]
+    return phrases.join(part, on).drop("_lang", *[f"_w{i}" for i in range(len(words_at))])
 
 
 def scored_phrases(counts: DataFrame, size: int) -> DataFrame:
@@ -180,8 +188,8 @@ def scored_phrases(counts: DataFrame, size: int) -> DataFrame:
         rows = counts.filter(F.col("words") == length).withColumnRenamed("f", "a").withColumn("phrase", F.concat_ws(" ", *names))
         cuts = []
         for k in range(1, length):
-            rows = _with_count(rows, counts, names[:k], f"_l{k}", F.col("phrase"))
-            rows = _with_count(rows, counts, names[k:], f"_r{k}", F.col("phrase"))
+            rows = _with_count(rows, counts, names[:k], f"_l{k}")
+            rows = _with_count(rows, counts, names[k:], f"_r{k}")
             score = F.expr(f"CAST(1000000 AS DECIMAL(7,0)) * CAST(a AS DECIMAL(15,0)) * CAST(a AS DECIMAL(15,0)) DIV (CAST(_l{k} AS DECIMAL(18,0)) * CAST(_r{k} AS DECIMAL(18,0)))")
             cuts.append(F.struct(score.alias("score"), F.lit(k).alias("k"), F.col(f"_l{k}").alias("l"), F.col(f"_r{k}").alias("r")))
         best = F.least(*cuts) if len(cuts) > 1 else cuts[0]
@@ -214,7 +222,7 @@ def collocations(docs: DataFrame, size: int = 3, min_count: int = 10, best: int
     A null language is ``und``, a null text is empty; repeated rows count each time; rows that tie in score and count are ranked by the
     phrase's bytes; an empty table, or one without a phrase that is frequent enough, gives an empty result.  Counts reach 10^15 exactly.
     """
-    counts = stored(phrase_counts(window_counts(docs, size, min_count), size, min_count))
+    counts = stored(phrase_counts(stored(window_counts(docs, size, min_count)), size, min_count))
     phrases = not_inside_longer(scored_phrases(counts, size), counts, size, share)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     part = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
