@@ -3,7 +3,8 @@
 Inside a month the rows follow a space-filling curve over zone and hour that takes the bits of both numbers in turns: first the
 hour's highest bits (blocks of 128 hours), then the zone's, then the hour's others.  So a zone is six short runs in a
 month, and a day in all zones lies in one or two blocks.  Parquet keeps the least and greatest value of every page and row group; small
-pages over ordered rows let a reader skip the rest.  The key is a native expression and is not stored.
+pages over ordered rows let a reader skip the rest.  (Spark pushes filters on the zone to Parquet, but none on
+zone-less timestamps yet, so a span of hours still prunes by month only.)  The key is a native expression and is not stored.
 """
 from __future__ import annotations
 
