@@ -4,18 +4,18 @@ A text is cut at the special tokens of the vocabulary, the rest by the fixed pat
 become a doubly linked list of symbols.  A priority queue holds the merges that neighbours allow, by rank, then by place; a popped
 entry whose symbols have been merged away meanwhile is stale and skipped.  Decoding concatenates the bytes of the vocabulary strings.
 
-Equal words have equal ids, so each Python worker keeps the ids of the words it met last (at most ``REMEMBERED`` of them, none longer
-than ``LONGEST_REMEMBERED`` characters).  Only the vocabulary is broadcast; its size does not depend on the documents.
-A text is worked through in pieces cut where a space follows another character, which no word contains inside.
+Equal words have equal ids, so each Python worker keeps the ids of the words it met (about the last ``REMEMBERED``, none longer than
+``LONGEST_REMEMBERED`` characters).  Only the vocabulary is broadcast; its size does not depend on the documents.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
+import unicodedata
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -58,59 +58,80 @@ class Vocabulary:
         self.strings: dict[int, bytes] = {i: bytes(byte[c] for c in s) for s, i in vocab.items()}
         self.strings |= {i: s.encode() for s, i in self.specials.items()}
         self.bytes = [vocab[letter] for letter in byte_letters()]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: Rank of each pair of neighbours, and the symbol each rank makes.
+        self.ranks: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[left], vocab[right]] = rank, vocab[left + right]
+            self.ranks[vocab[left], vocab[right]] = rank
+            self.made.append(vocab[left + right])
+        if len({*self.made}) < len(self.made):
+            raise ValueError(f"{path} makes a symbol by two merges")
 
 
 def merge_word(word: bytes, vocabulary: Vocabulary) -> tuple[int, ...]:
-    """Ids of one word: merges by rank from a queue, over a linked list of symbols."""
-    merges = vocabulary.merges
+    """Ids of one word: merges by rank from a queue, over a linked list of symbols.
+
+    A queue entry is rank * (length of the word) + place of the left symbol; ``ranks`` has the rank of each symbol's pair with the
+    next one as it is now, and an entry with another rank is stale.  A symbol that went into its left neighbour is -1.
+    """
+    rank_of, made = vocabulary.ranks.get, vocabulary.made
     ids = [vocabulary.bytes[b] for b in word]
     n = len(ids)
-    after, before = [*range(1, n), -1], list(range(-1, n - 1))
-    queue = []
-    for at in range(n - 1):
-        found = merges.get((ids[at], ids[at + 1]))
-        if found:
-            queue.append((found[0], at, found[1]))
+    ranks = [*map(rank_of, zip(ids, ids[1:])), None]  # noqa: B905
+    queue = [rank * n + at for at, rank in enumerate(ranks) if rank is not None]
+    if not queue:
+        return tuple(ids)
     heapify(queue)
+    after, before = list(range(1, n + 1)), list(range(-1, n))
     while queue:
-        _, at, merged = heappop(queue)
+        rank, at = divmod(heappop(queue), n)
+        if ranks[at] != rank:
+            continue
         right = after[at]
-        if ids[at] < 0 or right < 0:
-            continue  # stale: the symbol is gone, or has become the last
-        found = merges.get((ids[at], ids[right]))
-        if found is None or found[1] != merged:
-            continue  # stale: one of the two symbols has grown
-        ids[at], ids[right] = merged, -1
+        ids[at] = merged = made[rank]
+        ids[right], ranks[right] = -1, None
         after[at] = following = after[right]
-        if following >= 0:
-            before[following] = at
-            found = merges.get((merged, ids[following]))
-            if found:
-                heappush(queue, (found[0], at, found[1]))
+        before[following] = at
+        if following < n:
+            ranks[at] = rank = rank_of((merged, ids[following]))
+            if rank is not None:
+                heappush(queue, rank * n + at)
+        else:
+            ranks[at] = None
         left = before[at]
         if left >= 0:
-            found = merges.get((ids[left], merged))
-            if found:
-                heappush(queue, (found[0], left, found[1]))
-    return tuple(i for i in ids if i >= 0)
+            ranks[left] = rank = rank_of((ids[left], merged))
+            if rank is not None:
+                heappush(queue, rank * n + left)
+    return tuple([i for i in ids if i >= 0])
 
 
-def _pieces(text: str) -> Iterator[str]:
-    start = 0
-    while len(text) - start > 2 * PIECE:
-        cut = _CUT.search(text, start + PIECE)
-        if cut is None:
-            break
-        yield text[start : cut.start() + 1]
-        start = cut.start() + 1
-    yield text[start:]
+class Remembered(dict):
+    """Ids by string, made when they are first asked for; long strings are not kept.
+
+    There are two generations of half the size each: when the young one is full it becomes the old one, and what is asked for again moves on.
+    """
+
+    def __init__(self, make):
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> tuple[int, ...]:
+        ids = self.old.pop(key, None)
+        if ids is None:
+            ids = self.make(key)
+            if len(key) > LONGEST_REMEMBERED:
+                return ids
+        if len(self) >= REMEMBERED // 2:
+            self.old = dict(self)
+            self.clear()
+        self[key] = ids
+        return ids
 
 
-_CUT = regex.compile(r"\S ")
+#: The fixed pattern in the classes of the standard library, which is faster, and the characters whose class differs there.
+_PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_OTHER = frozenset("\x1c\x1d\x1e\x1f").union(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl"))
 
 
 class Encoder:
@@ -119,20 +140,35 @@ class Encoder:
         longest_first = sorted(vocabulary.specials, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if longest_first else None
         self._specials = vocabulary.specials
-        remembered = lru_cache(REMEMBERED)(lambda word: merge_word(word.encode(), vocabulary))
-        self._word = lambda w: remembered(w) if len(w) <= LONGEST_REMEMBERED else merge_word(w.encode(), vocabulary)
+        self._ids_of = Remembered(lambda word: merge_word(word.encode(), vocabulary)).__getitem__
 
     def encode(self, text: str) -> array:
         ids = array("i")
+        words = _PLAIN_WORDS if _OTHER.isdisjoint(text) else self._words
         for i, part in enumerate(self._special.split(text) if self._special else [text]):
             if i % 2:
                 ids.append(self._specials[part])
                 continue
             for piece in _pieces(part):
-                ids.extend(chain.from_iterable(map(self._word, self._words.findall(piece))))
+                ids.extend(chain.from_iterable(map(self._ids_of, words.findall(piece))))
         return ids
 
 
+def _pieces(text: str) -> Iterator[str]:
+    """A long text in parts cut where a space follows another character, which no word contains inside."""
+    start = 0
+    while len(text) - start > 2 * PIECE:
+        cut = _CUT.search(text, start + PIECE)
+        if cut is None:
+            break
+        yield text[start : cut.start() + 1]
+        start = cut.start() + 1
+    yield text[start:]
+
+
+_CUT = re.compile(r"\S ")
+
+
 #: The encoder of the vocabulary used last in this worker, so that tasks share the remembered words.
 _last: dict[str, Encoder] = {}
 
@@ -146,7 +182,11 @@ def encoder(vocabulary: Vocabulary) -> Encoder:
 
 def decode(ids: list[int], strings: dict[int, bytes]) -> str:
     """The text of ids; ids that no string has are left out, bytes that are no UTF-8 become U+FFFD."""
-    return b"".join([strings.get(i, b"") for i in ids]).decode("utf-8", "replace")
+    try:
+        found = b"".join(map(strings.__getitem__, ids))
+    except KeyError:
+        found = b"".join([strings.get(i, b"") for i in ids])
+    return found.decode("utf-8", "replace")
 
 
 def bpe_encode(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -176,7 +216,10 @@ def bpe_decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings = shared.value.strings
         for batch in batches:
-            texts = [decode(ids or [], strings) for ids in batch.column("ids").to_pylist()]
+            column = batch.column("ids").fill_null([])
+            flat = column.flatten().fill_null(-1).to_numpy()
+            ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(column.value_lengths().to_numpy(), dtype=np.int64)))
+            texts = [decode(flat[lo:hi].tolist(), strings) for lo, hi in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return encoded.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "CAST(ids AS ARRAY<INT>) AS ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")

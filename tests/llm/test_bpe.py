@@ -46,12 +46,13 @@ def test_random_texts_as_the_library(library, vocabulary):
         assert m.decode(found, vocabulary.strings) == library.decode(found, skip_special_tokens=False) == text
 
 
-def test_pieces_do_not_show(library, vocabulary, monkeypatch):
+def test_pieces_and_memory_do_not_show(library, vocabulary, monkeypatch):
     monkeypatch.setattr(m, "PIECE", 16)
-    encode = m.encoder(vocabulary).encode
-    for text in (prose(1, 300), " a  b   c " * 50, "x" * 400 + "  y", "don't  \n\n 12 ," * 30):
+    monkeypatch.setattr(m, "REMEMBERED", 5)
+    monkeypatch.setattr(m, "LONGEST_REMEMBERED", 4)
+    encode = m.Encoder(vocabulary).encode
+    for text in (prose(1, 300), " a  b   c " * 50, "x" * 400 + "  y", "don't  \n\n 12 ," * 30, " \x1c a\u3000 b\x85 c"):
         assert list(encode(text)) == library.encode(text, add_special_tokens=False).ids
-        assert "".join(m._pieces(text)) == text
 
 
 def test_broken_bytes_decode_as_the_library(library, vocabulary):
