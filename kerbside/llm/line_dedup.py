@@ -19,10 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bitmap import bitmap, rows_that_may_be_in
 from .tables import stored
 from .text import mix
 
 MIN_BLOCK_CHARS = 60
+ID_BITS = 24
+#: White space that may stand around a line.
+_AROUND = " \t\x0b\x0c\r"
 _BASE = 0x9E3779B97F4A7C15
 _BACK = np.uint64(pow(_BASE, -1, 1 << 64))
 
@@ -161,11 +165,11 @@ def _lines(text: str) -> Column:
 def repeated_lines(documents: DataFrame, rare: int | None = None, min_block_chars: int = MIN_BLOCK_CHARS) -> DataFrame:
     """(doc_id, mark, cut): line numbers (from 0) to delete of each document that repeats blocks of an earlier one.
 
-    ``mark`` is the hash of the text the numbers belong to.  Lines are compared without blanks around them; blank lines match nothing.
+    ``mark`` is the hash of the text the numbers belong to.  Lines are compared without white space around them; blank lines match nothing.
     A caller who gives ``rare`` has no pairs made by one line alone, however long, that more than ``rare`` documents have.
     """
     has = documents.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    trimmed = F.transform(_lines("text"), lambda line: F.trim(line))
+    trimmed = F.transform(_lines("text"), lambda line: F.btrim(line, F.lit(_AROUND)))
     lines = stored(
         has.withColumn("mark", F.xxhash64("text")).withColumn("trimmed", trimmed).select(
             "doc_id", "mark",
@@ -202,3 +206,21 @@ def without_repeated_lines(documents: DataFrame, rare: int | None = None, min_bl
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.length("text")))
     return out.select(documents.columns)
+
+
+def uncut_texts(documents: DataFrame, originals: DataFrame) -> DataFrame:
+    """(doc_id, text): whole texts, in ``originals``, of the documents that lines were cut from.
+
+    A row of ``originals`` counts if it has the doc_id of a document whose text no row of that id has there, and if the document's lines
+    are all lines of it.  Rows without doc_id or text take no part.  Only those texts are shuffled, not whole tables.
+    """
+    has = "doc_id IS NOT NULL AND text IS NOT NULL"
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    now, before = documents.filter(has).select(doc_id, "text"), originals.filter(has).select(doc_id, "text")
+    marked = lambda df: df.select("doc_id", F.xxhash64("text").alias("mark"))
+    ids = stored(marked(now).join(marked(before), ["doc_id", "mark"], "left_anti").select("doc_id").distinct())
+    packed = bitmap(ids, "doc_id", ID_BITS)
+    some = lambda df: rows_that_may_be_in(df, "doc_id", packed, ID_BITS)
+    cut = some(now).join(ids, "doc_id", "left_semi").withColumnRenamed("text", "left_over")
+    inside = F.size(F.array_except(_lines("left_over"), _lines("text"))) == 0
+    return some(before).join(cut, "doc_id").filter(inside).select("doc_id", "text").distinct()

@@ -243,11 +243,15 @@ def ngram_jaccard_components(documents: DataFrame) -> DataFrame:
     ).select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def keep_one_per_group(documents: DataFrame) -> DataFrame:
+def keep_one_per_group(documents: DataFrame, other_versions: DataFrame | None = None) -> DataFrame:
     """``documents`` with one row of each group of near copies, that with the smallest doc_id.
 
-    Rows without doc_id stay; of rows that repeat a doc_id one stays, which one is free if they differ.
+    ``other_versions`` (doc_id, text) are further texts of some of the documents, such as the whole text where parts were cut: two documents are
+    near copies if any of their versions are.  Rows without doc_id stay; of rows that repeat a doc_id one stays, which one is free if they differ.
     """
-    kept = ngram_jaccard_components(documents).filter("doc_id = component_id").select("doc_id").distinct()
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if other_versions is not None:
+        texts = texts.unionByName(other_versions.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    kept = ngram_jaccard_components(texts).filter("doc_id = component_id").select("doc_id").distinct()
     named = documents.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.select(documents.columns).unionByName(documents.filter("doc_id IS NULL"))

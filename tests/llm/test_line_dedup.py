@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from kerbside.llm import line_dedup as m
 
-from .cases import awkward, rows, with_clashes
+from .cases import awkward, prose, rows, with_clashes
 
 A, B, C, D = (f"{c} long line of text that is worth a cut when it comes again, number {c}" for c in "abcd")
 
@@ -95,3 +95,10 @@ def test_patience_matches_are_a_common_subsequence(a, b):
 
 def test_patience_takes_the_longest_run_of_unique_lines():
     assert m.patience_matches([1, 2, 3, 4], [3, 1, 2, 4]) == [(0, 1), (1, 2), (3, 3)]
+
+
+def test_white_space_around_lines_does_not_count(spark):
+    block = [prose(70 + i, 12, 10**6) for i in range(3)]
+    texts = ["\r\n".join(block), "\n".join(f"\t {x} \x0b" for x in block) + "\nan own line", "\n".join(block) + "\r"]
+    got = {r.doc_id: r.text for r in m.without_repeated_lines(rows(spark, texts)).collect()}
+    assert got[0] == texts[0] and got[1] == "an own line" and got[2] == ""
