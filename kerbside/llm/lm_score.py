@@ -1,19 +1,26 @@
 """Operator 10: masked pseudo-likelihood scores of a bidirectional window network.
 
 The network predicts a token from the two tokens on its left and the two on its right: one table of vectors for each of the
-four places, summed and squashed, then a softmax over ``CLASSES`` word classes and one over the ``MEMBERS`` words of the class.  A
+four places, summed and squashed, then a softmax over word classes and one over the words of the class.  A
 document's score is the sum of the log-probabilities of all its tokens, each predicted with itself masked.
 
-Tokens are words; the most frequent words of the whole corpus have a token of their own, the others share tokens by hash.  A word
-that shares a token has the token's probability times its own share of it, count / (counts of all words of the token + number of
-those words): the counts are of the whole corpus, and the second term leaves room for words that were not counted.
-Training is data-parallel over the whole corpus: in each round every task trains a replica on its own partition, masking one in
-``MASK`` positions of every document (other positions each round), and the replicas are averaged, weighted by what they saw.
+Tokens are words; the most frequent words of the whole corpus have a token of their own, the others share tokens by hash.  How many tokens there
+are follows the number of distinct words (:func:`shape_of`).  A word that shares a token has the token's probability times its
+own share of it, count / (counts of all words of the token + number of those words): the counts are of the whole corpus, and
+the second term leaves room for words that were not counted.
+
+Training is data-parallel over all positions of all texts.  Texts go to buckets by a hash of their id and text, about
+``BUCKET_TOKENS`` tokens each, and lie in a fixed order inside, so a replica sees the same tokens in the same order however the table
+is split.  In each round every bucket trains a replica, masking one in ``ROUNDS`` positions of every document (beginning at a place that
+the text's hash and the round say, so that after all rounds every position has been masked once), and the replicas are averaged,
+weighted by what they saw.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,15 +30,40 @@ from pyspark.sql import functions as F
 from .tables import stored
 from .text import lists, slices, words
 
-CLASSES, MEMBERS, WIDTH = 32, 64, 24
-SHARED = 128
-SIZE = CLASSES * MEMBERS
-MASK, ROUNDS = 16, 2
+WIDTH = 24
+ROUNDS = 2
 PLACES = (-2, -1, 1, 2)
+BUCKET_TOKENS = 4 << 20
 _BATCH, _RATE = 4_096, 0.1
 _CHUNK = 32_768
 _BLOCKS = 16
-PAD = SIZE
+_FAN = 64
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Number of word classes, of words in each, and of the tokens that words share."""
+
+    classes: int = 32
+    members: int = 64
+    shared: int = 128
+
+    @property
+    def size(self) -> int:
+        return self.classes * self.members
+
+    @property
+    def pad(self) -> int:
+        return self.size
+
+
+def shape_of(distinct: int) -> Shape:
+    """2,048 tokens up to a million distinct words, then growing with the root of their number, to 32,768 tokens at 256 million.
+
+    A replica has 120 numbers a token, so the root keeps it small beside what it is trained on.
+    """
+    doublings = min(4, max(0, math.ceil(math.log2(max(1, distinct) / (1 << 20)) / 2)))
+    return Shape(32 << (doublings // 2), 64 << (doublings - doublings // 2), 128 << doublings)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -41,21 +73,22 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Vocabulary:
-    """Token of a word hash: classes hold words of like frequency; ``SHARED`` tokens are for all other words."""
+    """Token of a word hash: classes hold words of like frequency; the first ``shape.shared`` tokens are for all other words."""
 
-    def __init__(self, frequent: list[tuple[int, int]], total: int):
+    def __init__(self, frequent: list[tuple[int, int]], total: int, shape: Shape):
+        self.shape, shared = shape, shape.shared
         self.words = np.sort(np.array([w for w, _ in frequent], np.int64).view(np.uint64))
         by_count = np.array([w for w, _ in sorted(frequent, key=lambda x: (-x[1], x[0]))], np.int64).view(np.uint64)
         self.token = np.zeros(len(self.words), np.int32)
-        self.token[np.searchsorted(self.words, by_count)] = np.arange(len(by_count)) + SHARED
-        share = np.full(SIZE, 1.0)
-        share[SHARED : SHARED + len(frequent)] += sorted((c for _, c in frequent), reverse=True)
-        share[:SHARED] += max(0, total - sum(c for _, c in frequent)) / SHARED
+        self.token[np.searchsorted(self.words, by_count)] = np.arange(len(by_count)) + shared
+        share = np.full(shape.size, 1.0)
+        share[shared : shared + len(frequent)] += sorted((c for _, c in frequent), reverse=True)
+        share[:shared] += max(0, total - sum(c for _, c in frequent)) / shared
         self.share = share / share.sum()
-        self.room = np.ones(SHARED)  # counts of the words of each shared token, and one more a word
+        self.room = np.ones(shared)  # counts of the words of each shared token, and one more a word
 
     def tokens(self, hashes: np.ndarray) -> np.ndarray:
-        out = (hashes % np.uint64(SHARED)).astype(np.int32)
+        out = (hashes % np.uint64(self.shape.shared)).astype(np.int32)
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
             known = self.words[at] == hashes
@@ -66,20 +99,23 @@ class Vocabulary:
 class WindowNetwork:
     """The network's numbers in one float32 array, with a view for each part."""
 
-    SHAPES = {"place": (len(PLACES), SIZE + 1, WIDTH), "bias": (WIDTH,), "class": (WIDTH, CLASSES), "class_bias": (CLASSES,), "member": (CLASSES, WIDTH, MEMBERS), "member_bias": (CLASSES, MEMBERS)}
-
-    def __init__(self, flat: np.ndarray | None = None, share: np.ndarray | None = None):
-        total = sum(int(np.prod(s)) for s in self.SHAPES.values())
+    def __init__(self, shape: Shape, flat: np.ndarray | None = None, share: np.ndarray | None = None):
+        self.shape, classes, members = shape, shape.classes, shape.members
+        parts = {
+            "place": (len(PLACES), shape.size + 1, WIDTH), "bias": (WIDTH,), "class": (WIDTH, classes), "class_bias": (classes,),
+            "member": (classes, WIDTH, members), "member_bias": (classes, members),
+        }
+        total = sum(int(np.prod(s)) for s in parts.values())
         if flat is None:
             flat = np.random.default_rng(11).normal(0, 0.1, total).astype(np.float32)
         self.flat, at = flat, 0
         self.part: dict[str, np.ndarray] = {}
-        for name, shape in self.SHAPES.items():
-            n = int(np.prod(shape))
-            self.part[name] = flat[at : at + n].reshape(shape)
+        for name, dims in parts.items():
+            n = int(np.prod(dims))
+            self.part[name] = flat[at : at + n].reshape(dims)
             at += n
         if share is not None:
-            by_class = share.reshape(CLASSES, MEMBERS)
+            by_class = share.reshape(classes, members)
             self.part["class_bias"][:] = np.log(by_class.sum(axis=1))
             self.part["member_bias"][:] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
             self.part["bias"][:] = 0
@@ -102,12 +138,12 @@ class WindowNetwork:
         for lo in range(0, len(at), _CHUNK):
             own = at[lo : lo + _CHUNK]
             h, token = self._hidden(padded, own), padded[own]
-            cls, member = token // MEMBERS, token % MEMBERS
+            cls, member = token // self.shape.members, token % self.shape.members
             first = self._log_softmax(h @ self.part["class"] + self.part["class_bias"])
             got = first[np.arange(len(own)), cls].astype(np.float64)
             order = np.argsort(cls.astype(np.int16), kind="stable")
-            ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-            for c in range(CLASSES):
+            ends = np.searchsorted(cls[order], np.arange(self.shape.classes + 1))
+            for c in range(self.shape.classes):
                 some = order[ends[c] : ends[c + 1]]
                 if len(some):
                     second = self._log_softmax(h[some] @ self.part["member"][c] + self.part["member_bias"][c])
@@ -121,14 +157,14 @@ class WindowNetwork:
             own = at[lo : lo + _BATCH]
             n = len(own)
             h, token = self._hidden(padded, own), padded[own]
-            cls, member = token // MEMBERS, token % MEMBERS
+            cls, member = token // self.shape.members, token % self.shape.members
             d = np.exp(self._log_softmax(h @ self.part["class"] + self.part["class_bias"]))
             d[np.arange(n), cls] -= 1
             step = {"class": h.T @ d, "class_bias": d.sum(axis=0)}
             dh = d @ self.part["class"].T
             order = np.argsort(cls.astype(np.int16), kind="stable")
-            ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-            for c in range(CLASSES):
+            ends = np.searchsorted(cls[order], np.arange(self.shape.classes + 1))
+            for c in range(self.shape.classes):
                 some = order[ends[c] : ends[c + 1]]
                 if len(some):
                     e = np.exp(self._log_softmax(h[some] @ self.part["member"][c] + self.part["member_bias"][c]))
@@ -156,43 +192,88 @@ def _padded(hashes: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) ->
     """Tokens of all texts with two pads around each, and the place of each token there."""
     counts = np.diff(offsets)
     place = np.arange(len(hashes)) + 2 + 2 * np.repeat(np.arange(len(counts)), counts)
-    padded = np.full(len(hashes) + 2 * len(counts) + 2, PAD, np.int32)
+    padded = np.full(len(hashes) + 2 * len(counts) + 2, vocabulary.shape.pad, np.int32)
     padded[place] = vocabulary.tokens(hashes)
     return padded, place
 
 
-def _replica(shared, turn: int):
+def _tokens(shared):
+    """Each text's tokens (16 bits each), and how many positions it begins to mask late."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, flat = shared.value
-        own = WindowNetwork(flat.astype(np.float32).copy())
-        seen = WindowNetwork(np.zeros_like(own.flat))
-        trained = 0
+        vocabulary = shared.value
         for batch in slices(batches):
             hashes, offsets = words(batch.column("text"))
-            padded, place = _padded(hashes, offsets, vocabulary)
-            inside = np.arange(len(hashes)) - np.repeat(offsets[:-1], np.diff(offsets))
-            at = place[inside % MASK == (3 + turn * MASK // ROUNDS) % MASK]
-            own.train(padded, at, seen)
-            trained += len(at)
-        if trained:
-            blocks = np.array_split(own.flat.astype(np.float16), _BLOCKS)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(_BLOCKS), pa.int32()), pa.array([trained] * _BLOCKS, pa.int64()), pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "trained", "numbers"]
-            )
+            own = vocabulary.tokens(hashes).astype("<u2")
+            rows = [own[lo:hi].tobytes() for lo, hi in zip(offsets[:-1], offsets[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("mark"), pa.array(rows, pa.binary())], ["bucket", "mark", "tokens"])
 
     return run
 
 
-def _average(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, weight, block = 0.0, 0, 0
+def _one_bucket(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All texts of a bucket as one row, in the order of their marks, then of their tokens."""
+    texts, bucket = [], 0
     for t in tables:
-        block = t.column("block")[0].as_py()
-        for n, value in zip(t.column("trained").to_pylist(), t.column("numbers"), strict=True):
-            total = total + n * np.frombuffer(value.as_buffer(), np.float16).astype(np.float64)
+        bucket = t.column("bucket")[0].as_py()
+        texts += zip(t.column("mark").to_pylist(), t.column("tokens").to_pylist(), strict=True)
+    texts.sort()
+    marks, tokens = [m for m, _ in texts], [x for _, x in texts]
+    row = [pa.array([bucket], pa.int64()), pa.array([marks], pa.list_(pa.int64())), pa.array([[len(x) // 2 for x in tokens]], pa.list_(pa.int32()))]
+    yield pa.RecordBatch.from_arrays([*row, pa.array([b"".join(tokens)], pa.binary())], ["bucket", "marks", "lengths", "tokens"])
+
+
+def masked_places(padded_at: np.ndarray, offsets: np.ndarray, marks: np.ndarray, turn: int) -> np.ndarray:
+    """The places a round masks: one in ``ROUNDS`` of every text, all of them after all rounds."""
+    counts = np.diff(offsets)
+    inside = np.arange(len(padded_at)) - np.repeat(offsets[:-1], counts)
+    return padded_at[(inside + np.repeat(marks % ROUNDS, counts) + turn) % ROUNDS == 0]
+
+
+def _replica(shared, turn: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shape, flat = shared.value
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tokens = np.frombuffer(batch.column("tokens")[i].as_buffer(), "<u2").astype(np.int32)
+                lengths = batch.column("lengths")[i].values.to_numpy()
+                offsets = np.concatenate((np.zeros(1, np.int64), np.cumsum(lengths, dtype=np.int64)))
+                place = np.arange(len(tokens)) + 2 + 2 * np.repeat(np.arange(len(lengths)), lengths)
+                padded = np.full(len(tokens) + 2 * len(lengths) + 2, shape.pad, np.int32)
+                padded[place] = tokens
+                at = masked_places(place, offsets, batch.column("marks")[i].values.to_numpy(), turn)
+                if not len(at):
+                    continue
+                own = WindowNetwork(shape, flat.astype(np.float32).copy())
+                own.train(padded, at, WindowNetwork(shape, np.zeros_like(own.flat)))
+                blocks = np.array_split(own.flat.astype(np.float16), _BLOCKS)
+                key = [pa.array(range(_BLOCKS), pa.int32()), pa.array([batch.column("bucket")[i].as_py()] * _BLOCKS, pa.int64())]
+                numbers = [pa.array([len(at)] * _BLOCKS, pa.int64()), pa.array([b.tobytes() for b in blocks], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*key, *numbers], ["block", "bucket", "trained", "numbers"])
+
+    return run
+
+
+def _added(kind):
+    """Sum of one group's replicas of a block times what they saw, in the order of their buckets."""
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, block, part = [], 0, 0
+        for t in tables:
+            block = t.column("block")[0].as_py()
+            rows += zip(t.column("bucket").to_pylist(), t.column("trained").to_pylist(), t.column("numbers").to_pylist(), strict=True)
+        rows.sort(key=lambda r: r[0])
+        part, total, weight = rows[0][0], 0.0, 0
+        for _, n, value in rows:
+            numbers = np.frombuffer(value, kind)
+            total = total + (numbers.astype(np.float64) * n if kind == np.float16 else numbers)
             weight += n
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([block], pa.int32()), pa.array([weight], pa.int64()), pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())], ["block", "trained", "numbers"]
-    )
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int32()), pa.array([part], pa.int64()), pa.array([weight], pa.int64()), pa.array([total.tobytes()], pa.binary())],
+            ["block", "bucket", "trained", "numbers"],
+        )
+
+    return run
 
 
 def train(documents: DataFrame) -> tuple[Vocabulary, np.ndarray, DataFrame]:
@@ -202,27 +283,39 @@ def train(documents: DataFrame) -> tuple[Vocabulary, np.ndarray, DataFrame]:
     """
     texts = documents.select("text")
     counts = stored(texts.mapInArrow(_word_counts, "word long, count long").groupBy("word").agg(F.sum("count").alias("count")))
-    frequent = counts.orderBy(F.desc("count"), "word").limit(SIZE - SHARED).collect()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    vocabulary = Vocabulary([(r["word"], r["count"]) for r in frequent], total)
+    distinct, total = counts.agg(F.count("*"), F.coalesce(F.sum("count"), F.lit(0))).first()
+    shape = shape_of(distinct)
+    frequent = counts.orderBy(F.desc("count"), "word").limit(shape.size - shape.shared).collect()
+    vocabulary = Vocabulary([(r["word"], r["count"]) for r in frequent], total, shape)
     rare = counts
     if frequent:
         last = frequent[-1]
         rare = counts.filter((F.col("count") < last["count"]) | (F.col("count") == last["count"]) & (F.col("word") > last["word"]))
-    for r in rare.groupBy(F.pmod("word", F.lit(SHARED)).alias("token")).agg((F.sum("count") + F.count("*")).alias("room")).collect():
+    for r in rare.groupBy(F.pmod("word", F.lit(shape.shared)).alias("token")).agg((F.sum("count") + F.count("*")).alias("room")).collect():
         vocabulary.room[r["token"]] = r["room"]
-    flat = WindowNetwork(share=vocabulary.share).flat
-    schema = "block int, trained long, numbers binary"
+    flat = WindowNetwork(shape, share=vocabulary.share).flat
+    if not total:
+        return vocabulary, flat, rare
+
+    context = documents.sparkSession.sparkContext
+    n = max(1, round(total / BUCKET_TOKENS))
+    marked = documents.filter("text IS NOT NULL").select(F.xxhash64("doc_id", "text").alias("mark"), "text")
+    placed = marked.select(F.pmod("mark", F.lit(n)).alias("bucket"), F.shiftrightunsigned("mark", 1).alias("mark"), "text")
+    rows = placed.mapInArrow(_tokens(context.broadcast(vocabulary)), "bucket long, mark long, tokens binary")
+    buckets = stored(rows.groupBy("bucket").applyInArrow(_one_bucket, "bucket long, marks array<long>, lengths array<int>, tokens binary"))
+    schema = "block int, bucket long, trained long, numbers binary"
     for turn in range(ROUNDS):
-        shared = documents.sparkSession.sparkContext.broadcast((vocabulary, flat))
-        rows = texts.mapInArrow(_replica(shared, turn), schema).groupBy("block").applyInArrow(_average, schema).collect()
-        if rows:
-            flat = np.concatenate([np.frombuffer(bytes(r.numbers), np.float32) for r in sorted(rows, key=lambda r: r.block)])
+        replicas = buckets.mapInArrow(_replica(context.broadcast((shape, flat)), turn), schema)
+        # in two steps, so that no task adds up more than some replicas: groups of buckets first, then the groups
+        some = replicas.groupBy("block", F.floor(F.col("bucket") / _FAN)).applyInArrow(_added(np.float16), schema)
+        done = some.groupBy("block").applyInArrow(_added(np.float64), schema).collect()
+        if done:
+            flat = np.concatenate([np.frombuffer(bytes(r.numbers), np.float64) / r.trained for r in sorted(done, key=lambda r: r.block)]).astype(np.float32)
     return vocabulary, flat, rare
 
 
 def score_pseudo_likelihood(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) for each row of ``documents`` (doc_id, text).
+    """(doc_id, mean_log_likelihood, log_likelihood, n_tokens) for each row of ``documents`` (doc_id, text).
 
     ``log_likelihood`` is the sum of the conditional log-probabilities (natural logarithm) of all tokens.  Null and empty texts have no
     tokens, a sum of 0 and a null mean.  Repeated rows are scored alike.
@@ -233,12 +326,12 @@ def score_pseudo_likelihood(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, flat = shared.value
-        network = WindowNetwork(flat.copy())
+        network = WindowNetwork(vocabulary.shape, flat.copy())
         for batch in slices(batches):
             hashes, offsets = words(batch.column("text"))
             padded, place = _padded(hashes, offsets, vocabulary)
             each = network.log_probabilities(padded, place)
-            by_hash = np.flatnonzero(padded[place] < SHARED)
+            by_hash = np.flatnonzero(padded[place] < vocabulary.shape.shared)
             each[by_hash] -= np.log(vocabulary.room[padded[place[by_hash]]])
             total = np.concatenate(([0.0], np.cumsum(each)))
             counts, sums = np.diff(offsets), total[offsets[1:]] - total[offsets[:-1]]
@@ -261,4 +354,5 @@ def score_pseudo_likelihood(documents: DataFrame) -> DataFrame:
     )
     whole = scored.select("row", "doc_id", "n_tokens", "sum").join(again, "row", "left")
     total = F.col("sum") + F.coalesce("more", F.lit(0.0))
-    return whole.select("doc_id", "n_tokens", total.alias("log_likelihood"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))
+    mean = F.when(F.col("n_tokens") > 0, total / F.col("n_tokens"))
+    return whole.select("doc_id", mean.alias("mean_log_likelihood"), total.alias("log_likelihood"), "n_tokens")
