@@ -10,8 +10,9 @@ of the item's shingles in the document.
 Before windows are signed, a bitmap of all items' shingles (fixed size, so it can go to every task) rules out windows
 that hold too few of them for any item of the partition; bits can be shared, so that loses nothing.
 
-An item that is spread over more than a window is found by its rarest shingles: a document with four fifths of n shingles holds at
-least one of any n - ceil(0.8 n) + 1 of them, so the ones that fewest documents hold are joined with the documents' hits.
+MinHash decides wherever an item's shingles lie within a window.  An item that is spread over more than that has no window to be found
+in; it is found by its rarest shingles: a document with four fifths of n shingles holds at least one of any n - ceil(0.8 n) + 1 of
+them, so the ones that fewest documents hold are joined with the documents' hits, and what stands in one window is left to MinHash.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import bitmap, holds
@@ -82,7 +83,7 @@ def _windows(parts: list[int], in_items, in_keys):
             every = grams(hashes, SHINGLE_WORDS)
             hit = holds(in_items.value, every, BITMAP_BITS)
             hits = np.concatenate(([0], np.cumsum(hit)))
-            rows, found, held = [], [], []
+            rows, found, held, places = [], [], [], []
             for i in range(batch.num_rows):
                 a, b = offsets[i], offsets[i + 1] - SHINGLE_WORDS + 1
                 if b <= a or hits[b] == hits[a]:
@@ -96,13 +97,15 @@ def _windows(parts: list[int], in_items, in_keys):
                     for k in np.flatnonzero(hits[end] - hits[begin] >= need):
                         keys = _keys(p, signature(every[begin[k] : end[k]]))
                         own.update(keys[holds(in_keys.value, keys, BITMAP_BITS)].view(np.int64).tolist())
-                distinct = np.unique(every[a:b][hit[a:b]])
+                distinct, first = np.unique(every[a:b][hit[a:b]], return_index=True)
                 if own or len(distinct) >= least:
                     rows.append(i)
                     found.append(np.array(sorted(own), np.int64))
                     held.append(distinct.view(np.int64))
+                    places.append(np.flatnonzero(hit[a:b])[first])
             if rows:
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), lists(found, pa.int64()), lists(held, pa.int64())], ["doc_id", "keys", "held"])
+                columns = [lists(found, pa.int64()), lists(held, pa.int64()), lists(places, pa.int32())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(rows)), *columns], ["doc_id", "keys", "held", "places"])
 
     return run
 
@@ -136,15 +139,26 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     broadcast = documents.sparkSession.sparkContext.broadcast
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
     run = _windows(parts, broadcast(bitmap(items, "shingles", BITMAP_BITS)), broadcast(bitmap(items, "keys", BITMAP_BITS)))
-    hits = stored(docs.mapInArrow(run, "doc_id long, keys array<long>, held array<long>").withColumn("row", F.monotonically_increasing_id()))
-    pairs = (
+    hits = stored(docs.mapInArrow(run, "doc_id long, keys array<long>, held array<long>, places array<int>").withColumn("row", F.monotonically_increasing_id()))
+    by_window = (
         hits.select("row", F.explode("keys").alias("key"))
-        .join(items.select("item_id", F.explode("keys").alias("key")), "key")
-        .select("row", "item_id").union(_by_rare_shingles(hits, items)).distinct()
+        .join(items.select("item_id", F.explode("keys").alias("key")), "key").select("row", "item_id")
     )
-    both = pairs.join(items.select("item_id", "shingles"), "item_id").join(hits.select("row", "doc_id", "held"), "row")
+    both_ways = by_window.withColumn("window", F.lit(True)).union(_by_rare_shingles(hits, items).withColumn("window", F.lit(False)))
+    pairs = both_ways.groupBy("row", "item_id").agg(F.max("window").alias("window"))
+    both = pairs.join(items.select("item_id", "shingles", "part"), "item_id").join(hits.select("row", "doc_id", "held", "places"), "row")
     share = F.size(F.array_intersect("shingles", "held")) / F.size("shingles")
-    return both.select("doc_id", "item_id", share.alias("containment")).filter(F.col("containment") >= CONTAINMENT).groupBy("doc_id", "item_id").agg(F.max("containment").alias("containment"))
+    alike = both.withColumn("containment", share).filter(F.col("containment") >= CONTAINMENT)
+    whole = alike.filter(F.col("window") | _spread()).select("doc_id", "item_id", "containment")
+    return whole.groupBy("doc_id", "item_id").agg(F.max("containment").alias("containment"))
+
+
+def _spread() -> Column:
+    """Whether the item's shingles in the document lie further apart than any window is sure to reach."""
+    own = F.filter(F.arrays_zip("held", "places"), lambda x: F.array_contains("shingles", x["held"]))
+    at = F.transform(own, lambda x: x["places"])
+    reach = F.floor(F.pow(F.lit(GROWTH), F.col("part")) + 1e-9) * 1.5
+    return F.array_max(at) - F.array_min(at) + 1 > reach
 
 
 def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

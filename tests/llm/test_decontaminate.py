@@ -64,3 +64,33 @@ def test_partitions_cover_all_sizes():
     for n in range(1, 3000):
         p = m.partition_of(n)
         assert n <= m.largest(p) and (p == 0 or n > m.largest(p - 1))
+
+
+def test_minhash_alone_finds_items_inside_a_window(spark, monkeypatch):
+    """At containment from 0.8 on, without the join of rarest shingles; and without MinHash nothing inside a window is found."""
+    r = random.Random(8)
+    tests, texts, want = [], [], set()
+    for k in range(150):
+        item = prose(3000 + k, r.randrange(12, 120), 10**6).split()
+        tests.append(" ".join(item))
+        copy = list(item)
+        while True:  # change words while four fifths of the shingles are left
+            more = list(copy)
+            more[r.randrange(len(more))] = f"x{r.random()}"
+            if len(shingles(" ".join(more)) & shingles(tests[-1])) < 0.8 * len(shingles(tests[-1])) or r.random() < 0.3:
+                break
+            copy = more
+        host = prose(5000 + k, 400, 10**6).split()
+        at = r.randrange(len(host))
+        texts.append(" ".join([*host[:at], *copy, *host[at:]]))
+        want.add((k, k))
+    df, bench = rows(spark, texts), items(spark, tests)
+    monkeypatch.setattr(m, "_by_rare_shingles", lambda hits, items: hits.select("row", m.F.lit(0).cast("long").alias("item_id")).limit(0))
+    got = {(x.doc_id, x.item_id) for x in m.contaminated(df, bench).collect()}
+    assert got <= want and len(got) >= 0.99 * len(want)
+    monkeypatch.undo()
+    monkeypatch.setattr(m, "holds", lambda packed, values, bits: m.np.zeros(len(values), bool) if len(values) == m.PERMUTATIONS else HOLDS(packed, values, bits))
+    assert m.contaminated(df, bench).count() == 0
+
+
+HOLDS = m.holds
