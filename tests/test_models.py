@@ -44,13 +44,13 @@ def _silver(spark, rows):
 
 
 def test_trip_key_text_and_hash_are_frozen(spark):
-    row = (ts("2024-01-01 00:00:07.179575"), ts("2024-01-01 00:12:00"), 100, None, None,
-           3.1, 18.5, "2024-01")
-    got = facts.keyed_trips(_silver(spark, [row])).first()
-    text = "2024-01-01 00:00:07.179575|2024-01-01 00:12:00.000000|100||3.1|18.5|"
-    assert got.trip_key == hashlib.md5(text.encode()).hexdigest().upper()
-    assert got.pickup_date_key == 20240101 and got.pickup_weather_key == 2024010100
-    assert got.trip_minutes == 11
+    full = (ts("2021-11-07 17:42:03.000815"), ts("2021-11-07 18:05:59.500000"), 23, 201, 3, 6.04, 27.8, "2021-11")
+    bare = (*full[:3], None, None, *full[5:])
+    head = "2021-11-07 17:42:03.000815|2021-11-07 18:05:59.500000|23|"
+    want = {h.upper() for h in (hashlib.md5(f"{head}{end}".encode()).hexdigest() for end in ("201|6.04|27.8|3", "|6.04|27.8|"))}
+    got = facts.keyed_trips(_silver(spark, [full, bare])).collect()
+    assert {r.trip_key for r in got} == want
+    assert all((r.pickup_date_key, r.pickup_weather_key, r.trip_minutes) == (20211107, 2021110717, 23) for r in got)
 
 
 def test_minutes_truncate(spark):
