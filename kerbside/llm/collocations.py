@@ -5,9 +5,9 @@ longest windows are counted; the counts of all shorter phrases are sums over wha
 columns gives them all, since a phrase of any length is the prefix of exactly one window for each place it stands at.
 
 Most windows of a large table occur once and cannot matter: a phrase is wanted from ``min_count`` occurrences on, and then so are all
-its neighbouring pairs.  So pairs of neighbours are counted first, by hash, and a window is padded after the first
-pair that is too rare.  The filter is a bitmap of the frequent pairs' hashes; whatever shares a cell with one
-only keeps its window longer, so all counts that are used stay exact.  The bitmap is sized from the number of frequent pairs and
+its words and neighbouring pairs.  So words and pairs of neighbours are counted first, by hash, and a window is padded from a word that is
+too rare on, and after the first pair that is too rare.  The filter is a bitmap of the frequent hashes; whatever shares a cell with one
+only keeps its window longer, so all counts that are used stay exact.  The bitmap is sized from the number of frequent hashes and
 at most 16 MB; far beyond that it lets more windows through and the ROLLUP does the work without its help.
 
 Hot words: windows are counted inside each slice of a task, then by Spark's partial aggregates; the joins of phrases with the counts of their
@@ -38,8 +38,8 @@ _NO_GAPS = np.zeros(256, bool)
 
 SLICE = 2 << 20
 SALTS = 16
-#: Bits of a pair's hash that are shuffled, and of the bitmap's cell numbers.
-PAIR_BITS = 40
+#: Bits of a word's or pair's hash that are shuffled, and of the bitmap's cell numbers.
+KEY_BITS = 40
 LEAST_BITS, MOST_BITS = 16, 27
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -63,15 +63,16 @@ class Slice:
         coded = column.dictionary_encode()
         self.dictionary, self.ids = coded.dictionary, coded.indices.to_numpy()
 
-    def pair_hashes(self, lang_hash: np.ndarray) -> np.ndarray:
-        """A hash of the language and two neighbouring words for each word that has a next one in its piece, else 0."""
+    def hashes(self, lang_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``KEY_BITS`` bits of a hash of the language and each word, and of each pair of neighbours (0 where the next word is not in the piece)."""
         own = words(self.dictionary, _NO_GAPS)[0] if len(self.dictionary) else np.zeros(0, np.uint64)
-        h = own[self.ids]
-        out = np.zeros(len(h), np.uint64)
+        h, lang = own[self.ids], lang_hash[self.row]
+        pairs = np.zeros(len(h), np.uint64)
         if len(h) > 1:
-            out[:-1] = mix(mix(h[:-1] * _PRIME + h[1:]) + lang_hash[self.row[:-1]])
-        out[~self.joined] = 0
-        return out >> np.uint64(64 - PAIR_BITS)
+            pairs[:-1] = mix(mix(h[:-1] * _PRIME + h[1:]) + lang[:-1])
+        pairs[~self.joined] = 0
+        cut = np.uint64(64 - KEY_BITS)
+        return (mix(h + lang) >> cut).view(np.int64), (pairs >> cut).view(np.int64)
 
 
 def word_slices(batch: pa.RecordBatch) -> Iterator[Slice]:
@@ -92,13 +93,13 @@ def _languages(batch: pa.RecordBatch) -> tuple[pa.DictionaryArray, np.ndarray]:
     return coded, np.array(names, np.uint64)[coded.indices.to_numpy()] if names else np.zeros(0, np.uint64)
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         _, lang_hash = _languages(batch)
         for part in word_slices(batch):
-            pairs = part.pair_hashes(lang_hash)[part.joined]
-            found, n = np.unique(pairs, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["pair", "n"])
+            each, pairs = part.hashes(lang_hash)
+            found, n = np.unique(np.concatenate((each, pairs[part.joined])), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], ["key", "n"])
 
 
 def _window_counts(size: int, frequent, bits: int):
@@ -114,12 +115,13 @@ def _window_counts(size: int, frequent, bits: int):
                 count = len(part.ids)
                 if not count:
                     continue
-                goes_on = part.joined & holds(packed, part.pair_hashes(lang_hash).view(np.int64), bits)
-                width = len(part.dictionary) + 1
+                each, pairs = part.hashes(lang_hash)
+                goes_on = part.joined & holds(packed, pairs, bits)
+                width = len(part.dictionary)
+                reach = holds(packed, each, bits)
                 # a number for each window: extended by one column at a time, renumbered densely so that it never overflows
-                columns = [part.ids.astype(np.int64)]
-                code = np.unique(lang_of_row[part.row].astype(np.int64) * width + columns[0], return_inverse=True)[1]
-                reach = np.ones(count, bool)
+                columns = [np.where(reach, part.ids, -1).astype(np.int64)]
+                code = np.unique(lang_of_row[part.row].astype(np.int64) * (width + 1) + columns[0] + 1, return_inverse=True)[1]
                 for i in range(1, size):
                     step = np.zeros(count, bool)
                     step[: count - i + 1] = goes_on[i - 1 :]
@@ -140,12 +142,12 @@ def _window_counts(size: int, frequent, bits: int):
 
 
 def window_counts(docs: DataFrame, size: int, min_count: int) -> DataFrame:
-    """Counts of the longest windows (lang, w1 ... w<size>, n), padded at the end of a piece and after a pair that occurs under ``min_count`` times."""
+    """Counts of the longest windows (lang, w1 ... w<size>, n), padded at the end of a piece, from a word and after a pair that occurs under ``min_count`` times."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    pairs = texts.mapInArrow(_pair_counts, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    frequent = stored(pairs.filter(F.col("n") >= min_count).select("pair"))
+    keys = texts.mapInArrow(_key_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    frequent = stored(keys.filter(F.col("n") >= min_count).select("key"))
     bits = min(MOST_BITS, max(LEAST_BITS, (16 * frequent.count()).bit_length()))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(frequent, "pair", bits))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(frequent, "key", bits))
     names = [f"w{i + 1}" for i in range(size)]
     schema = "lang string, " + ", ".join(f"{n} string" for n in names) + ", n long"
     return texts.mapInArrow(_window_counts(size, shared, bits), schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
