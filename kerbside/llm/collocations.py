@@ -5,10 +5,11 @@ longest windows are counted; the counts of all shorter phrases are sums over wha
 columns gives them all, since a phrase of any length is the prefix of exactly one window for each place it stands at.
 
 Most windows of a large table occur once and cannot matter: a phrase is wanted from ``min_count`` occurrences on, and then so are all
-its words and neighbouring pairs.  So words and pairs of neighbours are counted first, by hash, and a window is padded from a word that is
-too rare on, and after the first pair that is too rare.  The filter is a bitmap of the frequent hashes; whatever shares a cell with one
-only keeps its window longer, so all counts that are used stay exact.  The bitmap is sized from the number of frequent hashes and
-at most 16 MB; far beyond that it lets more windows through and the ROLLUP does the work without its help.
+its words and all shorter phrases inside it.  So words and pairs are counted first, by hash, then the longer runs of words whose
+two shorter runs are frequent, length by length; a window is padded where it stops being frequent.  The filters are bitmaps of the frequent
+hashes; whatever shares a cell with one only keeps its window longer, so all counts that are used stay exact.  A bitmap is sized
+from the number of frequent hashes and at most 16 MB; far beyond that it lets more windows through and the ROLLUP does the work without
+its help.
 
 Hot words: windows are counted inside each slice of a task, then by Spark's partial aggregates; the joins of phrases with the counts of their
 parts leave hot keys to AQE, and the best phrases are ranked in salted parts first.
@@ -63,16 +64,31 @@ class Slice:
         coded = column.dictionary_encode()
         self.dictionary, self.ids = coded.dictionary, coded.indices.to_numpy()
 
-    def hashes(self, lang_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``KEY_BITS`` bits of a hash of the language and each word, and of each pair of neighbours (0 where the next word is not in the piece)."""
+    def keys(self, lang_hash: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For lengths 1 to ``most``: ``KEY_BITS`` bits of a hash of the language and the words from each word on, and whether they are in one piece."""
         own = words(self.dictionary, _NO_GAPS)[0] if len(self.dictionary) else np.zeros(0, np.uint64)
         h, lang = own[self.ids], lang_hash[self.row]
-        pairs = np.zeros(len(h), np.uint64)
-        if len(h) > 1:
-            pairs[:-1] = mix(mix(h[:-1] * _PRIME + h[1:]) + lang[:-1])
-        pairs[~self.joined] = 0
-        cut = np.uint64(64 - KEY_BITS)
-        return (mix(h + lang) >> cut).view(np.int64), (pairs >> cut).view(np.int64)
+        n, total, whole = len(h), h.copy(), np.ones(len(h), bool)
+        for length in range(1, most + 1):
+            if length > 1:
+                k = length - 1
+                following, goes_on = np.zeros(n, np.uint64), np.zeros(n, bool)
+                following[: max(0, n - k)] = h[k:]
+                goes_on[: n - k + 1] = self.joined[k - 1 :]
+                total, whole = mix(total * _PRIME + following), whole & goes_on
+            yield (mix(total + lang + np.uint64(length)) >> np.uint64(64 - KEY_BITS)).view(np.int64), whole
+
+    def frequent(self, lang_hash: np.ndarray, bitmaps: list[tuple[np.ndarray, int]]) -> list[np.ndarray]:
+        """For each length that a bitmap is for: from which words on that many may be a frequent phrase."""
+        out: list[np.ndarray] = []
+        for (key, whole), (packed, bits) in zip(self.keys(lang_hash, len(bitmaps)), bitmaps, strict=True):
+            out.append(whole & _both_shorter(out) & holds(packed, key, bits))
+        return out
+
+
+def _both_shorter(found: list[np.ndarray]) -> np.ndarray | bool:
+    """Whether the run of words one shorter is frequent both from a word and from the next one on."""
+    return found[-1] & np.append(found[-1][1:], False) if found else True
 
 
 def word_slices(batch: pa.RecordBatch) -> Iterator[Slice]:
@@ -93,21 +109,28 @@ def _languages(batch: pa.RecordBatch) -> tuple[pa.DictionaryArray, np.ndarray]:
     return coded, np.array(names, np.uint64)[coded.indices.to_numpy()] if names else np.zeros(0, np.uint64)
 
 
-def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        _, lang_hash = _languages(batch)
-        for part in word_slices(batch):
-            each, pairs = part.hashes(lang_hash)
-            found, n = np.unique(np.concatenate((each, pairs[part.joined])), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], ["key", "n"])
+def _key_counts(lengths: tuple[int, ...], shared):
+    """Hashes of the runs of words of these lengths whose shorter runs are frequent by the bitmaps so far, with their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmaps = shared.value
+        for batch in batches:
+            _, lang_hash = _languages(batch)
+            for part in word_slices(batch):
+                wanted = _both_shorter(part.frequent(lang_hash, bitmaps))
+                keys = [key[whole & wanted] for length, (key, whole) in enumerate(part.keys(lang_hash, lengths[-1]), 1) if length in lengths]
+                found, n = np.unique(np.concatenate(keys), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    return run
 
 
-def _window_counts(size: int, frequent, bits: int):
+def _window_counts(size: int, shared):
     """Distinct windows of a slice with their counts: lang, w1 ... w<size> (null where padded), n."""
     names = [f"w{i + 1}" for i in range(size)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = frequent.value
+        bitmaps = shared.value
         for batch in batches:
             coded, lang_hash = _languages(batch)
             lang_of_row = coded.indices.to_numpy()
@@ -115,22 +138,15 @@ def _window_counts(size: int, frequent, bits: int):
                 count = len(part.ids)
                 if not count:
                     continue
-                each, pairs = part.hashes(lang_hash)
-                goes_on = part.joined & holds(packed, pairs, bits)
-                width = len(part.dictionary)
-                reach = holds(packed, each, bits)
+                width = len(part.dictionary) + 1
                 # a number for each window: extended by one column at a time, renumbered densely so that it never overflows
-                columns = [np.where(reach, part.ids, -1).astype(np.int64)]
-                code = np.unique(lang_of_row[part.row].astype(np.int64) * (width + 1) + columns[0] + 1, return_inverse=True)[1]
-                for i in range(1, size):
-                    step = np.zeros(count, bool)
-                    step[: count - i + 1] = goes_on[i - 1 :]
-                    reach = reach & step
-                    following = np.full(count, -1, np.int64)
-                    following[: count - i] = part.ids[i:]
-                    following[~reach] = -1
-                    columns.append(following)
-                    code = np.unique(code * (width + 1) + following + 1, return_inverse=True)[1]
+                columns, code = [], lang_of_row[part.row].astype(np.int64)
+                for i, reach in enumerate(part.frequent(lang_hash, bitmaps)):
+                    column = np.full(count, -1, np.int64)
+                    column[: max(0, count - i)] = part.ids[i:]
+                    column[~reach] = -1
+                    columns.append(column)
+                    code = np.unique(code * width + column + 1, return_inverse=True)[1]
                 _, first, n = np.unique(code, return_index=True, return_counts=True)
                 out = [coded.dictionary.take(pa.array(lang_of_row[part.row[first]]))]
                 for column in columns:
@@ -142,15 +158,18 @@ def _window_counts(size: int, frequent, bits: int):
 
 
 def window_counts(docs: DataFrame, size: int, min_count: int) -> DataFrame:
-    """Counts of the longest windows (lang, w1 ... w<size>, n), padded at the end of a piece, from a word and after a pair that occurs under ``min_count`` times."""
+    """Counts of the longest windows (lang, w1 ... w<size>, n), padded at the end of a piece and where they stop occurring ``min_count`` times."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    keys = texts.mapInArrow(_key_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    frequent = stored(keys.filter(F.col("n") >= min_count).select("key"))
-    bits = min(MOST_BITS, max(LEAST_BITS, (16 * frequent.count()).bit_length()))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(frequent, "key", bits))
+    context, bitmaps = docs.sparkSession.sparkContext, []
+    for lengths in [(1, 2), *[(k,) for k in range(3, size + 1)]]:
+        keys = texts.mapInArrow(_key_counts(lengths, context.broadcast(bitmaps)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        frequent = stored(keys.filter(F.col("n") >= min_count).select("key"))
+        bits = min(MOST_BITS, max(LEAST_BITS, (16 * frequent.count()).bit_length()))
+        bitmaps = bitmaps + [(bitmap(frequent, "key", bits), bits)] * len(lengths)
+    shared = context.broadcast(bitmaps)
     names = [f"w{i + 1}" for i in range(size)]
     schema = "lang string, " + ", ".join(f"{n} string" for n in names) + ", n long"
-    return texts.mapInArrow(_window_counts(size, shared, bits), schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(_window_counts(size, shared), schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(windows: DataFrame, size: int, min_count: int) -> DataFrame:
