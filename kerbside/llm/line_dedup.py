@@ -24,6 +24,8 @@ from .tables import stored
 from .text import mix
 
 MIN_BLOCK_CHARS = 60
+#: A document that has less than this share of its characters left is also compared by its whole text.
+MOST_LEFT = 0.7
 ID_BITS = 24
 #: White space that may stand around a line.
 _AROUND = " \t\x0b\x0c\r"
@@ -208,19 +210,20 @@ def without_repeated_lines(documents: DataFrame, rare: int | None = None, min_bl
     return out.select(documents.columns)
 
 
-def uncut_texts(documents: DataFrame, originals: DataFrame) -> DataFrame:
-    """(doc_id, text): whole texts, in ``originals``, of the documents that lines were cut from.
+def uncut_texts(documents: DataFrame, originals: DataFrame, most_left: float = MOST_LEFT) -> DataFrame:
+    """(doc_id, text): whole texts, in ``originals``, of the documents that lost more than ``1 - most_left`` of their characters to cuts.
 
-    A row of ``originals`` counts if it has the doc_id of a document whose text no row of that id has there, and if the document's lines
-    are all lines of it.  Rows without doc_id or text take no part.  Only those texts are shuffled, not whole tables.
+    A row of ``originals`` counts if it has the document's doc_id and all lines of the document are lines of it.  Rows without doc_id or
+    text take no part.  Lengths alone say which documents these are, and only their texts are shuffled.
     """
     has = "doc_id IS NOT NULL AND text IS NOT NULL"
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
     now, before = documents.filter(has).select(doc_id, "text"), originals.filter(has).select(doc_id, "text")
-    marked = lambda df: df.select("doc_id", F.xxhash64("text").alias("mark"))
-    ids = stored(marked(now).join(marked(before), ["doc_id", "mark"], "left_anti").select("doc_id").distinct())
+    left = now.groupBy("doc_id").agg(F.min(F.length("text")).alias("left"))
+    whole = before.groupBy("doc_id").agg(F.max(F.length("text")).alias("whole"))
+    ids = stored(left.join(whole, "doc_id").filter(F.col("left") < most_left * F.col("whole")).select("doc_id"))
     packed = bitmap(ids, "doc_id", ID_BITS)
     some = lambda df: rows_that_may_be_in(df, "doc_id", packed, ID_BITS)
     cut = some(now).join(ids, "doc_id", "left_semi").withColumnRenamed("text", "left_over")
     inside = F.size(F.array_except(_lines("left_over"), _lines("text"))) == 0
-    return some(before).join(cut, "doc_id").filter(inside).select("doc_id", "text").distinct()
+    return stored(some(before).join(cut, "doc_id").filter(inside).select("doc_id", "text").distinct())
