@@ -73,6 +73,28 @@ def sized_shuffles(spark: SparkSession, input_bytes: int):
         spark.conf.set(key, before)
 
 
+# A task that writes by partition sorts its rows in memory first, and a file with one row group is read by one
+# task: so writes pass this many shuffled bytes a task on, whatever joins and aggregates are set to.
+WRITE_TASK_BYTES = "32m"
+
+
+@contextmanager
+def small_write_tasks(spark: SparkSession):
+    """Inside the block a task of a rebalanced write takes about ``WRITE_TASK_BYTES``; the caller's settings come back.
+
+    AQE splits a hot partition between the blocks of its map tasks and not inside one, so scans are split as finely.
+    """
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+    for key in keys:
+        spark.conf.set(key, WRITE_TASK_BYTES)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def local_session(app: str = "kerbside", cores: str | int = "*",
                   shuffle_partitions: int = 8, scratch: str | None = None) -> SparkSession:
     """A local-mode session for tests, the bench and examples.

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from kerbside.config import small_write_tasks
 from kerbside.functions.temporal import month_text
 from kerbside.storage import move_folder, partition_values, remove_folder
 
@@ -74,8 +75,10 @@ def write_sorted_out(bronze: DataFrame, path: str, rules: dict[str, Column] | No
     rows, seen = observed(tag(bronze, rules), rules)
     side = F.when(F.size(REASONS) == 0, F.lit(ACCEPTED)).otherwise(F.lit(QUARANTINED))
     stage = f"{path.rstrip('/')}__incoming"
-    (rows.withColumn("quality", side).withColumn("month", F.col(month)).hint("rebalance", "quality", "month")
-     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("quality", "month").parquet(stage))
+    sides = rows.withColumn("quality", side).withColumn("month", F.col(month)).hint("rebalance", "quality", "month")
+    with small_write_tasks(spark):
+        (sides.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("quality", "month")
+         .parquet(stage))
     incoming = {side: partition_values(spark, f"{stage}/quality={side}", "month") for side in (ACCEPTED, QUARANTINED)}
     for value in sorted({*incoming[ACCEPTED], *incoming[QUARANTINED]}):
         for kind, values in incoming.items():

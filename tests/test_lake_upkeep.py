@@ -47,6 +47,21 @@ def test_relanded_month_replaces_both_sides_in_one_scan(spark, workdir):
     assert plan(tagged).count("FileScan") == 1
 
 
+def _hot_month(spark):
+    """One month of about 60 MB, of which no byte can be packed."""
+    return spark.range(0, 2_500_000, numPartitions=8).select(
+        F.lit("2024-01-05").cast("timestamp_ntz").alias("tpep_pickup_datetime"), (F.rand(1) + 1).alias("total_amount"), (F.rand(2) + 1).alias("trip_distance"),
+        F.xxhash64("id").alias("passenger_count"), F.lit("2024-01").alias("_source_month"))
+
+
+def test_no_task_sorts_the_whole_of_a_hot_month(spark, workdir):
+    """A write task sorts what it writes in memory, so a month of more than one task's share has several files."""
+    quarantine.write_sorted_out(_hot_month(spark), f"{workdir}/t")
+    assert sum(name.startswith("part-") for name in os.listdir(f"{workdir}/t/quality=accepted/month=2024-01")) > 1
+    assert quarantine.read_side(spark, f"{workdir}/t", "accepted").count() == 2_500_000
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "128m"
+
+
 def _year_of_demand(spark):
     hour = F.col("id") % 8784
     return spark.range(265 * 8784).select(
