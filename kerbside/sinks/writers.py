@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from kerbside.config import LakeConfig
+from kerbside.config import LakeConfig, small_write_tasks
 from kerbside.sources.trips import LANDED_FILE_KEY
 from kerbside.storage import remove_folder
 
@@ -35,7 +35,8 @@ def write_bronze(df: DataFrame, path: str, partition_cols=("_source_month",),
         w = w.mode("append")
     if cols:
         w = w.partitionBy(*cols)
-    w.parquet(path)
+    with small_write_tasks(df.sparkSession):
+        w.parquet(path)
     return path
 
 
@@ -50,7 +51,8 @@ def write_layer(df: DataFrame, cfg: LakeConfig, layer: str, name: str,
     w = out.write.mode("overwrite").option("partitionOverwriteMode", replace)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with small_write_tasks(df.sparkSession):
+        w.parquet(path)
     return path
 
 
@@ -58,8 +60,9 @@ def write_day_partitioned(df: DataFrame, path: str, day_col: str = "pickup_date"
                           replace: str = "dynamic") -> str:
     """Write by day.  ``replace="dynamic"`` replaces only the days in ``df``;
     ``"static"`` replaces the whole table."""
-    (df.hint("rebalance", day_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", replace).partitionBy(day_col).parquet(path))
+    with small_write_tasks(df.sparkSession):
+        (df.hint("rebalance", day_col).write.mode("overwrite")
+         .option("partitionOverwriteMode", replace).partitionBy(day_col).parquet(path))
     return path
 
 

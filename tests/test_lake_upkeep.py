@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import clustering, freshness, lake_diff, quality, quarantine, rolling, rollups, scan_guard, serving
 from kerbside.operators.scan_report import measured_scan
-from kerbside.sinks import compaction
+from kerbside.sinks import compaction, writers
 from kerbside.sources import fixtures
 from tests.test_plans import plan
 
@@ -62,6 +62,12 @@ def test_no_task_sorts_the_whole_of_a_hot_month(spark, workdir):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "128m"
 
 
+def test_no_bronze_task_sorts_the_whole_of_a_hot_month(spark, workdir):
+    writers.write_bronze(_hot_month(spark), f"{workdir}/bronze")
+    assert sum(name.startswith("part-") for name in os.listdir(f"{workdir}/bronze/_source_month=2024-01")) > 1
+    assert spark.read.parquet(f"{workdir}/bronze").count() == 2_500_000
+
+
 def _year_of_demand(spark):
     hour = F.col("id") % 8784
     return spark.range(265 * 8784).select(
