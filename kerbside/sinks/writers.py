@@ -77,10 +77,11 @@ def land_files(df: DataFrame, root: str, file_name: Column, fmt: str = "parquet"
     """Land rows as named files in one job: one folder per ``file_name`` value,
     ``{root}/_landed_file={name}/``; columns in ``drop`` are left out of the
     files.  Names present in ``df`` are replaced, so landing a file again does
-    not duplicate it."""
+    not duplicate it.  A folder of a large name has several files, so that many tasks read it."""
     out = df.withColumn(LANDED_FILE_KEY, file_name).drop(*drop).hint("rebalance", LANDED_FILE_KEY)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(LANDED_FILE_KEY).format(fmt).save(root))
+    with small_write_tasks(df.sparkSession):
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(LANDED_FILE_KEY).format(fmt).save(root))
     return root
 
 

@@ -68,6 +68,12 @@ def test_no_bronze_task_sorts_the_whole_of_a_hot_month(spark, workdir):
     assert spark.read.parquet(f"{workdir}/bronze").count() == 2_500_000
 
 
+def test_a_large_landed_file_is_read_by_several_tasks(spark, workdir):
+    writers.land_files(_hot_month(spark), f"{workdir}/landed", F.lit("yellow_tripdata_2024-01.parquet"))
+    landed = spark.read.parquet(f"{workdir}/landed").select(F.input_file_name().alias("f"), "passenger_count")
+    assert landed.count() == 2_500_000 and landed.where("passenger_count IS NOT NULL").select("f").distinct().count() > 1
+
+
 def _year_of_demand(spark):
     hour = F.col("id") % 8784
     return spark.range(265 * 8784).select(
