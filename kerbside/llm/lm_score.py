@@ -121,71 +121,102 @@ class WindowNetwork:
             self.part["bias"][:] = 0
 
     def _hidden(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = self.part["bias"] + self.part["place"][0][padded[at + PLACES[0]]]
+        h = self.part["place"][0].take(padded[at + PLACES[0]], axis=0)
+        h += self.part["bias"]
         for k in range(1, len(PLACES)):
-            h += self.part["place"][k][padded[at + PLACES[k]]]
+            h += self.part["place"][k].take(padded[at + PLACES[k]], axis=0)
         return np.tanh(h, out=h)
 
+    def _by_class(self, padded: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The order of the places ``at`` by the class of their tokens, where each class ends in it, and class and member of each token in that order."""
+        token = padded[at]
+        cls = (token // self.shape.members).astype(np.int16)
+        order = np.argsort(cls, kind="stable")
+        return order, np.searchsorted(cls[order], np.arange(self.shape.classes + 1)), cls[order], (token % self.shape.members)[order]
+
     @staticmethod
-    def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x -= x.max(axis=1, keepdims=True)
-        x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    def _logits(h: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """A column for each place, less its greatest number."""
+        x = weights.T @ h.T
+        x += bias[:, None]
+        x -= x.max(axis=0)
+        return x
+
+    @classmethod
+    def _log_probability(cls, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        x = cls._logits(h, weights, bias)
+        own = x[chosen, np.arange(len(h))].astype(np.float64)
+        return own - np.log(np.exp(x, out=x).sum(axis=0))
+
+    @classmethod
+    def _errors(cls, h: np.ndarray, weights: np.ndarray, bias: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Probabilities less one for what was chosen, a column for each place."""
+        x = cls._logits(h, weights, bias)
+        np.exp(x, out=x)
+        x /= x.sum(axis=0)
+        x[chosen, np.arange(len(h))] -= 1
         return x
 
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Log-probability of the tokens at the places ``at`` given their neighbours."""
         out = np.empty(len(at), np.float64)
         for lo in range(0, len(at), _CHUNK):
-            own = at[lo : lo + _CHUNK]
-            h, token = self._hidden(padded, own), padded[own]
-            cls, member = token // self.shape.members, token % self.shape.members
-            first = self._log_softmax(h @ self.part["class"] + self.part["class_bias"])
-            got = first[np.arange(len(own)), cls].astype(np.float64)
-            order = np.argsort(cls.astype(np.int16), kind="stable")
-            ends = np.searchsorted(cls[order], np.arange(self.shape.classes + 1))
+            order, ends, cls, member = self._by_class(padded, at[lo : lo + _CHUNK])
+            h = self._hidden(padded, at[lo : lo + _CHUNK][order])
+            got = self._log_probability(h, self.part["class"], self.part["class_bias"], cls)
             for c in range(self.shape.classes):
-                some = order[ends[c] : ends[c + 1]]
-                if len(some):
-                    second = self._log_softmax(h[some] @ self.part["member"][c] + self.part["member_bias"][c])
-                    got[some] += second[np.arange(len(some)), member[some]]
-            out[lo : lo + _CHUNK] = got
+                own = slice(ends[c], ends[c + 1])
+                if ends[c] < ends[c + 1]:
+                    got[own] += self._log_probability(h[own], self.part["member"][c], self.part["member_bias"][c], member[own])
+            out[lo + order] = got
         return out
 
     def train(self, padded: np.ndarray, at: np.ndarray, seen: WindowNetwork) -> None:
         """One pass over the places ``at`` in batches; ``seen`` keeps the sums of squared slopes."""
+        members, biases = np.empty_like(self.part["member"]), np.empty_like(self.part["member_bias"])
         for lo in range(0, len(at), _BATCH):
-            own = at[lo : lo + _BATCH]
+            order, ends, cls, member = self._by_class(padded, at[lo : lo + _BATCH])
+            own = at[lo : lo + _BATCH][order]
             n = len(own)
-            h, token = self._hidden(padded, own), padded[own]
-            cls, member = token // self.shape.members, token % self.shape.members
-            d = np.exp(self._log_softmax(h @ self.part["class"] + self.part["class_bias"]))
-            d[np.arange(n), cls] -= 1
-            step = {"class": h.T @ d, "class_bias": d.sum(axis=0)}
-            dh = d @ self.part["class"].T
-            order = np.argsort(cls.astype(np.int16), kind="stable")
-            ends = np.searchsorted(cls[order], np.arange(self.shape.classes + 1))
+            h = self._hidden(padded, own)
+            d = self._errors(h, self.part["class"], self.part["class_bias"], cls)
+            dh = d.T @ self.part["class"].T
             for c in range(self.shape.classes):
-                some = order[ends[c] : ends[c + 1]]
-                if len(some):
-                    e = np.exp(self._log_softmax(h[some] @ self.part["member"][c] + self.part["member_bias"][c]))
-                    e[np.arange(len(some)), member[some]] -= 1
-                    dh[some] += e @ self.part["member"][c].T
-                    self._move(seen, "member", h[some].T @ e / n, c)
-                    self._move(seen, "member_bias", e.sum(axis=0) / n, c)
+                some = slice(ends[c], ends[c + 1])
+                if ends[c] < ends[c + 1]:
+                    e = self._errors(h[some], self.part["member"][c], self.part["member_bias"][c], member[some])
+                    dh[some] += e.T @ self.part["member"][c].T
+                    np.matmul(h[some].T, e.T, out=members[c])
+                    e.sum(axis=1, out=biases[c])
+                else:
+                    members[c], biases[c] = 0, 0
             dh *= 1 - h * h
-            for name, slope in step.items():
-                self._move(seen, name, slope / n)
+            self._move(seen, "member", members / n)
+            self._move(seen, "member_bias", biases / n)
+            self._move(seen, "class", h.T @ d.T / n)
+            self._move(seen, "class_bias", d.sum(axis=1) / n)
             self._move(seen, "bias", dh.sum(axis=0) / n)
             for k, shift in enumerate(PLACES):
-                near = padded[own + shift]
+                near = padded[own + shift].astype(np.uint16)
                 by = np.argsort(near, kind="stable")
-                rows, first = np.unique(near[by], return_index=True)
-                self._move(seen, "place", np.add.reduceat(dh[by], first, axis=0) / n, (k, rows))
+                near = near[by]
+                first = np.flatnonzero(np.diff(near, prepend=near[0] + np.uint16(1)))
+                self._move_rows(seen.part["place"][k], k, near[first], np.add.reduceat(dh.take(by, axis=0), first, axis=0) / n)
 
-    def _move(self, seen: WindowNetwork, name: str, slope: np.ndarray, where=...) -> None:
+    def _move(self, seen: WindowNetwork, name: str, slope: np.ndarray) -> None:
         squares = seen.part[name]
-        squares[where] += slope * slope
-        self.part[name][where] -= (_RATE * slope / np.sqrt(squares[where] + 1e-10)).astype(np.float32)
+        squares += slope * slope
+        slope *= _RATE
+        slope /= np.sqrt(squares + 1e-10)
+        self.part[name] -= slope
+
+    def _move_rows(self, squares: np.ndarray, k: int, rows: np.ndarray, slope: np.ndarray) -> None:
+        own = squares.take(rows, axis=0)
+        own += slope * slope
+        squares[rows] = own
+        slope *= _RATE
+        slope /= np.sqrt(own + 1e-10)
+        self.part["place"][k][rows] -= slope
 
 
 def _padded(hashes: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:

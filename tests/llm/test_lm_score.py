@@ -150,3 +150,42 @@ def test_scores_equal_a_plain_sum(spark):
             if tokens[at] < shape.shared:
                 total += math.log(counts.get(int(hashes[at - 2].view(np.int64)), 1) / vocabulary.room[tokens[at]])
         assert got[i] == pytest.approx(total, abs=1e-3)
+
+
+def test_a_batch_moves_every_part_once_by_its_plain_slope(monkeypatch):
+    """Slopes are worked out one place at a time; a part is moved once a batch, not once for every class."""
+    net, calls, move = network(), [], m.WindowNetwork._move
+    monkeypatch.setattr(m.WindowNetwork, "_move", lambda self, seen, name, *rest: (calls.append(name), move(self, seen, name, *rest)))
+    padded = np.full(304, SHAPE.pad, np.int32)
+    padded[2:-2] = np.random.default_rng(3).integers(0, 300, 300)
+    at = np.arange(2, 302)
+    before = m.WindowNetwork(SHAPE, net.flat.copy()).part
+    slopes = m.WindowNetwork(SHAPE, np.zeros_like(net.flat)).part
+    for i in at:
+        near = [padded[i + s] for s in m.PLACES]
+        h = np.tanh(before["bias"] + sum(before["place"][k][t] for k, t in enumerate(near)))
+        first, second = divmod(int(padded[i]), SHAPE.members)
+        dh = np.zeros_like(h)
+        for weights, bias, chosen, w, b in (
+            (before["class"], before["class_bias"], first, slopes["class"], slopes["class_bias"]),
+            (before["member"][first], before["member_bias"][first], second, slopes["member"][first], slopes["member_bias"][first]),
+        ):
+            e = np.exp(h @ weights + bias)
+            e /= e.sum()
+            e[chosen] -= 1
+            w += np.outer(h, e) / len(at)
+            b += e / len(at)
+            dh += weights @ e
+        dh *= (1 - h * h) / len(at)
+        slopes["bias"] += dh
+        for k, t in enumerate(near):
+            slopes["place"][k][t] += dh
+    seen = m.WindowNetwork(SHAPE, np.zeros_like(net.flat))
+    net.train(padded, at, seen)
+    assert sorted(calls) == sorted(set(calls))
+    for name, slope in slopes.items():
+        assert np.allclose(seen.part[name], slope * slope, rtol=1e-2, atol=1e-9), name
+        clear = np.abs(slope) > 1e-4
+        want = before[name] - m._RATE * slope / np.sqrt(slope * slope + 1e-10)
+        assert np.allclose(net.part[name][clear], want[clear], atol=1e-3), name
+        assert (net.part[name][slope == 0] == before[name][slope == 0]).all()
