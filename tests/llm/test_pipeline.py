@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +28,15 @@ def test_the_number_of_languages_does_not_drop_texts(spark):
     assert ids(corpus_pipeline.known_language(spark, df, SF)) == sorted(str(i) for i in range(48))
 
 
+def test_languages_are_learned_from_all_labelled_rows(spark):
+    """The labelled rows are of the fold that op9 holds out, or have no doc_id."""
+    fold = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 == 2][:4]
+    others = rows(spark, [(i, "other words of text") for i in range(100, 110)]).withColumn("lang", F.lit(None).cast("string"))
+    for labelled in (fold, [None]):
+        df = others.unionByName(rows(spark, [(i, "some words of text") for i in labelled]))
+        assert corpus_pipeline.known_language(spark, df, SF).count() == df.count()
+
+
 def ids(df):
     return sorted(str(r.doc_id) for r in df.select("doc_id").collect())
 
